@@ -1,0 +1,57 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# At most this many keys are treated as hot, so the list of them can be broadcast.
+MAX_HOT_KEYS = 64
+_TRACKED = 4096
+
+# Rows of one key that are left together.
+ROWS_PER_SALT = 2_000_000
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """The keys holding far more rows than others, with the number of pieces to
+    split each into: ``(_hot, _salts)``, at most ``MAX_HOT_KEYS`` rows. A sketch
+    finds them in one pass over the key column, without a shuffle by key."""
+    top = df.filter(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {_TRACKED})").alias("top")
+    )
+    return (
+        top.select(F.inline("top"))
+        .filter(F.col("count") > rows_per_salt)
+        .select(F.col("item").alias("_hot"), F.ceil(F.col("count") / rows_per_salt).cast("int").alias("_salts"))
+    )
+
+
+def salted_join(
+    many: DataFrame,
+    one: DataFrame,
+    key: str,
+    spread: list[str],
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> DataFrame:
+    """Inner equi-join on ``key`` where ``many`` may have hot keys.
+
+    Hot keys of ``many`` are spread over several join keys by a hash of the
+    ``spread`` columns, which should tell its rows apart; the matching rows of
+    ``one`` are repeated once per piece. The sketch only decides the balance:
+    the result is the plain join whatever it reports. The salt depends on row
+    content alone, so a task that is run again sends its rows to the same place.
+    """
+    hot = F.broadcast(hot_keys(many, key, rows_per_salt))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.col("_salts")).cast("int")
+    left = (
+        many.join(hot, F.col(key) == F.col("_hot"), "left")
+        .withColumn("_salt", F.coalesce(salt, F.lit(0)))
+        .drop("_hot", "_salts")
+    )
+    right = (
+        one.join(hot, F.col(key) == F.col("_hot"), "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        .drop("_hot", "_salts")
+    )
+    return left.join(right, [key, "_salt"], "inner").drop("_salt")
