@@ -16,11 +16,15 @@ CHILDREN_PER_ROW = 100_000
 
 def flatten(df: DataFrame, array: str, parents: Mapping[str, str]) -> DataFrame:
     """One row per child. Fields taken over from the header win over the child's
-    own. A null, missing or empty array gives no row. Narrow: no shuffle."""
+    own, also where the header lacks the field, which gives null. A null, missing
+    or empty array gives no row. Narrow: no shuffle."""
     taken = {name.lower() for name in parents}
     own = [f for f in df.schema[array].dataType.elementType.names if f.lower() not in taken]
     exploded = df.select(
-        *[F.col(header).alias(f"_{i}") for i, header in enumerate(parents.values())],
+        *[
+            (F.col(header) if header in df.columns else F.lit(None).cast("string")).alias(f"_{i}")
+            for i, header in enumerate(parents.values())
+        ],
         F.explode(array).alias("_child"),
     )
     return exploded.select(

@@ -2,7 +2,8 @@
 
 Each landed file is taken exactly once: the checkpoint remembers the files read
 and the sink's log the files written, so a run that is repeated or resumed adds
-nothing twice.
+nothing twice. Nothing is shuffled: a landed file holds one day or two, so each
+task writes to one folder or two.
 """
 
 from __future__ import annotations

@@ -341,18 +341,17 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT * FROM source)
           SELECT *, CAST(year(report_date) AS INTEGER) AS year, CAST(month(report_date) AS INTEGER) AS month FROM merged""",
     # --- streaming and jobs
-    "stream_ingest_lines": f"""SELECT {LINE_ID} AS order_detail_id, CAST(o_orderkey AS VARCHAR) AS order_id,
-            CAST(l_partkey AS VARCHAR) AS item_id, CAST(trunc(l_quantity) AS BIGINT) AS quantity,
-            l_extendedprice AS amount, o_orderpriority AS branch_id,
-            strftime(o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date
-          FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "stream_ingest_lines": """SELECT 'L' || event_id AS order_detail_id, CAST(event_id AS VARCHAR) AS order_id,
+            CAST(user_id AS VARCHAR) AS item_id, CAST(2 AS BIGINT) AS quantity, value AS amount, event_type AS branch_id,
+            ts + INTERVAL 7 HOUR AS order_date, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date,
+            CAST(day(ts + INTERVAL 7 HOUR) AS INTEGER) AS day FROM events""",
     "daily_build": """WITH event AS (
             SELECT strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date, event_id, event_type, value,
               CASE event_type WHEN 'signup' THEN 'Online' WHEN 'purchase' THEN 'Counter' WHEN 'view' THEN ''
                 ELSE event_type END AS branch_name FROM events)
           SELECT report_date, branch_name, count(DISTINCT event_id) AS total_orders, round(sum(value), 2) AS total_revenue,
             round(sum(value) / count(DISTINCT event_id), 4) AS aov,
-            nullif(count_if(event_type <> 'error'), 0) AS n_lines,
+            CAST(nullif(count_if(event_type <> 'error'), 0) AS BIGINT) AS n_lines,
             round(sum(CASE WHEN event_type <> 'error' THEN value + 0.5 END), 2) AS sold
           FROM event WHERE value > 0 GROUP BY report_date, branch_name""",
 }

@@ -778,14 +778,13 @@ def sink_merge(spark, sf_dir):
 @query
 def stream_ingest_lines(spark, sf_dir):
     """Landed order lines taken in by a stream; a second run finds nothing new."""
-    path = scratch_dir(spark, "stream")
-    land(_nested_orders(spark, sf_dir).drop("part"), f"{path}/landing/2024-01-20/{ORDERS.file}")
+    root, landing = scratch_dir(spark, "stream"), _land_event_days(spark, sf_dir)
     for _ in range(2):
         stream_ingest(
-            spark, f"{path}/landing/*/{ORDERS.file}", ORDERS, "order_detail", f"{path}/bronze", f"{path}/checkpoint", RUN_TS
+            spark, f"{landing}/{ORDERS.file}/*", ORDERS, "order_detail", f"{root}/bronze", f"{root}/checkpoint", RUN_TS
         )
-    return spark.read.parquet(f"{path}/bronze/order_detail").select(
-        "order_detail_id", "order_id", "item_id", "quantity", "amount", "branch_id", "report_date"
+    return spark.read.parquet(f"{root}/bronze/order_detail").select(
+        "order_detail_id", "order_id", "item_id", "quantity", "amount", "branch_id", "order_date", "report_date", "day"
     )
 
 
