@@ -6,24 +6,27 @@ argument; text is the default because landed numbers are read as text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 
-# Java also reads "1d" and "0x1p3" as numbers; neither is one in the data.
+# A failed try_cast costs an exception per row, so text is matched before it is
+# cast and bad values never get that far. Java also reads "1d" and "0x1p3" as
+# numbers; neither is one in the data.
+_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _INFINITY = r"^\s*[+-]?(?i:inf|infinity)\s*$"
+_LONG_RANGE = 9.2e18
 
 # ISO 8601, extended form. One match decides for nearly all rows.
-_TIME = r"\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d+)?)?)?"
-_ZONE = r"\s*(Z|[+-]\d{1,2}(:?\d{2})?)"
-_ISO = rf"^\s*\d{{4}}(-\d{{1,2}}(-\d{{1,2}}([T ]{_TIME}({_ZONE})?)?)?)?$"
-_ZONED = r"[T ].*(Z|[+-]\d{1,2}(:?\d{2})?)$"
+_TIME = r"\d{1,2}(?::\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?"
+_ZONE = r"\s*(?:Z|[+-]\d{1,2}(?::?\d{2})?)"
+_ISO = rf"^\s*\d{{4}}(?:-\d{{1,2}}(?:-\d{{1,2}}(?:[T ]{_TIME}(?:{_ZONE})?)?)?)?$"
 
 # Range of a 64-bit nanosecond clock, whole days.
-_FIRST_DAY, _LAST_DAY = "1677-09-22 00:00:00", "2262-04-11 23:47:16"
+_FIRST_DAY, _AFTER_LAST_DAY = "1677-09-22", "2262-04-12"
 
 
 def _number(text: Column) -> Column:
@@ -34,17 +37,22 @@ def _number(text: Column) -> Column:
 
 def to_float(col: Column, source: T.DataType = T.StringType()) -> Column:
     """Double; null, NaN and unreadable text become 0.0."""
-    value = _number(col) if isinstance(source, T.StringType) else col.try_cast("double")
+    value = _number(col) if isinstance(source, T.StringType) else col.cast("double")
     return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
 
 
+def _truncated(number: Column) -> Column:
+    return F.when(F.abs(number) < _LONG_RANGE, number.cast("bigint"))
+
+
 def to_int(col: Column, source: T.DataType = T.StringType()) -> Column:
     """Long, truncated toward zero; null, unreadable and out-of-range become 0."""
-    if isinstance(source, T.StringType):
-        whole = col.try_cast("bigint")  # exact beyond 2**53
-        value = F.coalesce(whole, _number(col).try_cast("bigint"))
+    if isinstance(source, T.StringType):  # whole numbers are exact beyond 2**53
+        value = F.when(col.rlike(_WHOLE), col.cast("bigint")).otherwise(_truncated(_number(col)))
+    elif isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)):
+        value = _truncated(col.cast("double"))
     else:
-        value = col.try_cast("bigint")
+        value = col.cast("bigint")
     return F.coalesce(value, F.lit(0).cast("bigint"))
 
 
@@ -61,24 +69,41 @@ def _extended(text: Column) -> Column:
     return F.regexp_replace(timed, r"([T ]\d{2})(\d{2})(?=[^:\d]|$)", "$1:$2")
 
 
+def _session_is_utc() -> bool:
+    return SparkSession.active().conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z")
+
+
+def _instant(col: Column, source: T.DataType) -> Column:
+    """A timestamp; only for sessions that run in UTC."""
+    return _readable(col).try_cast("timestamp") if isinstance(source, T.StringType) else col.cast("timestamp")
+
+
+def _readable(col: Column) -> Column:
+    """ISO text within range, else null."""
+    other = _extended(col)
+    iso = F.when(col.rlike(_ISO), F.ltrim(col)).when(other.rlike(_ISO), other)
+    return F.when((iso >= _FIRST_DAY) & (iso < _AFTER_LAST_DAY), iso)
+
+
 def utc_ts(col: Column, source: T.DataType = T.StringType()) -> Column:
     """UTC wall clock time (``timestamp_ntz``). Time without a zone counts as UTC,
     whatever zone the session runs in; unreadable or out-of-range becomes null."""
+    if _session_is_utc():
+        return _instant(col, source).cast("timestamp_ntz")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    if isinstance(source, T.StringType):
-        iso = F.when(col.rlike(_ISO), F.ltrim(col)).otherwise(_extended(col))
-        iso = F.when(iso.rlike(_ISO), iso)
-        instant = F.when(iso.rlike(_ZONED), iso.try_cast("timestamp"))
-        zoned = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
-        value = F.when(iso.rlike(_ZONED), zoned).otherwise(iso.try_cast("timestamp_ntz"))
-    elif isinstance(source, T.TimestampType):
-        value = F.timestamp_add("MICROSECOND", F.unix_micros(col), epoch)
-    else:
-        value = col.try_cast("timestamp_ntz")
-    lower, upper = (F.lit(d).cast("timestamp_ntz") for d in (_FIRST_DAY, _LAST_DAY))
-    return F.when(value.between(lower, upper), value)
+    wall_clock = lambda instant: F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+    if isinstance(source, T.TimestampType):
+        return wall_clock(col)
+    if not isinstance(source, T.StringType):
+        return col.cast("timestamp_ntz")
+    iso = _readable(col)
+    rest = F.substring(iso, 9, 64)  # past the dashes of the date
+    zoned = iso.endswith("Z") | rest.contains("+") | rest.contains("-")
+    return F.when(zoned, wall_clock(iso.try_cast("timestamp"))).otherwise(iso.try_cast("timestamp_ntz"))
 
 
 def to_local_ts(col: Column, source: T.DataType = T.StringType(), zone: str = LOCAL_ZONE) -> Column:
     """Local wall clock time without a zone (``timestamp_ntz``)."""
+    if _session_is_utc():
+        return F.from_utc_timestamp(_instant(col, source), zone).cast("timestamp_ntz")
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_ts(col, source))

@@ -11,9 +11,9 @@ from tablespoon.functions.casts import LOCAL_ZONE, to_local_ts
 
 def business_date(col: Column, source: T.DataType = T.StringType(), zone: str = LOCAL_ZONE) -> Column:
     """Local calendar day as ``yyyy-MM-dd`` text; unreadable becomes null."""
-    return F.date_format(to_local_ts(col, source, zone), "yyyy-MM-dd")
+    return F.to_date(to_local_ts(col, source, zone)).cast("string")
 
 
 def hour_bucket(col: Column) -> Column:
     """Two-digit 24 h hour as text."""
-    return F.date_format(col, "HH")
+    return F.lpad(F.hour(col).cast("string"), 2, "0")

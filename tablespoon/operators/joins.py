@@ -27,22 +27,17 @@ def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> Dat
     )
 
 
-def salted_join(
-    many: DataFrame,
-    one: DataFrame,
-    key: str,
-    spread: list[str],
-    rows_per_salt: int = ROWS_PER_SALT,
-) -> DataFrame:
-    """Inner equi-join on ``key`` where ``many`` may have hot keys.
-
-    Hot keys of ``many`` are spread over several join keys by a hash of the
-    ``spread`` columns, which should tell its rows apart; the matching rows of
-    ``one`` are repeated once per piece. The sketch only decides the balance:
-    the result is the plain join whatever it reports. The salt depends on row
-    content alone, so a task that is run again sends its rows to the same place.
+def salted_join(many: DataFrame, one: DataFrame, key: str, spread: list[str], hot: DataFrame) -> DataFrame:
+    """Inner equi-join on ``key`` where ``many`` may have hot keys, listed in
+    ``hot`` as :func:`hot_keys` gives them.
+
+    They are spread over several join keys by a hash of the ``spread`` columns,
+    which should tell the rows of ``many`` apart; the matching rows of ``one``
+    are repeated once per piece. The list only decides the balance: the result
+    is the plain join whatever it says. The salt depends on row content alone,
+    so a task that is run again sends its rows to the same place.
     """
-    hot = F.broadcast(hot_keys(many, key, rows_per_salt))
+    hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.col("_salts")).cast("int")
     left = (
         many.join(hot, F.col(key) == F.col("_hot"), "left")

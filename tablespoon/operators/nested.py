@@ -62,38 +62,36 @@ def nest(
         frame = child.select(F.col(parent_key).alias("_key"), *arrays)
         tagged = frame if tagged is None else tagged.unionByName(frame)
     tagged = tagged.filter(F.col("_key").isNotNull())
-    grouped = (
-        _numbered_parts(tagged, list(children), children_per_row)
-        .groupBy("_key", "part")
-        .agg(*[F.collect_list(name).alias(name) for name in children])
-    )
-    joined = header.join(grouped, header[key] == F.col("_key"), "left")
-    empty = {name: F.coalesce(F.col(name), F.array().cast(grouped.schema[name].dataType)) for name in children}
-    return joined.withColumns({"part": F.coalesce("part", F.lit(0)), **empty}).drop("_key")
-
-
-def _numbered_parts(tagged: DataFrame, names: list[str], children_per_row: int) -> DataFrame:
-    """Adds the ``part`` each child goes to. Children of large keys are spread by
-    their content; equal copies are counted first and dealt out in small lots,
-    so copies of one child spread as well. Nothing here depends on row order."""
     counts = tagged.groupBy("_key").count()
     large = counts.filter(F.col("count") > children_per_row).select(
         "_key", F.ceil(F.col("count") / children_per_row).cast("int").alias("_parts")
     )
-    small = tagged.join(large, "_key", "left_anti").withColumn("part", F.lit(0))
+    arrays = [F.collect_list(name).alias(name) for name in children]
+    of_large, matches = large.select("_key"), header[key] == F.col("_key")
+
+    whole = tagged.join(of_large, "_key", "left_anti").groupBy("_key").agg(*arrays)
+    empty = {name: F.coalesce(F.col(name), F.array().cast(whole.schema[name].dataType)) for name in children}
+    plain = header.join(of_large, matches, "left_anti").join(whole, matches, "left").drop("_key")
+    dealt = _dealt(tagged.join(large, "_key"), list(children), children_per_row).groupBy("_key", "part").agg(*arrays)
+    split = header.join(dealt, matches).drop("_key")
+    return plain.withColumns({"part": F.lit(0), **empty}).unionByName(split)
+
+
+def _dealt(large: DataFrame, names: list[str], children_per_row: int) -> DataFrame:
+    """Children of large keys with the ``part`` each goes to, by its content. Equal
+    copies are counted first and dealt out in small lots, so copies of one child
+    spread as well. Nothing depends on row order, so a task that is run again
+    deals the same way."""
     lot = max(children_per_row // 100, 1)
     lots = F.sequence(F.lit(0), F.ceil(F.col("count") / lot).cast("int") - 1)
-    dealt = (
-        tagged.join(large, "_key")
-        .groupBy("_key", "_parts", *names)
+    return (
+        large.groupBy("_key", "_parts", *names)
         .count()
         .withColumn("_lot", F.explode(lots))
         .withColumn("part", F.pmod(F.xxhash64("_lot", *names), F.col("_parts")).cast("int"))
         .withColumn("_size", F.least(F.lit(lot), F.col("count") - F.col("_lot") * lot).cast("int"))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_size"))))
     )
-    columns = ["_key", "part", *names]
-    return small.select(columns).unionByName(dealt.select(columns))
 
 
 def normalize_payload(payload: Column, item: TableSpec = SPECS["order_detail"]) -> Column:

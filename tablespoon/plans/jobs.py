@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablespoon.operators.incremental import lookback
 from tablespoon.operators.quality import (
@@ -36,10 +37,10 @@ from tablespoon.plans.marts import (
 from tablespoon.plans.staging import latest_invoice, staging
 from tablespoon.plans.transform import transform_master, transform_transactions
 from tablespoon.schemas import SPECS, TableSpec
-from tablespoon.session import scratch_dir
-from tablespoon.sinks import full_refresh, merge_table, remove, save_all
+from tablespoon.session import remove, scratch
+from tablespoon.sinks import full_refresh, merge_table, save_all
 from tablespoon.sources import existing, read_days, read_master, read_table, source
-from tablespoon.sources.landing import BY_DAY
+from tablespoon.sources.landing import BY_DAY, latest_partition
 
 # Columns of the sales table that must be filled.
 REQUIRED_SALES = ["order_id", "item_id", "report_date", "net_revenue_inclusive"]
@@ -70,11 +71,19 @@ def run_transactions(
     spark: SparkSession, lake: Lake, days: str | list[str], run_ts: dt.datetime | None = None
 ) -> dict[str, int]:
     """Loads the orders and invoices of one or several days, as one job per table
-    whatever the number of days. Nothing landed, nothing written."""
+    whatever the number of days. Returns rows per table.
+
+    The documents are parsed once, into a staged table, and the five tables each
+    read their own columns of it. So nothing is loaded when a document is broken.
+    """
     days = [days] if isinstance(days, str) else days
-    documents = read_days(spark, lake.landing, days, lake.layout)
-    frames = transform_transactions(documents, run_ts, lake.branch_map, lake.specs)
-    return save_all(frames, lake.bronze, lake.partitions())
+    with scratch(spark, "documents") as staged:
+        documents = read_days(spark, lake.landing, days, lake.layout)
+        for name, df in documents.items():
+            df.write.parquet(f"{staged}/{name}")
+        parsed = {name: read_table(spark, f"{staged}/{name}", df.schema) for name, df in documents.items()}
+        frames = transform_transactions(parsed, run_ts, lake.branch_map, lake.specs)
+        return save_all(frames, lake.bronze, lake.partitions())
 
 
 def bronze_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
@@ -116,29 +125,37 @@ def build(
 def _build_sales(spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode) -> DataFrame:
     path = f"{lake.marts}/{SALES_TABLE}"
     schema = sales_lines(header, detail).schema
-    target = read_table(spark, path, schema) if existing(spark, [path]) else None
-    if target is not None:
-        # A stored table has a known size, so the joins below pick their strategy by it.
-        recent = lookback(header, as_of, backfill_days)
-        staged = scratch_dir(spark, "recent")
-        (latest_invoice(recent) if dedupe else recent).write.parquet(staged)
-        header = read_table(spark, staged, header.schema)
-    fresh = sales_increment(header, detail, target, as_of, backfill_days, high_water_only, dedupe)
-    checks = check_not_null(REQUIRED_SALES) + check_negative(fresh, "net_revenue_inclusive")
-    observed, seen = observe_checks(fresh, checks)
-    if target is None:
+    checks = check_not_null(REQUIRED_SALES) + check_negative(sales_lines(header, detail), "net_revenue_inclusive")
+    if not existing(spark, [path]):
+        fresh, seen = observe_checks(sales_increment(header, detail, None, as_of, dedupe=dedupe), checks)
         try:
-            full_refresh(observed, path)
+            full_refresh(fresh, path)
             return gate(observed_report(spark, seen, checks))
         except Exception:
             remove(spark, path)  # a first build that fails leaves no table behind
             raise
-    staged = scratch_dir(spark, "sales")
-    observed.write.parquet(staged)
-    report = gate(observed_report(spark, seen, checks))
-    keys = SALES_KEY if mode == "unique" else SALES_KEY[:1]
-    merge_table(spark, path, read_table(spark, staged, schema), keys, mode=mode)
-    return report
+    target = _last_month(spark, path, schema)
+    recent = lookback(header, as_of, backfill_days)
+    with scratch(spark, "recent") as recent_path, scratch(spark, "sales") as sales_path:
+        # Stored tables have a known size, by which the joins pick their strategy.
+        (latest_invoice(recent) if dedupe else recent).write.parquet(recent_path)
+        recent = read_table(spark, recent_path, header.schema)
+        fresh = sales_increment(recent, detail, target, as_of, backfill_days, high_water_only, dedupe)
+        observed, seen = observe_checks(fresh, checks)
+        observed.write.parquet(sales_path)
+        report = gate(observed_report(spark, seen, checks))
+        keys = SALES_KEY if mode == "unique" else SALES_KEY[:1]
+        merge_table(spark, path, read_table(spark, sales_path, schema), keys, mode=mode)
+        return report
+
+
+def _last_month(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The part of the sales table that holds its last day: the table is
+    partitioned by the month of that day, so the rest need not be scanned."""
+    table, last = read_table(spark, path, schema), latest_partition(spark, path)
+    if last is None:
+        return table
+    return table.filter((F.col("year") == last["year"]) & (F.col("month") == last["month"]))
 
 
 def run_daily(

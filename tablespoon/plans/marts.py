@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablespoon.functions import hour_bucket, net_revenue, revenue_inclusive
 from tablespoon.operators.incremental import lookback, since_high_water, upsert
-from tablespoon.operators.joins import salted_join
+from tablespoon.operators.joins import hot_keys, salted_join
 from tablespoon.plans.staging import latest_invoice, latest_invoice_detail
 
 # The status that keeps an invoice out of the sales table, the
@@ -51,6 +51,7 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
     deduplication the planner cannot split them any more (the rank window fixes
     the partitioning), so the join is salted instead.
     """
+    stored = detail
     if dedupe:
         header, detail = latest_invoice(header), latest_invoice_detail(detail)
     kept = header.filter(F.col("payment_status") != EXCLUDED_STATUS).select(*_HEADER_COLUMNS)
@@ -65,9 +66,10 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
         "allocation_delivery_promotion_amount",
         F.col("tax_amount").alias("line_tax"),
     )
-    joined = (
-        salted_join(lines, kept, "ref_id", spread=["ref_detail_id"]) if dedupe else lines.join(kept, "ref_id", "inner")
-    )
+    if dedupe:  # hot invoices are looked for among the stored lines: one column, no ranking
+        joined = salted_join(lines, kept, "ref_id", ["ref_detail_id"], hot_keys(stored, "ref_id"))
+    else:
+        joined = lines.join(kept, "ref_id", "inner")
     net = net_revenue(F.col("amount"), F.col("allocation_amount"), F.col("allocation_delivery_promotion_amount"))
     return joined.select(
         "branch_name",

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 # What the jobs rely on. Shuffle width is left to the cluster: AQE coalesces
-# small partitions and splits skewed ones at run time.
+# small partitions and splits skewed ones at run time. Parquet takes about a
+# third of the space of its rows, which the planner must know before it picks a
+# side to broadcast; where no side is small, a sort is saved once the partitions
+# turn out to fit in memory.
 DEFAULTS = {
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -39,3 +46,19 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tablespoon-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, on whatever file system it is."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A scratch folder for the length of a job step."""
+    path = scratch_dir(spark, purpose)
+    try:
+        yield path
+    finally:
+        remove(spark, path)

@@ -4,11 +4,10 @@ from tablespoon.sinks.tables import (
     full_refresh,
     land,
     merge_table,
-    remove,
     save_all,
     save_flat,
     save_partitions,
     save_table,
 )
 
-__all__ = ["full_refresh", "land", "merge_table", "remove", "save_all", "save_flat", "save_partitions", "save_table"]
+__all__ = ["full_refresh", "land", "merge_table", "save_all", "save_flat", "save_partitions", "save_table"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tablespoon.operators.incremental import upsert
 from tablespoon.schemas import PARTITION_COLUMNS
-from tablespoon.session import scratch_dir
+from tablespoon.session import remove, scratch
 from tablespoon.sources.bronze import read_table
 
 logger = logging.getLogger(__name__)
@@ -106,20 +106,17 @@ def merge_table(
     first written whole to the shared scratch folder and only then replaces the
     old. ``source`` is read several times, so it should be a stored table.
     """
-    staged = scratch_dir(spark, "merge")
     target = read_table(spark, path, source.schema)
-
-    matched = target.select(*keys, *partitions).join(source.select(*keys).distinct(), keys, "left_semi")
+    matched = target.join(source.select(*keys).distinct(), keys, "left_semi")
     touched = matched.select(*partitions).union(source.select(*partitions)).distinct().collect()
     if not touched:
         return
-    concerned = target.filter(_any_partition(touched, partitions))
-    merged = upsert(concerned, source, keys, mode)
-    merged.write.partitionBy(*partitions).parquet(staged)
-
-    result = read_table(spark, staged, source.schema)
-    save_partitions(result, path, partitions)
-    left = {tuple(r) for r in result.select(*partitions).distinct().collect()}
+    merged = upsert(target.filter(_any_partition(touched, partitions)), source, keys, mode)
+    with scratch(spark, "merge") as staged:
+        merged.write.partitionBy(*partitions).parquet(staged)
+        result = read_table(spark, staged, source.schema)
+        save_partitions(result, path, partitions)
+        left = {tuple(r) for r in result.select(*partitions).distinct().collect()}
     for row in touched:
         if tuple(row) not in left:  # all its rows moved to other partitions
             remove(spark, "/".join([path, *[f"{p}={row[p]}" for p in partitions]]))
@@ -133,9 +130,3 @@ def _any_partition(rows, partitions):
             one = one & F.col(p).eqNullSafe(F.lit(row[p]))
         condition = condition | one
     return condition
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of this lake."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -35,6 +35,21 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return [p for p in paths if _path_exists(spark, p)]
 
 
+def latest_partition(spark: SparkSession, path: str, columns: tuple[str, ...] = ("year", "month")) -> dict[str, int] | None:
+    """Partition values of a stored table's last folder, from folder names alone."""
+    found, folder = {}, path
+    for column in columns:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [status.getPath().getName() for status in system.listStatus(hadoop_path)]
+        values = [int(n.split("=")[1]) for n in names if n.startswith(f"{column}=") and n.split("=")[1].isdigit()]
+        if not values:
+            return None
+        found[column] = max(values)
+        folder = f"{folder}/{column}={found[column]}"
+    return found
+
+
 def read_document(spark: SparkSession, document: Document, paths: list[str], multi_line: bool = False) -> DataFrame:
     """Landed documents as nested rows. Malformed JSON fails the read. No path
     gives no rows but the full schema."""
