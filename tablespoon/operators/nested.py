@@ -102,3 +102,19 @@ def normalize_payload(payload: Column, item: TableSpec = SPECS["order_detail"])
     wrapped = F.from_json(payload, f"struct<OrderDetails:{items}>").getField("OrderDetails")
     chosen = F.when(F.ltrim(payload).startswith("["), bare).otherwise(wrapped)
     return F.coalesce(chosen, F.array().cast(items))
+
+
+def parse_invoice_payload(payload: Column, specs: Mapping[str, TableSpec] = SPECS) -> dict[str, Column]:
+    """Child arrays out of an invoice payload text, by the name they land under;
+    a list that is missing is empty."""
+    arrays = {
+        "invoice_details": ("SAInvoiceDetails", specs["invoice_detail"]),
+        "invoice_payments": ("SAInvoicePayments", specs["invoice_payment"]),
+    }
+    types = {landed: f"array<{spec.landing.simpleString()}>" for landed, (_, spec) in arrays.items()}
+    fields = ", ".join(f"{field}: {types[landed]}" for landed, (field, _) in arrays.items())
+    parsed = F.from_json(payload, f"struct<{fields}>")
+    return {
+        landed: F.coalesce(parsed.getField(field), F.array().cast(types[landed]))
+        for landed, (field, _) in arrays.items()
+    }

@@ -256,6 +256,15 @@ ORACLE: dict[str, str] = {
     "branch_scope": """SELECT CAST(event_id AS VARCHAR) AS "Id", 'one' AS scope FROM events WHERE event_type = 'click'
           UNION ALL SELECT CAST(event_id AS VARCHAR), 'all' FROM events""",
     "accepted_pages": "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment <> 'MACHINERY'",
+    "extract_orders": f"""SELECT CAST(o_orderkey AS VARCHAR) AS "OrderId", {LINE_ID} AS line_id,
+            CAST(l_partkey AS VARCHAR) AS "ItemId", {ISO} AS "OrderDate", o_orderpriority AS "BranchId"
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus IN ('O', 'F')
+            AND o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '1999-01-01'""",
+    "extract_invoices": """SELECT CAST(o_orderkey AS VARCHAR) AS "RefId", o_orderpriority AS "BranchId",
+            CAST(count(l_orderkey) AS INTEGER) AS n_details,
+            CAST(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS INTEGER) AS n_payments
+          FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND o_orderstatus <> 'P'
+          WHERE o_orderdate < TIMESTAMP '1999-01-01' GROUP BY o_orderkey, o_orderpriority, o_orderstatus""",
     # --- incremental
     "incremental_lookback": _with(HEADER)
     + "SELECT ref_id, ref_date, total_amount FROM header WHERE ref_date >= TIMESTAMP '1998-07-29'",

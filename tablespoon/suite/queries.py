@@ -18,6 +18,7 @@ from tablespoon.functions import (
     to_local_ts,
 )
 from tablespoon.operators import extract, incremental, nested, quality, standardize
+from tablespoon.plans import extract as extract_plan
 from tablespoon.plans import jobs, marts, staging
 from tablespoon.plans.transform import transform, transform_master, transform_transactions
 from tablespoon.schemas import CUSTOMERS, INVOICES, ORDERS, PRODUCTS, SPECS
@@ -366,17 +367,20 @@ def flatten_invoice_payments(spark, sf_dir):
     return nested.split_document(_nested_invoices(spark, sf_dir), INVOICES)["invoice_payment"]
 
 
-@query
-def normalize_payload(spark, sf_dir):
-    """Payloads as an object, a bare list, or something else, by order status."""
-    orders = _nested_orders(spark, sf_dir)
+def _order_payload():
     listed = F.to_json("line_items")
-    payload = (
+    return (
         F.when(F.col("Status") == "O", F.concat(F.lit('{"OrderDetails": '), listed, F.lit("}")))
         .when(F.col("Status") == "F", F.concat(F.lit(" "), listed))
         .otherwise(F.lit('{"Message": "none"}'))
     )
-    items = orders.select("Id", F.explode(nested.normalize_payload(payload)).alias("item"))
+
+
+@query
+def normalize_payload(spark, sf_dir):
+    """Payloads as an object, a bare list, or something else, by order status."""
+    orders = _nested_orders(spark, sf_dir)
+    items = orders.select("Id", F.explode(nested.normalize_payload(_order_payload())).alias("item"))
     return items.select(
         F.col("Id").alias("order_id"),
         F.col("item.Id").alias("line_id"),
@@ -503,6 +507,30 @@ def accepted_pages(spark, sf_dir):
     return extract.accepted_pages(pages.withColumn("Success", F.col("c_mktsegment") != "MACHINERY"))
 
 
+@query
+def extract_orders(spark, sf_dir):
+    """One branch, up to a cutoff, lines out of payloads of all shapes, flattened again."""
+    payloads = _nested_orders(spark, sf_dir).select("Id", _order_payload().alias("Data"))
+    end = dt.datetime(1999, 1, 1)
+    orders = extract_plan.extract_orders(d.raw_orders(spark, sf_dir), payloads, end, "1-URGENT")
+    lines = nested.flatten(orders, "line_items", ORDERS.parents)
+    return lines.select("OrderId", F.col("Id").alias("line_id"), "ItemId", "OrderDate", "BranchId")
+
+
+@query
+def extract_invoices(spark, sf_dir):
+    """All branches, up to a cutoff; lines and payments out of payload text."""
+    listed = F.concat(
+        F.lit('{"SAInvoiceDetails": '), F.to_json("invoice_details"),
+        F.lit(', "SAInvoicePayments": '), F.to_json("invoice_payments"), F.lit("}"),
+    )
+    payloads = _nested_invoices(spark, sf_dir).filter("PaymentStatus = '1'").select("RefId", listed.alias("Data"))
+    invoices = extract_plan.extract_invoices(d.raw_invoices(spark, sf_dir), payloads, dt.datetime(1999, 1, 1))
+    return invoices.select(
+        "RefId", "BranchId", F.size("invoice_details").alias("n_details"), F.size("invoice_payments").alias("n_payments")
+    )
+
+
 # --- incremental -----------------------------------------------------------
 
 
