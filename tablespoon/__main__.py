@@ -19,6 +19,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--date", help="landed day, yyyy-MM-dd; needed by trans and daily")
     parser.add_argument("--lake", required=True, help="root folder holding landing/, bronze/ and marts/")
     parser.add_argument("--config", help="JSON config with mapping sections and the branch map")
+    parser.add_argument("--input-gb", type=int, default=0, help="about how much the job reads, for sizing")
+    parser.add_argument("--cores", type=int, default=0, help="cores of the cluster, for sizing")
     parser.add_argument("--days", type=int, help="lookback of build (3) and backfill (7)")
     args = parser.parse_args(argv)
     if args.phase in ("trans", "daily"):
@@ -35,7 +37,7 @@ def main(argv: list[str] | None = None) -> None:
         specs = specs_from_config(config) if "Column-Renaming" in config else SPECS
     root = args.lake.rstrip("/")
     lake = jobs.Lake(f"{root}/landing", f"{root}/bronze", f"{root}/marts", branch_map, specs)
-    spark = session("tablespoon")
+    spark = session("tablespoon", input_bytes=args.input_gb << 30, cores=args.cores)
     today = local_day(dt.datetime.now(dt.timezone.utc))
     if args.phase == "master":
         jobs.run_master(spark, lake)

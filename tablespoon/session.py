@@ -9,8 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# What the jobs rely on. Shuffle width is left to the cluster: AQE coalesces
-# small partitions and splits skewed ones at run time. Parquet takes about a
+# What the jobs rely on. AQE coalesces small shuffle partitions and splits
+# skewed ones at run time. Parquet takes about a
 # third of the space of its rows, which the planner must know before it picks a
 # side to broadcast; where no side is small, a sort is saved once the partitions
 # turn out to fit in memory.
@@ -27,12 +27,30 @@ DEFAULTS = {
 }
 
 
-def session(app: str = "tablespoon", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the defaults above; ``conf`` uses ``__`` for dots."""
+_SHUFFLE_BYTES, _SCAN_BYTES = 256 << 20, 128 << 20
+_MAX_TASKS = 200_000
+
+
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job that reads ``input_bytes`` on ``cores``. The adaptive
+    planner merges shuffle partitions but never adds any, so their number is set
+    for partitions of about 256 MB, which sort in memory. Scans read 128 MB per
+    task, more only where that would make more tasks than a driver handles well."""
+    partitions = min(max(-(-input_bytes // _SHUFFLE_BYTES), cores), _MAX_TASKS)
+    scan = max(_SCAN_BYTES, -(-input_bytes // _MAX_TASKS))
+    return {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.files.maxPartitionBytes": str(scan)}
+
+
+def session(
+    app: str = "tablespoon", master: str | None = None, input_bytes: int = 0, cores: int = 0, **conf: str
+) -> SparkSession:
+    """A session with the defaults above, sized for the input where its size is
+    given; ``conf`` uses ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    sized = sizing(input_bytes, cores) if input_bytes else {}
+    for key, value in {**DEFAULTS, **sized, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

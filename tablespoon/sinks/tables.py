@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tablespoon.operators.incremental import upsert
@@ -119,14 +121,16 @@ def merge_table(
         left = {tuple(r) for r in result.select(*partitions).distinct().collect()}
     for row in touched:
         if tuple(row) not in left:  # all its rows moved to other partitions
-            remove(spark, "/".join([path, *[f"{p}={row[p]}" for p in partitions]]))
+            remove(spark, "/".join([path, *[f"{p}={_folder_value(row[p])}" for p in partitions]]))
 
 
-def _any_partition(rows, partitions):
-    condition = F.lit(False)
-    for row in rows:
-        one = F.lit(True)
-        for p in partitions:
-            one = one & F.col(p).eqNullSafe(F.lit(row[p]))
-        condition = condition | one
-    return condition
+def _folder_value(value) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+
+def _any_partition(rows: list[Row], partitions: tuple[str, ...]) -> Column:
+    """True for rows of the listed partitions. Halved, so that a long list does not nest deeply."""
+    if len(rows) > 1:
+        half = len(rows) // 2
+        return _any_partition(rows[:half], partitions) | _any_partition(rows[half:], partitions)
+    return reduce(and_, [F.col(p).eqNullSafe(F.lit(rows[0][p])) for p in partitions])

@@ -1,0 +1,174 @@
+import datetime as dt
+import json
+from pathlib import Path
+
+import pytest
+
+from tablespoon.operators.quality import QualityError
+from tablespoon.plans import jobs
+from tablespoon.plans.marts import REVENUE_TABLE, SALES_TABLE
+from tablespoon.schemas import INVOICES, ORDERS, SPECS
+from tablespoon.streaming import stream_ingest
+
+RUN = dt.datetime(2024, 1, 22, 1, tzinfo=dt.timezone.utc)
+
+
+def order(key, date, lines=2):
+    return {"Id": key, "Date": date, "BranchId": "B1", "TotalAmount": 5,
+            "line_items": [{"Id": f"{key}-{n}", "ItemId": f"i{n}", "Quantity": 1.0, "Price": 2.5} for n in range(lines)]}
+
+
+def invoice(key, date, total=11.0, amounts=(5.0, 6.0), status=1):
+    return {"RefId": key, "RefDate": date, "BranchId": "B1", "TotalAmount": total, "PaymentStatus": status,
+            "invoice_details": [{"RefDetailId": f"{key}-{n}", "ItemID": "same", "Amount": a} for n, a in enumerate(amounts)],
+            "invoice_payments": [{"SAInvoicePaymentID": f"p{key}", "Amount": total}]}
+
+
+def drop(lake, day, orders, invoices):
+    folder = Path(lake.landing) / day
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "orders.json").write_text(json.dumps(orders))
+    (folder / "invoices.json").write_text(json.dumps(invoices))
+
+
+def drop_master(lake):
+    folder = Path(lake.landing) / "master"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "products.json").write_text('[{"Id": "same", "Price": 5, "Inactive": false}]')
+    (folder / "customers.json").write_text('[{"Id": "c", "Name": "N"}]')
+
+
+def sales(spark, lake):
+    rows = spark.read.parquet(f"{lake.marts}/{SALES_TABLE}").collect()
+    return sorted((r["order_id"], r["net_revenue_pre_tax"], str(r["report_date"])) for r in rows)
+
+
+def revenue(spark, lake):
+    rows = spark.read.parquet(f"{lake.marts}/{REVENUE_TABLE}").collect()
+    return {(r["report_date"], r["branch_name"]): (r["total_orders"], r["total_revenue"]) for r in rows}
+
+
+def test_daily_run_twice_is_daily_run_once(spark, lake):
+    drop_master(lake)
+    # The second invoice is of the next local day.
+    drop(lake, "2024-01-20", [order("o1", "2024-01-20T03:00:00Z")],
+         [invoice("1", "2024-01-20T03:00:00Z"), invoice("2", "2024-01-20T20:00:00Z")])
+    for _ in range(2):
+        report = jobs.run_daily(spark, lake, "2024-01-20", RUN)
+    assert report.count() == 6 and report.filter("NOT passed").count() == 0
+    assert spark.read.parquet(f"{lake.bronze}/invoice_header").count() == 4  # copies stay in bronze
+    assert revenue(spark, lake) == {("2024-01-20", "Central"): (1, 11.0), ("2024-01-21", "Central"): (1, 11.0)}
+    assert sales(spark, lake) == [
+        ("1", 5.0, "2024-01-20"), ("1", 6.0, "2024-01-20"), ("2", 5.0, "2024-01-21"), ("2", 6.0, "2024-01-21"),
+    ]
+    assert spark.sql("SELECT count(*) FROM stg_customer").first()[0] == 2
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("documents-*"))
+
+
+def test_corrected_invoice_replaces_its_lines(spark, lake):
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z")])
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    drop(lake, "2024-01-21", [], [invoice("1", "2024-01-20T04:00:00Z", 20.0, (9.0, 6.0, 5.0))])
+    jobs.run_transactions(spark, lake, "2024-01-21", RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert sales(spark, lake) == [("1", 5.0, "2024-01-20"), ("1", 6.0, "2024-01-20"), ("1", 9.0, "2024-01-20")]
+    assert revenue(spark, lake) == {("2024-01-20", "Central"): (1, 20.0)}
+
+
+def test_backfill_repairs_older_days(spark, lake):
+    drop(lake, "2024-01-15", [], [])
+    drop(lake, "2024-01-20", [], [invoice("2", "2024-01-20T03:00:00Z")])
+    jobs.run_transactions(spark, lake, ["2024-01-15", "2024-01-20"], RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 21))
+    drop(lake, "2024-01-15", [], [invoice("1", "2024-01-15T03:00:00Z")])  # arrived late
+    counts = jobs.run_transactions(spark, lake, "2024-01-15", RUN)
+    assert counts["invoice_header"] == 1
+    jobs.build(spark, lake, dt.date(2024, 1, 21), 7)
+    assert {r[0] for r in sales(spark, lake)} == {"2"}  # the high-water mark hides it
+    jobs.backfill_range(spark, lake, dt.date(2024, 1, 21), 7, RUN)
+    assert {r[0] for r in sales(spark, lake)} == {"1", "2"}
+    assert jobs.backfill_days_list(dt.date(2024, 1, 3), 3) == ["2023-12-31", "2024-01-01", "2024-01-02"]
+
+
+def test_missing_day_loads_nothing(spark, lake):
+    assert set(jobs.run_transactions(spark, lake, "2031-01-01", RUN).values()) == {0}
+
+
+def test_failed_first_build_leaves_no_sales_table(spark, lake):
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z", amounts=(-5.0,))])
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    with pytest.raises(QualityError, match="not_negative:net_revenue_inclusive"):
+        jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert not (Path(lake.marts) / SALES_TABLE).exists()
+
+
+def test_failed_check_blocks_the_merge(spark, lake):
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z")])
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    before = sales(spark, lake)
+    drop(lake, "2024-01-21", [], [invoice("2", "2024-01-21T03:00:00Z", amounts=(-5.0,))])
+    jobs.run_transactions(spark, lake, "2024-01-21", RUN)
+    with pytest.raises(QualityError):
+        jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert sales(spark, lake) == before
+
+
+def test_future_order_fails_the_build_after_the_marts(spark, lake):
+    drop(lake, "2024-01-20", [order("o", "2024-01-22T00:00:00Z")], [invoice("1", "2024-01-20T03:00:00Z")])
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    with pytest.raises(QualityError, match="not_future:order_date: 1 rows"):
+        jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert len(sales(spark, lake)) == 2
+
+
+def test_broken_document_loads_no_table(spark, lake):
+    drop(lake, "2024-01-20", [order("o", "2024-01-20T03:00:00Z")], [])
+    (Path(lake.landing) / "2024-01-20/invoices.json").write_text('[{"RefId": ')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    assert not Path(lake.bronze).exists()
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    from tablespoon.__main__ import main
+
+    lake = jobs.Lake(f"{tmp_path}/landing", f"{tmp_path}/bronze", f"{tmp_path}/marts")
+    drop_master(lake)
+    drop(lake, "2024-01-20", [order("o", "2024-01-20T03:00:00Z")], [])
+    config = tmp_path / "config.json"
+    config.write_text('{"Branch-Name_Mapper": {"b1": "Main"}}')
+    main(["--phase", "master", "--lake", str(tmp_path)])
+    main(["--phase", "trans", "--date", "2024-01-20", "--lake", str(tmp_path), "--config", str(config)])
+    assert spark.read.parquet(f"{tmp_path}/bronze/order_header").first()["branch_name"] == "Main"
+    assert spark.read.parquet(f"{tmp_path}/bronze/product").count() == 1
+    with pytest.raises(SystemExit):
+        main(["--phase", "trans", "--lake", str(tmp_path)])
+
+
+def test_stream_takes_each_file_once(spark, lake):
+    ingest = lambda table, document, **kw: stream_ingest(
+        spark, f"{lake.landing}/*/{document.file}", document, table, lake.bronze, f"{lake.bronze}/_{table}", RUN, lake.branch_map, **kw
+    )
+    drop(lake, "2024-01-20", [order("o1", "2024-01-20T03:00:00Z")], [invoice("1", "2024-01-20T03:00:00Z")])
+    for _ in range(2):
+        ingest("order_detail", ORDERS)
+        ingest("invoice_header", INVOICES)
+    drop(lake, "2024-01-21", [order("o2", "2024-01-21T20:00:00Z"), order("o3", None, 0)], [])
+    ingest("order_detail", ORDERS, max_files=1)
+    lines = spark.read.schema(SPECS["order_detail"].bronze).parquet(f"{lake.bronze}/order_detail")
+    assert sorted((r["order_id"], r["report_date"]) for r in lines.collect()) == [
+        ("o1", "2024-01-20"), ("o1", "2024-01-20"), ("o2", "2024-01-22"), ("o2", "2024-01-22"),
+    ]
+    header = spark.read.parquet(f"{lake.bronze}/invoice_header").collect()
+    assert [(r["ref_id"], r["branch_name"]) for r in header] == [("1", "Central")]
+
+
+def test_stream_archives_what_it_has_taken(spark, lake, tmp_path):
+    for day in ("2024-01-20", "2024-01-21"):
+        drop(lake, day, [order(day, f"{day}T03:00:00Z")], [])
+        stream_ingest(spark, f"{lake.landing}/*/orders.json", ORDERS, "order_header", lake.bronze,
+                      f"{tmp_path}/checkpoint", RUN, archive=f"{tmp_path}/archive")
+    assert spark.read.parquet(f"{lake.bronze}/order_header").count() == 2
+    assert list((tmp_path / "archive").rglob("orders.json"))
