@@ -25,7 +25,7 @@ def cutoff_filter(df: DataFrame, date_fields: tuple[str, ...], end: dt.datetime
     bound = end.astimezone(dt.timezone.utc).replace(tzinfo=None) if end.tzinfo else end
     raw = F.coalesce(*[F.nullif(F.col(f), F.lit("")) for f in date_fields])
     when = utc_ts(raw)
-    return df.filter(when.isNull() | (when < F.lit(bound).cast("timestamp_ntz")))
+    return df.filter(when.isNull() | (when < F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")))
 
 
 def branch_scope(df: DataFrame, branch_id: str | None) -> DataFrame:

@@ -57,11 +57,13 @@ def session(
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables, under the shared folder the
-    cluster names in ``spark.checkpoint.dir``. Only where that is unset (a local
-    test session) a temporary folder takes its place, and is set for the session."""
+    cluster names in ``spark.checkpoint.dir``. Where that is unset, a local
+    session gets a temporary folder and a cluster one beside its warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tablespoon-")
+        local = spark.sparkContext.master.startswith("local")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_tablespoon"
+        root = tempfile.mkdtemp(prefix="tablespoon-") if local else shared
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ from tablespoon.sources.bronze import read_table
 
 logger = logging.getLogger(__name__)
 
+TABLES_AT_A_TIME = 5
+
 
 def _usable(df: DataFrame, partitions: list[str] | tuple[str, ...] | None) -> list[str]:
     usable = [p for p in partitions or () if p in df.columns]
@@ -79,12 +83,16 @@ def land(df: DataFrame, path: str, day_column: str | None = None) -> None:
 
 
 def save_all(frames: Mapping[str, DataFrame], root: str, partitions: Mapping[str, tuple[str, ...]] | None = None) -> dict[str, int]:
-    """Appends each frame to its table under ``root``; the first failure fails the run.
-    Returns rows written per table."""
-    return {
-        name: save_table(df, f"{root}/{name}", (partitions or {}).get(name, PARTITION_COLUMNS))
-        for name, df in frames.items()
-    }
+    """Appends each frame to its table under ``root``, several tables at a time, so
+    that the last tasks of one leave no core idle. The first failure fails the
+    run. Returns rows written per table."""
+    parts = lambda name: (partitions or {}).get(name, PARTITION_COLUMNS)
+    with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
+        writes = {
+            name: pool.submit(inheritable_thread_target(save_table), df, f"{root}/{name}", parts(name))
+            for name, df in frames.items()
+        }
+    return {name: write.result() for name, write in writes.items()}
 
 
 def full_refresh(df: DataFrame, path: str, partitions: tuple[str, ...] = ("year", "month")) -> None:

@@ -36,7 +36,7 @@ SALES = f"""sales AS (
 
 REVENUE = """SELECT report_date, branch_name, year, month, count(DISTINCT ref_id) AS total_orders,
     round(sum(total_amount), 2) AS total_revenue,
-    round(CASE WHEN count(DISTINCT ref_id) > 0 THEN sum(total_amount) / count(DISTINCT ref_id) ELSE 0 END, 4) AS aov
+    round(CASE WHEN count(DISTINCT ref_id) > 0 THEN sum(total_amount) / count(DISTINCT ref_id) ELSE 0 END, 6) AS aov
   FROM {source} WHERE total_amount > 0 GROUP BY report_date, branch_name, year, month"""
 
 LATER_HEADER = f"""later AS (
@@ -145,9 +145,9 @@ ORACLE: dict[str, str] = {
     + "SELECT ref_id, ref_detail_id, item_id, quantity, amount, ref_date FROM later_detail",
     "latest_master": """SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
             p_retailprice + 21 AS price, '2024-01-21' AS report_date FROM part""",
-    "hash_pii_columns": """SELECT c_custkey, upper(md5(c_name)) AS by_column, upper(md5(c_name)) AS by_sql,
+    "hash_pii": """SELECT c_custkey, upper(md5(c_name)) AS by_column, upper(md5(c_name)) AS by_sql,
             CASE WHEN c_acctbal > 0 THEN upper(md5('Nguyễn ' || c_name)) END AS of_null FROM customer""",
-    "mask_pii_columns": """SELECT c_custkey, upper(md5(c_name)) AS c_name, upper(md5(c_mktsegment)) AS c_mktsegment
+    "mask_pii": """SELECT c_custkey, upper(md5(c_name)) AS c_name, upper(md5(c_mktsegment)) AS c_mktsegment
             FROM customer""",
     "stg_customer": """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_mktsegment AS customer_code,
             upper(md5(c_name)) AS customer_name_hashed,
@@ -350,17 +350,21 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT * FROM source)
           SELECT *, CAST(year(report_date) AS INTEGER) AS year, CAST(month(report_date) AS INTEGER) AS month FROM merged""",
     # --- streaming and jobs
-    "stream_ingest_lines": """SELECT 'L' || event_id AS order_detail_id, CAST(event_id AS VARCHAR) AS order_id,
+    "stream_ingest": """SELECT 'L' || event_id AS order_detail_id, CAST(event_id AS VARCHAR) AS order_id,
             CAST(user_id AS VARCHAR) AS item_id, CAST(2 AS BIGINT) AS quantity, value AS amount, event_type AS branch_id,
             ts + INTERVAL 7 HOUR AS order_date, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date,
             CAST(day(ts + INTERVAL 7 HOUR) AS INTEGER) AS day FROM events""",
     "daily_build": """WITH event AS (
             SELECT strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date, event_id, event_type, value,
               CASE event_type WHEN 'signup' THEN 'Online' WHEN 'purchase' THEN 'Counter' WHEN 'view' THEN ''
-                ELSE event_type END AS branch_name FROM events)
-          SELECT report_date, branch_name, count(DISTINCT event_id) AS total_orders, round(sum(value), 2) AS total_revenue,
-            round(sum(value) / count(DISTINCT event_id), 4) AS aov,
-            CAST(nullif(count_if(event_type <> 'error'), 0) AS BIGINT) AS n_lines,
-            round(sum(CASE WHEN event_type <> 'error' THEN value + 0.5 END), 2) AS sold
-          FROM event WHERE value > 0 GROUP BY report_date, branch_name""",
+                ELSE event_type END AS branch_name FROM events),
+          revenue AS (
+            SELECT report_date, branch_name, count(DISTINCT event_id) AS total_orders,
+              round(sum(value), 2) AS total_revenue, round(sum(value) / count(DISTINCT event_id), 6) AS aov
+            FROM event WHERE value > 0 GROUP BY report_date, branch_name),
+          lines AS (
+            SELECT report_date, branch_name, count(*) AS n_lines, round(sum(value + 0.5), 2) AS sold
+            FROM event WHERE event_type <> 'error' GROUP BY report_date, branch_name)
+          SELECT report_date, branch_name, total_orders, total_revenue, aov, n_lines, sold
+          FROM revenue LEFT JOIN lines USING (report_date, branch_name)""",
 }

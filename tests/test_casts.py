@@ -24,9 +24,15 @@ NUMBERS = {
 }
 
 
-def test_numbers_out_of_text(spark):
-    assert values(spark, NUMBERS, to_float) == [f for f, _ in NUMBERS.values()]
-    assert values(spark, NUMBERS, to_int) == [i for _, i in NUMBERS.values()]
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_numbers_out_of_text(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert values(spark, NUMBERS, to_float) == [f for f, _ in NUMBERS.values()]
+        assert values(spark, NUMBERS, to_int) == [i for _, i in NUMBERS.values()]
+        assert values(spark, DATES, utc_ts) == list(DATES.values())
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_numbers_out_of_numbers(spark):
