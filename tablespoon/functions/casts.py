@@ -1,7 +1,8 @@
 """Lenient casts: a bad value becomes zero (numbers) or null (times), never an error.
 
-The functions need to know the type they start from, so they take it as an
-argument; text is the default because landed numbers are read as text.
+The functions take a column name, or any SQL text, and the type it has; text is
+the default because landed numbers are read as text. They are written in SQL, as
+one text is one round trip to the JVM where a tree of column calls is dozens.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 
 # A failed try_cast costs an exception per row, so text is matched before it is
 # cast and bad values never get that far. Java also reads "1d" and "0x1p3" as
-# numbers; neither is one in the data.
+# numbers; neither is one in the data. The first two patterns only match numbers
+# that fit; the third also matches those that may be too large.
 _WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_NUMBER = r"^\s*[+-]?(?:\d{1,200}\.?\d*|\.\d+)(?:[eE][+-]?\d{1,2})?\s*$"
+_LARGE = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 _INFINITY = r"^\s*[+-]?(?i:inf|infinity)\s*$"
-_LONG_RANGE = 9.2e18
 
 # ISO 8601, extended form. One match decides for nearly all rows.
 _TIME = r"\d{1,2}(?::\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?"
@@ -29,81 +31,91 @@ _ISO = rf"^\s*\d{{4}}(?:-\d{{1,2}}(?:-\d{{1,2}}(?:[T ]{_TIME}(?:{_ZONE})?)?)?)?$
 _FIRST_DAY, _AFTER_LAST_DAY = "1677-09-22", "2262-04-12"
 
 
-def _number(text: Column) -> Column:
-    parsed = text.try_cast("double")
-    finite = text.rlike(_NUMBER) & (F.abs(parsed) < F.lit(float("inf")))
-    return F.when(finite, parsed).when(text.rlike(_INFINITY), parsed)
-
-
-def to_float(col: Column, source: T.DataType = T.StringType()) -> Column:
+def to_float(column: str, source: T.DataType = T.StringType()) -> Column:
     """Double; null, NaN and unreadable text become 0.0."""
-    value = _number(col) if isinstance(source, T.StringType) else col.cast("double")
-    return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
-
+    number = f"try_cast({column} AS DOUBLE)"
+    if isinstance(source, T.StringType):
+        number = (
+            f"CASE WHEN rlike({column}, r'{_NUMBER}') THEN {number}"
+            f" WHEN rlike({column}, r'{_LARGE}') AND abs({number}) < double('inf') THEN {number}"
+            f" WHEN rlike({column}, r'{_INFINITY}') THEN {number} END"
+        )
+    return F.expr(f"coalesce(nanvl({number}, 0D), 0D)")
 
-def _truncated(number: Column) -> Column:
-    return F.when(F.abs(number) < _LONG_RANGE, number.cast("bigint"))
 
-
-def to_int(col: Column, source: T.DataType = T.StringType()) -> Column:
+def to_int(column: str, source: T.DataType = T.StringType()) -> Column:
     """Long, truncated toward zero; null, unreadable and out-of-range become 0."""
+    whole = f"try_cast(CAST({column} AS DOUBLE) AS BIGINT)"
     if isinstance(source, T.StringType):  # whole numbers are exact beyond 2**53
-        value = F.when(col.rlike(_WHOLE), col.cast("bigint")).otherwise(_truncated(_number(col)))
-    elif isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)):
-        value = _truncated(col.cast("double"))
-    else:
-        value = col.cast("bigint")
-    return F.coalesce(value, F.lit(0).cast("bigint"))
+        whole = (
+            f"CASE WHEN rlike({column}, r'{_WHOLE}') THEN CAST({column} AS BIGINT)"
+            f" WHEN rlike({column}, r'{_LARGE}') THEN try_cast(try_cast({column} AS DOUBLE) AS BIGINT) END"
+        )
+    elif not isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)):
+        whole = f"CAST({column} AS BIGINT)"
+    return F.expr(f"coalesce({whole}, 0L)")
 
 
-def to_string(col: Column) -> Column:
+def to_string(column: str) -> Column:
     """Text; null stays null."""
-    return col.cast("string")
+    return F.expr(f"CAST({column} AS STRING)")
 
 
-def _extended(text: Column) -> Column:
+def _extended(text: str) -> str:
     """Rewrites the rarer ISO spellings (20240120, 2024/01/20, T2000) into the extended form."""
-    dashed = F.regexp_replace(F.ltrim(text), r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3")
-    dashed = F.regexp_replace(dashed, r"^(\d{4})([/. ])(\d{1,2})\2(\d{1,2})(?=[T ]|$)", "$1-$3-$4")
-    timed = F.regexp_replace(dashed, r"([T ]\d{2})(\d{2})(\d{2})(?=[^:\d]|$)", "$1:$2:$3")
-    return F.regexp_replace(timed, r"([T ]\d{2})(\d{2})(?=[^:\d]|$)", "$1:$2")
+    rules = [
+        (r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3"),
+        (r"^(\d{4})([/. ])(\d{1,2})\2(\d{1,2})(?=[T ]|$)", "$1-$3-$4"),
+        (r"([T ]\d{2})(\d{2})(\d{2})(?=[^:\d]|$)", "$1:$2:$3"),
+        (r"([T ]\d{2})(\d{2})(?=[^:\d]|$)", "$1:$2"),
+    ]
+    result = f"ltrim({text})"
+    for pattern, replacement in rules:
+        result = f"regexp_replace({result}, r'{pattern}', '{replacement}')"
+    return result
+
+
+def _readable(text: str) -> str:
+    """ISO text within range, else null."""
+    other = _extended(text)
+    iso = f"CASE WHEN rlike({text}, r'{_ISO}') THEN ltrim({text}) WHEN rlike({other}, r'{_ISO}') THEN {other} END"
+    return f"CASE WHEN {iso} >= '{_FIRST_DAY}' AND {iso} < '{_AFTER_LAST_DAY}' THEN {iso} END"
 
 
 def _session_is_utc() -> bool:
     return SparkSession.active().conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z")
 
 
-def _instant(col: Column, source: T.DataType) -> Column:
+def _instant(column: str, source: T.DataType) -> str:
     """A timestamp; only for sessions that run in UTC."""
-    return _readable(col).try_cast("timestamp") if isinstance(source, T.StringType) else col.cast("timestamp")
+    text = isinstance(source, T.StringType)
+    return f"try_cast({_readable(column)} AS TIMESTAMP)" if text else f"CAST({column} AS TIMESTAMP)"
 
 
-def _readable(col: Column) -> Column:
-    """ISO text within range, else null."""
-    other = _extended(col)
-    iso = F.when(col.rlike(_ISO), F.ltrim(col)).when(other.rlike(_ISO), other)
-    return F.when((iso >= _FIRST_DAY) & (iso < _AFTER_LAST_DAY), iso)
+def _utc(column: str, source: T.DataType) -> str:
+    """UTC wall clock time, whatever zone the session runs in."""
+    wall_clock = "timestampadd(MICROSECOND, unix_micros({}), TIMESTAMP_NTZ '1970-01-01 00:00:00')".format
+    if isinstance(source, T.TimestampType):
+        return wall_clock(column)
+    if not isinstance(source, T.StringType):
+        return f"CAST({column} AS TIMESTAMP_NTZ)"
+    iso = _readable(column)
+    past_date = f"substring({iso}, 9, 64)"  # past the dashes of the date
+    zoned = f"endswith({iso}, 'Z') OR contains({past_date}, '+') OR contains({past_date}, '-')"
+    instant = wall_clock(f"try_cast({iso} AS TIMESTAMP)")
+    return f"CASE WHEN {zoned} THEN {instant} ELSE try_cast({iso} AS TIMESTAMP_NTZ) END"
 
 
-def utc_ts(col: Column, source: T.DataType = T.StringType()) -> Column:
-    """UTC wall clock time (``timestamp_ntz``). Time without a zone counts as UTC,
-    whatever zone the session runs in; unreadable or out-of-range becomes null."""
+def utc_ts(column: str, source: T.DataType = T.StringType()) -> Column:
+    """UTC wall clock time (``timestamp_ntz``). Time without a zone counts as UTC;
+    unreadable or out-of-range becomes null."""
     if _session_is_utc():
-        return _instant(col, source).cast("timestamp_ntz")
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    wall_clock = lambda instant: F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
-    if isinstance(source, T.TimestampType):
-        return wall_clock(col)
-    if not isinstance(source, T.StringType):
-        return col.cast("timestamp_ntz")
-    iso = _readable(col)
-    rest = F.substring(iso, 9, 64)  # past the dashes of the date
-    zoned = iso.endswith("Z") | rest.contains("+") | rest.contains("-")
-    return F.when(zoned, wall_clock(iso.try_cast("timestamp"))).otherwise(iso.try_cast("timestamp_ntz"))
+        return F.expr(f"CAST({_instant(column, source)} AS TIMESTAMP_NTZ)")
+    return F.expr(_utc(column, source))
 
 
-def to_local_ts(col: Column, source: T.DataType = T.StringType(), zone: str = LOCAL_ZONE) -> Column:
+def to_local_ts(column: str, source: T.DataType = T.StringType(), zone: str = LOCAL_ZONE) -> Column:
     """Local wall clock time without a zone (``timestamp_ntz``)."""
     if _session_is_utc():
-        return F.from_utc_timestamp(_instant(col, source), zone).cast("timestamp_ntz")
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_ts(col, source))
+        return F.expr(f"CAST(from_utc_timestamp({_instant(column, source)}, '{zone}') AS TIMESTAMP_NTZ)")
+    return F.expr(f"convert_timezone('UTC', '{zone}', {_utc(column, source)})")

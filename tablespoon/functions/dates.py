@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 from tablespoon.functions.casts import LOCAL_ZONE, to_local_ts
 
 
-def business_date(col: Column, source: T.DataType = T.StringType(), zone: str = LOCAL_ZONE) -> Column:
+def business_date(column: str, source: T.DataType = T.StringType(), zone: str = LOCAL_ZONE) -> Column:
     """Local calendar day as ``yyyy-MM-dd`` text; unreadable becomes null."""
-    return F.to_date(to_local_ts(col, source, zone)).cast("string")
+    return F.to_date(to_local_ts(column, source, zone)).cast("string")
 
 
 def hour_bucket(col: Column) -> Column:

@@ -23,8 +23,8 @@ def cutoff_filter(df: DataFrame, date_fields: tuple[str, ...], end: dt.datetime
     if end is None:
         return df
     bound = end.astimezone(dt.timezone.utc).replace(tzinfo=None) if end.tzinfo else end
-    raw = F.coalesce(*[F.nullif(F.col(f), F.lit("")) for f in date_fields])
-    when = utc_ts(raw)
+    filled = ", ".join(f"nullif(`{f}`, '')" for f in date_fields)
+    when = utc_ts(f"coalesce({filled})")
     return df.filter(when.isNull() | (when < F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")))
 
 

@@ -107,7 +107,7 @@ def sales_lines_dedupe(spark, sf_dir):
 
 @query
 def hourly_bucket(spark, sf_dir):
-    local = to_local_ts(F.col("ts"), d.table(spark, sf_dir, "events").schema["ts"].dataType)
+    local = to_local_ts("ts", d.table(spark, sf_dir, "events").schema["ts"].dataType)
     return d.table(spark, sf_dir, "events").select("event_id", hour_bucket(local).alias("report_hour"))
 
 
@@ -256,13 +256,13 @@ def rename_passthrough(spark, sf_dir):
 @query
 def cast_numeric(spark, sf_dir):
     return d.event_orders(spark, sf_dir).select(
-        "Id", to_float(F.col("TotalAmount")).alias("total_amount"), to_int(F.col("Type")).alias("order_type")
+        "Id", to_float("TotalAmount").alias("total_amount"), to_int("Type").alias("order_type")
     )
 
 
 @query
 def cast_timestamp(spark, sf_dir):
-    return d.event_orders(spark, sf_dir).select("Id", to_local_ts(F.col("Date")).alias("order_date"))
+    return d.event_orders(spark, sf_dir).select("Id", to_local_ts("Date").alias("order_date"))
 
 
 @query
@@ -387,7 +387,7 @@ def normalize_payload(spark, sf_dir):
         F.col("Id").alias("order_id"),
         F.col("item.Id").alias("line_id"),
         F.col("item.ItemId").alias("item_id"),
-        to_int(F.col("item.Quantity")).alias("quantity"),
+        to_int("item.Quantity").alias("quantity"),
     )
 
 

@@ -12,7 +12,7 @@ INF = float("inf")
 def values(spark, texts, column, kind="string"):
     rows = [(i, t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, f"i int, x {kind}").repartition(3)
-    return [r[1] for r in sorted(df.select("i", column(F.col("x"))).collect())]
+    return [r[1] for r in sorted(df.select("i", column("x")).collect())]
 
 
 NUMBERS = {
@@ -83,9 +83,9 @@ def test_times_do_not_depend_on_the_session_zone(spark, zone):
         naive = [at(2024, 3, 10, 2, 30), at(2024, 1, 20, 20), None]  # the first is skipped by a clock change
         moved = lambda c: to_local_ts(c, T.TimestampNTZType())
         assert values(spark, naive, moved, "timestamp_ntz") == [at(2024, 3, 10, 9, 30), at(2024, 1, 21, 3), None]
-        assert values(spark, naive, hour_bucket, "timestamp_ntz") == ["02", "20", None]
+        assert values(spark, naive, lambda c: hour_bucket(F.col(c)), "timestamp_ntz") == ["02", "20", None]
         instant = spark.sql("SELECT TIMESTAMP'2024-01-20 20:00:00Z' AS x")
-        assert instant.select(to_local_ts(F.col("x"), T.TimestampType())).first()[0] == at(2024, 1, 21, 3)
+        assert instant.select(to_local_ts("x", T.TimestampType())).first()[0] == at(2024, 1, 21, 3)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
@@ -97,7 +97,7 @@ def test_historic_offset(spark):
 
 def test_hash(spark):
     # Upper-case hex of the MD5 of the UTF-8 bytes.
-    assert values(spark, ["", None, "Nguyễn"], hash_pii) == [
+    assert values(spark, ["", None, "Nguyễn"], lambda c: hash_pii(F.col(c))) == [
         "D41D8CD98F00B204E9800998ECF8427E",
         None,
         __import__("hashlib").md5("Nguyễn".encode()).hexdigest().upper(),
