@@ -73,6 +73,7 @@ def gap_days(df: DataFrame, column: str, start: dt.date | None = None, end: dt.d
     present = df.select(F.to_date(column).alias("gap_day")).filter("gap_day is not null").distinct()
     first = F.lit(start) if start else F.min("gap_day")
     last = F.lit(end) if end else F.max("gap_day")
-    bounds = present.agg(first.alias("first"), last.alias("last")).filter("first <= last")
+    days = df.sparkSession.range(1).select if start and end else present.agg
+    bounds = days(first.alias("first"), last.alias("last")).filter("first <= last")
     calendar = bounds.select(F.explode(F.sequence("first", "last")).alias("gap_day"))
     return calendar.join(present, "gap_day", "left_anti")
