@@ -89,7 +89,7 @@ def save_all(frames: Mapping[str, DataFrame], root: str, partitions: Mapping[str
     parts = lambda name: (partitions or {}).get(name, PARTITION_COLUMNS)
     with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
         writes = {
-            name: pool.submit(inheritable_thread_target(save_table), df, f"{root}/{name}", parts(name))
+            name: pool.submit(inheritable_thread_target(df.sparkSession)(save_table), df, f"{root}/{name}", parts(name))
             for name, df in frames.items()
         }
     return {name: write.result() for name, write in writes.items()}

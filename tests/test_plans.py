@@ -10,7 +10,7 @@ from tablespoon.plans import marts, staging
 from tablespoon.plans.transform import transform
 from tablespoon.schemas import SPECS
 from tablespoon.sinks.tables import _balanced, save_table
-from tablespoon.sources import source
+from tablespoon.sources import read_table, source
 from tablespoon.suite import domain as d
 from tablespoon.suite.queries import QUERIES
 
@@ -19,6 +19,15 @@ LAZY = [n for n in QUERIES if not n.startswith(("sink_", "stream_", "daily_")) a
     "read_nested_json", "master_snapshot", "backfill_range", "missing_day_empty", "empty_input")]
 
 
+@pytest.fixture(scope="module")
+def bronze(spark, tmp_path_factory):
+    """Invoices stored by day, and their lines."""
+    root = str(tmp_path_factory.mktemp("bronze"))
+    save_table(d.invoice_header(spark, SF_DIR).withColumn("tip_amount", F.lit(0.0)), f"{root}/invoice_header")
+    save_table(d.invoice_detail(spark, SF_DIR), f"{root}/invoice_detail", [])
+    return root
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -39,27 +48,23 @@ def test_latest_copy_is_limited_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
 
 
-def test_revenue_needs_two_shuffles(spark, tmp_path):
-    save_table(d.invoice_header(spark, SF_DIR), f"{tmp_path}/invoice_header")
-    text = plan(marts.revenue_daily(source(spark, str(tmp_path), "invoice_header")))
+def test_revenue_needs_two_shuffles(spark, bronze):
+    text = plan(marts.revenue_daily(source(spark, bronze, "invoice_header")))
     assert text.count("Exchange hashpartitioning") == 2
     assert "GreaterThan(total_amount,0.0)" in text
     assert "customer_id" not in text.split("ReadSchema")[1]
 
 
-def test_status_filter_reaches_the_scan(spark, tmp_path):
-    save_table(d.invoice_header(spark, SF_DIR), f"{tmp_path}/invoice_header")
-    save_table(d.invoice_detail(spark, SF_DIR), f"{tmp_path}/invoice_detail", [])
-    sales = marts.sales_lines(source(spark, str(tmp_path), "invoice_header"), source(spark, str(tmp_path), "invoice_detail"))
+def test_status_filter_reaches_the_scan(spark, bronze):
+    sales = marts.sales_lines(source(spark, bronze, "invoice_header"), source(spark, bronze, "invoice_detail"))
     text = formatted(sales)
     assert "Not(EqualTo(payment_status,4))" in text
     read = [line for line in text.splitlines() if line.startswith("ReadSchema")]
     assert not any("employee_id" in line or "unit_price" in line for line in read)
 
 
-def test_lookback_prunes_partitions(spark, tmp_path):
-    save_table(d.invoice_header(spark, SF_DIR), f"{tmp_path}/invoice_header")
-    header = source(spark, str(tmp_path), "invoice_header")
+def test_lookback_prunes_partitions(spark, bronze):
+    header = source(spark, bronze, "invoice_header")
     recent = incremental.lookback(header, dt.date(1998, 8, 5), 3)
     filters = next(line for line in formatted(recent).splitlines() if line.startswith("PartitionFilters"))
     assert ">= 19980802" in filters and "year" in filters
@@ -121,7 +126,6 @@ def test_skewed_invoice_is_split_by_the_adaptive_planner(spark, tmp_path):
 
 
 def test_bronze_columns_match_the_registry(spark, tmp_path):
-    save_table(transform(d.raw_invoices(spark, SF_DIR), "invoice_header"), f"{tmp_path}/invoice_header")
-    stored = source(spark, str(tmp_path), "invoice_header")
-    assert sorted(stored.columns) == sorted(SPECS["invoice_header"].bronze.names)
-    assert stored.count() == d.raw_invoices(spark, SF_DIR).count()
+    save_table(transform(d.raw_invoices(spark, SF_DIR), "invoice_header"), f"{tmp_path}/invoice_header", ["year"])
+    assert sorted(read_table(spark, f"{tmp_path}/invoice_header").columns) == sorted(SPECS["invoice_header"].bronze.names)
+    assert source(spark, str(tmp_path), "invoice_header").count() == d.raw_invoices(spark, SF_DIR).count()
