@@ -34,7 +34,7 @@ def main(argv: list[str] | None = None) -> None:
         with open(args.config, encoding="utf-8") as f:
             config = json.load(f)
         branch_map = config.get("Branch-Name_Mapper", {})
-        specs = specs_from_config(config) if "Column-Renaming" in config else SPECS
+        specs = {**SPECS, **specs_from_config(config)}
     root = args.lake.rstrip("/")
     lake = jobs.Lake(f"{root}/landing", f"{root}/bronze", f"{root}/marts", branch_map, specs)
     spark = session("tablespoon", input_bytes=args.input_gb << 30, cores=args.cores)

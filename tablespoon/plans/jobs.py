@@ -63,7 +63,7 @@ class Lake:
 
 def run_master(spark: SparkSession, lake: Lake, run_ts: dt.datetime | None = None) -> dict[str, int]:
     """Loads the product and customer snapshots. Returns rows per table."""
-    frames = transform_master(read_master(spark, lake.landing), run_ts, lake.branch_map, lake.specs)
+    frames = transform_master(read_master(spark, lake.landing, specs=lake.specs), run_ts, lake.branch_map, lake.specs)
     return save_all(frames, lake.bronze, lake.partitions())
 
 
@@ -78,7 +78,7 @@ def run_transactions(
     """
     days = [days] if isinstance(days, str) else days
     with scratch(spark, "documents") as staged:
-        documents = read_days(spark, lake.landing, days, lake.layout)
+        documents = read_days(spark, lake.landing, days, lake.layout, specs=lake.specs)
         for name, df in documents.items():
             df.write.parquet(f"{staged}/{name}")
         parsed = {name: read_table(spark, f"{staged}/{name}", df.schema) for name, df in documents.items()}

@@ -253,7 +253,7 @@ def specs_from_config(config: Mapping) -> dict[str, TableSpec]:
     """Registry from a JSON config with the sections ``Schema``, ``Column-Renaming``,
     ``Target-Schema``, ``Key-Column`` and ``Partition-Column``, one entry per table."""
     specs = {}
-    for table, renames in config["Column-Renaming"].items():
+    for table, renames in config.get("Column-Renaming", {}).items():
         listed = config.get("Schema", {}).get(table, {})
         declared = {name: token for name, token in listed.items() if name not in SYSTEM_COLUMNS}
         raw = _struct({**dict.fromkeys(renames, "string"), **declared})

@@ -11,11 +11,11 @@ so a field that is absent on some days is null, not a different schema.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablespoon.schemas import CUSTOMERS, INVOICES, ORDERS, PRODUCTS, Document
+from tablespoon.schemas import CUSTOMERS, INVOICES, ORDERS, PRODUCTS, SPECS, Document, TableSpec
 
 logger = logging.getLogger(__name__)
 
@@ -50,10 +50,16 @@ def latest_partition(spark: SparkSession, path: str, columns: tuple[str, ...] =
     return found
 
 
-def read_document(spark: SparkSession, document: Document, paths: list[str], multi_line: bool = False) -> DataFrame:
+def read_document(
+    spark: SparkSession,
+    document: Document,
+    paths: list[str],
+    multi_line: bool = False,
+    specs: Mapping[str, TableSpec] = SPECS,
+) -> DataFrame:
     """Landed documents as nested rows. Malformed JSON fails the read. No path
     gives no rows but the full schema."""
-    schema = document.landing()
+    schema = document.landing(specs)
     if not paths:
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line)
@@ -61,7 +67,12 @@ def read_document(spark: SparkSession, document: Document, paths: list[str], mul
 
 
 def read_days(
-    spark: SparkSession, landing: str, days: list[str], layout: str = BY_DAY, multi_line: bool = False
+    spark: SparkSession,
+    landing: str,
+    days: list[str],
+    layout: str = BY_DAY,
+    multi_line: bool = False,
+    specs: Mapping[str, TableSpec] = SPECS,
 ) -> dict[str, DataFrame]:
     """Orders and invoices of all the given days as one frame each. A day is
     skipped, with a warning, when its orders are missing."""
@@ -73,7 +84,7 @@ def read_days(
         else:
             logger.warning("nothing landed for %s, skipped", day)
     return {
-        document.header: read_document(spark, document, [path(day, document) for day in landed], multi_line)
+        document.header: read_document(spark, document, [path(day, document) for day in landed], multi_line, specs)
         for document in (ORDERS, INVOICES)
     }
 
@@ -83,9 +94,11 @@ def read_transactions(spark: SparkSession, landing: str, day: str, multi_line: b
     return read_days(spark, landing, [day], multi_line=multi_line)
 
 
-def read_master(spark: SparkSession, landing: str, multi_line: bool = False) -> dict[str, DataFrame]:
+def read_master(
+    spark: SparkSession, landing: str, multi_line: bool = False, specs: Mapping[str, TableSpec] = SPECS
+) -> dict[str, DataFrame]:
     """The full product and customer snapshots."""
     return {
-        document.header: read_document(spark, document, [f"{landing}/master/{document.file}"], multi_line)
+        document.header: read_document(spark, document, [f"{landing}/master/{document.file}"], multi_line, specs)
         for document in (PRODUCTS, CUSTOMERS)
     }

@@ -138,11 +138,18 @@ def test_command_line(spark, tmp_path, monkeypatch):
     drop_master(lake)
     drop(lake, "2024-01-20", [order("o", "2024-01-20T03:00:00Z")], [])
     config = tmp_path / "config.json"
-    config.write_text('{"Branch-Name_Mapper": {"b1": "Main"}}')
-    main(["--phase", "master", "--lake", str(tmp_path)])
+    config.write_text(json.dumps({
+        "Branch-Name_Mapper": {"b1": "Main"},
+        "Column-Renaming": {"product": {"Id": "product_id", "Price": "price", "Shelf": "shelf"}},
+        "Target-Schema": {"product": {"product_id": "text", "price": "float4", "shelf": "int4"}},
+    }))
+    (Path(lake.landing) / "master/products.json").write_text('[{"Id": "same", "Price": "5", "Shelf": "7.9"}]')
+    main(["--phase", "master", "--lake", str(tmp_path), "--config", str(config)])
     main(["--phase", "trans", "--date", "2024-01-20", "--lake", str(tmp_path), "--config", str(config)])
     assert spark.read.parquet(f"{tmp_path}/bronze/order_header").first()["branch_name"] == "Main"
-    assert spark.read.parquet(f"{tmp_path}/bronze/product").count() == 1
+    product = spark.read.parquet(f"{tmp_path}/bronze/product").first()
+    assert (product["product_id"], product["price"], product["shelf"]) == ("same", 5.0, 7)
+    assert spark.read.parquet(f"{tmp_path}/bronze/customer").count() == 1
     with pytest.raises(SystemExit):
         main(["--phase", "trans", "--lake", str(tmp_path)])
 
