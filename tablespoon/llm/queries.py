@@ -6,15 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .licenses import OP7_SQL, op7_license_scan
+from .lines import op6_line_dedup
+from .mixing import op4_mix_sources
+from .nearest import op10_hilbert_neighbours
+from .packing import op3_best_fit_packing
+from .paragraphs import op8_paragraph_minhash
 from .quality import op2_quality_rules
 from .simhash import op9_simhash_near_dedup
+from .tokens import op5_token_frames
+from .wrappers import OP1_SQL, op1_html_wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_html_wrappers,
         op2_quality_rules,
+        op3_best_fit_packing,
+        op4_mix_sources,
+        op5_token_frames,
+        op6_line_dedup,
+        op7_license_scan,
+        op8_paragraph_minhash,
         op9_simhash_near_dedup,
+        op10_hilbert_neighbours,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_html_wrappers": OP1_SQL, "op7_license_scan": OP7_SQL}
