@@ -320,10 +320,17 @@ def _joined(marked: DataFrame) -> DataFrame:
 
     A text's paragraphs are ordered in one group, which is bounded by the text.
     """
-    by = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     whole = marked.where("line is not null")
-    covered = F.max(F.when(F.col("line").isNotNull(), F.col("end"))).over(by)  # by lines that start no later
-    inner = marked.withColumn("covered", covered).where("line is null and end > coalesce(covered, 0)").drop("covered")
+    # lines one after another cover what lies across their borders, too
+    by = Window.partitionBy("row").orderBy("start", "cluster")
+    until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    lines = whole.withColumn("opens", F.coalesce((F.col("start") > until).cast("int"), F.lit(1)))
+    lines = lines.withColumn("run", F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    lines = lines.withColumn("reach", F.max("end").over(Window.partitionBy("row", "run"))).drop("opens", "run")
+    passages = marked.where("line is null").withColumn("reach", F.lit(None).cast("long"))
+    earlier = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    covered = lines.unionByName(passages).withColumn("covered", F.max("reach").over(earlier))
+    inner = covered.where("line is null and end > coalesce(covered, 0)").drop("covered", "reach")
     same = Window.partitionBy("row", "removed").orderBy("start", "cluster")
     until = F.max("end").over(same.rowsBetween(Window.unboundedPreceding, -1))
     run = F.sum("opens").over(same.rowsBetween(Window.unboundedPreceding, 0))
