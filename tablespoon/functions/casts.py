@@ -25,7 +25,9 @@ _INFINITY = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 # ISO 8601, extended form. One match decides for nearly all rows.
 _TIME = r"\d{1,2}(?::\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?"
 _ZONE = r"\s*(?:Z|[+-]\d{1,2}(?::?\d{2})?)"
-_ISO = rf"^\s*\d{{4}}(?:-\d{{1,2}}(?:-\d{{1,2}}(?:[T ]{_TIME}(?:{_ZONE})?)?)?)?$"
+_ISO = rf"^\s*\d{{4}}(?:-\d{{1,2}}(?:-\d{{1,2}}(?:[T ]{_TIME}(?:{_ZONE}\s*)?)?)?)?$"
+
+_BLANK = r"' \t\n\r\u000B\u000C'"
 
 # Range of a 64-bit nanosecond clock, whole days.
 _FIRST_DAY, _AFTER_LAST_DAY = "1677-09-22", "2262-04-12"
@@ -45,11 +47,13 @@ def to_float(column: str, source: T.DataType = T.StringType()) -> Column:
 
 def to_int(column: str, source: T.DataType = T.StringType()) -> Column:
     """Long, truncated toward zero; null, unreadable and out-of-range become 0."""
-    whole = f"try_cast(CAST({column} AS DOUBLE) AS BIGINT)"
+    # doubles from 2**63 on would be cast to the largest long
+    fits = "CASE WHEN abs({0}) < 9223372036854775808D THEN try_cast({0} AS BIGINT) END".format
+    whole = fits(f"CAST({column} AS DOUBLE)")
     if isinstance(source, T.StringType):  # whole numbers are exact beyond 2**53
         whole = (
             f"CASE WHEN rlike({column}, r'{_WHOLE}') THEN CAST({column} AS BIGINT)"
-            f" WHEN rlike({column}, r'{_LARGE}') THEN try_cast(try_cast({column} AS DOUBLE) AS BIGINT) END"
+            f" WHEN rlike({column}, r'{_LARGE}') THEN {fits(f'try_cast({column} AS DOUBLE)')} END"
         )
     elif not isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)):
         whole = f"CAST({column} AS BIGINT)"
@@ -78,7 +82,7 @@ def _extended(text: str) -> str:
 def _readable(text: str) -> str:
     """ISO text within range, else null."""
     other = _extended(text)
-    iso = f"CASE WHEN rlike({text}, r'{_ISO}') THEN ltrim({text}) WHEN rlike({other}, r'{_ISO}') THEN {other} END"
+    iso = f"CASE WHEN rlike({text}, r'{_ISO}') THEN btrim({text}, {_BLANK}) WHEN rlike({other}, r'{_ISO}') THEN btrim({other}, {_BLANK}) END"
     return f"CASE WHEN {iso} >= '{_FIRST_DAY}' AND {iso} < '{_AFTER_LAST_DAY}' THEN {iso} END"
 
 

@@ -20,7 +20,8 @@ NUMBERS = {
     "1.": (1.0, 1), ".5": (0.5, 0), "nan": (0.0, 0), "inf": (INF, 0), "-Infinity": (-INF, 0), "abc": (0.0, 0),
     "1,000": (0.0, 0), "1_000": (0.0, 0), "0x10": (0.0, 0), "1d": (0.0, 0), "1e": (0.0, 0), "": (0.0, 0),
     "1 2": (0.0, 0), "1e400": (0.0, 0), "9007199254740993": (9007199254740992.0, 9007199254740993),
-    "1e300": (1e300, 0), "99999999999999999999": (1e20, 0), None: (0.0, 0),
+    "1e300": (1e300, 0), "99999999999999999999": (1e20, 0), "9223372036854775808": (2.0**63, 0), "-9223372036854775809": (-(2.0**63), 0),
+    "9223372036854774784": (9223372036854774784.0, 9223372036854774784), None: (0.0, 0),
 }
 
 
@@ -62,7 +63,8 @@ DATES = {
     "2024/01/20": at(2024, 1, 20), "20240120T2000": at(2024, 1, 20, 20), "20240120T200000Z": at(2024, 1, 20, 20),
     "2024-01-20T20:00:00.123456789+0700": at(2024, 1, 20, 13, 0, 0, 123456),
     "2024-01-20T20:00:00-00:30": at(2024, 1, 20, 20, 30), "2024-01-20T20:00:00+07": at(2024, 1, 20, 13),
-    "2024-01-20T20:00:00 +07:00": at(2024, 1, 20, 13), " 2024-01-20": at(2024, 1, 20),
+    "2024-01-20T20:00:00 +07:00": at(2024, 1, 20, 13), "2024-01-20T20:00:00Z ": at(2024, 1, 20, 20),
+    "20240120T200000+07 \t": at(2024, 1, 20, 13), " 2024-01-20": at(2024, 1, 20),
     "2024-01-20T20:00:00.5": at(2024, 1, 20, 20, 0, 0, 500000),
     "T08:00": None, "20/01/2024": None, "": None, None: None, "99999-01-01": None, "1600-01-01": None,
     "2300-01-01": None, "0001-01-01T00:00:00": None, "2024-02-30": None, "2024-01-20T24:00:00": None,
