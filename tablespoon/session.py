@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -28,16 +27,19 @@ DEFAULTS = {
 
 
 _SHUFFLE_BYTES, _SCAN_BYTES = 256 << 20, 128 << 20
-_MAX_TASKS = 200_000
 
 
-def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+def sizing(input_bytes: int, cores: int, max_tasks: int | None = None) -> dict[str, str]:
     """Settings for a job that reads ``input_bytes`` on ``cores``. The adaptive
     planner merges shuffle partitions but never adds any, so their number is set
     for partitions of about 256 MB, which sort in memory. Scans read 128 MB per
-    task, more only where that would make more tasks than a driver handles well."""
-    partitions = min(max(-(-input_bytes // _SHUFFLE_BYTES), cores), _MAX_TASKS)
-    scan = max(_SCAN_BYTES, -(-input_bytes // _MAX_TASKS))
+    task. A driver that can't handle so many tasks of a stage names ``max_tasks``;
+    partitions and scans are then as much larger as that takes."""
+    partitions = max(-(-input_bytes // _SHUFFLE_BYTES), cores)
+    scan = _SCAN_BYTES
+    if max_tasks:
+        partitions = min(partitions, max_tasks)
+        scan = max(scan, -(-input_bytes // max_tasks))
     return {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.files.maxPartitionBytes": str(scan)}
 
 
@@ -56,18 +58,25 @@ def session(
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for intermediate tables, under the shared folder the
-    cluster names in ``spark.checkpoint.dir``. Where that is unset, a local
-    session gets a temporary folder and a cluster one beside its warehouse."""
+    """A fresh folder for intermediate tables, under the shared folder that the
+    session names in ``spark.checkpoint.dir``. There is no default: a folder that
+    only one machine sees would lose what the others write."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        local = spark.sparkContext.master.startswith("local")
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_tablespoon"
-        root = tempfile.mkdtemp(prefix="tablespoon-") if local else shared
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def workspace(spark: SparkSession, purpose: str) -> str:
+    """A scratch folder for results that are read later than this call: it is
+    removed when the session's process ends."""
+    outer = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, purpose))
+    system = outer.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(outer)
+    system.deleteOnExit(outer)
+    return f"{outer.toString()}/tables"
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder, on whatever file system it is."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

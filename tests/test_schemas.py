@@ -60,5 +60,7 @@ def test_session_sizing():
 
     small, large = sizing(1 << 20, 8), sizing(100 << 40, 8000)
     assert small == {"spark.sql.shuffle.partitions": "8", "spark.sql.files.maxPartitionBytes": str(128 << 20)}
-    assert int(large["spark.sql.shuffle.partitions"]) == 200_000
-    assert (100 << 40) // int(large["spark.sql.files.maxPartitionBytes"]) <= 200_000
+    assert int(large["spark.sql.shuffle.partitions"]) * (256 << 20) == 100 << 40
+    bounded = sizing(100 << 40, 8000, max_tasks=200_000)
+    assert int(bounded["spark.sql.shuffle.partitions"]) == 200_000
+    assert (100 << 40) // int(bounded["spark.sql.files.maxPartitionBytes"]) <= 200_000
