@@ -4,15 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablespoon.schemas import PARTITION_COLUMNS
-
-
-class DuplicateKeyError(ValueError):
-    """The source of an upsert holds a key more than once."""
-
 
 def _part_number(columns: tuple[str, ...]) -> Column:
     year, month, day = columns
@@ -20,17 +14,17 @@ def _part_number(columns: tuple[str, ...]) -> Column:
 
 
 def lookback(
-    df: DataFrame, as_of: dt.date, days: int = 3, column: str = "ref_date", partitions: tuple[str, ...] = PARTITION_COLUMNS
+    df: DataFrame, as_of: dt.date, days: int = 3, column: str = "ref_date", partitions: tuple[str, ...] = ()
 ) -> DataFrame:
     """Rows dated at or after ``days`` days before ``as_of``, a local day.
 
-    Stored tables are partitioned by the same local day, so where the partition
-    columns are present the condition is put on them too and older folders are
-    not listed for reading.
+    Callers who know that ``partitions`` (year, month, day) hold the local day of
+    ``column`` name them; the condition is then put on them too, and files of
+    older folders are not read.
     """
     first = as_of - dt.timedelta(days=days)
     recent = df.filter(F.col(column) >= F.lit(first).cast("timestamp_ntz"))
-    if all(p in df.columns for p in partitions):
+    if partitions:
         recent = recent.filter(_part_number(partitions) >= first.year * 10000 + first.month * 100 + first.day)
     return recent
 
@@ -54,13 +48,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], mode: str = "u
     """The target with source rows put in by key: matched rows replaced, new ones
     added, others kept. A null key matches nothing.
 
-    ``mode="unique"`` raises when the source holds a key twice; the merge would
-    be ambiguous. ``mode="replace"`` lets the source bring several rows per key,
-    which together replace all target rows of that key.
+    ``mode="unique"`` fails when it runs if the source holds a key twice; the merge
+    would be ambiguous. ``mode="replace"`` lets the source bring several rows per
+    key, which together replace all target rows of that key.
     """
     if mode == "unique":
-        if not duplicate_keys(source, keys).isEmpty():
-            raise DuplicateKeyError(f"source rows are not unique on {keys}")
+        times = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        refusal = F.raise_error(F.lit(f"source rows are not unique on {keys}")).cast("boolean")
+        source = source.withColumn("_times", times).filter(F.when(F.col("_times") > 1, refusal).otherwise(True)).drop("_times")
     elif mode != "replace":
         raise ValueError(f"unknown mode {mode!r}")
     matched = source.select(*keys) if mode == "unique" else source.select(*keys).distinct()

@@ -7,11 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablespoon.schemas import SPECS, Document, TableSpec
-
-# Children per nested row. A header with more gets several rows, numbered by
-# ``part``, so no task ever holds an unbounded group.
-CHILDREN_PER_ROW = 100_000
+from tablespoon.schemas import INGEST_COLUMN, SPECS, Document, TableSpec
 
 
 def flatten(df: DataFrame, array: str, parents: Mapping[str, str]) -> DataFrame:
@@ -34,26 +30,25 @@ def flatten(df: DataFrame, array: str, parents: Mapping[str, str]) -> DataFrame:
 
 
 def split_document(df: DataFrame, document: Document) -> dict[str, DataFrame]:
-    """One nested frame into one frame per table, still with landed field names."""
-    children = {table: flatten(df, array, document.parents) for array, table in document.children.items()}
-    return {document.header: df.drop(*document.children), **children}
+    """One nested frame into one frame per table, still with landed field names.
+    Children say, like their header, which landed copy they are of. Of a header
+    nested in parts the first part gives the header row."""
+    parents = {**document.parents, **{c: c for c in (INGEST_COLUMN,) if c in df.columns}}
+    children = {table: flatten(df, array, parents) for array, table in document.children.items()}
+    header = df.filter("part = 0").drop("part") if "part" in df.columns else df
+    return {document.header: header.drop(*document.children), **children}
 
 
-def nest(
-    header: DataFrame,
-    children: Mapping[str, DataFrame],
-    key: str,
-    parent_key: str,
-    children_per_row: int = CHILDREN_PER_ROW,
-) -> DataFrame:
-    """Puts child rows into arrays beside their header.
+def nest(header: DataFrame, children: Mapping[str, DataFrame], key: str, parent_key: str, parts: int = 1) -> DataFrame:
+    """Puts child rows into arrays beside their header, one row per header.
 
     ``children`` maps the array name to a frame that has ``parent_key``, which
-    refers to ``key`` of the header. A header without children gets empty
-    arrays. Keys with more than ``children_per_row`` children are counted first
-    and split into parts of about that size; each part repeats the header and
-    has its own ``part`` number. Flattening the result gives back exactly the
-    children.
+    refers to ``key`` of the header. A header without children gets empty arrays.
+    A row holds all children of its header, as the document it stands for does.
+    Where headers have more than fits into a row, the caller asks for ``parts``:
+    every header then has that many rows, numbered by ``part``, whatever its
+    size, and its children are dealt over them by their content. Flattening the
+    result gives back exactly the children.
     """
     tagged = None
     for name, child in children.items():
@@ -62,35 +57,34 @@ def nest(
         frame = child.select(F.col(parent_key).alias("_key"), *arrays)
         tagged = frame if tagged is None else tagged.unionByName(frame)
     tagged = tagged.filter(F.col("_key").isNotNull())
-    counts = tagged.groupBy("_key").count()
-    large = counts.filter(F.col("count") > children_per_row).select(
-        "_key", F.ceil(F.col("count") / children_per_row).cast("int").alias("_parts")
-    )
     arrays = [F.collect_list(name).alias(name) for name in children]
-    of_large, matches = large.select("_key"), header[key] == F.col("_key")
-
-    whole = tagged.join(of_large, "_key", "left_anti").groupBy("_key").agg(*arrays)
-    empty = {name: F.coalesce(F.col(name), F.array().cast(whole.schema[name].dataType)) for name in children}
-    plain = header.join(of_large, matches, "left_anti").join(whole, matches, "left").drop("_key")
-    dealt = _dealt(tagged.join(large, "_key"), list(children), children_per_row).groupBy("_key", "part").agg(*arrays)
-    split = header.join(dealt, matches).drop("_key")
-    return plain.withColumns({"part": F.lit(0), **empty}).unionByName(split)
-
-
-def _dealt(large: DataFrame, names: list[str], children_per_row: int) -> DataFrame:
-    """Children of large keys with the ``part`` each goes to, by its content. Equal
-    copies are counted first and dealt out in small lots, so copies of one child
-    spread as well. Nothing depends on row order, so a task that is run again
-    deals the same way."""
-    lot = max(children_per_row // 100, 1)
-    lots = F.sequence(F.lit(0), F.ceil(F.col("count") / lot).cast("int") - 1)
-    return (
-        large.groupBy("_key", "_parts", *names)
-        .count()
-        .withColumn("_lot", F.explode(lots))
-        .withColumn("part", F.pmod(F.xxhash64("_lot", *names), F.col("_parts")).cast("int"))
-        .withColumn("_size", F.least(F.lit(lot), F.col("count") - F.col("_lot") * lot).cast("int"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_size"))))
+    matches = header[key] == F.col("_key")
+    if parts == 1:
+        grouped = tagged.groupBy("_key").agg(*arrays)
+        rows = header.join(grouped, matches, "left").drop("_key")
+    else:
+        grouped = _dealt(tagged, list(children), parts).groupBy("_key", F.col("part").alias("_part")).agg(*arrays)
+        numbered = header.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        rows = numbered.join(grouped, (numbered[key] == F.col("_key")) & (F.col("part") == F.col("_part")), "left")
+        rows = rows.drop("_key", "_part")
+    empty = {name: F.coalesce(F.col(name), F.array().cast(grouped.schema[name].dataType)) for name in children}
+    return rows.withColumns(empty)
+
+
+def _dealt(tagged: DataFrame, names: list[str], parts: int) -> DataFrame:
+    """Children with the ``part`` each goes to, by its content. Equal copies are
+    counted first and dealt round the parts, so copies of one child spread as
+    well. Nothing depends on row order, so a task that is run again deals the
+    same way."""
+    first = F.xxhash64(*names)
+    counted = tagged.groupBy("_key", *names).count()
+    dealt = counted.withColumn("_turn", F.explode(F.sequence(F.lit(0), F.least(F.col("count"), F.lit(parts)).cast("int") - 1)))
+    share = F.floor((F.col("count") - F.col("_turn") - 1) / parts) + 1
+    return dealt.select(
+        "_key",
+        *names,
+        F.pmod(first + F.col("_turn"), F.lit(parts)).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(1), share.cast("int"))).alias("_copy"),
     )
 
 

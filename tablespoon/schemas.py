@@ -29,6 +29,9 @@ MASTER_TABLES = ("customer", "product", "branch")
 
 PARTITION_COLUMNS = ("year", "month", "day")
 
+# Which landed copy of a document a row of a transaction table came from.
+INGEST_COLUMN = "ingest_id"
+
 _LANDED_TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),
     "bigint": T.LongType(),
@@ -90,6 +93,12 @@ class TableSpec:
         parts = [T.StructField(p, T.IntegerType()) for p in self.partitions]
         return T.StructType(kept + dated + stamp + parts)
 
+    @property
+    def stored(self) -> T.StructType:
+        """What the jobs store: transaction tables also say which landed copy a row is of."""
+        own = [] if self.is_master else [T.StructField(INGEST_COLUMN, T.StringType())]
+        return T.StructType(self.bronze.fields + own)
+
 
 def _struct(fields: Mapping[str, str]) -> T.StructType:
     return T.StructType([T.StructField(name, _LANDED_TYPES[token]) for name, token in fields.items()])

@@ -22,7 +22,7 @@ def source(
     spark: SparkSession, bronze: str, name: str, merge_schema: bool = False, specs: Mapping[str, TableSpec] = SPECS
 ) -> DataFrame:
     """A bronze table by its registered name."""
-    return read_table(spark, f"{bronze}/{name}", None if merge_schema else specs[name].bronze)
+    return read_table(spark, f"{bronze}/{name}", None if merge_schema else specs[name].stored)
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:

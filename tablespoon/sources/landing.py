@@ -35,21 +35,6 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return [p for p in paths if _path_exists(spark, p)]
 
 
-def latest_partition(spark: SparkSession, path: str, columns: tuple[str, ...] = ("year", "month")) -> dict[str, int] | None:
-    """Partition values of a stored table's last folder, from folder names alone."""
-    found, folder = {}, path
-    for column in columns:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        names = [status.getPath().getName() for status in system.listStatus(hadoop_path)]
-        values = [int(n.split("=")[1]) for n in names if n.startswith(f"{column}=") and n.split("=")[1].isdigit()]
-        if not values:
-            return None
-        found[column] = max(values)
-        folder = f"{folder}/{column}={found[column]}"
-    return found
-
-
 def read_document(
     spark: SparkSession,
     document: Document,
@@ -75,7 +60,8 @@ def read_days(
     specs: Mapping[str, TableSpec] = SPECS,
 ) -> dict[str, DataFrame]:
     """Orders and invoices of all the given days as one frame each. A day is
-    skipped, with a warning, when its orders are missing."""
+    skipped, with a warning, when its orders are missing; one that has orders
+    and no invoices has just orders."""
     path = lambda day, document: f"{landing}/{layout.format(day=day, file=document.file)}"
     landed = []
     for day in days:
@@ -83,8 +69,9 @@ def read_days(
             landed.append(day)
         else:
             logger.warning("nothing landed for %s, skipped", day)
+    paths = lambda document: existing(spark, [path(day, document) for day in landed])
     return {
-        document.header: read_document(spark, document, [path(day, document) for day in landed], multi_line, specs)
+        document.header: read_document(spark, document, paths(document), multi_line, specs)
         for document in (ORDERS, INVOICES)
     }
 

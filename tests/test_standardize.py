@@ -34,9 +34,8 @@ def test_branch_columns_may_be_missing(spark):
     assert untouched.columns == ["Id"]
 
 
-def test_large_branch_map_is_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(st, "BROADCAST_BRANCHES", 1)
-    assert branches(spark, [(1, "x", None), (2, "y", None)], {"x": "X", "y": "Y"}) == {1: "X", 2: "Y"}
+def test_branch_ids_that_differ_in_case_alone(spark):
+    assert branches(spark, [(1, "x", None), (2, "y", None)], {"x": "X", " X ": "last", "y": "Y"}) == {1: "last", 2: "Y"}
 
 
 def test_date_field_is_chosen_by_presence_not_by_value(spark):
