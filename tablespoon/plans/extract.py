@@ -23,11 +23,18 @@ def first_branch(branch_map: Mapping[str, str] | None) -> str:
 
 
 def extract_orders(
-    headers: DataFrame, payloads: DataFrame, end: dt.datetime | None = None, branch_id: str | None = None
+    headers: DataFrame,
+    payloads: DataFrame,
+    end: dt.datetime | None = None,
+    branch_id: str | None = None,
+    branch_map: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Orders of one branch dated before ``end``, with their lines. ``payloads`` has
-    ``Id`` and the payload text ``Data``, one row per order; an order without
-    one has no lines. Lines carry the fields they take over from the order."""
+    """Orders of one branch dated before ``end``, with their lines. Without a
+    ``branch_id`` the first branch of the map is meant, and without a map all.
+    ``payloads`` has ``Id`` and the payload text ``Data``, one row per order; an
+    order without one has no lines. Lines carry the fields they take over from
+    the order."""
+    branch_id = first_branch(branch_map) if branch_id is None else branch_id
     kept = cutoff_filter(branch_scope(headers, branch_id), ORDER_DATE_FIELDS, end)
     joined = kept.join(payloads.select("Id", "Data"), "Id", "left")
     taken = {c: (F.col(h) if h in headers.columns else F.lit(None)).cast("string") for c, h in ORDERS.parents.items()}

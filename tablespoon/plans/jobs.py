@@ -21,26 +21,29 @@ from tablespoon.operators.quality import (
     check_negative,
     check_not_null,
     gate,
-    observe_checks,
-    observed_report,
     run_checks,
 )
-from tablespoon.operators.standardize import local_day
+from tablespoon.operators.standardize import local_day, pick_date_column
 from tablespoon.plans.marts import (
     REVENUE_TABLE,
     SALES_KEY,
     SALES_TABLE,
+    months_of,
     revenue_daily,
+    revenue_of_months,
     sales_increment,
     sales_lines,
 )
 from tablespoon.plans.staging import latest_invoice, staging, stg_order_header
-from tablespoon.plans.transform import transform_master, transform_transactions
-from tablespoon.schemas import SPECS, TableSpec
-from tablespoon.session import remove, scratch
-from tablespoon.sinks import full_refresh, merge_table, save_all
+from tablespoon.plans.transform import stamped, transform_master, transform_transactions
+from tablespoon.schemas import INGEST_COLUMN, PARTITION_COLUMNS, SPECS, TableSpec
+from tablespoon.session import scratch
+from tablespoon.sinks import full_refresh, merge_table, read_version, replace_partitions, save_all
+from tablespoon.sinks.versions import folders, partition_name
 from tablespoon.sources import existing, read_days, read_master, read_table, source
-from tablespoon.sources.landing import BY_DAY, latest_partition
+from tablespoon.sources.landing import BY_DAY
+
+_LOADS = "load string, dedupe boolean"
 
 # Columns of the sales table that must be filled.
 REQUIRED_SALES = ["order_id", "item_id", "report_date", "net_revenue_inclusive"]
@@ -77,8 +80,10 @@ def run_transactions(
     read their own columns of it. So nothing is loaded when a document is broken.
     """
     days = [days] if isinstance(days, str) else days
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     with scratch(spark, "documents") as staged:
         documents = read_days(spark, lake.landing, days, lake.layout, specs=lake.specs)
+        documents = {name: stamped(df, run_ts) for name, df in documents.items()}
         for name, df in documents.items():
             df.write.parquet(f"{staged}/{name}")
         parsed = {name: read_table(spark, f"{staged}/{name}", df.schema) for name, df in documents.items()}
@@ -100,9 +105,14 @@ def build(
     high_water_only: bool = True,
     dedupe: bool = True,
     mode: str = "replace",
+    moved_within_months: int | None = None,
 ) -> DataFrame:
     """Builds staging views and marts and returns the quality report.
 
+    An invoice that changed its day is looked for in all months of the sales
+    table, or in those from ``moved_within_months`` before ``as_of`` on, where the
+    deployment knows that corrections reach back no further.
+
     A failed check raises: those on the sales table before it is published, the
     one on orders, which no mart depends on, at the end. By default the lines of
     an invoice are replaced together, since an item may be on several of them.
@@ -118,49 +128,87 @@ def build(
         reports.append(run_checks(suspects, future))
     if "stg_invoice_header" in models:
         header, detail = models["stg_invoice_header"], models["stg_invoice_detail"]
-        full_refresh(revenue_daily(header, dedupe), f"{lake.marts}/{REVENUE_TABLE}")
+        _build_revenue(spark, lake, header, dedupe)
         reports.append(
-            _build_sales(spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode)
+            _build_sales(spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode, moved_within_months)
         )
     if not reports:
         return spark.createDataFrame([], REPORT_SCHEMA)
     return gate(reduce(DataFrame.unionByName, reports))
 
 
-def _build_sales(spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode) -> DataFrame:
+def _build_revenue(spark: SparkSession, lake: Lake, header: DataFrame, dedupe: bool) -> None:
+    """Rebuilds the months that invoices loaded since the last build can change.
+
+    Which loads the mart holds is kept beside it; without that, or if the last build
+    counted copies otherwise, the whole mart is rebuilt. A run that dies between
+    the two leaves the list behind, so the next one builds these months again.
+    """
+    path = f"{lake.marts}/{REVENUE_TABLE}"
+    load = F.coalesce(F.substring_index(INGEST_COLUMN, "-", 1), F.lit(""))
+    loads = header.select(load.alias("load")).distinct().withColumn("dedupe", F.lit(dedupe))
+    built = read_version(spark, f"{path}_loads", _LOADS).filter(F.col("dedupe") == dedupe)
+    with scratch(spark, "months") as work:
+        loads.write.parquet(f"{work}/loads")
+        loads = read_table(spark, f"{work}/loads")
+        new = loads.join(built, "load", "left_anti")
+        if new.isEmpty():
+            return
+        if folders(spark, path) and not built.isEmpty():
+            batch = header.withColumn("load", load).join(new, "load", "left_semi")
+            months_of(header, batch).write.parquet(f"{work}/months")
+            months = read_table(spark, f"{work}/months")
+            names = {partition_name(r.asDict().items()) for r in months.collect()}  # a row per folder
+            fresh = revenue_of_months(header, months, dedupe)
+            replace_partitions(fresh, path, keep=lambda part: part not in names)
+        else:
+            full_refresh(revenue_daily(header, dedupe), path)
+        full_refresh(loads, f"{path}_loads", partitions=())
+
+
+def _build_sales(
+    spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode, moved_within_months
+) -> DataFrame:
+    """The first build, of a mart without a row, holds everything; later ones merge
+    the increment. Either is checked before readers see it."""
     path = f"{lake.marts}/{SALES_TABLE}"
     schema = sales_lines(header, detail).schema
     checks = check_not_null(REQUIRED_SALES) + check_negative(sales_lines(header, detail), "net_revenue_inclusive")
-    if not existing(spark, [path]):
-        fresh, seen = observe_checks(sales_increment(header, detail, None, as_of, dedupe=dedupe), checks)
-        try:
-            full_refresh(fresh, path)
-            return gate(observed_report(spark, seen, checks))
-        except Exception:
-            remove(spark, path)  # a first build that fails leaves no table behind
-            raise
-    target = _last_month(spark, path, schema)
-    recent = lookback(header, as_of, backfill_days)
+    current = folders(spark, path)
+    if not current:
+        reports = []
+        fresh = sales_increment(header, detail, None, as_of, dedupe=dedupe)
+        full_refresh(fresh, path, check=lambda rows: reports.extend(gate(run_checks(rows, checks)).collect()))
+        return spark.createDataFrame(reports, REPORT_SCHEMA)
+    target = read_version(spark, path, schema, [max(current, key=_month_of)])  # holds the last day
+    recent = lookback(header, as_of, backfill_days, partitions=_same_day(lake))
     with scratch(spark, "recent") as recent_path, scratch(spark, "sales") as sales_path:
         # Stored tables have a known size, by which the joins pick their strategy.
         (latest_invoice(recent) if dedupe else recent).write.parquet(recent_path)
         recent = read_table(spark, recent_path, header.schema)
         fresh = sales_increment(recent, detail, target, as_of, backfill_days, high_water_only, dedupe)
-        observed, seen = observe_checks(fresh, checks)
-        observed.write.parquet(sales_path)
-        report = gate(observed_report(spark, seen, checks))
+        fresh.write.parquet(sales_path)
+        fresh = read_table(spark, sales_path, schema)
+        report = spark.createDataFrame(gate(run_checks(fresh, checks)).collect(), REPORT_SCHEMA)  # a row per check
         keys = SALES_KEY if mode == "unique" else SALES_KEY[:1]
-        merge_table(spark, path, read_table(spark, sales_path, schema), keys, mode=mode)
+        first = None if moved_within_months is None else as_of.year * 12 + as_of.month - 1 - moved_within_months
+        within = lambda part: first is None or _month_of(part) >= first
+        merge_table(spark, path, fresh, keys, mode=mode, search=within)
         return report
 
 
-def _last_month(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The part of the sales table that holds its last day: the table is
-    partitioned by the month of that day, so the rest need not be scanned."""
-    table, last = read_table(spark, path, schema), latest_partition(spark, path)
-    if last is None:
-        return table
-    return table.filter((F.col("year") == last["year"]) & (F.col("month") == last["month"]))
+def _month_of(part: str) -> int:
+    """Months since year 0 of a partition ``year=2024/month=1``; undated rows come first."""
+    year, month = (p.split("=")[1] for p in part.split("/"))
+    return int(year) * 12 + int(month) - 1 if year.isdigit() and month.isdigit() else -1
+
+
+def _same_day(lake: Lake) -> tuple[str, ...]:
+    """The partition columns of invoices if they are known to hold the local day of
+    ``ref_date``: they do where invoices have no date field that goes before it."""
+    spec = lake.specs["invoice_header"]
+    own = next((landed for landed, name in spec.columns.items() if name == "ref_date"), None)
+    return PARTITION_COLUMNS if own is not None and own == pick_date_column(spec.landing.names) else ()
 
 
 def run_daily(

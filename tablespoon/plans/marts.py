@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tablespoon.functions import hour_bucket, net_revenue, revenue_inclusive
 from tablespoon.operators.incremental import lookback, since_high_water, upsert
-from tablespoon.operators.joins import hot_keys, salted_join
 from tablespoon.plans.staging import latest_invoice, latest_invoice_detail
+from tablespoon.schemas import INGEST_COLUMN
 
 # The status that keeps an invoice out of the sales table, the
 # merge key, and the name the table is published under.
@@ -43,21 +43,44 @@ def revenue_daily(header: DataFrame, dedupe: bool = False) -> DataFrame:
     )
 
 
+def months_of(header: DataFrame, batch: DataFrame) -> DataFrame:
+    """The months whose revenue a batch of invoices can change: those of its rows,
+    and those of the other copies of its invoices, which a correction may have left.
+    Of the whole table only the key and the month are read."""
+    ids = batch.select("ref_id").distinct()
+    return header.select("ref_id", "year", "month").join(ids, "ref_id", "left_semi").select("year", "month").distinct()
+
+
+def revenue_of_months(header: DataFrame, months: DataFrame, dedupe: bool = False) -> DataFrame:
+    """Daily revenue of the given (year, month) rows alone, as a full run has it.
+    With ``dedupe`` an invoice counts in the month of its latest copy, so all
+    copies of the invoices seen in these months are looked at."""
+    months = months.select("year", "month")
+    if dedupe:
+        ids = header.select("ref_id", "year", "month").join(months, ["year", "month"], "left_semi").select("ref_id").distinct()
+        header = latest_invoice(header.join(ids, "ref_id", "left_semi"))
+    return revenue_daily(header.join(months, ["year", "month"], "left_semi"))
+
+
 def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> DataFrame:
     """Invoice lines with their invoice, except excluded ones, one row per line.
 
-    Copies on either side multiply; with ``dedupe`` only the latest copies join.
-    A plain join leaves skewed invoices to the adaptive planner. After
-    deduplication the planner cannot split them any more (the rank window fixes
-    the partitioning), so the join is salted instead.
+    Copies on either side multiply; with ``dedupe`` only the latest copies join:
+    the latest header of an invoice and, where rows say which landed copy they are
+    of, the lines of that same copy, so that a line withdrawn by a correction is
+    gone. Without that mark each line's own latest copy joins.
+
+    The join has a second key. After deduplication both sides are dealt out by
+    other keys or by a rank, which the adaptive planner can't split; the second
+    key makes it deal both out anew for the join, and then it splits hot invoices.
     """
-    stored = detail
     if dedupe:
         header, detail = latest_invoice(header), latest_invoice_detail(detail)
-    kept = header.filter(F.col("payment_status") != EXCLUDED_STATUS).select(*_HEADER_COLUMNS)
+    marked = dedupe and INGEST_COLUMN in header.columns and INGEST_COLUMN in detail.columns
+    copy = F.coalesce(INGEST_COLUMN, F.lit("")) if marked else F.xxhash64("ref_id")
+    kept = header.filter(F.col("payment_status") != EXCLUDED_STATUS).select(*_HEADER_COLUMNS, copy.alias("_copy"))
     lines = detail.select(
         "ref_id",
-        *(["ref_detail_id"] if dedupe else []),
         "item_id",
         "item_name",
         "quantity",
@@ -65,11 +88,9 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
         "allocation_amount",
         "allocation_delivery_promotion_amount",
         F.col("tax_amount").alias("line_tax"),
+        copy.alias("_copy"),
     )
-    if dedupe:  # hot invoices are looked for among the stored lines: one column, no ranking
-        joined = salted_join(lines, kept, "ref_id", ["ref_detail_id"], hot_keys(stored, "ref_id"))
-    else:
-        joined = lines.join(kept, "ref_id", "inner")
+    joined = lines.join(kept, ["ref_id", "_copy"] if dedupe else "ref_id", "inner")
     net = net_revenue(F.col("amount"), F.col("allocation_amount"), F.col("allocation_delivery_promotion_amount"))
     return joined.select(
         "branch_name",

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tablespoon.operators.nested import split_document
 from tablespoon.operators.standardize import (
@@ -17,7 +19,7 @@ from tablespoon.operators.standardize import (
     pick_date_column,
     rename_project,
 )
-from tablespoon.schemas import INVOICES, MASTER_TABLES, ORDERS, SPECS, TableSpec
+from tablespoon.schemas import INGEST_COLUMN, INVOICES, MASTER_TABLES, ORDERS, SPECS, TableSpec
 
 
 def transform(
@@ -40,6 +42,15 @@ def transform(
     return partition_trans(typed, run_ts, same_field=renamed)
 
 
+def stamped(documents: DataFrame, run_ts: dt.datetime) -> DataFrame:
+    """Nested documents with the mark of the landed copy they are: the load, which
+    sorts by time, and the content, which tells copies within a load apart."""
+    aware = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=dt.timezone.utc)
+    load = f"{aware.astimezone(dt.timezone.utc):%Y%m%dT%H%M%S%f}.{uuid.uuid4().hex[:8]}"
+    content = F.hex(F.xxhash64(*[F.col(c) for c in documents.columns]))
+    return documents.withColumn(INGEST_COLUMN, F.concat(F.lit(f"{load}-"), content))
+
+
 def transform_transactions(
     documents: Mapping[str, DataFrame],
     run_ts: dt.datetime | None = None,

@@ -4,10 +4,22 @@ from tablespoon.sinks.tables import (
     full_refresh,
     land,
     merge_table,
+    replace_partitions,
     save_all,
     save_flat,
     save_partitions,
     save_table,
 )
+from tablespoon.sinks.versions import read_version
 
-__all__ = ["full_refresh", "land", "merge_table", "save_all", "save_flat", "save_partitions", "save_table"]
+__all__ = [
+    "full_refresh",
+    "land",
+    "merge_table",
+    "read_version",
+    "replace_partitions",
+    "save_all",
+    "save_flat",
+    "save_partitions",
+    "save_table",
+]

@@ -8,24 +8,27 @@ and small ones share a task.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-from operator import and_
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablespoon.operators.incremental import upsert
 from tablespoon.schemas import PARTITION_COLUMNS
-from tablespoon.session import remove, scratch
-from tablespoon.sources.bronze import read_table
+from tablespoon.sinks.versions import (
+    discard,
+    folders,
+    partition_name,
+    publish,
+    read_folders,
+    read_version,
+    write_folders,
+)
 
 logger = logging.getLogger(__name__)
 
-TABLES_AT_A_TIME = 5
-
 
 def _usable(df: DataFrame, partitions: list[str] | tuple[str, ...] | None) -> list[str]:
     usable = [p for p in partitions or () if p in df.columns]
@@ -82,12 +85,17 @@ def land(df: DataFrame, path: str, day_column: str | None = None) -> None:
     writer.partitionBy("landing_day").json(path)
 
 
-def save_all(frames: Mapping[str, DataFrame], root: str, partitions: Mapping[str, tuple[str, ...]] | None = None) -> dict[str, int]:
-    """Appends each frame to its table under ``root``, several tables at a time, so
-    that the last tasks of one leave no core idle. The first failure fails the
+def save_all(
+    frames: Mapping[str, DataFrame],
+    root: str,
+    partitions: Mapping[str, tuple[str, ...]] | None = None,
+    at_a_time: int | None = None,
+) -> dict[str, int]:
+    """Appends each frame to its table under ``root``, all at once or ``at_a_time``,
+    so that the last tasks of one leave no core idle. The first failure fails the
     run. Returns rows written per table."""
     parts = lambda name: (partitions or {}).get(name, PARTITION_COLUMNS)
-    with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
+    with ThreadPoolExecutor(at_a_time or max(1, len(frames))) as pool:
         writes = {
             name: pool.submit(inheritable_thread_target(df.sparkSession)(save_table), df, f"{root}/{name}", parts(name))
             for name, df in frames.items()
@@ -95,10 +103,36 @@ def save_all(frames: Mapping[str, DataFrame], root: str, partitions: Mapping[str
     return {name: write.result() for name, write in writes.items()}
 
 
-def full_refresh(df: DataFrame, path: str, partitions: tuple[str, ...] = ("year", "month")) -> None:
-    """Replaces the whole table."""
-    writer = _balanced(df, list(partitions)).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partitions).parquet(path)
+def full_refresh(
+    df: DataFrame,
+    path: str,
+    partitions: tuple[str, ...] = ("year", "month"),
+    check: Callable[[DataFrame], object] | None = None,
+) -> None:
+    """Replaces the whole table. Readers see the old rows until all new ones are
+    written and ``check``, which is given them as stored, has not raised."""
+    replace_partitions(df, path, partitions, check=check, keep=lambda part: False)
+
+
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    partitions: tuple[str, ...] = ("year", "month"),
+    keep: Callable[[str], bool] = lambda part: True,
+    check: Callable[[DataFrame], object] | None = None,
+) -> None:
+    """Publishes a version made of the rows of ``df`` and of those partitions of
+    the current one that ``df`` has no rows for and ``keep`` wants."""
+    spark = df.sparkSession
+    written = write_folders(df, path, partitions)
+    try:
+        if check:
+            check(read_folders(spark, path, written, df.schema))
+    except Exception:
+        discard(spark, path, written)
+        raise
+    current = folders(spark, path) or {}
+    publish(spark, path, {part: folder for part, folder in current.items() if keep(part)} | written)
 
 
 def merge_table(
@@ -108,37 +142,22 @@ def merge_table(
     keys: list[str],
     partitions: tuple[str, ...] = ("year", "month"),
     mode: str = "unique",
+    search: Callable[[str], bool] = lambda part: True,
 ) -> None:
-    """Upserts into a stored table, rewriting only the partitions concerned.
+    """Upserts into a published table, rewriting only the partitions concerned.
 
     Those are the partitions of the source rows and of the target rows they
-    match; the list is bounded by the number of folders. Their new content is
-    first written whole to the shared scratch folder and only then replaces the
-    old. ``source`` is read several times, so it should be a stored table.
+    match; the list is bounded by the number of folders. Matches are looked for
+    in the keys of the partitions that ``search`` accepts, by default in all: a
+    caller who knows how far back a key can have moved spares the older ones.
+    ``source`` is read several times, so it should be a stored table.
     """
-    target = read_table(spark, path, source.schema)
-    matched = target.join(source.select(*keys).distinct(), keys, "left_semi")
-    touched = matched.select(*partitions).union(source.select(*partitions)).distinct().collect()
+    current = folders(spark, path) or {}
+    searched = read_version(spark, path, source.schema, [part for part in current if search(part)])
+    matched = searched.select(*keys, *partitions).join(source.select(*keys).distinct(), keys, "left_semi")
+    rows = matched.select(*partitions).union(source.select(*partitions)).distinct().collect()
+    touched = {partition_name((p, row[p]) for p in partitions) for row in rows}
     if not touched:
         return
-    merged = upsert(target.filter(_any_partition(touched, partitions)), source, keys, mode)
-    with scratch(spark, "merge") as staged:
-        merged.write.partitionBy(*partitions).parquet(staged)
-        result = read_table(spark, staged, source.schema)
-        save_partitions(result, path, partitions)
-        left = {tuple(r) for r in result.select(*partitions).distinct().collect()}
-    for row in touched:
-        if tuple(row) not in left:  # all its rows moved to other partitions
-            remove(spark, "/".join([path, *[f"{p}={_folder_value(row[p])}" for p in partitions]]))
-
-
-def _folder_value(value) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-
-
-def _any_partition(rows: list[Row], partitions: tuple[str, ...]) -> Column:
-    """True for rows of the listed partitions. Halved, so that a long list does not nest deeply."""
-    if len(rows) > 1:
-        half = len(rows) // 2
-        return _any_partition(rows[:half], partitions) | _any_partition(rows[half:], partitions)
-    return reduce(and_, [F.col(p).eqNullSafe(F.lit(rows[0][p])) for p in partitions])
+    target = read_version(spark, path, source.schema, touched)
+    replace_partitions(upsert(target, source, keys, mode), path, partitions, keep=lambda part: part not in touched)

@@ -1,9 +1,12 @@
-"""Landed JSON to a bronze table as a file stream.
+"""Landed JSON to bronze as a file stream, one per document.
 
-Each landed file is taken exactly once: the checkpoint remembers the files read
-and the sink's log the files written, so a run that is repeated or resumed adds
-nothing twice. Nothing is shuffled: a landed file holds one day or two, so each
-task writes to one folder or two.
+A document is parsed once and written to all its tables; only then are its files
+archived. The checkpoint remembers which files belong to which batch, so a batch
+that is repeated holds the same files. It is written to a staging folder first,
+which is marked when complete, and then moved into the tables file by file under
+names that tell stream and batch: a repeated batch goes on where the last attempt
+stopped, and one that was finished is skipped. The tables hold plain files and no
+log of the stream, so batch loads beside it are read like the rest.
 """
 
 from __future__ import annotations
@@ -11,18 +14,60 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from tablespoon.operators.nested import flatten
-from tablespoon.plans.transform import transform
-from tablespoon.schemas import PARTITION_COLUMNS, SPECS, Document, TableSpec
+from tablespoon.plans.transform import stamped, transform
+from tablespoon.operators.nested import split_document
+from tablespoon.schemas import SPECS, Document, TableSpec
+from tablespoon.session import remove
+from tablespoon.sources.landing import existing
+
+
+def _system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    system, hadoop_path = _system(spark, path)
+    system.create(hadoop_path, True).close()
+
+
+def _move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Moves all data files below ``source`` to the same folders below ``target``.
+    Files that an earlier attempt has moved are not there any more."""
+    system, folder = _system(spark, source)
+    if not system.exists(folder):
+        return
+    for status in system.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory():
+            _move_files(spark, f"{source}/{name}", f"{target}/{name}", prefix)
+        elif not name.startswith(("_", ".")):
+            system.mkdirs(_system(spark, target)[1])
+            if not system.rename(status.getPath(), _system(spark, f"{target}/{prefix}-{name}")[1]):
+                raise OSError(f"could not move {source}/{name}")
+
+
+def write_batch(spark: SparkSession, frames: Mapping[str, DataFrame], bronze: str, state: str, batch: str, specs) -> None:
+    """Writes the frames of one batch to their tables, once however often it is called."""
+    staging, done = f"{state}/staging/{batch}", f"{state}/done/{batch}"
+    if existing(spark, [done]):
+        return
+    if not existing(spark, [f"{staging}/_written"]):
+        for name, rows in frames.items():
+            rows.write.mode("overwrite").partitionBy(*specs[name].partitions).parquet(f"{staging}/{name}")
+        _mark(spark, f"{staging}/_written")
+    for name in frames:
+        _move_files(spark, f"{staging}/{name}", f"{bronze}/{name}", f"stream-{batch}")
+    _mark(spark, done)
+    remove(spark, staging)
 
 
 def stream_ingest(
     spark: SparkSession,
     landing: str,
     document: Document,
-    table: str,
     bronze: str,
     checkpoint: str,
     run_ts: dt.datetime | None = None,
@@ -32,25 +77,30 @@ def stream_ingest(
     specs: Mapping[str, TableSpec] = SPECS,
 ) -> None:
     """Takes in all files under ``landing`` (a glob) that were not taken in before,
-    then stops. ``table`` is the document's header table or one of its children.
-    With ``archive``, finished files are moved there. Each table needs its own
-    checkpoint; a run bounded by ``max_files`` per batch uses several batches."""
+    into the document's header table and those of its children, then stops. With
+    ``archive``, files are moved there after all tables have their rows. Each
+    document needs its own checkpoint; a run bounded by ``max_files`` per batch
+    uses several batches."""
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     reader = spark.readStream.schema(document.landing(specs)).option("mode", "FAILFAST")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     landed = reader.json(landing)
-    arrays = {child: array for array, child in document.children.items()}
-    if table in arrays:
-        landed = flatten(landed, arrays[table], document.parents)
-    rows = transform(landed, table, run_ts, branch_map, specs)
-    query = (
-        rows.writeStream.format("parquet")
-        .option("path", f"{bronze}/{table}")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*PARTITION_COLUMNS)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def take(rows: DataFrame, number: int) -> None:
+        own = rows.sparkSession
+        parsed = f"{checkpoint}/tablespoon/parsed"
+        batch = f"{document.header}-{number}"
+        state = f"{checkpoint}/tablespoon"
+        if existing(own, [f"{state}/done/{batch}"]):
+            return
+        nested = stamped(rows, run_ts)
+        nested.write.mode("overwrite").parquet(parsed)  # parsed once, read by each table
+        tables = split_document(own.read.schema(nested.schema).parquet(parsed), document)
+        frames = {name: transform(df, name, run_ts, branch_map, specs) for name, df in tables.items()}
+        write_batch(own, frames, bronze, state, batch, specs)
+
+    query = landed.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

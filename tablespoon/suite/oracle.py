@@ -27,17 +27,25 @@ DETAIL = """detail AS (
 
 NET = "amount - coalesce(allocation_amount, 0) - coalesce(allocation_delivery_promotion_amount, 0)"
 
-SALES = f"""sales AS (
-  SELECT h.branch_name, h.ref_id AS order_id, h.ref_no AS invoice_code, h.customer_id, d.item_name, d.item_id,
-    h.ref_date, CAST(h.ref_date AS DATE) AS report_date, strftime(h.ref_date, '%H') AS report_hour,
-    h.day, h.month, h.year, d.quantity, {NET} AS net_revenue_pre_tax,
-    coalesce(d.tax_amount, 0) AS tax_amount, {NET} + coalesce(d.tax_amount, 0) AS net_revenue_inclusive
-  FROM detail d JOIN header h ON d.ref_id = h.ref_id WHERE h.payment_status <> 4)"""
+# An invoice line's worth before and with tax; sold lines are those of invoices that are not cancelled.
+LINE_WORTH = """worth AS (
+  SELECT *, amount - coalesce(allocation_amount, 0) - coalesce(allocation_delivery_promotion_amount, 0) AS before_tax,
+    coalesce(tax_amount, 0) AS tax FROM {lines})"""
+
+SOLD_COLUMNS = """invoice.ref_id AS order_id, invoice.ref_no AS invoice_code, invoice.branch_name, invoice.customer_id,
+    invoice.ref_date, CAST(invoice.ref_date AS DATE) AS report_date, strftime(invoice.ref_date, '%H') AS report_hour,
+    invoice.year, invoice.month, invoice.day, worth.item_id, worth.item_name, worth.quantity,
+    worth.before_tax AS net_revenue_pre_tax, worth.tax AS tax_amount, worth.before_tax + worth.tax AS net_revenue_inclusive"""
+
+SOLD = "SELECT " + SOLD_COLUMNS + " FROM {invoices} AS invoice JOIN worth USING (ref_id) WHERE invoice.payment_status <> 4"
 
-REVENUE = """SELECT report_date, branch_name, year, month, count(DISTINCT ref_id) AS total_orders,
-    round(sum(total_amount), 2) AS total_revenue,
-    round(CASE WHEN count(DISTINCT ref_id) > 0 THEN sum(total_amount) / count(DISTINCT ref_id) ELSE 0 END, 6) AS aov
-  FROM {source} WHERE total_amount > 0 GROUP BY report_date, branch_name, year, month"""
+SALES = LINE_WORTH.format(lines="detail") + ", sales AS (" + SOLD.format(invoices="header") + ")"
+
+REVENUE = """SELECT report_date, branch_name, year, month, count(*) AS total_orders,
+    round(sum(taken), 2) AS total_revenue, round(sum(taken) / count(*), 6) AS aov
+  FROM (SELECT report_date, branch_name, year, month, ref_id, sum(total_amount) AS taken
+        FROM {source} WHERE total_amount > 0 GROUP BY ALL)
+  GROUP BY report_date, branch_name, year, month"""
 
 LATER_HEADER = f"""later AS (
   SELECT ref_id, 'NEW ' || branch_name AS branch_name, ref_no, customer_id, payment_status,
@@ -104,6 +112,56 @@ INCREMENT = """WITH {header}, {detail}, {sales},
   UNION ALL SELECT * FROM fresh"""
 
 
+LOCAL_DAY = """strftime(o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%d') AS "DateFormat", """ + PARTS.format(
+    c="(o_orderdate + INTERVAL 7 HOUR)"
+)
+
+
+def NO_TEXT(names: str) -> str:
+    """Columns that do not land, as nulls."""
+    return ", ".join(f"CAST(NULL AS VARCHAR) AS {n}" for n in names.split())
+
+
+def ZERO(kind: str, names: str) -> str:
+    """Numbers that do not land, as zeros."""
+    return ", ".join(f"CAST(0 AS {kind}) AS {n}" for n in names.split())
+
+
+ORDER_LINE = (
+    f"""SELECT {LINE_ID} AS order_detail_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+            CAST(l_partkey AS VARCHAR) AS item_id, CAST(trunc(l_quantity) AS BIGINT) AS quantity,
+            l_extendedprice AS amount, CAST(0 AS DOUBLE) AS price, {{branch}} AS branch_id,
+            {NO_TEXT("item_name unit_name")}, o_orderdate + INTERVAL 7 HOUR AS order_date, {LOCAL_DAY}
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+)
+
+PAYMENT_COLUMNS = f"""'PAY-' || o_orderkey AS invoice_payment_id, CAST(o_orderkey AS VARCHAR) AS ref_id,
+            o_orderpriority AS payment_name, o_totalprice AS amount, CAST(1 AS BIGINT) AS payment_type,
+            o_orderdate + INTERVAL 7 HOUR AS ref_date, {LOCAL_DAY}, {NO_TEXT("card_name card_no")}"""
+PAYMENT = f"SELECT {PAYMENT_COLUMNS}, {NO_TEXT('branch_id branch_name')} FROM orders"
+PAYMENT_OF_STORE = (
+    f"SELECT {PAYMENT_COLUMNS}, o_orderpriority AS branch_id, 'Store ' || o_orderpriority AS branch_name FROM orders"
+)
+
+STORED_ROWS = """SELECT table_name, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date, count(*){times} AS n_rows
+          FROM (SELECT unnest(['order_header', 'order_detail', 'invoice_header', 'invoice_detail', 'invoice_payment'])
+                AS table_name, ts FROM events) GROUP BY 1, 2"""
+
+MARTS = """WITH event AS (
+            SELECT strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date, event_id, event_type, value, ts,
+              CASE event_type WHEN 'signup' THEN 'Online' WHEN 'purchase' THEN 'Counter' WHEN 'view' THEN ''
+                ELSE event_type END AS branch_name FROM events WHERE {landed}),
+          revenue AS (
+            SELECT report_date, branch_name, count(DISTINCT event_id) AS total_orders,
+              round(sum(value), 2) AS total_revenue, round(sum(value) / count(DISTINCT event_id), 6) AS aov
+            FROM event WHERE value > 0 GROUP BY report_date, branch_name),
+          lines AS (
+            SELECT report_date, branch_name, count(*) AS n_lines, round(sum(value + 0.5), 2) AS sold
+            FROM event WHERE event_type <> 'error' GROUP BY report_date, branch_name)
+          SELECT report_date, branch_name, total_orders, total_revenue, aov, n_lines, sold
+          FROM revenue LEFT JOIN lines USING (report_date, branch_name)"""
+
+
 def _check(name: str, level: str, count: str) -> str:
     return (
         f"'{name}' AS check_name, '{level}' AS level, CAST({count} AS BIGINT) AS violations, {count} = 0 AS passed"
@@ -121,10 +179,8 @@ ORACLE: dict[str, str] = {
     "revenue_daily_dedupe": _with(HEADER, LATER_HEADER) + REVENUE.format(source="later"),
     "revenue_daily_copies": _with(HEADER, "twice AS (SELECT * FROM header UNION ALL SELECT * FROM header)")
     + REVENUE.format(source="twice"),
-    "sales_lines_dedupe": _with(HEADER, DETAIL, LATER_HEADER, LATER_DETAIL)
-    + f"""SELECT h.ref_id AS order_id, item_id, h.branch_name, CAST(h.ref_date AS DATE) AS report_date, quantity,
-            {NET} + coalesce(tax_amount, 0) AS net_revenue_inclusive
-          FROM later_detail d JOIN later h ON d.ref_id = h.ref_id WHERE h.payment_status <> 4""",
+    "sales_lines_dedupe": _with(HEADER, DETAIL, LATER_HEADER, LATER_DETAIL, LINE_WORTH.format(lines="later_detail"))
+    + SOLD.format(invoices="later"),
     "hourly_bucket": "SELECT event_id, strftime(ts + INTERVAL 7 HOUR, '%H') AS report_hour FROM events",
     # --- staging
     "dedup_order_header": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
@@ -156,13 +212,13 @@ ORACLE: dict[str, str] = {
     "stg_product": """SELECT CAST(p_partkey AS VARCHAR) AS product_id, CAST(p_size AS VARCHAR) AS product_code,
             p_name AS product_name, p_brand AS unit_name, p_retailprice AS price, p_type AS category_name,
             p_size > 25 AS is_active, '2024-02-01' AS report_date, NOT (p_size > 25) AS active_fixed FROM part""",
-    "stg_passthrough": """SELECT 'PAY-' || o_orderkey AS invoice_payment_id, CAST(o_orderkey AS VARCHAR) AS ref_id,
-            o_orderpriority AS payment_name, o_totalprice AS amount, CAST(1 AS BIGINT) AS payment_type,
-            o_orderdate + INTERVAL 7 HOUR AS ref_date,
-            strftime(o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date FROM orders""",
-    "staging_views": """SELECT upper(md5(c_name)) AS customer_name_hashed, count(DISTINCT o_orderkey) AS n_orders,
-            count(DISTINCT o_orderkey) AS n_invoices
+    "stg_passthrough": PAYMENT,
+    "staging_views": f"""SELECT upper(md5(c_name)) AS customer_name_hashed, count(DISTINCT o_orderkey) AS n_orders,
+            count(DISTINCT o_orderkey) AS n_invoices, count(DISTINCT o_orderkey) AS n_payments,
+            count(DISTINCT {LINE_ID}) FILTER (l_orderkey IS NOT NULL) AS n_order_lines,
+            count(DISTINCT {LINE_ID}) FILTER (l_orderkey IS NOT NULL) AS n_invoice_lines, count(DISTINCT p_partkey) AS n_products
           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+          LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey
           GROUP BY c_name""",
     # --- standardizing
     "branch_enrich": _with(EVENT)
@@ -205,17 +261,32 @@ ORACLE: dict[str, str] = {
     "transform_invoice_header": f"""SELECT CAST(o_orderkey AS VARCHAR) AS ref_id, CAST(o_custkey AS VARCHAR) AS customer_id,
             o_orderpriority AS branch_id, 'Store ' || o_orderpriority AS branch_name,
             CAST(CASE WHEN o_orderstatus = 'P' THEN 4 ELSE 1 END AS BIGINT) AS payment_status,
-            o_totalprice AS total_amount, CAST(0 AS DOUBLE) AS tip_amount, CAST(0 AS BIGINT) AS total_item,
-            CAST(NULL AS VARCHAR) AS promotion_name, o_orderdate + INTERVAL 7 HOUR AS ref_date,
-            strftime(o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%d') AS "DateFormat",
-            {PARTS.format(c="(o_orderdate + INTERVAL 7 HOUR)")} FROM orders""",
+            o_totalprice AS total_amount, o_orderdate + INTERVAL 7 HOUR AS ref_date, {LOCAL_DAY},
+            {NO_TEXT("employee_id customer_tel employee_name ref_no promotion_name cancel_reason customer_name description")},
+            {ZERO("DOUBLE", "tip_amount card_amount sale_amount delivery_amount cash_amount voucher_amount discount_amount "
+                            "promotion_amount service_amount total_item_amount promotion_items_amount vat_amount")},
+            {ZERO("BIGINT", "used_point add_point number_of_people ref_type total_item order_type")} FROM orders""",
+    "transform_order_detail": ORDER_LINE.format(branch="o_orderpriority"),
+    "transform_invoice_detail": f"""SELECT {LINE_ID} AS ref_detail_id, CAST(o_orderkey AS VARCHAR) AS ref_id,
+            CAST(l_partkey AS VARCHAR) AS item_id, CAST(trunc(l_quantity) AS BIGINT) AS quantity, l_extendedprice AS amount,
+            o_orderpriority AS branch_id, 'Store ' || o_orderpriority AS branch_name, CAST(o_custkey AS VARCHAR) AS customer_id,
+            o_orderdate + INTERVAL 7 HOUR AS ref_date, {LOCAL_DAY},
+            {NO_TEXT("item_name promotion_name order_detail_id item_code unit_name")},
+            {ZERO("DOUBLE", "tax_amount promotion_amount pre_tax_amount sainvoice_promotion_amount allocation_amount unit_price "
+                            "allocation_delivery_promotion_amount")},
+            {ZERO("BIGINT", "ref_detail_type promotion_type")}
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "transform_invoice_payment": PAYMENT_OF_STORE,
     # --- nested documents
     "nest_children": """SELECT CAST(o_orderkey AS VARCHAR) AS "RefId", count(l_orderkey) AS n_details,
             CAST(1 AS BIGINT) AS n_payments, coalesce(sum(l_quantity), 0) AS sum_quantity
           FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
     "nest_children_split": f"""SELECT CAST(o_orderkey AS VARCHAR) AS "OrderId", {LINE_ID} AS line_id,
             CAST(l_partkey AS VARCHAR) AS "ItemId", l_quantity AS "Quantity"
-          FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+          UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL FROM orders""",
+    "nest_land_roundtrip": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(1 AS BIGINT) AS n_headers,
+            count(l_orderkey) AS n_lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
     "flatten_orders": f"""SELECT {LINE_ID} AS "Id", CAST(l_partkey AS VARCHAR) AS "ItemId", l_quantity AS "Quantity",
             l_extendedprice AS "Amount", o_orderstatus AS "BranchName", CAST(o_orderkey AS VARCHAR) AS "OrderId",
             {ISO} AS "OrderDate", o_orderpriority AS "BranchId"
@@ -232,21 +303,12 @@ ORACLE: dict[str, str] = {
     "normalize_payload": f"""SELECT CAST(o_orderkey AS VARCHAR) AS order_id, {LINE_ID} AS line_id,
             CAST(l_partkey AS VARCHAR) AS item_id, CAST(trunc(l_quantity) AS BIGINT) AS quantity
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus IN ('O', 'F')""",
-    "read_nested_json": f"""SELECT {LINE_ID} AS order_detail_id, CAST(o_orderkey AS VARCHAR) AS order_id,
-            CAST(l_partkey AS VARCHAR) AS item_id, CAST(trunc(l_quantity) AS BIGINT) AS quantity,
-            l_extendedprice AS amount, o_orderpriority AS branch_id, o_orderdate + INTERVAL 7 HOUR AS order_date,
-            strftime(o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date,
-            CAST(year(o_orderdate + INTERVAL 7 HOUR) AS INTEGER) AS year
-          FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "read_nested_json": ORDER_LINE.format(branch="o_orderpriority"),
     "master_snapshot": """SELECT 'product' AS table_name, CAST(p_partkey AS VARCHAR) AS id, p_name AS name,
             CAST(p_size AS VARCHAR) AS code, p_retailprice AS price, p_size > 25 AS inactive,
             '2024-02-01' AS report_date FROM part
           UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR), c_name, c_mktsegment, NULL, NULL, '2024-02-01'
           FROM customer""",
-    "backfill_range": """SELECT CAST(event_id AS VARCHAR) AS ref_id, ts + INTERVAL 7 HOUR AS ref_date,
-            strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date, value AS total_amount,
-            CAST(day(ts + INTERVAL 7 HOUR) AS INTEGER) AS day
-          FROM events WHERE ts >= TIMESTAMP '2023-12-26' AND ts < TIMESTAMP '2024-01-25'""",
     "missing_day_empty": "SELECT count(*) AS n_landed, CAST(0 AS BIGINT) AS n_missing FROM events",
     "empty_input": "SELECT CAST(0 AS INTEGER) AS n_written, count(*) AS n_orders FROM orders",
     # --- extract
@@ -335,9 +397,7 @@ ORACLE: dict[str, str] = {
           WHERE NOT (day BETWEEN 10 AND 12) OR branch_name = 'purchase'""",
     "sink_flat": _with(EVENT_TABLE)
     + "SELECT ref_id, branch_name, total_amount + 1000 AS total_amount, year, month, day FROM rows",
-    "sink_multi_table": """SELECT table_name, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date, count(*) AS n_rows
-          FROM (SELECT unnest(['order_header', 'order_detail', 'invoice_header', 'invoice_detail', 'invoice_payment'])
-                AS table_name, ts FROM events) GROUP BY 1, 2""",
+    "sink_multi_table": STORED_ROWS.format(times=""),
     "sink_full_refresh": _with(HEADER)
     + """SELECT branch_name, year, month, CAST(count(DISTINCT ref_id) AS BIGINT) AS total_orders,
             round(sum(total_amount), 2) AS total_revenue FROM header
@@ -349,22 +409,32 @@ ORACLE: dict[str, str] = {
               AND NOT EXISTS (SELECT 1 FROM source s WHERE s.order_id = t.order_id)
             UNION ALL SELECT * FROM source)
           SELECT *, CAST(year(report_date) AS INTEGER) AS year, CAST(month(report_date) AS INTEGER) AS month FROM merged""",
+    "merge_interrupted": _with(HEADER, DETAIL, SALES)
+    + """, source AS (SELECT order_id, item_id, report_date, quantity + 1000 AS quantity
+            FROM sales WHERE report_date >= DATE '1997-07-01'),
+          base AS (SELECT order_id, item_id, report_date, quantity FROM sales WHERE report_date < DATE '1998-01-01')
+          SELECT *, 'before' AS read FROM base
+          UNION ALL SELECT *, 'after' FROM base t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.order_id = t.order_id)
+          UNION ALL SELECT *, 'after' FROM source""",
     # --- streaming and jobs
-    "stream_ingest": """SELECT 'L' || event_id AS order_detail_id, CAST(event_id AS VARCHAR) AS order_id,
-            CAST(user_id AS VARCHAR) AS item_id, CAST(2 AS BIGINT) AS quantity, value AS amount, event_type AS branch_id,
-            ts + INTERVAL 7 HOUR AS order_date, strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date,
-            CAST(day(ts + INTERVAL 7 HOUR) AS INTEGER) AS day FROM events""",
-    "daily_build": """WITH event AS (
-            SELECT strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date, event_id, event_type, value,
-              CASE event_type WHEN 'signup' THEN 'Online' WHEN 'purchase' THEN 'Counter' WHEN 'view' THEN ''
-                ELSE event_type END AS branch_name FROM events),
-          revenue AS (
-            SELECT report_date, branch_name, count(DISTINCT event_id) AS total_orders,
-              round(sum(value), 2) AS total_revenue, round(sum(value) / count(DISTINCT event_id), 6) AS aov
-            FROM event WHERE value > 0 GROUP BY report_date, branch_name),
-          lines AS (
-            SELECT report_date, branch_name, count(*) AS n_lines, round(sum(value + 0.5), 2) AS sold
-            FROM event WHERE event_type <> 'error' GROUP BY report_date, branch_name)
-          SELECT report_date, branch_name, total_orders, total_revenue, aov, n_lines, sold
-          FROM revenue LEFT JOIN lines USING (report_date, branch_name)""",
+    "stream_ingest": f"""SELECT 'L' || event_id AS order_detail_id, CAST(event_id AS VARCHAR) AS order_id,
+            CAST(user_id AS VARCHAR) AS item_id, CAST(2 AS BIGINT) AS quantity, value AS amount, CAST(0 AS DOUBLE) AS price,
+            event_type AS branch_id, event_type AS brand_id, CAST(user_id AS VARCHAR) AS customer_id, value AS total_amount,
+            {NO_TEXT("item_name unit_name")}, ts + INTERVAL 7 HOUR AS order_date,
+            strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS "DateFormat", {PARTS.format(c="(ts + INTERVAL 7 HOUR)")} FROM events""",
+    "stream_archive_all_tables": STORED_ROWS.format(times=""),
+    "stream_then_batch": STORED_ROWS.format(times=" * 2"),
+    "daily_build": MARTS.format(landed="true"),
+    "first_day_without_invoices": MARTS.format(landed="ts >= TIMESTAMP '2024-01-02'"),
+    "interrupted_build": MARTS.format(landed="true"),
+    "backfill_range": MARTS.format(landed="ts < TIMESTAMP '2024-01-25'"),
+    "revenue_incremental": f"""SELECT report_date, branch_name, CAST(left(report_date, 4) AS INTEGER) AS year,
+            CAST(substring(report_date, 6, 2) AS INTEGER) AS month, total_orders, total_revenue, aov
+          FROM ({MARTS.format(landed="true")})""",
+    "corrected_invoice_fewer_lines": _with(HEADER, DETAIL, LINE_WORTH.format(lines="detail"))
+    + """SELECT strftime(ref_date + INTERVAL 1 DAY, '%Y-%m-%d') AS report_date, branch_name, count(*) AS n_lines,
+            round(sum(before_tax + tax), 2) AS sold, round(sum(before_tax + tax), 2) AS total_revenue
+          FROM header JOIN (SELECT ref_id, before_tax, tax FROM worth
+                            WHERE CAST(split_part(ref_detail_id, '-', -1) AS INTEGER) % 2 = 1) USING (ref_id)
+          WHERE payment_status <> 4 GROUP BY 1, 2""",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,9 @@ from tablespoon.functions import (
     hash_pii,
     hour_bucket,
     mask_pii,
+    net_revenue,
     register_hash_pii,
+    revenue_inclusive,
     to_float,
     to_int,
     to_local_ts,
@@ -22,17 +25,19 @@ from tablespoon.plans import extract as extract_plan
 from tablespoon.plans import jobs, marts, staging
 from tablespoon.plans.transform import transform, transform_master, transform_transactions
 from tablespoon.schemas import CUSTOMERS, INVOICES, ORDERS, PRODUCTS, SPECS
-from tablespoon.session import scratch_dir
+from tablespoon.session import workspace
 from tablespoon.sinks import (
     full_refresh,
     land,
     merge_table,
+    read_version,
     save_all,
     save_flat,
     save_partitions,
     save_table,
 )
-from tablespoon.sources import read_days, read_document, read_master, read_table
+from tablespoon.sinks.versions import write_folders
+from tablespoon.sources import read_days, read_document, read_master, read_table, source
 from tablespoon.sources.bronze import register_views
 from tablespoon.sources.landing import BY_DOCUMENT
 from tablespoon.streaming import stream_ingest
@@ -101,8 +106,7 @@ def revenue_daily_copies(spark, sf_dir):
 
 @query
 def sales_lines_dedupe(spark, sf_dir):
-    lines = marts.sales_lines(_reingested_headers(spark, sf_dir), _reingested_details(spark, sf_dir), dedupe=True)
-    return lines.select("order_id", "item_id", "branch_name", "report_date", "quantity", "net_revenue_inclusive")
+    return marts.sales_lines(_reingested_headers(spark, sf_dir), _reingested_details(spark, sf_dir), dedupe=True)
 
 
 @query
@@ -197,10 +201,7 @@ def stg_product(spark, sf_dir):
 
 @query
 def stg_passthrough(spark, sf_dir):
-    payment = transform(_payments_with_parents(spark, sf_dir), "invoice_payment", RUN_TS)
-    return staging.stg_passthrough(payment).select(
-        "invoice_payment_id", "ref_id", "payment_name", "amount", "payment_type", "ref_date", "report_date"
-    )
+    return staging.stg_passthrough(transform(_payments_with_parents(spark, sf_dir), "invoice_payment", RUN_TS))
 
 
 def _payments_with_parents(spark, sf_dir):
@@ -211,19 +212,30 @@ def _payments_with_parents(spark, sf_dir):
 
 @query
 def staging_views(spark, sf_dir):
+    """All seven views, joined."""
     staging.staging(
         {
             "order_header": _reingested_orders(spark, sf_dir),
+            "order_detail": transform(d.raw_order_lines(spark, sf_dir), "order_detail", RUN_TS),
             "invoice_header": d.invoice_header(spark, sf_dir),
+            "invoice_detail": d.invoice_detail(spark, sf_dir),
+            "invoice_payment": transform(_payments_with_parents(spark, sf_dir), "invoice_payment", RUN_TS),
             "customer": transform(d.raw_customers(spark, sf_dir), "customer", RUN_TS),
+            "product": transform(d.raw_products(spark, sf_dir), "product", RUN_TS),
         }
     )
     return spark.sql(
         """SELECT c.customer_name_hashed, count(DISTINCT o.order_id) AS n_orders,
-                  count(DISTINCT i.ref_id) AS n_invoices
+                  count(DISTINCT i.ref_id) AS n_invoices, count(DISTINCT p.invoice_payment_id) AS n_payments,
+                  count(DISTINCT l.order_detail_id) AS n_order_lines, count(DISTINCT k.ref_detail_id) AS n_invoice_lines,
+                  count(DISTINCT g.product_id) AS n_products
            FROM stg_order_header o
            JOIN stg_customer c ON o.customer_id = c.customer_id
            JOIN stg_invoice_header i ON i.ref_id = o.order_id
+           JOIN stg_invoice_payment p ON p.ref_id = i.ref_id
+           LEFT JOIN stg_order_detail l ON l.order_id = o.order_id
+           LEFT JOIN stg_invoice_detail k ON k.ref_detail_id = l.order_detail_id
+           LEFT JOIN stg_product g ON g.product_id = k.item_id
            GROUP BY c.customer_name_hashed"""
     )
 
@@ -306,10 +318,22 @@ def transform_order_header(spark, sf_dir):
 
 @query
 def transform_invoice_header(spark, sf_dir):
-    return transform(d.raw_invoices(spark, sf_dir), "invoice_header", RUN_TS).select(
-        "ref_id", "customer_id", "branch_id", "branch_name", "payment_status", "total_amount", "tip_amount",
-        "total_item", "promotion_name", "ref_date", "DateFormat", "report_date", "year", "month", "day",
-    )
+    return transform(d.raw_invoices(spark, sf_dir), "invoice_header", RUN_TS)
+
+
+@query
+def transform_order_detail(spark, sf_dir):
+    return transform(flatten_orders(spark, sf_dir), "order_detail", RUN_TS)
+
+
+@query
+def transform_invoice_detail(spark, sf_dir):
+    return transform(flatten_invoice_details(spark, sf_dir), "invoice_detail", RUN_TS)
+
+
+@query
+def transform_invoice_payment(spark, sf_dir):
+    return transform(flatten_invoice_payments(spark, sf_dir), "invoice_payment", RUN_TS)
 
 
 # --- nested documents ------------------------------------------------------
@@ -343,11 +367,24 @@ def nest_children(spark, sf_dir):
 
 @query
 def nest_children_split(spark, sf_dir):
-    """Rows hold two children at most on average; flattening must still give every line back."""
+    """Orders in four parts each; flattening must still give every line back, and each header once."""
     lines = d.raw_order_lines(spark, sf_dir)
-    parts = nested.nest(d.raw_orders(spark, sf_dir), {"line_items": lines}, "Id", "OrderId", children_per_row=2)
-    flat = nested.flatten(parts, "line_items", ORDERS.parents)
-    return flat.select("OrderId", F.col("Id").alias("line_id"), "ItemId", "Quantity")
+    parts = nested.nest(d.raw_orders(spark, sf_dir), {"line_items": lines}, "Id", "OrderId", parts=4)
+    tables = nested.split_document(parts, ORDERS)
+    flat = tables["order_detail"].select("OrderId", F.col("Id").alias("line_id"), "ItemId", "Quantity")
+    headers = tables["order_header"].select(F.col("Id").alias("OrderId"), *(F.lit(None).cast("string").alias(c) for c in ("line_id", "ItemId")))
+    return flat.unionByName(headers.withColumn("Quantity", F.lit(None).cast("double")))
+
+
+@query
+def nest_land_roundtrip(spark, sf_dir):
+    """Nested, landed and split again: headers and lines per order."""
+    path = workspace(spark, "landing")
+    land(_nested_orders(spark, sf_dir), f"{path}/{ORDERS.file}")
+    tables = nested.split_document(read_document(spark, ORDERS, [f"{path}/{ORDERS.file}"]), ORDERS)
+    rows = tables["order_header"].select(F.col("Id").alias("order_id"), F.lit(1).alias("h"), F.lit(0).alias("l"))
+    rows = rows.unionByName(tables["order_detail"].select(F.col("OrderId").alias("order_id"), F.lit(0).alias("h"), F.lit(1).alias("l")))
+    return rows.groupBy("order_id").agg(F.sum("h").alias("n_headers"), F.sum("l").alias("n_lines"))
 
 
 @query
@@ -394,18 +431,16 @@ def normalize_payload(spark, sf_dir):
 @query
 def read_nested_json(spark, sf_dir):
     """Landed as JSON, read back, and loaded into order lines."""
-    path = scratch_dir(spark, "landing")
-    land(_nested_orders(spark, sf_dir).drop("part"), f"{path}/{ORDERS.file}")
+    path = workspace(spark, "landing")
+    land(_nested_orders(spark, sf_dir), f"{path}/{ORDERS.file}")
     orders = read_document(spark, ORDERS, [f"{path}/{ORDERS.file}"])
     lines = nested.split_document(orders, ORDERS)["order_detail"]
-    return transform(lines, "order_detail", RUN_TS).select(
-        "order_detail_id", "order_id", "item_id", "quantity", "amount", "branch_id", "order_date", "report_date", "year"
-    )
+    return transform(lines, "order_detail", RUN_TS)
 
 
 @query
 def master_snapshot(spark, sf_dir):
-    path = scratch_dir(spark, "landing")
+    path = workspace(spark, "landing")
     land(d.raw_products(spark, sf_dir), f"{path}/master/{PRODUCTS.file}")
     land(d.raw_customers(spark, sf_dir), f"{path}/master/{CUSTOMERS.file}")
     frames = transform_master(read_master(spark, path), RUN_TS)
@@ -421,10 +456,11 @@ def master_snapshot(spark, sf_dir):
     return product.unionByName(customer)
 
 
-def _land_event_days(spark, sf_dir):
-    """Events landed as orders and invoices, one folder per UTC day."""
-    path = scratch_dir(spark, "landing")
-    invoices = d.event_invoices(spark, sf_dir)
+def _land_event_days(spark, sf_dir, kept="true", path=None, invoiced="true"):
+    """Events landed as orders and invoices, one folder per UTC day; of all, or of those in ``kept``,
+    with invoices for those in ``invoiced``."""
+    path = path or workspace(spark, "landing")
+    invoices = d.event_invoices(spark, sf_dir).filter(kept)
     orders = invoices.select(
         F.col("RefId").alias("Id"), "CustomerId", F.col("RefDate").alias("Date"), "TotalAmount", "BranchId", "utc_day"
     )
@@ -439,19 +475,18 @@ def _land_event_days(spark, sf_dir):
     payments = orders.select(
         F.col("Id").alias("RefID"), F.concat(F.lit("P"), "Id").alias("SAInvoicePaymentID"), F.col("TotalAmount").alias("Amount")
     )
-    land(nested.nest(orders, {"line_items": lines}, "Id", "OrderId").drop("part"), f"{path}/{ORDERS.file}", "utc_day")
+    land(nested.nest(orders, {"line_items": lines}, "Id", "OrderId"), f"{path}/{ORDERS.file}", "utc_day")
     children = {"invoice_details": details, "invoice_payments": payments}
-    land(nested.nest(invoices, children, "RefId", "RefID").drop("part"), f"{path}/{INVOICES.file}", "utc_day")
+    land(nested.nest(invoices.filter(invoiced), children, "RefId", "RefID"), f"{path}/{INVOICES.file}", "utc_day")
     return path
 
 
-@query
-def backfill_range(spark, sf_dir):
-    """All landed days up to the 24th, oldest first, read as one batch."""
-    days = jobs.backfill_days_list(dt.date(2024, 1, 25), 30)
-    documents = read_days(spark, _land_event_days(spark, sf_dir), days, BY_DOCUMENT)
-    frames = transform_transactions(documents, RUN_TS)
-    return frames["invoice_header"].select("ref_id", "ref_date", "report_date", "total_amount", "day")
+_JANUARY = [(dt.date(2024, 1, 1) + dt.timedelta(days=n)).isoformat() for n in range(31)]
+
+
+def _event_lake(spark, sf_dir):
+    root = workspace(spark, "lake")
+    return jobs.Lake(_land_event_days(spark, sf_dir), f"{root}/bronze", f"{root}/marts", d.BRANCH_MAP, layout=BY_DOCUMENT)
 
 
 @query
@@ -471,7 +506,7 @@ def missing_day_empty(spark, sf_dir):
 def empty_input(spark, sf_dir):
     """Orders of a status that does not occur: no rows come out and none are written."""
     orders = d.raw_orders(spark, sf_dir)
-    path = scratch_dir(spark, "empty")
+    path = workspace(spark, "empty")
     written = save_table(transform(orders.filter("Status = 'none'"), "order_header", RUN_TS), f"{path}/order_header")
     whole = transform(orders, "order_header", RUN_TS)
     return whole.agg(F.lit(written).alias("n_written"), F.count("*").alias("n_orders"))
@@ -514,7 +549,8 @@ def extract_orders(spark, sf_dir):
     """One branch, up to a cutoff, lines out of payloads of all shapes, flattened again."""
     payloads = _nested_orders(spark, sf_dir).select("Id", _order_payload().alias("Data"))
     end = dt.datetime(1999, 1, 1)
-    orders = extract_plan.extract_orders(d.raw_orders(spark, sf_dir), payloads, end, "1-URGENT")
+    branches = {"1-URGENT": "First", "2-HIGH": "Second"}  # orders are those of the first branch
+    orders = extract_plan.extract_orders(d.raw_orders(spark, sf_dir), payloads, end, branch_map=branches)
     lines = nested.flatten(orders, "line_items", ORDERS.parents)
     return lines.select("OrderId", F.col("Id").alias("line_id"), "ItemId", "OrderDate", "BranchId")
 
@@ -730,7 +766,7 @@ def profile_nonnull(spark, sf_dir):
 @query
 def sink_append_evolve(spark, sf_dir):
     """A batch, then the same batch again with one more column."""
-    path = scratch_dir(spark, "append")
+    path = workspace(spark, "append")
     rows = d.event_table(spark, sf_dir)
     save_table(rows, path)
     save_table(rows.withColumn("channel", F.upper("branch_name")), path)
@@ -741,7 +777,7 @@ def sink_append_evolve(spark, sf_dir):
 def sink_partition_overwrite(spark, sf_dir):
     """A batch with the purchases of three days replaces these days whole. One
     partition column does not exist and is left out."""
-    path, partitions = scratch_dir(spark, "overwrite"), ["year", "month", "day", "branch_code"]
+    path, partitions = workspace(spark, "overwrite"), ["year", "month", "day", "branch_code"]
     rows = d.event_table(spark, sf_dir)
     save_partitions(rows, path, partitions)
     batch = rows.filter((F.col("day").between(10, 12)) & (F.col("branch_name") == "purchase"))
@@ -752,7 +788,7 @@ def sink_partition_overwrite(spark, sf_dir):
 @query
 def sink_flat(spark, sf_dir):
     """The last non-empty write counts."""
-    path = scratch_dir(spark, "flat")
+    path = workspace(spark, "flat")
     rows = d.event_table(spark, sf_dir)
     save_partitions(rows, path, ["branch_code"])
     save_flat(rows.withColumn("total_amount", F.col("total_amount") + 1000), path)
@@ -763,13 +799,16 @@ def sink_flat(spark, sf_dir):
 @query
 def sink_multi_table(spark, sf_dir):
     """All transaction tables of one landed batch; rows per table as stored."""
-    path = scratch_dir(spark, "bronze")
+    path = workspace(spark, "bronze")
     landing = _land_event_days(spark, sf_dir)
-    days = [(dt.date(2024, 1, 1) + dt.timedelta(days=n)).isoformat() for n in range(31)]
-    frames = transform_transactions(read_days(spark, landing, days, BY_DOCUMENT), RUN_TS)
-    save_all(frames, path)
+    save_all(transform_transactions(read_days(spark, landing, _JANUARY, BY_DOCUMENT), RUN_TS), path)
+    return _stored_rows(spark, path)
+
+
+def _stored_rows(spark, path):
+    """Rows per transaction table and day."""
     stored = None
-    for name in frames:
+    for name in ("order_header", "order_detail", "invoice_header", "invoice_detail", "invoice_payment"):
         rows = read_table(spark, f"{path}/{name}", SPECS[name].bronze).select(F.lit(name).alias("table_name"), "report_date")
         stored = rows if stored is None else stored.unionByName(rows)
     return stored.groupBy("table_name", "report_date").agg(F.count("*").alias("n_rows"))
@@ -778,11 +817,11 @@ def sink_multi_table(spark, sf_dir):
 @query
 def sink_full_refresh(spark, sf_dir):
     """A mart written twice, the second time without one branch, and read as a view."""
-    path = scratch_dir(spark, "mart")
+    path = workspace(spark, "mart")
     invoices = d.invoice_header(spark, sf_dir)
     full_refresh(marts.revenue_daily(invoices), path)
     full_refresh(marts.revenue_daily(invoices.filter("branch_name <> 'NATION_0'")), path)
-    register_views({"revenue_mart": read_table(spark, path)})
+    register_views({"revenue_mart": read_version(spark, path)})
     return spark.sql(
         "SELECT branch_name, year, month, sum(total_orders) AS total_orders, "
         "round(sum(total_revenue), 2) AS total_revenue FROM revenue_mart GROUP BY branch_name, year, month"
@@ -792,48 +831,169 @@ def sink_full_refresh(spark, sf_dir):
 @query
 def sink_merge(spark, sf_dir):
     """A stored table merged with rows that change, that move to another month, and that are new."""
-    path = scratch_dir(spark, "merge-target")
+    path = workspace(spark, "merge-target")
     sales = _sales(spark, sf_dir).withColumns({"year": F.year("report_date"), "month": F.month("report_date")})
     full_refresh(_before(sales, dt.date(1998, 1, 1)), path)
     moved = _since(sales, dt.date(1997, 7, 1)).withColumn("report_date", F.add_months("report_date", 1))
-    staged = scratch_dir(spark, "merge-source")
+    staged = workspace(spark, "merge-source")
     moved.withColumns({"year": F.year("report_date"), "month": F.month("report_date")}).write.parquet(staged)
     merge_table(spark, path, spark.read.parquet(staged), ["order_id"], mode="replace")
-    return read_table(spark, path, sales.schema).select("order_id", "item_id", "report_date", "quantity", "year", "month")
+    return read_version(spark, path, sales.schema).select("order_id", "item_id", "report_date", "quantity", "year", "month")
+
+
+@query
+def merge_interrupted(spark, sf_dir):
+    """A merge that dies once its rows are written, and is run again: readers see the rows of
+    before, then those of after."""
+    path = workspace(spark, "merge-target")
+    sales = _sales(spark, sf_dir).withColumns({"year": F.year("report_date"), "month": F.month("report_date")})
+    full_refresh(_before(sales, dt.date(1998, 1, 1)), path)
+    source = _since(sales, dt.date(1997, 7, 1)).withColumn("quantity", F.col("quantity") + 1000)
+    write_folders(source, path, ("year", "month"))  # named by no version
+    before = read_version(spark, path, sales.schema)
+    staged = workspace(spark, "merge-source")
+    source.write.parquet(staged)
+    columns = ["order_id", "item_id", "report_date", "quantity"]
+    seen = workspace(spark, "seen")  # a merge may remove the folders of the version before the last
+    before.select(*columns, F.lit("before").alias("read")).write.parquet(seen)
+    merge_table(spark, path, spark.read.parquet(staged), ["order_id"], mode="replace")
+    after = read_version(spark, path, sales.schema).select(*columns, F.lit("after").alias("read"))
+    return spark.read.parquet(seen).unionByName(after)
 
 
 # --- streaming and jobs ----------------------------------------------------
 
 
-@query
-def stream_ingest_(spark, sf_dir):
-    """Landed order lines taken in by a stream; a second run finds nothing new."""
-    root, landing = scratch_dir(spark, "stream"), _land_event_days(spark, sf_dir)
-    for _ in range(2):
+def _take_in(spark, landing, root, documents=(ORDERS, INVOICES), **options):
+    for document in documents:
         stream_ingest(
-            spark, f"{landing}/{ORDERS.file}/*", ORDERS, "order_detail", f"{root}/bronze", f"{root}/checkpoint", RUN_TS
+            spark, f"{landing}/{document.file}/*", document, f"{root}/bronze", f"{root}/state-{document.header}", RUN_TS, **options
         )
-    return spark.read.parquet(f"{root}/bronze/order_detail").select(
-        "order_detail_id", "order_id", "item_id", "quantity", "amount", "branch_id", "order_date", "report_date", "day"
-    )
 
 
 @query
-def daily_build(spark, sf_dir):
-    """Masters and all days loaded twice, the marts built twice: copies in bronze, none in the marts."""
-    root = scratch_dir(spark, "lake")
-    landing = _land_event_days(spark, sf_dir)
-    land(d.raw_products(spark, sf_dir), f"{landing}/master/{PRODUCTS.file}")
-    land(d.raw_customers(spark, sf_dir), f"{landing}/master/{CUSTOMERS.file}")
-    lake = jobs.Lake(landing, f"{root}/bronze", f"{root}/marts", d.BRANCH_MAP, layout=BY_DOCUMENT)
-    days = [(dt.date(2024, 1, 1) + dt.timedelta(days=n)).isoformat() for n in range(31)]
+def stream_ingest_(spark, sf_dir):
+    """Landed orders taken in by a stream, header and lines; a second run finds nothing new."""
+    root, landing = workspace(spark, "stream"), _land_event_days(spark, sf_dir)
     for _ in range(2):
-        jobs.run_daily(spark, lake, days, RUN_TS, backfill_days=7)
-    revenue = read_table(spark, f"{lake.marts}/{marts.REVENUE_TABLE}")
-    lines = read_table(spark, f"{lake.marts}/{marts.SALES_TABLE}")
+        _take_in(spark, landing, root, [ORDERS])
+    lines = read_table(spark, f"{root}/bronze/order_detail", SPECS["order_detail"].bronze)
+    headers = read_table(spark, f"{root}/bronze/order_header", SPECS["order_header"].bronze)
+    return lines.join(headers.select("order_id", "customer_id", "brand_id", "total_amount"), "order_id")
+
+
+@query
+def stream_archive_all_tables(spark, sf_dir):
+    """Days that land one after another, a run of the streams after each, files archived; all five tables."""
+    root, landing = workspace(spark, "stream"), workspace(spark, "landing")
+    for first, last in (("2024-01-01", "2024-01-09"), ("2024-01-10", "2024-01-20"), ("2024-01-21", "2024-01-31")):
+        _land_event_days(spark, sf_dir, f"utc_day BETWEEN '{first}' AND '{last}'", landing)
+        _take_in(spark, landing, root, archive=f"{root}/archive", max_files=40)
+    return _stored_rows(spark, f"{root}/bronze")
+
+
+@query
+def stream_then_batch(spark, sf_dir):
+    """A stream and a batch load of the same days: every row is there twice."""
+    root, landing = workspace(spark, "stream"), _land_event_days(spark, sf_dir)
+    _take_in(spark, landing, root)
+    jobs.run_transactions(spark, jobs.Lake(landing, f"{root}/bronze", f"{root}/marts", layout=BY_DOCUMENT), _JANUARY, RUN_TS)
+    return _stored_rows(spark, f"{root}/bronze")
+
+
+def _marts(spark, lake):
+    """Both marts side by side."""
+    revenue = read_version(spark, f"{lake.marts}/{marts.REVENUE_TABLE}")
+    lines = read_version(spark, f"{lake.marts}/{marts.SALES_TABLE}")
     sold = lines.groupBy(F.date_format("report_date", "yyyy-MM-dd").alias("report_date"), "branch_name").agg(
         F.count("*").alias("n_lines"), F.round(F.sum("net_revenue_inclusive"), 2).alias("sold")
     )
     return _rounded_revenue(revenue).join(sold, ["report_date", "branch_name"], "left").select(
         "report_date", "branch_name", "total_orders", "total_revenue", "aov", "n_lines", "sold"
     )
+
+
+@query
+def daily_build(spark, sf_dir):
+    """Masters and all days loaded twice, the marts built twice: copies in bronze, none in the marts."""
+    lake = _event_lake(spark, sf_dir)
+    land(d.raw_products(spark, sf_dir), f"{lake.landing}/master/{PRODUCTS.file}")
+    land(d.raw_customers(spark, sf_dir), f"{lake.landing}/master/{CUSTOMERS.file}")
+    for _ in range(2):
+        jobs.run_daily(spark, lake, _JANUARY, RUN_TS, backfill_days=7)
+    return _marts(spark, lake)
+
+
+@query
+def first_day_without_invoices(spark, sf_dir):
+    """A first build over orders alone leaves the sales table without a row; the next one is a first build too."""
+    lake = _event_lake(spark, sf_dir)
+    orders_only = _land_event_days(spark, sf_dir, "utc_day = '2024-01-01'", invoiced="false")
+    first = replace(lake, landing=orders_only)
+    jobs.run_transactions(spark, first, _JANUARY[:1], RUN_TS)
+    jobs.build(spark, first, dt.date(2024, 2, 1))
+    jobs.run_transactions(spark, lake, _JANUARY[1:], RUN_TS + dt.timedelta(hours=1))
+    jobs.build(spark, lake, dt.date(2024, 2, 1))
+    return _marts(spark, lake)
+
+
+@query
+def interrupted_build(spark, sf_dir):
+    """A first build that died while it wrote, and one that runs again over what it left."""
+    lake = _event_lake(spark, sf_dir)
+    jobs.run_transactions(spark, lake, _JANUARY, RUN_TS)
+    lines = marts.sales_lines(*(source(spark, lake.bronze, f"invoice_{t}") for t in ("header", "detail")), dedupe=True)
+    for table in (marts.REVENUE_TABLE, marts.SALES_TABLE):
+        write_folders(lines.filter("quantity > 1"), f"{lake.marts}/{table}", ("year", "month"))
+    jobs.build(spark, lake, dt.date(2024, 2, 1))
+    return _marts(spark, lake)
+
+
+@query
+def backfill_range(spark, sf_dir):
+    """Clicks arrive late, and purchases change: a backfill over all days brings both marts up to date."""
+    lake = _event_lake(spark, sf_dir)
+    early = _land_event_days(spark, sf_dir, "utc_day < '2024-01-25' AND BranchId <> 'click'")
+    jobs.run_transactions(spark, replace(lake, landing=early), _JANUARY, RUN_TS - dt.timedelta(days=6))
+    jobs.build(spark, lake, dt.date(2024, 1, 26))
+    late = _land_event_days(spark, sf_dir, "utc_day < '2024-01-25'")
+    jobs.backfill_range(spark, replace(lake, landing=late), dt.date(2024, 1, 26), 25, RUN_TS - dt.timedelta(days=5))
+    return _marts(spark, lake)
+
+
+@query
+def revenue_incremental(spark, sf_dir):
+    """Two loads that overlap, a build after each: the second rebuilds its months and no others."""
+    lake = _event_lake(spark, sf_dir)
+    for n, days in enumerate((_JANUARY[:20], _JANUARY[10:])):
+        jobs.run_transactions(spark, lake, days, RUN_TS + dt.timedelta(hours=n))
+        jobs.build(spark, lake, dt.date(2024, 2, 1))
+    return _rounded_revenue(read_version(spark, f"{lake.marts}/{marts.REVENUE_TABLE}"))
+
+
+@query
+def corrected_invoice_fewer_lines(spark, sf_dir):
+    """Every invoice lands again a day later without its lines of even number: those are sold no more."""
+    later = F.expr("interval 1 day")
+    header = d.invoice_header(spark, sf_dir).filter("payment_status <> 4").drop("total_amount")
+    detail = d.invoice_detail(spark, sf_dir)
+    kept = detail.filter(F.substring_index("ref_detail_id", "-", -1).cast("int") % 2 == 1)
+    due = lambda lines: lines.groupBy("ref_id").agg(F.sum(_inclusive()).alias("total_amount"))
+    first = header.join(due(detail), "ref_id").withColumn("ingest_id", F.lit("1"))
+    second = d.with_parts(header.withColumn("ref_date", F.col("ref_date") + later), "ref_date")
+    second = second.join(due(kept), "ref_id", "left").fillna(0.0, ["total_amount"]).withColumn("ingest_id", F.lit("2"))
+    lines = detail.withColumn("ingest_id", F.lit("1")).unionByName(
+        kept.withColumn("ref_date", F.col("ref_date") + later).withColumn("ingest_id", F.lit("2"))
+    )
+    headers = first.unionByName(second)
+    revenue = marts.revenue_daily(headers, dedupe=True)
+    sold = marts.sales_lines(headers, lines, dedupe=True).withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
+    sold = sold.groupBy("report_date", "branch_name").agg(F.count("*").alias("n_lines"), F.round(F.sum("net_revenue_inclusive"), 2).alias("sold"))
+    return sold.join(revenue, ["report_date", "branch_name"]).select(
+        "report_date", "branch_name", "n_lines", "sold", F.round("total_revenue", 2).alias("total_revenue")
+    )
+
+
+def _inclusive():
+    net = net_revenue(F.col("amount"), F.col("allocation_amount"), F.col("allocation_delivery_promotion_amount"))
+    return revenue_inclusive(net, F.col("tax_amount"))

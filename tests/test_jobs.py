@@ -8,7 +8,9 @@ from tablespoon.operators.quality import QualityError
 from tablespoon.plans import jobs
 from tablespoon.plans.marts import REVENUE_TABLE, SALES_TABLE
 from tablespoon.schemas import INVOICES, ORDERS, SPECS
-from tablespoon.streaming import stream_ingest
+from tablespoon.sinks import read_version
+from tablespoon.sinks.versions import folders
+from tablespoon.streaming import ingest, stream_ingest
 
 RUN = dt.datetime(2024, 1, 22, 1, tzinfo=dt.timezone.utc)
 
@@ -39,12 +41,12 @@ def drop_master(lake):
 
 
 def sales(spark, lake):
-    rows = spark.read.parquet(f"{lake.marts}/{SALES_TABLE}").collect()
+    rows = read_version(spark, f"{lake.marts}/{SALES_TABLE}").collect()
     return sorted((r["order_id"], r["net_revenue_pre_tax"], str(r["report_date"])) for r in rows)
 
 
 def revenue(spark, lake):
-    rows = spark.read.parquet(f"{lake.marts}/{REVENUE_TABLE}").collect()
+    rows = read_version(spark, f"{lake.marts}/{REVENUE_TABLE}").collect()
     return {(r["report_date"], r["branch_name"]): (r["total_orders"], r["total_revenue"]) for r in rows}
 
 
@@ -76,6 +78,41 @@ def test_corrected_invoice_replaces_its_lines(spark, lake):
     assert revenue(spark, lake) == {("2024-01-20", "Central"): (1, 20.0)}
 
 
+def test_withdrawn_line_is_sold_no_more(spark, lake):
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z", 15.0, (10.0, 5.0))])
+    drop(lake, "2024-01-21", [], [invoice("1", "2024-01-20T04:00:00Z", 10.0, (10.0,))])
+    # Both copies in one load, and the older day loaded once more later on.
+    jobs.run_transactions(spark, lake, ["2024-01-20", "2024-01-21"], RUN)
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN + dt.timedelta(hours=1))
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert sales(spark, lake) == [("1", 10.0, "2024-01-20")]
+    assert revenue(spark, lake) == {("2024-01-20", "Central"): (1, 10.0)}
+
+
+def test_first_build_without_invoices_is_followed_by_a_first_build(spark, lake):
+    drop(lake, "2024-01-20", [order("o", "2024-01-20T03:00:00Z")], [])
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    drop(lake, "2024-01-21", [], [invoice("1", "2024-01-10T03:00:00Z")])  # before any lookback
+    jobs.run_transactions(spark, lake, "2024-01-21", RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert len(sales(spark, lake)) == 2
+
+
+def test_revenue_of_a_corrected_invoice_moves_to_its_new_month(spark, lake):
+    drop(lake, "2024-01-20", [], [invoice("1", "2023-12-30T03:00:00Z", 5.0), invoice("2", "2023-11-30T03:00:00Z", 7.0)])
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    before = folders(spark, f"{lake.marts}/{REVENUE_TABLE}")
+    drop(lake, "2024-01-21", [], [invoice("1", "2024-01-02T03:00:00Z", 6.0)])
+    jobs.run_transactions(spark, lake, "2024-01-21", RUN + dt.timedelta(hours=1))
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert revenue(spark, lake) == {("2024-01-02", "Central"): (1, 6.0), ("2023-11-30", "Central"): (1, 7.0)}
+    after = folders(spark, f"{lake.marts}/{REVENUE_TABLE}")
+    assert set(after) == {"year=2023/month=11", "year=2024/month=1"}
+    assert after["year=2023/month=11"] == before["year=2023/month=11"]  # not written again
+
+
 def test_backfill_repairs_older_days(spark, lake):
     drop(lake, "2024-01-15", [], [])
     drop(lake, "2024-01-20", [], [invoice("2", "2024-01-20T03:00:00Z")])
@@ -100,7 +137,7 @@ def test_failed_first_build_leaves_no_sales_table(spark, lake):
     jobs.run_transactions(spark, lake, "2024-01-20", RUN)
     with pytest.raises(QualityError, match="not_negative:net_revenue_inclusive"):
         jobs.build(spark, lake, dt.date(2024, 1, 22))
-    assert not (Path(lake.marts) / SALES_TABLE).exists()
+    assert folders(spark, f"{lake.marts}/{SALES_TABLE}") is None
 
 
 def test_failed_check_blocks_the_merge(spark, lake):
@@ -154,28 +191,50 @@ def test_command_line(spark, tmp_path, monkeypatch):
         main(["--phase", "trans", "--lake", str(tmp_path)])
 
 
-def test_stream_takes_each_file_once(spark, lake):
-    ingest = lambda table, document, **kw: stream_ingest(
-        spark, f"{lake.landing}/*/{document.file}", document, table, lake.bronze, f"{lake.bronze}/_{table}", RUN, lake.branch_map, **kw
-    )
+def take_in(spark, lake, document, state, **options):
+    stream_ingest(spark, f"{lake.landing}/*/{document.file}", document, lake.bronze, f"{state}/{document.header}", RUN, lake.branch_map, **options)
+
+
+def test_stream_takes_each_file_once(spark, lake, tmp_path):
     drop(lake, "2024-01-20", [order("o1", "2024-01-20T03:00:00Z")], [invoice("1", "2024-01-20T03:00:00Z")])
     for _ in range(2):
-        ingest("order_detail", ORDERS)
-        ingest("invoice_header", INVOICES)
+        take_in(spark, lake, ORDERS, tmp_path)
+        take_in(spark, lake, INVOICES, tmp_path)
     drop(lake, "2024-01-21", [order("o2", "2024-01-21T20:00:00Z"), order("o3", None, 0)], [])
-    ingest("order_detail", ORDERS, max_files=1)
+    take_in(spark, lake, ORDERS, tmp_path, max_files=1)
     lines = spark.read.schema(SPECS["order_detail"].bronze).parquet(f"{lake.bronze}/order_detail")
     assert sorted((r["order_id"], r["report_date"]) for r in lines.collect()) == [
         ("o1", "2024-01-20"), ("o1", "2024-01-20"), ("o2", "2024-01-22"), ("o2", "2024-01-22"),
     ]
+    assert spark.read.parquet(f"{lake.bronze}/order_header").count() == 3
     header = spark.read.parquet(f"{lake.bronze}/invoice_header").collect()
     assert [(r["ref_id"], r["branch_name"]) for r in header] == [("1", "Central")]
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)  # a batch load beside the stream
+    assert spark.read.parquet(f"{lake.bronze}/invoice_payment").count() == 2
 
 
-def test_stream_archives_what_it_has_taken(spark, lake, tmp_path):
-    for day in ("2024-01-20", "2024-01-21"):
-        drop(lake, day, [order(day, f"{day}T03:00:00Z")], [])
-        stream_ingest(spark, f"{lake.landing}/*/orders.json", ORDERS, "order_header", lake.bronze,
-                      f"{tmp_path}/checkpoint", RUN, archive=f"{tmp_path}/archive")
-    assert spark.read.parquet(f"{lake.bronze}/order_header").count() == 2
-    assert list((tmp_path / "archive").rglob("orders.json"))
+def test_stream_archives_what_all_tables_have(spark, lake, tmp_path):
+    for day in ("2024-01-20", "2024-01-21", "2024-01-22"):
+        drop(lake, day, [], [invoice(day, f"{day}T03:00:00Z")])
+        take_in(spark, lake, INVOICES, f"{tmp_path}/state", archive=f"{tmp_path}/archive")
+    counts = {t: spark.read.parquet(f"{lake.bronze}/invoice_{t}").count() for t in ("header", "detail", "payment")}
+    assert counts == {"header": 3, "detail": 6, "payment": 3}
+    assert list((tmp_path / "archive").rglob("invoices.json"))
+
+
+def test_repeated_batch_goes_on_where_it_stopped(spark, lake, tmp_path, monkeypatch):
+    frames = {"order_header": spark.createDataFrame([("a", 2024, 1, 1), ("b", 2024, 1, 2)], "order_id string, year int, month int, day int")}
+    write = lambda: ingest.write_batch(spark, frames, lake.bronze, f"{tmp_path}/state", "orders-0", SPECS)
+    real = ingest._move_files
+
+    def dies(spark, source, target, prefix):
+        real(spark, f"{source}/year=2024/month=1/day=1", f"{target}/year=2024/month=1/day=1", prefix)
+        raise OSError("died")
+
+    monkeypatch.setattr(ingest, "_move_files", dies)
+    with pytest.raises(OSError, match="died"):
+        write()
+    monkeypatch.setattr(ingest, "_move_files", real)
+    for _ in range(2):
+        write()
+    assert sorted(r["order_id"] for r in spark.read.parquet(f"{lake.bronze}/order_header").collect()) == ["a", "b"]

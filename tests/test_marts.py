@@ -4,7 +4,6 @@ import hashlib
 from pyspark.sql import functions as F
 
 from tablespoon.operators.dedup import latest_by
-from tablespoon.operators.joins import hot_keys, salted_join
 from tablespoon.plans import marts, staging
 
 D = dt.datetime
@@ -86,33 +85,3 @@ def test_copies_multiply_unless_deduplicated(spark):
     assert marts.sales_lines(headers, lines).count() == 6
     latest = marts.sales_lines(headers, lines, dedupe=True).collect()
     assert sorted(r["net_revenue_pre_tax"] for r in latest) == [1.0, 2.0] and {r["day"] for r in latest} == {2}
-
-
-def test_salted_join_is_the_plain_join(spark):
-    # One key holds a third of the rows, one is null, one has no partner.
-    many = spark.range(30_000).select(
-        F.when(F.col("id") < 10_000, "hot").when(F.col("id") < 10_100, None).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("k"),
-        F.col("id").alias("line"),
-    )
-    one = spark.range(499).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
-    one = one.union(spark.createDataFrame([("hot", -1), ("unused", -2), (None, -3)], "k string, v bigint"))
-    hot = hot_keys(many, "k", rows_per_salt=500).collect()
-    assert [r["_hot"] for r in hot] == ["hot"] and hot[0]["_salts"] == 20
-    salted = salted_join(many, one, "k", ["line"], hot_keys(many, "k", rows_per_salt=500))
-    plain = many.join(one, "k")
-    assert salted.select("k", "line", "v").exceptAll(plain.select("k", "line", "v")).isEmpty()
-    assert salted.count() == plain.count()
-
-
-def test_hot_rows_spread_over_tasks(spark):
-    many = spark.range(40_000).select(F.lit("hot").alias("k"), F.col("id").alias("line"))
-    one = spark.createDataFrame([("hot", 1)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        joined = salted_join(many, one, "k", ["line"], hot_keys(many, "k", rows_per_salt=1000))
-        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sum(sizes) == 40_000 and len(sizes) > 4 and max(sizes) < 20_000

@@ -5,10 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tablespoon.operators import incremental, standardize
+from tablespoon.operators import incremental, nested
 from tablespoon.plans import marts, staging
 from tablespoon.plans.transform import transform
-from tablespoon.schemas import SPECS
+from tablespoon.schemas import PARTITION_COLUMNS, SPECS
 from tablespoon.sinks.tables import _balanced, save_table
 from tablespoon.sources import read_table, source
 from tablespoon.suite import domain as d
@@ -16,7 +16,8 @@ from tablespoon.suite.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 LAZY = [n for n in QUERIES if not n.startswith(("sink_", "stream_", "daily_")) and n not in (
-    "read_nested_json", "master_snapshot", "backfill_range", "missing_day_empty", "empty_input")]
+    "read_nested_json", "nest_land_roundtrip", "merge_interrupted", "first_day_without_invoices", "interrupted_build",
+    "revenue_incremental", "master_snapshot", "backfill_range", "missing_day_empty", "empty_input")]
 
 
 @pytest.fixture(scope="module")
@@ -65,7 +66,7 @@ def test_status_filter_reaches_the_scan(spark, bronze):
 
 def test_lookback_prunes_partitions(spark, bronze):
     header = source(spark, bronze, "invoice_header")
-    recent = incremental.lookback(header, dt.date(1998, 8, 5), 3)
+    recent = incremental.lookback(header, dt.date(1998, 8, 5), 3, partitions=PARTITION_COLUMNS)
     filters = next(line for line in formatted(recent).splitlines() if line.startswith("PartitionFilters"))
     assert ">= 19980802" in filters and "year" in filters
     assert recent.count() == d.invoice_header(spark, SF_DIR).filter("ref_date >= '1998-08-02'").count()
@@ -77,10 +78,16 @@ def test_transform_shuffles_nothing(spark):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
-def test_branch_lookup_beyond_the_bound_is_shuffled_or_sized(spark, monkeypatch):
-    monkeypatch.setattr(standardize, "BROADCAST_BRANCHES", 0)
-    df = standardize.branch_enrich(d.event_orders(spark, SF_DIR), d.BRANCH_MAP)
+def test_branch_lookup_is_joined_by_its_size(spark):
+    """The map is a local relation; no hint, so the planner goes by its bytes."""
+    events = d.event_orders(spark, SF_DIR)
+    df = transform(events, "order_header", None, d.BRANCH_MAP)
     assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16")
+    try:
+        assert "SortMergeJoin" in plan(transform(events, "order_header", None, d.BRANCH_MAP))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
 def test_partitioned_writes_are_rebalanced(spark):
@@ -88,10 +95,19 @@ def test_partitioned_writes_are_rebalanced(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(df)
 
 
-def test_hot_key_list_is_small_and_reads_one_column(spark):
-    lines = d.invoice_detail(spark, SF_DIR)
-    text = plan(marts.hot_keys(lines, "ref_id"))
-    assert "ReadSchema: struct<l_orderkey:bigint>" in text and "hashpartitioning" not in text
+def test_nest_reads_each_side_once(spark):
+    text = plan(QUERIES["nest_children"](spark, SF_DIR))
+    assert text.count("FileScan") == 3 and text.count("Exchange hashpartitioning") <= 4
+
+
+def test_deduplication_costs_each_side_one_shuffle_more(spark, bronze):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        header, detail = source(spark, bronze, "invoice_header"), source(spark, bronze, "invoice_detail")
+        assert plan(marts.sales_lines(header, detail)).count("Exchange hashpartitioning") == 2
+        assert plan(marts.sales_lines(header, detail, dedupe=True)).count("Exchange hashpartitioning") == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
 def test_rows_to_rank_are_those_of_recent_invoices(spark):
@@ -102,9 +118,10 @@ def test_rows_to_rank_are_those_of_recent_invoices(spark):
     assert "LeftSemi" in text and text.index("LeftSemi") > text.index("WindowGroupLimit")
 
 
-def test_skewed_invoice_is_split_by_the_adaptive_planner(spark, tmp_path):
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_skewed_invoice_is_split_by_the_adaptive_planner(spark, tmp_path, dedupe):
     lines = d.invoice_detail(spark, SF_DIR)
-    noise = {"amount": F.rand(1), "tax_amount": F.rand(2), "item_id": F.uuid(), "allocation_amount": F.rand(3)}
+    noise = {"amount": F.rand(1), "tax_amount": F.rand(2), "item_id": F.uuid(), "ref_detail_id": F.uuid(), "allocation_amount": F.rand(3)}
     hot = spark.range(0, 200_000, 1, 8).join(lines.limit(1)).drop("id").withColumns({"ref_id": F.lit("1"), **noise})
     save_table(hot.unionByName(lines), f"{tmp_path}/detail", [])
     save_table(d.invoice_header(spark, SF_DIR), f"{tmp_path}/header", [])
@@ -117,7 +134,7 @@ def test_skewed_invoice_is_split_by_the_adaptive_planner(spark, tmp_path):
     for k, v in small.items():
         spark.conf.set(k, v)
     try:
-        df = marts.sales_lines(spark.read.parquet(f"{tmp_path}/header"), spark.read.parquet(f"{tmp_path}/detail"))
+        df = marts.sales_lines(spark.read.parquet(f"{tmp_path}/header"), spark.read.parquet(f"{tmp_path}/detail"), dedupe)
         df._jdf.queryExecution().toRdd().count()
         assert "SortMergeJoin(skew=true)" in plan(df)
     finally:

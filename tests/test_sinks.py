@@ -1,7 +1,11 @@
+from types import SimpleNamespace
+
+import pytest
 from pyspark.sql import functions as F
 
 from tablespoon.session import scratch, scratch_dir
-from tablespoon.sinks import full_refresh, save_all, save_flat, save_partitions, save_table
+from tablespoon.sinks import full_refresh, read_version, save_all, save_flat, save_partitions, save_table
+from tablespoon.sinks.versions import folders, publish, write_folders
 from tablespoon.sources import existing, read_table, source
 from tablespoon.sources.bronze import register_views
 
@@ -53,7 +57,38 @@ def test_full_refresh_drops_old_partitions(spark, tmp_path):
     path = f"{tmp_path}/t"
     full_refresh(rows(spark, ("a", 2023, 1, 1), ("b", 2024, 1, 1)), path)
     full_refresh(rows(spark, ("c", 2024, 1, 1)), path)
-    assert stored(read_table(spark, path)) == [("c", 2024, 1, 1)]
+    assert stored(read_version(spark, path)) == [("c", 2024, 1, 1)]
+
+
+def test_readers_see_whole_versions(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", rows(spark, ("a", 1, 1, 1)).schema
+    assert folders(spark, path) is None and read_version(spark, path, schema).count() == 0
+    write_folders(rows(spark, ("x", 2024, 1, 1)), path, ("year",))  # a run that died
+    assert folders(spark, path) is None
+    full_refresh(rows(spark, ("a", 2024, 1, 1), ("n", None, 1, 1)), path)
+    reader = read_version(spark, path)
+    full_refresh(rows(spark, ("b", 2024, 2, 1)), path)
+    assert stored(reader)[-1] == ("n", None, 1, 1)  # a reader may finish at the version before
+    assert stored(read_version(spark, path, schema)) == [("b", 2024, 2, 1)]
+    assert stored(read_version(spark, path, schema, ["year=2024/month=3"])) == []
+    full_refresh(rows(spark, ("c", 2024, 1, 1)).limit(0), path)
+    assert folders(spark, path) == {} and read_version(spark, path, schema).count() == 0
+    for i in range(4):
+        publish(spark, path, write_folders(rows(spark, (str(i), 2024, 1, 1)), path, ("year", "month")))
+    assert stored(read_version(spark, path)) == [("3", 2024, 1, 1)] and len(list(tmp_path.glob("t/_versions/*.json"))) == 2
+
+
+def test_failed_check_publishes_nothing(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    full_refresh(rows(spark, ("a", 2024, 1, 1)), path)
+
+    def refuse(stored_rows):
+        assert stored_rows.count() == 1
+        raise ValueError("no")
+
+    with pytest.raises(ValueError, match="no"):
+        full_refresh(rows(spark, ("b", 2024, 1, 1)), path, check=refuse)
+    assert stored(read_version(spark, path)) == [("a", 2024, 1, 1)] and len(list(tmp_path.glob("t/data-*"))) == 1
 
 
 def test_fan_out(spark, tmp_path):
@@ -80,3 +115,8 @@ def test_scratch_is_under_the_shared_folder(spark):
         spark.range(1).write.parquet(path)
         assert existing(spark, [path])
     assert not existing(spark, [path])
+
+
+def test_scratch_has_no_default():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(SimpleNamespace(conf={}), "x")
