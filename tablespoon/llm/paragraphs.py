@@ -4,10 +4,10 @@ Paragraphs are of two kinds, over words in lower case:
 
 * lines of at least ``WORDS`` words. Each has a MinHash signature over its five-word shingles, cut
   into ``BANDS`` bands of ``ROWS`` values, which makes a pair of similarity 0.8 collide with
-  probability 0.999. Equal lines are one node, so a group of copies costs one signature.
+  probability 0.997. Equal lines are one node, so a group of copies costs one signature.
 * passages inside of lines: windows of ``WORDS`` words at places that their own words choose (the
   least hashed shingle of every ``REACH`` neighbouring ones). Any passage of
-  ``WORDS + REACH - 1`` = 45 words has a place chosen alike wherever it occurs. Their band is the
+  ``WORDS + REACH - 1`` = 50 words has a place chosen alike wherever it occurs. Their band is the
   whole window: they collide if they are equal.
 
 Lines that collide in a band are verified by the Jaccard coefficient of their shingle sets. Within
@@ -22,26 +22,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, stored
 from .components import components
 
-WORDS, REACH, SHINGLE = 20, 26, 5
-BANDS, ROWS = 10, 3
+WORDS, REACH, SHINGLE = 20, 31, 5
+BANDS, ROWS = 8, 3
 SIMILARITY = 0.8
 #: Lines, and characters in lines, of one band's group that are compared at once.
 BUCKET, BUCKET_CHARS = 2_000, 8_000_000
-#: Words whose hashes a task remembers; the memory is emptied beyond that.
-WORDS_HELD = 1_000_000
+#: Bytes of text that are hashed together, about; a longer document goes alone.
+CHUNK = 1 << 20
 
-_ASCII_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that they can be divided by
 _draw = np.random.default_rng(8)
+_BYTES = _draw.integers(0, 1 << 63, 256, dtype=np.uint64)
 _A = _draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, 9, 10, 11, 12, 13]] = True
+_powers: dict[int, np.ndarray] = {}
+_CUT = pa.schema([*((c, pa.int64()) for c in ("doc_id", "row", "line", "start", "words", "h", "h2")), ("bands", pa.list_(pa.int64()))])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -50,122 +53,142 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _spans(hashes: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
-    """Polynomial hash of every run of ``length`` words."""
-    out = hashes[: len(hashes) - length + 1].copy()
-    for i in range(1, length):
-        out *= base
-        out += hashes[i : len(hashes) - length + 1 + i]
-    return out
+def _power(base: int, n: int) -> np.ndarray:
+    """``base`` to the powers 0 to n, at least, modulo 2**64; kept for the next call."""
+    if len(_powers.get(base, ())) <= n:
+        out = np.full(max(n + 1, 2 * CHUNK), base, np.uint64)
+        out[0] = 1
+        _powers[base] = np.multiply.accumulate(out)
+    return _powers[base]
 
 
-class Hasher:
-    """Hashes of words, remembered."""
+def _ranges(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hash of each range of ``values``, from running sums."""
+    until = np.concatenate([[np.uint64(0)], np.add.accumulate(values * _power(base, len(values))[: len(values)])])
+    back = _power(pow(base, -1, 1 << 64), len(values))
+    return _mix((until[ends] - until[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
 
-    def hash(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > WORDS_HELD:
-            self.known.clear()
-        known, digest = self.known, xxhash.xxh3_64_intdigest
-        for w in words:
-            if w not in known:
-                known[w] = digest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def words_in(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of each word of ``raw``, which is in lower case as far as ASCII goes."""
+    data = np.frombuffer(raw, np.uint8)
+    full = np.concatenate([[False], ~_BLANK[data], [False]])
+    edges = np.flatnonzero(full[1:] != full[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    return _ranges(_BYTES[data], _BASES[0], starts, ends), starts
 
 
-def shingles(hashes: np.ndarray) -> np.ndarray:
-    """Distinct hashed shingles of a paragraph; all its words if they are fewer than a shingle."""
-    if len(hashes) < SHINGLE:
-        return _spans(hashes, len(hashes), _BASES[0]) if len(hashes) else hashes
-    return np.unique(_spans(hashes, SHINGLE, _BASES[0]))
+def _runs(hashes: np.ndarray) -> np.ndarray:
+    """Hash of every five words in a row."""
+    at = np.arange(max(0, len(hashes) - SHINGLE + 1))
+    return _ranges(hashes, _BASES[1], at, at + SHINGLE)
 
 
-def chosen(runs: np.ndarray) -> np.ndarray:
-    """Places of the least of every REACH neighbouring values, ascending."""
-    if not len(runs):
-        return np.empty(0, np.int64)
-    if len(runs) <= REACH:
-        return np.array([int(runs.argmin())])
-    views = np.lib.stride_tricks.sliding_window_view(runs, REACH)
-    picked = [views[at : at + 65_536].argmin(axis=1) + np.arange(at, min(at + 65_536, len(views))) for at in range(0, len(views), 65_536)]
-    return np.unique(np.concatenate(picked))
+def shingles(line: str) -> np.ndarray:
+    """Distinct hashed shingles of a line; of fewer words than a shingle, all of them as one."""
+    hashes, _ = words_in(line.encode("utf-8", "replace").lower())
+    if 0 < len(hashes) < SHINGLE:
+        return _ranges(hashes, _BASES[1], np.array([0]), np.array([len(hashes)]))
+    return np.unique(_runs(hashes))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``row, text`` -> the paragraphs of each text.
+def _sliding(values: np.ndarray, width: int, op) -> np.ndarray:
+    """``op`` over every ``width`` neighbouring values, by doubling."""
+    out, have = values, 1
+    while have * 2 <= width:
+        out = op(out[:-have], out[have:])
+        have *= 2
+    return op(out[: len(values) - width + 1], out[width - have : width - have + len(values) - width + 1])
+
 
-    ``row, line, start, words, h, h2, bands``: line is the line's number, or -1 for a window;
-    start counts words from 0; bands is null for windows.
+def chosen(runs: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Places that hold the least of some REACH neighbouring values of one document, ascending.
+
+    A document with fewer values than that has its least one chosen.
     """
-    hasher = Hasher()
-    for batch in batches:
-        row_ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for at in range(0, batch.num_rows, 512):
-            columns: list[list[np.ndarray]] = [[] for _ in range(6)]
-            signatures = []
+    out = np.zeros(len(runs), bool)
+    if len(runs) >= REACH:
+        least = _sliding(runs, REACH, np.minimum)
+        least[doc[: len(least)] != doc[REACH - 1 :]] = 0
+        padded = np.concatenate([np.zeros(REACH - 1, np.uint64), least, np.zeros(REACH - 1, np.uint64)])
+        out = _sliding(padded, REACH, np.maximum) == runs
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.empty(0, np.int64)
+    sizes = np.diff(np.append(first, len(doc)))
+    for start, size in zip(first[sizes < REACH], sizes[sizes < REACH]):
+        out[start + int(runs[start : start + size].argmin())] = True
+    return np.flatnonzero(out)
+
+
+def _paragraphs(doc_ids: list[int | None], row_ids: list[int], texts: list[bytes]) -> pa.RecordBatch | None:
+    """The paragraphs of some texts, hashed together: see :func:`_cut`."""
+    raw = b"\n".join(texts)
+    offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    hashes, at = words_in(raw)
+    if not len(hashes):
+        return None
+    doc = np.searchsorted(offsets, at, "right") - 1
+    breaks = np.concatenate([[0], np.add.accumulate(np.frombuffer(raw, np.uint8) == 10, dtype=np.int64)])
+    line = breaks[at]  # lines are numbered through the texts
+    first_word, past_word = np.searchsorted(doc, np.arange(len(texts))), np.searchsorted(doc, np.arange(len(texts)), "right")
+
+    starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    sizes = np.diff(np.append(starts, len(line)))
+    starts, sizes = starts[sizes >= WORDS], sizes[sizes >= WORDS]
+    runs = _runs(hashes)
+    keys = np.empty((len(starts), BANDS), np.uint64)
+    if len(starts):
+        edges = np.empty(2 * len(starts), np.int64)
+        edges[0::2], edges[1::2] = starts, starts + sizes - SHINGLE + 1
+        padded = np.append(runs, np.uint64(0))
+        for band in range(BANDS):
+            key = np.full(len(starts), band + 1, np.uint64)
+            for f in range(band * ROWS, (band + 1) * ROWS):
+                mixed = padded * _A[f] + _B[f]
+                mixed ^= mixed >> np.uint64(31)
+                mixed *= np.uint64(_BASES[1])
+                key = _mix(key * np.uint64(_BASES[0]) + np.minimum.reduceat(mixed, edges)[0::2])
+            keys[:, band] = key
+
+    inside = doc[: len(runs)] == doc[SHINGLE - 1 :]
+    places = np.flatnonzero(inside)[chosen(runs[inside], doc[: len(runs)][inside])]
+    places = places[places + WORDS <= past_word[doc[places]]]
+
+    begin = np.concatenate([starts, places])
+    length = np.concatenate([sizes, np.full(len(places), WORDS)])
+    if not len(begin):
+        return None
+    own = doc[begin]
+    number = np.concatenate([line[starts] - breaks[offsets[doc[starts]]], np.full(len(places), -1)])
+    signatures = pa.ListArray.from_arrays(
+        pa.array(np.concatenate([np.arange(len(starts) + 1) * BANDS, np.full(len(places), len(starts) * BANDS)]), pa.int32()),
+        pa.array(keys.reshape(-1).view(np.int64)),
+    )
+    top = [_ranges(hashes, base, begin, begin + length).view(np.int64) for base in _BASES]
+    columns = [np.array(row_ids, np.int64)[own], number, begin - first_word[own], length, *top]
+    ids = pa.array(doc_ids, pa.int64()).take(pa.array(own))
+    return pa.record_batch([ids, *(pa.array(c, pa.int64()) for c in columns), signatures], _CUT.names)
 
-            def put(*values) -> None:
-                for held, value in zip(columns, values):
-                    held.append(value)
 
-            for row, text in zip(row_ids[at : at + 512], batch.column(1).slice(at, 512).to_pylist()):
-                if not text:
-                    continue
-                raw = text.encode("utf-8", "replace").translate(_ASCII_LOWER)
-                words = raw.split()
-                if len(words) < WORDS:
-                    continue
-                hashes = hasher.hash(words)
-                sizes = np.array([len(line.split()) for line in raw.split(b"\n")])
-                starts = np.concatenate([[0], sizes.cumsum()[:-1]])
-                own = np.flatnonzero(sizes >= WORDS)
-                runs = _spans(hashes, SHINGLE, _BASES[0])
-                if len(own):
-                    tops = [_spans(hashes[s : s + n], int(n), b)[0] for s, n in zip(starts[own], sizes[own]) for b in _BASES]
-                    tops = np.array(tops, np.uint64).reshape(-1, 2)
-                    put(np.full(len(own), row), own, starts[own], sizes[own], tops[:, 0], tops[:, 1])
-                    # the least of every hash function over a line's shingles
-                    edges = np.empty(2 * len(own), np.int64)
-                    edges[0::2], edges[1::2] = starts[own], starts[own] + sizes[own] - SHINGLE + 1
-                    least = np.empty((len(own), BANDS * ROWS), np.uint64)
-                    padded = np.append(runs, np.uint64(0))
-                    for f in range(BANDS * ROWS):
-                        mixed = padded * _A[f] + _B[f]
-                        mixed ^= mixed >> np.uint64(31)
-                        mixed *= _BASES[1]
-                        least[:, f] = np.minimum.reduceat(mixed, edges)[0::2]
-                    bands = least.reshape(len(own), BANDS, ROWS)
-                    key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(own), 1))
-                    for r in range(ROWS):
-                        key = _mix(key * _BASES[0] + bands[:, :, r])
-                    signatures.append(key)
-                places = chosen(runs)
-                places = places[places + WORDS <= len(words)]
-                if len(places):
-                    tops = [np.array([], np.uint64)] * 2
-                    for i, base in enumerate(_BASES):
-                        total = np.zeros(len(places), np.uint64)
-                        for j in range(WORDS):
-                            total = total * base + hashes[places + j]
-                        tops[i] = total
-                    put(np.full(len(places), row), np.full(len(places), -1), places, np.full(len(places), WORDS), *tops)
-                    signatures.append(None)
-            if not columns[0]:
-                continue
-            flat = [np.concatenate(c) for c in columns]
-            sizes = [len(c) for c in columns[0]]
-            lists = [x for size, s in zip(sizes, signatures) for x in ([None] * size if s is None else s.view(np.int64).tolist())]
-            yield pa.record_batch(
-                [
-                    *(pa.array(c.astype(np.int64)) for c in flat[:4]),
-                    pa.array(flat[4].view(np.int64)),
-                    pa.array(flat[5].view(np.int64)),
-                    pa.array(lists, pa.list_(pa.int64())),
-                ],
-                ["row", "line", "start", "words", "h", "h2", "bands"],
-            )
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, row, text`` -> the paragraphs of each text.
+
+    ``doc_id, row, line, start, words, h, h2, bands``: line is the line's number, or -1 for a
+    window; start counts words from 0; bands is empty for windows.
+    """
+    for batch in batches:
+        held: tuple[list, list, list] = ([], [], [])
+        size = 0
+        for doc_id, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            raw = (text.as_py() or "").encode("utf-8", "replace").lower()
+            if size and size + len(raw) > CHUNK:
+                if (out := _paragraphs(*held)) is not None:
+                    yield out
+                held, size = ([], [], []), 0
+            for values, value in zip(held, (doc_id, row, raw)):
+                values.append(value)
+            size += len(raw)
+        if held[0] and (out := _paragraphs(*held)) is not None:
+            yield out
 
 
 def _forest(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -201,61 +224,70 @@ def _compare(most: int, similarity: float):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
         group: tuple[int, int] | None = None
         nodes: list[int] = []
         sets: list[np.ndarray] = []
         passing, held = False, 0
+        us: list[int] = []
+        vs: list[int] = []
+
+        def settle() -> None:
+            for i, j in _forest(sets, similarity) if len(nodes) > 1 else ():
+                us.append(nodes[i])
+                vs.append(nodes[j])
 
         def batch_of(k: list, u: list, v: list) -> pa.RecordBatch:
             return pa.record_batch([pa.array(x, pa.int64()) for x in (k, u, v)], ["k", "u", "v"])
 
-        def settle() -> Iterator[pa.RecordBatch]:
-            if len(nodes) > 1:
-                edges = _forest(sets, similarity)
-                if edges:
-                    yield batch_of([None] * len(edges), [nodes[i] for i, _ in edges], [nodes[j] for _, j in edges])
-
         for batch in batches:
-            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            for i, (k, chunk, node) in enumerate(keys):
+            on: tuple[list, list] = ([], [])  # what is passed on
+            for i, (k, chunk, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
                 if (k, chunk) != group:
-                    yield from settle()
+                    settle()
                     group, nodes, sets, passing, held = (k, chunk), [], [], False, 0
                 if passing:
-                    yield batch_of([k], [node], [None])
+                    on[0].append(k)
+                    on[1].append(node)
                     continue
-                raw = batch.column(3)[i].as_py().encode("utf-8", "replace")
+                line = batch.column(3)[i].as_py()
                 nodes.append(node)
-                sets.append(shingles(hasher.hash(raw.translate(_ASCII_LOWER).split())))
-                held += len(raw)
+                sets.append(shingles(line))
+                held += len(line)
                 if chunk < 0 and len(nodes) > 1 and (len(nodes) > most or held > BUCKET_CHARS):
-                    yield batch_of([k] * len(nodes), nodes, [None] * len(nodes))
+                    on[0].extend([k] * len(nodes))
+                    on[1].extend(nodes)
                     nodes, sets, passing = [], [], True
-        yield from settle()
+            if on[0]:
+                yield batch_of(on[0], on[1], [None] * len(on[0]))
+            if us:
+                yield batch_of([None] * len(us), us, vs)
+                us, vs = [], []
+        settle()
+        if us:
+            yield batch_of([None] * len(us), us, vs)
 
     return run
 
 
-def similar_lines(lines: DataFrame, texts: DataFrame, bucket: int = BUCKET, similarity: float = SIMILARITY) -> DataFrame:
-    """``node, root`` for the distinct lines ``lines(node, h, h2, bands)`` linked to another one.
+def similar_lines(nodes: DataFrame, texts: DataFrame, bucket: int = BUCKET, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, root`` for the distinct lines ``nodes(node, row, line, bands)`` linked to another one.
 
-    ``texts(h, h2, line)`` has each line's text, once.
+    A node's text is that of line number ``line`` of text ``row`` in ``texts(row, line, written)``.
     """
-    banded = lines.select("node", F.explode("bands").alias("k"))
+    banded = nodes.select("node", F.explode("bands").alias("k"))
     shared = banded.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("k")
     met = stored(banded.join(shared, "k", "left_semi").distinct())
-    some = met.select("node").distinct()
-    written = stored(texts.join(lines.select("node", "h", "h2").join(some, "node"), ["h", "h2"]).select("node", "line"))
+    some = stored(nodes.select("node", "row", "line").join(met.select("node").distinct(), "node", "left_semi"))
+    written = stored(texts.join(some, ["row", "line"]).select("node", "written").dropDuplicates(["node"]))
 
     def compared(rows: DataFrame) -> DataFrame:
-        dealt = rows.repartition("k", "chunk").sortWithinPartitions("k", "chunk", "node").select("k", "chunk", "node", "line")
+        dealt = rows.repartition("k", "chunk").sortWithinPartitions("k", "chunk", "node").select("k", "chunk", "node", "written")
         return stored(dealt.mapInArrow(_compare(bucket, similarity), "k long, u long, v long"))
 
     found = compared(met.withColumn("chunk", F.lit(-1).cast("long")).join(written, "node"))
     edges, large = found.where("v is not null"), found.where("v is null").select("k", F.col("u").alias("node"))
     if not large.isEmpty():
-        weight = F.ceil(2 * F.sum(F.length("line")) / BUCKET_CHARS)
+        weight = F.ceil(2 * F.sum(F.length("written")) / BUCKET_CHARS)
         chunks = large.join(written, "node").groupBy("k").agg(F.greatest(F.ceil(2 * F.count("*") / bucket), weight).alias("chunks"))
         own = F.pmod(F.xxhash64("node"), F.col("chunks"))
         pairs = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
@@ -272,49 +304,41 @@ def repeats(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     number from 0, or null for a passage that was joined from windows next to each other.
     ``cluster`` tells clusters apart within one result, ``first_doc_id`` is the document that keeps
     the paragraph, ``removed`` says whether this one goes. Order is by doc_id (null last), then by
-    row and place. A passage inside of a line that is itself repeated is not listed again. Null,
-    empty and short texts have no paragraphs; repeated rows are repeats of each other; documents
-    without repeats have no row, and an empty table gives none.
+    text and place. A passage inside of lines that are themselves repeated is not listed again. Null,
+    empty and short texts have no paragraphs; rows that repeat doc_id and text are one document;
+    documents without repeats have no row, and an empty table gives none.
     """
-    rows = stored(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")))
-    cut = stored(rows.select("row", "text").mapInArrow(_cut, "row long, line long, start long, words long, h long, h2 long, bands array<long>"))
-    place = ["row", "line", "start", "words"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    cut = stored(rows.mapInArrow(_cut, "doc_id long, row long, line long, start long, words long, h long, h2 long, bands array<long>"))
+    place = ["doc_id", "row", "line", "start", "words"]
+    spot = F.xxhash64("row", "start")  # two of them tell that a paragraph is in two places
+    twice = F.min(spot) != F.max(spot)
 
     # lines: equal ones are a node, linked nodes a cluster
     lines = cut.where("line >= 0")
-    nodes = lines.groupBy("h", "h2").agg(F.count("*").alias("n"), F.first("bands").alias("bands"))
-    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()))
-    texts = rows.select("row", F.posexplode(F.split("text", "\n")).alias("line", "words_of"))
-    one = lines.groupBy("h", "h2").agg(F.min(F.struct("row", "line")).alias("at"))
-    one = one.select("h", "h2", "at.row", "at.line")
-    linked = similar_lines(nodes, _texts_of(texts, one, nodes), bucket)
-    clusters = nodes.join(linked, "node", "left").where("n > 1 or root is not null").select("h", "h2", F.coalesce("root", "node").alias("cluster"))
-    found_lines = stored(lines.select(*place, "h", "h2").join(clusters, ["h", "h2"]).select(*place, "cluster"))
+    at = F.min(F.struct("row", "line")).alias("at")
+    nodes = lines.groupBy("h", "h2").agg(twice.alias("twice"), at, F.first("bands").alias("bands"))
+    nodes = stored(nodes.select("h", "h2", "twice", "at.row", "at.line", "bands", F.monotonically_increasing_id().alias("node")))
+    texts = rows.select("row", F.posexplode(F.split("text", "\n")).alias("line", "written"))
+    linked = similar_lines(nodes, texts, bucket)
+    clusters = nodes.select("node", "h", "h2", "twice").join(linked, "node", "left").where("twice or root is not null")
+    clusters = clusters.select("h", "h2", F.coalesce("root", "node").alias("cluster"))
+    found_lines = lines.select(*place, "h", "h2").join(clusters, ["h", "h2"]).select(*place, "cluster")
 
     # windows: equal ones are a cluster, but not within lines found already
     windows = cut.where("line < 0").select(*place, "h", "h2")
-    twice = windows.groupBy("h", "h2").agg(F.count("*").alias("n")).where("n > 1")
-    twice = stored(twice.select("h", "h2", (-1 - F.monotonically_increasing_id()).alias("cluster")))
-    found_windows = windows.join(twice, ["h", "h2"]).select(*place, "cluster")
+    equal = windows.groupBy("h", "h2").agg(twice.alias("twice")).where("twice")
+    equal = stored(equal.select("h", "h2", (-1 - F.monotonically_increasing_id()).alias("cluster")))
+    found_windows = windows.join(equal, ["h", "h2"]).select(*place, "cluster")
 
-    names = rows.select("row", "doc_id")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start")
-    found = stored(found_lines.unionByName(found_windows).join(names, "row"))
+    found = stored(found_lines.unionByName(found_windows).distinct())
     first = found.groupBy("cluster").agg(F.min(order).alias("first"))
     marked = found.join(first, "cluster").withColumn("removed", order != F.col("first"))
     marked = marked.select("row", "doc_id", F.when(F.col("line") >= 0, F.col("line")).alias("line"), "start", (F.col("start") + F.col("words")).alias("end"), "cluster", F.col("first.doc_id").alias("first_doc_id"), "removed")
     return _joined(stored(marked)).withColumnsRenamed({"start": "start_word"}).drop("row")
 
 
-def _texts_of(texts: DataFrame, one: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``h, h2, line``: the text of one line for each node that shares a band with another."""
-    banded = nodes.select("h", "h2", "node", F.explode("bands").alias("k"))
-    shared = banded.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("k")
-    some = banded.join(shared, "k", "left_semi").select("h", "h2").distinct()
-    wanted = stored(one.join(some, ["h", "h2"]))
-    return texts.join(wanted, ["row", "line"]).select("h", "h2", F.col("words_of").alias("line"))
-
-
 def _joined(marked: DataFrame) -> DataFrame:
     """Windows of a text that overlap or touch and share a fate as one passage; lines as they are.
 

@@ -100,20 +100,41 @@ def test_places_depend_on_their_own_words_alone():
     for _ in range(20):
         before = draw.integers(0, 1 << 63, draw.integers(0, 200), dtype=np.uint64)
         runs = np.concatenate([before, passage, draw.integers(0, 1 << 63, 50, dtype=np.uint64)])
-        places = p.chosen(runs) - len(before)
-        inner = {int(x) for x in places if p.REACH - 1 <= x <= 60 - p.REACH}
-        chosen.append(inner)
+        places = p.chosen(runs, np.zeros(len(runs), int)) - len(before)
+        chosen.append({int(x) for x in places if p.REACH - 1 <= x <= 60 - p.REACH})
         assert any(0 <= x < p.REACH for x in places)
     assert all(c == chosen[0] for c in chosen)
 
 
+def test_chosen_as_brute_force():
+    draw = np.random.default_rng(2)
+    doc = np.repeat(np.arange(40), draw.integers(1, 120, 40))
+    runs = draw.integers(0, 1 << 20, len(doc), dtype=np.uint64)
+    want = set()
+    for d in range(40):
+        own = np.flatnonzero(doc == d)
+        for i in range(max(1, len(own) - p.REACH + 1)):
+            some = own[i : i + p.REACH]
+            want.update(int(x) for x in some[runs[some] == runs[some].min()][: None if len(own) >= p.REACH else 1])
+    assert set(p.chosen(runs, doc).tolist()) == want
+
+
+def test_texts_hashed_together_are_hashed_alike():
+    texts = [b"", prose(1, 100).encode(), b"\n\n a\n" + prose(2, 25).encode() + b"\nb", b"x", prose(3, 70).encode(), "é \u00a0 ö ".encode() * 30]
+    together = p._paragraphs([None] * len(texts), list(range(len(texts))), texts).to_pylist()
+    apart = [r for i, t in enumerate(texts) if (b := p._paragraphs([None], [i], [t])) is not None for r in b.to_pylist()]
+    key = lambda r: (r["row"], r["line"], r["start"])
+    assert sorted(together, key=key) == sorted(apart, key=key)
+    assert [(r["line"], r["start"], r["words"]) for r in together if r["row"] == 2 and r["line"] >= 0] == [(3, 1, 25)]
+
+
 def test_odd_rows(spark, messy, empty):
     got = p.repeats(messy).collect()
     by = {}
     for r in got:
         by.setdefault(r.doc_id, []).append(r.removed)
     assert 3 not in by and 4 not in by and 5 not in by
-    assert sorted(by[1]) == [False, True] and by[2] == [True] and sorted(by[None]) == [False, True]
+    assert by[1] == [False] and by[2] == [True] and None not in by  # rows that repeat are one document
     assert by[6] == [False] and by[7] == [True] and sorted(by[8]) == [False, True, True]
     assert p.repeats(empty).count() == 0
     assert p.repeats(messy.where("doc_id = 3")).count() == 0
