@@ -196,3 +196,70 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, m, failed, kept = judged(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"), keep_text=False)
     return out.select("doc_id", f"{m}.n_words", f"{m}.word_chars", f"{m}.n_symbols", f"{m}.n_dup_lines", f"{m}.n_repeat_words", F.col(failed).alias("base_failed"), F.col(kept).alias("kept"))
+
+
+def _sql() -> str:
+    word, blank = r"[^\x20\x09-\x0D]", "CASE WHEN {0} IS NULL THEN '' ELSE '=' || {0} END AS {0}"
+    values = {
+        "symbols": "n_symbols / greatest(n_words, 1)",
+        "upper": "n_upper / greatest(n_letters, 1)",
+        "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
+        "repeats": "n_repeat_words / greatest(n_words, 1)",
+        "stutter": "n_stutter / greatest(n_words, 1)",
+        "word_length": "word_chars / greatest(n_words, 1)",
+    }
+    measures = " UNION ALL ".join(f"SELECT r, lang, source, '{k}' AS measure, {v} AS v FROM counted WHERE NOT base_failed" for k, v in values.items())
+    spreads = " ".join(f"WHEN '{k}' THEN {v}" for k, v in SPREADS.items())
+
+    def blend(own: str, parent: str, keys: str, up: str) -> str:
+        return f"""SELECT {keys}, bucket, sum(n) AS n FROM (
+            SELECT {keys}, bucket, n FROM {own} UNION ALL
+            SELECT {keys}, bucket, {PRIOR} * n / t FROM (SELECT DISTINCT {keys} FROM {own})
+              JOIN {parent} USING ({up}) JOIN (SELECT {up}, sum(n) AS t FROM {parent} GROUP BY {up}) USING ({up})
+          ) GROUP BY {keys}, bucket"""
+
+    return f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {blank.format("lang")}, {blank.format("source")} FROM documents
+), cut AS (
+  SELECT *, regexp_extract_all(t, '{word}+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{word}')) AS l FROM doc
+), spot AS (
+  SELECT r, i, array_to_string(w[i:i + 7], ' ') AS eight FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM cut)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, eight) AS n FROM spot) WHERE n > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM (SELECT r, i, unnest(range(8)) AS k FROM twice) GROUP BY r
+), counted AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM (
+    SELECT r, doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+      length(t) - length(translate(t, '{SYMBOLS}', '')) AS n_symbols, len(l) AS n_lines,
+      len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+      length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS n_letters,
+      len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n_stutter
+    FROM cut LEFT JOIN covered USING (r))
+), measured AS (
+  SELECT *, CAST(CASE WHEN v < {START} THEN 0 ELSE ceil(ln(v / {START}) / ln({GROWTH})) + 1 END AS INTEGER) AS bucket FROM ({measures})
+), own AS (
+  SELECT lang, source, measure, bucket, CAST(count(*) AS DOUBLE) AS n FROM measured GROUP BY ALL
+), of_lang AS (SELECT lang, measure, bucket, sum(n) AS n FROM own GROUP BY ALL
+), whole AS (SELECT measure, bucket, sum(n) AS n FROM own GROUP BY ALL
+), lang_sketch AS ({blend("of_lang", "whole", "lang, measure", "measure")}
+), sketch AS ({blend("own", "lang_sketch", "lang, source, measure", "lang, measure")}
+), running AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS below, sum(n) OVER (PARTITION BY lang, source, measure) AS t FROM sketch
+), quantile AS (
+  SELECT lang, source, measure, min(bucket) FILTER (below >= 0.5 * t * (1 - 1e-9)) AS mid, min(bucket) FILTER (below >= 0.75 * t * (1 - 1e-9)) AS high
+  FROM running GROUP BY ALL
+), fence AS (
+  SELECT lang, source, measure, m + {FENCE} * greatest(h - m, CASE measure {spreads} END) AS highest FROM (
+    SELECT *, CASE WHEN mid = 0 THEN 0 ELSE {START} * pow({GROWTH}, mid - 1) END AS m, CASE WHEN high = 0 THEN 0 ELSE {START} * pow({GROWTH}, high - 1) END AS h
+    FROM quantile)
+), outside AS (SELECT DISTINCT r FROM measured JOIN fence USING (lang, source, measure) WHERE v > highest)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND r NOT IN (SELECT r FROM outside) AS kept
+FROM counted
+"""
+
+
+OP2_SQL = _sql()

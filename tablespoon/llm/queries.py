@@ -12,7 +12,7 @@ from .mixing import op4_mix_sources
 from .nearest import op10_hilbert_neighbours
 from .packing import op3_best_fit_packing
 from .paragraphs import op8_paragraph_minhash
-from .quality import op2_quality_rules
+from .quality import OP2_SQL, op2_quality_rules
 from .simhash import op9_simhash_near_dedup
 from .tokens import op5_token_frames
 from .wrappers import OP1_SQL, op1_html_wrappers
@@ -33,4 +33,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {"op1_html_wrappers": OP1_SQL, "op7_license_scan": OP7_SQL}
+ORACLE: dict[str, str] = {"op1_html_wrappers": OP1_SQL, "op2_quality_rules": OP2_SQL, "op7_license_scan": OP7_SQL}
