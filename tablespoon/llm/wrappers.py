@@ -31,6 +31,8 @@ FAN_IN = 64
 HOSTS_HELD = 2_000
 #: A text that is the same on so many pages is part of the template, outside and inside of an article.
 SAME_OUTSIDE, SAME_INSIDE = 3, 8
+#: Elements within each other that a tree holds, as in browsers, which have such a bound too.
+DEEPEST = 200
 
 # Names of HTML elements and common words of class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,18 +77,20 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # ---- pages as trees: a node is [tag, label, noise, children]; a text is [text, linked characters]
+#: Noise: none, by an element's class names, by its tag or as it is hidden.
+NONE, NAMED, SURE = 0, 1, 2
 
 
-def _traits(tag: str, attributes: str) -> tuple[str, bool]:
-    """Label of an element for alignment, and whether its names say that it is no main text."""
+def _traits(tag: str, attributes: str) -> tuple[str, int]:
+    """Label of an element for alignment, and whether it says that it is no main text."""
     if not attributes or ("=" not in attributes and "hidden" not in attributes.lower()):
-        return tag, tag in LEFT_OUT
+        return tag, SURE if tag in LEFT_OUT else NONE
     named = {}
     for name, *values in _ATTRIBUTE.findall(attributes):
         named.setdefault(name.lower(), next(filter(None, values), ""))
     names = [w.lower() for key in ("class", "id", "role") for w in _WORDS.findall(html.unescape(named.get(key, "")))]
     hidden = "hidden" in named or named.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", named.get("style", ""), re.I)
-    noise = tag in LEFT_OUT or bool(hidden) or not NOISE.isdisjoint(names)
+    noise = SURE if tag in LEFT_OUT or hidden else NONE if NOISE.isdisjoint(names) or tag in ("html", "body") else NAMED
     if "header" in names or "head" in names:
         names.append("header")
     if named.get("role") == "main":
@@ -95,8 +99,11 @@ def _traits(tag: str, attributes: str) -> tuple[str, bool]:
 
 
 def parse(page: str) -> list:
-    """The tree of a page. Any text makes one; what isn't closed ends with its parent or the page."""
-    root = ["#root", "#root", False, []]
+    """The tree of a page. Any text makes one; what isn't closed ends with its parent or the page.
+
+    Elements nested deeper than ``DEEPEST`` become siblings; their texts stay.
+    """
+    root = ["#root", "#root", NONE, []]
     stack, links, pos = [root], 0, 0
     run: list | None = None
 
@@ -168,7 +175,7 @@ def parse(page: str) -> list:
         node = [tag, label, noise, []]
         stack[-1][3].append(node)
         run = None
-        if not attributes.rstrip().endswith("/") or tag in INLINE:
+        if len(stack) < DEEPEST and (not attributes.rstrip().endswith("/") or tag in INLINE):
             stack.append(node)
     return root
 
@@ -199,7 +206,7 @@ def _fold(parts: list[dict]) -> list[dict]:
             if period == 1:
                 out.append(first[0] | {"r": 1})
             else:
-                out.append({"l": "()", "g": 0, "o": 0, "r": 1, "n": times, "c": first})
+                out.append({"l": "()", "g": NONE, "o": 0, "r": 1, "n": times, "c": first})
             i += times * period
         parts = out
     return parts
@@ -209,7 +216,16 @@ def expression(node: list) -> dict:
     """The union-free regular expression of a page's tree."""
     if len(node) == 2:
         return {"l": "#", "o": 0, "r": 0, "n": 1, "s": len(node[0]), "a": node[1], "h": crc32(node[0].strip().encode("utf-8", "replace"))}
-    return {"l": node[1], "g": int(node[2]), "o": 0, "r": 0, "n": 1, "c": _fold([expression(c) for c in node[3]])}
+    parts = _fold([expression(c) for c in node[3]])
+    # class names such as "with-sidebar" on what holds the page's title are about its layout
+    noise = NONE if node[2] == NAMED and any(map(_titled, parts)) else node[2]
+    return {"l": node[1], "g": noise, "o": 0, "r": 0, "n": 1, "c": parts}
+
+
+def _titled(part: dict) -> bool:
+    if part["l"] == "#":
+        return False
+    return _tag(part) in ("h1", "main") or any(map(_titled, part["c"]))
 
 
 def _merge(a: dict, b: dict) -> dict:
@@ -217,7 +233,8 @@ def _merge(a: dict, b: dict) -> dict:
     out = {"l": a["l"], "o": a["o"] | b["o"], "r": a["r"] | b["r"], "n": a["n"] + b["n"]}
     if a["l"] == "#":
         return out | {"s": a["s"] + b["s"], "a": a["a"] + b["a"], "h": a["h"] if a["h"] == b["h"] else None}
-    return out | {"g": a["g"] | b["g"], "c": _align(a["c"], b["c"])}
+    noise = SURE if SURE in (a["g"], b["g"]) else min(a["g"], b["g"])
+    return out | {"g": noise, "c": _align(a["c"], b["c"])}
 
 
 def _align(a: list[dict], b: list[dict]) -> list[dict]:

@@ -45,11 +45,18 @@ def test_broken_markup():
     ]:
         html = page(body=body)
         assert w.main_text(html, w.decide(w.expression(w.parse(html)))) == want
+    deep = page(body="<div>" * 5000 + "x" + "</div>" * 5000)
+    assert w.main_text(deep, w.decide(json.loads(json.dumps(w.expression(w.parse(deep)))))) == "Title x"
     cut = page(body="<p>one</p><p>two").split("</article>")[0]
     assert w.main_text(cut, plan) == "Title one two"
     assert w.main_text("", plan) == "" and w.main_text("<", plan) == ""
 
 
+def test_layout_names_on_what_holds_the_title():
+    html = page().replace("<body>", '<body class="has-sidebar"><div class="menu-open wrap">').replace("</body>", "</div></body>")
+    assert w.main_text(html, w.decide(w.expression(w.parse(html)))) == "Title One two three"
+
+
 def test_expressions_fold_and_align():
     def of(html):
         return w.expression(w.parse(html))
