@@ -36,23 +36,28 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate results: ``spark.checkpoint.dir``, which all machines share.
 
-    Only a local session without that setting gets a folder of its own, set for later calls too.
+    Only a local session without that setting gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
+        sc = spark.sparkContext
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="tablespoon-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if sc.applicationId not in _own_folders:
+            _own_folders[sc.applicationId] = tempfile.mkdtemp(prefix="tablespoon-")
+        folder = _own_folders[sc.applicationId]
     return folder.rstrip("/")
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet under the shared folder and read from there, without its lineage."""
+    ship(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/tablespoon/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
