@@ -56,7 +56,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet under the shared folder and read from there, without its lineage."""
+    """``df`` written once as Parquet under the shared folder and read from there, without its lineage.
+
+    Aggregates that are joined back are stored first: the planner then knows their size, and can
+    split a hot key, which it can't where a join takes over an aggregate's partitions.
+    """
     ship(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/tablespoon/{uuid.uuid4().hex}"
     df.write.parquet(path)

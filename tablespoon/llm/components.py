@@ -22,15 +22,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds: each links the neighbours of a node to the least node among
     them, until every component is a star. Rounds grow with the logarithm of the longest path.
-    A node's neighbours never meet in one row; the least of them is aggregated before the shuffle
-    and joined back, and the adaptive planner splits that join for nodes with very many neighbours.
+    A node's neighbours never meet in one row; the least of them is aggregated before the shuffle,
+    stored and joined back. What is joined is a stored table, not an aggregate's own partitions, so
+    that the adaptive planner can split the join for nodes with very many neighbours.
     Loops, repeated edges and an empty table are fine; edges with a null end are left out.
     """
     pairs = stored(_larger_first(edges.select("u", "v").dropna()))
     state = _state(pairs)
     while state[0]:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(

@@ -245,7 +245,7 @@ def clustered(rows: DataFrame, fp: str, member: str) -> DataFrame:
     roots = stored(components(links(classes)))
     linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     linked = linked.select("fp", "own", F.coalesce("root", "fp").alias("root"))
-    least = linked.groupBy("root").agg(F.min("own").alias("first"))
+    least = stored(linked.groupBy("root").agg(F.min("own").alias("first")))
     return linked.join(least, "root").select("fp", "first")
 
 
