@@ -13,6 +13,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from .common import documents, shared_folder, stored
 END_ID = 1
 #: Characters of text that go into one file, about.
 FILE_CHARS = 32 << 20
-#: Words whose ids a task remembers; the memory is emptied beyond that.
-WORDS_HELD = 400_000
+#: Words whose ids a Python worker remembers; beyond that, new words are encoded whenever they come.
+WORDS_HELD = 800_000
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -51,17 +52,27 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        end = struct.pack("<I", END_ID)
-        for text in texts:
-            words = (text or "").encode("utf-8", "replace").split()
-            if len(self.known) > WORDS_HELD:
-                self.known.clear()
-            new = list(dict.fromkeys(w for w in words if w not in self.known))
-            if new:
-                found = self.tokenizer.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)
-                self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
-            yield b"".join([*map(self.known.__getitem__, words), end])
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        end, known = struct.pack("<I", END_ID), self.known
+        split = [_plain((text or "").encode("utf-8", "replace")).split() for text in texts]
+        new = list({w for words in split for w in words if w not in known})
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
+        fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
+        if len(known) + len(fresh) <= WORDS_HELD:
+            known.update(fresh)
+            return [b"".join([*map(known.__getitem__, words), end]) for words in split]
+        return [b"".join([*(known[w] if w in known else fresh[w] for w in words), end]) for words in split]
+
+
+def _plain(raw: bytes) -> bytes:
+    """In lower case as far as ASCII goes, which the tokenizer does anyway; it looks for special tokens before."""
+    return raw if b"<|" in raw else raw.lower()
+
+
+@lru_cache(1)
+def encoder(vocabulary: str) -> Encoder:
+    """One per Python worker, so that its tasks share what it remembers."""
+    return Encoder(vocabulary)
 
 
 def write_file(out, rows: Iterator[tuple[int | None, bytes]]) -> tuple[int, int]:
@@ -130,7 +141,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_chars: int
     dealt = rows.repartitionByRange(max(1, -(-chars // file_chars)), *order).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context, encoder = TaskContext.get(), Encoder(vocabulary)
+        context, encode = TaskContext.get(), encoder(vocabulary).encode
         store, base = _open(folder)
         number = context.partitionId()
         draft, final = f"{base}/.draft-{number}-{context.taskAttemptId()}-{uuid.uuid4().hex}", f"{base}/tokens-{number:06d}.zst"
@@ -140,7 +151,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_chars: int
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
                     part = batch.slice(at, 256)
-                    yield from zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()))
+                    yield from zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()))
 
         with store.open_output_stream(draft) as out:
             n_docs, n_tokens = write_file(out, encoded())
