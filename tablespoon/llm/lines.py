@@ -1,10 +1,11 @@
 """Line dedup through a deletion neighbourhood: of equal or nearly equal lines the earliest stays.
 
-Two lines within one edit either have equal halves on one side or are not near at all: if the edit
-lies in the second half, the first halves agree, and the other way round. A first, cheap pass keeps
-just the lines that share a half with a different line; it loses no pair. Each of those emits all
+The neighbourhood is searched in three passes, each over what the one before has left. Cut two lines
+within one edit into parts: they agree but for the one part that holds the edit. So each line emits
+itself without each of its parts, first without each half, then without each of ``PARTS`` parts, and
+lines go on that share such a key with a different line; no pair is lost. What is left emits all
 its variants within the bound as hashed keys: itself, itself without its i-th character, and the
-latter with i. Equal keys meet:
+latter with i, for the i in the parts that held an edit. Equal keys meet:
 
 * a line and another's deletion (they differ by an insertion),
 * two deletions at the same place (they differ by a substitution).
@@ -32,6 +33,11 @@ from .common import documents, fresh, stored
 #: Lines of fewer characters are compared for equality only: one edit is a large part of them.
 SHORTEST = 20
 
+#: Parts of the second pass.
+PARTS = 16
+#: Numbers that lines are reduced to before their texts are looked up.
+SLOTS = 1 << 20
+
 _BASE = 0x2545F4914F6CDD1D  # odd, so that it can be divided by
 _BACK = pow(_BASE, -1, 1 << 64)
 _PLACE = np.uint64(0x9E3779B97F4A7C15)
@@ -62,7 +68,11 @@ def variants(line: str) -> tuple[int, np.ndarray]:
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``ord, line`` -> ``key, role, ord``; role 0: the line itself, 1: a deletion, 2: a deletion and its place."""
+    """``ord, line, parts`` -> ``key, role, ord``; role 0: the line itself, 1: a deletion, 2: a deletion and its place.
+
+    Variants are those of the parts that the line shares the rest of with another one: part p as a
+    line of its length, part PARTS + p as the longer of two lines.
+    """
     for batch in batches:
         ids, keys, roles, whose, held = batch.column(0).to_numpy(zero_copy_only=False), [], [], [], 0
 
@@ -70,10 +80,14 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = [np.concatenate(keys).view(np.int64), np.concatenate(roles), ids[np.concatenate(whose)]]
             return pa.record_batch([pa.array(c) for c in columns], ["key", "role", "ord"])
 
-        for row, line in enumerate(batch.column(1).to_pylist()):
+        for row, (line, parts) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
             own, without = variants(line)
-            shorter = np.unique(_mix(without))
-            placed = _mix(_mix(without) + (np.arange(len(without), dtype=np.uint64) + np.uint64(1)) * _PLACE)
+            mixed, n = _mix(without), len(without)
+            same = [np.arange(n * p // PARTS, n * (p + 1) // PARTS) for p in parts if p < PARTS]
+            longer = [np.arange((n - 1) * p // PARTS, (n - 1) * (p + 1) // PARTS + 1) for p in (x - PARTS for x in parts if x >= PARTS)]
+            at = np.unique(np.concatenate([*same, np.empty(0, np.int64)]).astype(np.int64))
+            shorter = np.unique(mixed[np.concatenate([*longer, np.empty(0, np.int64)]).astype(np.int64)])
+            placed = _mix(mixed[at] + (at.astype(np.uint64) + np.uint64(1)) * _PLACE)
             keys += [_mix(np.array([own], np.uint64)), shorter, placed]
             roles += [np.zeros(1, np.int8), np.ones(len(shorter), np.int8), np.full(len(placed), 2, np.int8)]
             whose.append(np.full(1 + len(shorter) + len(placed), row))
@@ -85,18 +99,16 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out()
 
 
-def _halves(line: Column) -> Column:
-    """Hashes of the halves of ``line`` and of those a line one character shorter would share with it."""
-    n = F.length(line)
-    head, head_less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    return F.array_distinct(
-        F.array(
-            F.xxhash64(F.lit(0), n, F.substring(line, F.lit(1), head)),
-            F.xxhash64(F.lit(1), n, F.substring(line, head + 1, n)),
-            F.xxhash64(F.lit(0), n - 1, F.substring(line, F.lit(1), head_less)),
-            F.xxhash64(F.lit(1), n - 1, F.substring(line, n - (n - 1 - head_less) + 1, n)),
-        )
-    )
+def _without_parts(line: Column, parts: int) -> Column:
+    """Hashes of ``line`` without each of its ``parts``, as it is and as a line one character longer than another."""
+    keys = []
+    for longer in (0, 1):  # parts are those of the shorter line; the longer one has the extra character in the part
+        n = F.length(line) - longer
+        for part in range(parts):
+            start, end = F.floor(n * part / parts).cast("int"), F.floor(n * (part + 1) / parts).cast("int")
+            head, tail = F.substring(line, F.lit(1), start), F.substring(line, end + 1 + longer, n)
+            keys.append(F.xxhash64(F.lit(part), n, head, tail))
+    return F.array(*keys)
 
 
 def _exploded(docs: DataFrame) -> DataFrame:
@@ -114,14 +126,25 @@ def near_lines(lines: DataFrame, texts: DataFrame) -> DataFrame:
     ``lines(h, h2, first, halves)``: the distinct lines, ``first`` their order. ``texts(h, h2, line)``
     has each distinct line's text, perhaps repeatedly.
     """
-    parts = lines.select("h", "h2", F.explode("halves").alias("half"))
-    shared = parts.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("half")
-    some = stored(parts.join(shared, "half", "left_semi").select("h", "h2").distinct())
-    # the lines that go on, once each, numbered in their order
-    wanted = texts.join(some, ["h", "h2"], "left_semi").dropDuplicates(["h", "h2"])
-    wanted = stored(wanted.join(lines.select("h", "h2", "first"), ["h", "h2"]))
-    wanted = stored(wanted.orderBy("first").select("h", "h2", "line", F.monotonically_increasing_id().alias("ord")))
-    emitted = stored(wanted.select("ord", "line").repartition("ord").mapInArrow(_emit, "key long, role byte, ord long"))
+
+    def sharing(keyed: DataFrame) -> DataFrame:
+        """The lines that share a key with a different one, and the numbers of these keys."""
+        each = keyed.select("h", "h2", F.posexplode("keys").alias("part", "k"))
+        shared = each.groupBy("k").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("k")
+        hits = each.join(stored(shared), "k", "left_semi")
+        return stored(hits.groupBy("h", "h2").agg(F.collect_set("part").alias("parts")))
+
+    some = sharing(lines.select("h", "h2", F.col("halves").alias("keys"))).drop("parts")
+    # most texts end here: SLOTS numbers at most are broadcast, whatever the size of the table
+    slot = F.pmod("h", F.lit(SLOTS)).cast("int")
+    near_some = texts.withColumn("slot", slot).join(F.broadcast(some.select(slot.alias("slot")).distinct()), "slot", "left_semi")
+    found = stored(near_some.drop("slot").join(some, ["h", "h2"], "left_semi").dropDuplicates(["h", "h2"]))
+    some = sharing(found.select("h", "h2", _without_parts(F.col("line"), PARTS).alias("keys")))
+    # the lines that go on, numbered in their order
+    wanted = stored(found.join(some, ["h", "h2"]).join(lines.select("h", "h2", "first"), ["h", "h2"]))
+    wanted = stored(wanted.orderBy("first").select("h", "h2", "line", "parts", F.monotonically_increasing_id().alias("ord")))
+    emitted = stored(wanted.select("ord", "line", "parts").repartition("ord").mapInArrow(_emit, "key long, role byte, ord long"))
+    wanted = wanted.drop("parts")
     # the least line per key and role; deletions meet the line itself and the other way round
     of = lambda role: F.min(F.when(F.col("role") == role, F.col("ord")))
     placed = (F.col("role") == 2).alias("placed")
@@ -160,7 +183,7 @@ def deduplicated(docs: DataFrame, shortest: int = SHORTEST) -> tuple[DataFrame,
     exploded = _exploded(docs)
     long_enough = F.length("line") >= shortest
     found = stored(
-        exploded.select("doc_id", "key", "pos", "h", "h2", F.when(long_enough, _halves(F.col("line"))).alias("halves"))
+        exploded.select("doc_id", "key", "pos", "h", "h2", F.when(long_enough, _without_parts(F.col("line"), 2)).alias("halves"))
     )
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "pos")
     firsts = stored(found.groupBy("h", "h2").agg(F.min(at).alias("first"), F.first("halves").alias("halves")))
