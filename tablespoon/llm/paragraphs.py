@@ -276,6 +276,7 @@ def similar_lines(nodes: DataFrame, texts: DataFrame, bucket: int = BUCKET, simi
     """
     banded = nodes.select("node", F.explode("bands").alias("k"))
     shared = banded.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("k")
+    shared = stored(shared)
     met = stored(banded.join(shared, "k", "left_semi").distinct())
     some = stored(nodes.select("node", "row", "line").join(met.select("node").distinct(), "node", "left_semi"))
     written = stored(texts.join(some, ["row", "line"]).select("node", "written").dropDuplicates(["node"]))
@@ -333,7 +334,7 @@ def repeats(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start")
     found = stored(found_lines.unionByName(found_windows).distinct())
-    first = found.groupBy("cluster").agg(F.min(order).alias("first"))
+    first = stored(found.groupBy("cluster").agg(F.min(order).alias("first")))
     marked = found.join(first, "cluster").withColumn("removed", order != F.col("first"))
     marked = marked.select("row", "doc_id", F.when(F.col("line") >= 0, F.col("line")).alias("line"), "start", (F.col("start") + F.col("words")).alias("end"), "cluster", F.col("first.doc_id").alias("first_doc_id"), "removed")
     return _joined(stored(marked)).withColumnsRenamed({"start": "start_word"}).drop("row")
