@@ -188,7 +188,8 @@ def read_tokens(files: DataFrame) -> DataFrame:
                         start += sizes[-1]
                 yield pa.record_batch([pa.array(x, pa.int64()) for x in (ids, starts, sizes, sums)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = listed.select("path", "before").repartition(F.col("path"))
+    # a given number of partitions isn't merged into fewer: a task per file or so, not one for all
+    spread = listed.select("path", "before").repartition(max(1, files.count()), "path")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
