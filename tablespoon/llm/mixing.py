@@ -141,11 +141,10 @@ def mixed(docs: DataFrame, keep: bool = True) -> tuple[DataFrame, dict[str, str]
     rows = keyed if keep else narrow.select("doc_id", F.col("src").alias(src), F.col("size").alias(size), F.col("k").alias(k), F.col("k2").alias(k2))
     out = rows.join(given, [k, k2])
     m, given_of, copies = (names[c] for c in ("m", "given", "copies"))
+    # the join leaves the rows of a unit together and in order, so numbering them deals nothing out again
     turn = F.row_number().over(Window.partitionBy(k, k2).orderBy(src))
     extra = (turn <= F.col(given_of) % F.col(m)).cast("long")
-    single = out.where(F.col(m) == 1).withColumn(copies, F.col(given_of).cast("long"))
-    many = out.where(F.col(m) > 1).withColumn(copies, F.floor(F.col(given_of) / F.col(m)) + extra)
-    return single.unionByName(many), names | {"size": size}
+    return out.withColumn(copies, F.floor(F.col(given_of) / F.col(m)) + extra), names | {"size": size}
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
