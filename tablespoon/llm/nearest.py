@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours along shifted Hilbert curves.
+"""Nearest neighbours along shifted Hilbert curves.
 
 Every curve turns the vectors by a rotation of its own, keeps a few axes, spreads them evenly,
 shifts them and numbers their cells along a Hilbert curve. Spark range-partitions the vectors by
@@ -7,6 +7,12 @@ cut into blocks of ``BLOCK``. A query looks through its own block and the two ne
 curve, so at least ``BLOCK`` neighbours on either side, and what it finds there is ranked by the
 exact distance. Groups are bounded: a block, and the queries of three blocks.
 
+The windows cover less of a table the larger it is, so their answers only bound the distance. In a
+second pass the blocks of the first curve, each with its centre and radius, meet the queries, up to
+about ``ASKED`` at once; a query searches every block that can hold something as near as its bound.
+So no neighbour is missed whatever the table's size. Where vectors are spread evenly over many
+dimensions no block can be left out, and the pass compares all queries with all vectors.
+
 Equal vectors are one point. Ties go to the smaller vec_id, so of the ids at a point no more than
 the ``k + 1`` smallest can be in any answer; the others are searched for, never answers.
 """
@@ -25,6 +31,8 @@ from .common import stored, table
 from .hilbert import hilbert_key
 
 CURVES, AXES, BITS, BLOCK = 16, 8, 7, 2048
+#: Queries, about, that a block is searched for at once.
+ASKED = 2048
 #: Vectors, about, from which means and spreads of the axes are estimated.
 FITTED = 10_000
 SEED = 20
@@ -106,13 +114,83 @@ def ranked(points: DataFrame, fitted: list, bits: int) -> DataFrame:
     return joined.select("curve", (F.col("before") + F.col("id") - F.col("least")).alias("rank"), "point", "packed")
 
 
+def _closer(most: int):
+    """Rows of a block and some queries -> ``q, point, score``: what the block holds within the queries' bounds.
+
+    Per query no more than the ``most`` nearest of the block, ties to the smaller point.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, found, centre, radius, ids, queries, bounds in zip(*(batch.column(c) for c in range(7))):
+                centre, bounds = np.frombuffer(centre.as_py(), "<f8"), np.frombuffer(bounds.as_py(), "<f8")
+                queries = np.frombuffer(queries.as_py(), "<f8").reshape(-1, len(centre))
+                away = np.sqrt(((queries - centre) ** 2).sum(axis=1))
+                far = away + radius.as_py()
+                asked = np.flatnonzero(away - radius.as_py() <= bounds + 1e-9 * far)
+                if not len(asked):
+                    continue
+                names, ids = np.frombuffer(names.as_py(), "<i8"), np.frombuffer(ids.as_py(), "<i8")
+                found = np.frombuffer(found.as_py(), "<f8").reshape(-1, len(centre))
+                moved, out = found - centre, ([], [], [])
+                square = (moved**2).sum(axis=1)
+                for at in range(0, len(asked), 256):
+                    some = asked[at : at + 256]
+                    rough = square[None, :] - 2 * (queries[some] - centre) @ moved.T + (away[some] ** 2)[:, None]
+                    limit = bounds[some] ** 2
+                    if most < len(found):
+                        limit = np.minimum(limit, np.partition(rough, most - 1, axis=1)[:, most - 1])
+                    # far more than products in doubles can be off by
+                    near = rough <= (limit + 1e-9 * far[some] ** 2)[:, None]
+                    for i in np.flatnonzero(near.any(axis=1)):
+                        own = np.flatnonzero(near[i])
+                        exact = np.sqrt(((found[own] - queries[some[i]]) ** 2).sum(axis=1))
+                        first = np.lexsort((names[own], exact))[:most]
+                        first = first[exact[first] <= bounds[some[i]]]
+                        out[0].append(np.full(len(first), ids[some[i]]))
+                        out[1].append(names[own][first])
+                        out[2].append(exact[first])
+                if out[0]:
+                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in out], ["q", "point", "score"])
+
+    return run
+
+
+def _remaining(rows: DataFrame, best: DataFrame, most: int, asked: int) -> DataFrame:
+    """``q, point, score`` of all points as near as the last of a query's ``most`` in ``best(q, point, score)``.
+
+    ``rows(block, point, packed, asks)`` are the points along one curve. Blocks and groups of queries
+    are a row each and meet in pairs, of which the search skips those that are too far apart.
+    """
+
+    def block(group: pd.DataFrame) -> pd.DataFrame:
+        every = np.frombuffer(b"".join(map(bytes, group["packed"])), "<f8").reshape(len(group), -1)
+        centre = every.mean(axis=0)
+        radius = np.sqrt(((every - centre) ** 2).sum(axis=1)).max()
+        return pd.DataFrame({"names": [group["point"].to_numpy("<i8").tobytes()], "found": [every.tobytes()], "centre": [centre.tobytes()], "radius": [radius]})
+
+    def queries(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"ids": [group["point"].to_numpy("<i8").tobytes()], "queries": [b"".join(map(bytes, group["packed"]))], "bounds": [group["bound"].to_numpy("<f8").tobytes()]})
+
+    blocks = stored(rows.groupBy("block").applyInPandas(block, "names binary, found binary, centre binary, radius double"))
+    last = F.when(F.count("*") >= most, F.max("score")).otherwise(F.lit(float("inf"))).alias("bound")
+    bounds = best.groupBy("q").agg(last)
+    seeking = rows.where("asks").join(bounds, F.col("point") == F.col("q"), "left").fillna(float("inf"), "bound")
+    seeking = stored(seeking.select("point", "packed", "bound"))
+    groups = max(1, -(-seeking.count() // asked))
+    dealt = seeking.withColumn("dealt", F.pmod(F.xxhash64("point"), F.lit(groups)))
+    sought = stored(dealt.groupBy("dealt").applyInPandas(queries, "ids binary, queries binary, bounds binary"))
+    return blocks.crossJoin(sought).mapInArrow(_closer(most), "q long, point long, score double")
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CURVES, axes: int = AXES, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found for the rows of ``vectors(vec_id, embedding)`` that are queries.
 
     ``is_query`` is a condition on vec_id. The score is the Euclidean distance in doubles; ties go
     to the smaller vec_id, and a query is never its own answer. Rows that repeat an id and its
-    vector count once. With ``block`` vectors or fewer the answer is exact; with fewer than k
-    candidates all come out. Without vectors the result is empty.
+    vector count once. The answer is exact where an id has one vector; ``curves``, ``axes``, ``bits`` and ``block`` change how
+    much is searched, not what is found. With fewer than k candidates all come out. Without vectors
+    the result is empty.
     """
     points, dims = points_of(vectors, k)
     fitted = _fit(points, dims, curves, min(axes, dims)) if points.take(1) else []
@@ -157,8 +235,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CUR
         return pd.DataFrame({"q": np.concatenate(out_q), "point": np.concatenate(out_p), "score": np.concatenate(out_d)})
 
     met = base.unionByName(probes).groupBy("curve", "block").applyInPandas(search, "q long, point long, score double")
-    met = met.groupBy("q", "point").agg(F.min("score").alias("score"))
-    best = met.withColumn("turn", F.row_number().over(Window.partitionBy("q").orderBy("score", "point"))).where(F.col("turn") <= most)
+
+    def first(met: DataFrame) -> DataFrame:
+        met = met.groupBy("q", "point").agg(F.min("score").alias("score"))
+        turn = F.row_number().over(Window.partitionBy("q").orderBy("score", "point"))
+        return met.withColumn("turn", turn).where(F.col("turn") <= most).drop("turn")
+
+    best = stored(first(met))
+    along = rows.where("curve = 0").select("block", "point", "packed", F.col("asks").isNotNull().alias("asks"))
+    best = first(best.unionByName(_remaining(along, best, most, ASKED)))
     named = stored(best.join(points.select("point", "ids"), "point").select("q", "score", F.explode("ids").alias("vec_id")))
     answers = asked.join(named, asked["point"] == named["q"]).where("vec_id <> query_id")
     # an id with several vectors counts with its nearest

@@ -56,6 +56,15 @@ def test_recall_over_many_blocks(spark):
     assert all(len(got[q]) == 10 for q in want) and hits >= 0.9 * 400
 
 
+def test_nothing_is_missed_beyond_the_windows(spark, monkeypatch):
+    """Vectors in all directions, windows over a hundredth of them: only the second pass can find the rest."""
+    monkeypatch.setattr(nearest, "ASKED", 16)
+    vectors = np.random.default_rng(4).normal(size=(3000, 32)).astype(np.float32).tolist()
+    got = found(nearest.nearest(table(spark, vectors), F.col("vec_id") % 60 == 0, curves=1, block=10))
+    want = brute(vectors, range(0, 3000, 60), 10)
+    assert {q: [i for i, _ in got[q]] for q in got} == {q: [i for i, _ in want[q]] for q in want}
+
+
 def test_ties_and_copies(spark):
     """A third of all rows is one vector, split over blocks by nobody: ties go to the smaller id."""
     draw = np.random.default_rng(3)
