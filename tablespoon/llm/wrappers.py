@@ -5,8 +5,8 @@ has one part per child: runs of alike children fold into a repeated part, tandem
 repeated group. Two expressions of a host are aligned; parts that only one side has become optional,
 repeats spread, texts that differ become slots. Alignment is iterated over all pages of a host:
 every task folds its own pages into one expression per host, and a tree of groupings folds those.
-Expressions also add up how often a slot occurs, its characters and its linked characters, and
-whether its text is always the same, so the finished wrapper decides slot by slot what belongs to
+Expressions also add up how often a slot occurs and on how many pages, its characters and its linked
+characters, and whether its text is always the same, so the finished wrapper decides slot by slot what belongs to
 the article, for all pages of its host. A second pass over the pages reads the kept slots out.
 """
 
@@ -15,8 +15,9 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from operator import add
 from zlib import crc32
 
 import pandas as pd
@@ -181,7 +182,7 @@ def parse(page: str) -> list:
 
 
 # ---- expressions: {"l" label, "g" noise, "o" optional, "r" repeated, "n" times seen, "c" parts} or,
-# for texts, {"l" "#", "o", "r", "n", "s" characters, "a" linked characters, "h" hash or None if they differ}
+# for texts, {"l" "#", "o", "r", "n", "p" pages it is on, at least, "s" characters, "a" linked characters, "h" hash or None if they differ}
 
 
 def _key(part: dict) -> object:
@@ -202,7 +203,7 @@ def _fold(parts: list[dict]) -> list[dict]:
                 continue
             first = parts[i : i + period]
             for t in range(1, times):
-                first = [_merge(a, b) for a, b in zip(first, parts[i + t * period : i + (t + 1) * period])]
+                first = [_merge(a, b, max) for a, b in zip(first, parts[i + t * period : i + (t + 1) * period])]
             if period == 1:
                 out.append(first[0] | {"r": 1})
             else:
@@ -215,7 +216,7 @@ def _fold(parts: list[dict]) -> list[dict]:
 def expression(node: list) -> dict:
     """The union-free regular expression of a page's tree."""
     if len(node) == 2:
-        return {"l": "#", "o": 0, "r": 0, "n": 1, "s": len(node[0]), "a": node[1], "h": crc32(node[0].strip().encode("utf-8", "replace"))}
+        return {"l": "#", "o": 0, "r": 0, "n": 1, "p": 1, "s": len(node[0]), "a": node[1], "h": crc32(node[0].strip().encode("utf-8", "replace"))}
     parts = _fold([expression(c) for c in node[3]])
     # class names such as "with-sidebar" on what holds the page's title are about its layout
     noise = NONE if node[2] == NAMED and any(map(_titled, parts)) else node[2]
@@ -228,24 +229,27 @@ def _titled(part: dict) -> bool:
     return _tag(part) in ("h1", "main") or any(map(_titled, part["c"]))
 
 
-def _merge(a: dict, b: dict) -> dict:
-    """One expression for both; they have the same key."""
+def _merge(a: dict, b: dict, pages: Callable[[int, int], int] = add) -> dict:
+    """One expression for both; they have the same key.
+
+    ``pages`` counts the pages of both: their sum if no page is in both, and ``max`` where some may be.
+    """
     out = {"l": a["l"], "o": a["o"] | b["o"], "r": a["r"] | b["r"], "n": a["n"] + b["n"]}
     if a["l"] == "#":
-        return out | {"s": a["s"] + b["s"], "a": a["a"] + b["a"], "h": a["h"] if a["h"] == b["h"] else None}
+        return out | {"p": pages(a["p"], b["p"]), "s": a["s"] + b["s"], "a": a["a"] + b["a"], "h": a["h"] if a["h"] == b["h"] else None}
     noise = SURE if SURE in (a["g"], b["g"]) else min(a["g"], b["g"])
-    return out | {"g": noise, "c": _align(a["c"], b["c"])}
+    return out | {"g": noise, "c": _align(a["c"], b["c"], pages)}
 
 
-def _align(a: list[dict], b: list[dict]) -> list[dict]:
+def _align(a: list[dict], b: list[dict], pages: Callable[[int, int], int]) -> list[dict]:
     """Parts that both sides have in the same order are merged, the others become optional."""
     left, right = [_key(p) for p in a], [_key(p) for p in b]
     if left == right:
-        return [_merge(x, y) for x, y in zip(a, b)]
+        return [_merge(x, y, pages) for x, y in zip(a, b)]
     out = []
     for kind, i, j, k, m in SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
         if kind == "equal":
-            out += [_merge(x, y) for x, y in zip(a[i:j], b[k:m])]
+            out += [_merge(x, y, pages) for x, y in zip(a[i:j], b[k:m])]
         else:
             out += [p | {"o": 1} for p in (*a[i:j], *b[k:m])]
     return _fold(out)
@@ -257,7 +261,7 @@ def _align(a: list[dict], b: list[dict]) -> list[dict]:
 def _weigh(part: dict) -> tuple[int, int]:
     """Characters outside of links that vary, and all characters, of what isn't noise."""
     if part["l"] == "#":
-        fixed = part["h"] is not None and part["n"] >= SAME_OUTSIDE
+        fixed = part["h"] is not None and part["p"] >= SAME_OUTSIDE
         return (0 if fixed else part["s"] - part["a"]), part["s"]
     if part.get("g"):
         return 0, 0
@@ -299,7 +303,7 @@ def decide(wrapper: dict) -> dict:
 
     def mark(part: dict, inside: bool, noise: bool, mostly_fixed: bool, tag: str) -> dict:
         if part["l"] == "#":
-            fixed = part["h"] is not None and part["n"] >= (SAME_INSIDE if named else SAME_OUTSIDE) and tag not in HEADING
+            fixed = part["h"] is not None and part["p"] >= (SAME_INSIDE if named else SAME_OUTSIDE) and tag not in HEADING
             linked = not named and part["a"] * 2 > part["s"]
             return {"l": "#", "k": int(inside and not noise and not (fixed and not mostly_fixed) and not linked)}
         names = part["l"].split(".")

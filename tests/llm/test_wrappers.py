@@ -57,6 +57,21 @@ def test_layout_names_on_what_holds_the_title():
     assert w.main_text(html, w.decide(w.expression(w.parse(html)))) == "Title One two three"
 
 
+def test_repeats_within_a_page_are_no_template(spark):
+    table = "".join(f"<tr><th>name {i}</th><td>yes</td></tr>" for i in range(9))
+    listed = "".join(f"<dt>key {i}</dt><dd>same</dd>" for i in range(4))
+    rows = [("http://c.org/1", page(body=f"<p>{'words ' * 30}</p><table>{table}</table>"))]
+    rows += [(f"http://d.org/{j}", page(body=f"<p>{'words ' * 30}{j}</p><table>{table}</table>")) for j in range(2)]
+    rows += [("http://e.org/1", page("div", body=f"<p>{'words ' * 30}</p><dl>{listed}</dl>"))]
+    got = texts(spark, rows)
+    assert [got[i][0].count("yes") for i in range(3)] == [9, 9, 9] and got[3][0].count("same") == 4
+
+
+def test_texts_on_many_pages_are_template(spark):
+    got = texts(spark, [(f"http://f.org/{j}", page(body=f"<p>{'words ' * 30}{j}</p><div>Tell us</div>")) for j in range(w.SAME_INSIDE)])
+    assert not any("Tell us" in text for text, _ in got.values())
+
+
 def test_expressions_fold_and_align():
     def of(html):
         return w.expression(w.parse(html))
