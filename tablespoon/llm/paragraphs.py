@@ -86,12 +86,38 @@ def _runs(hashes: np.ndarray) -> np.ndarray:
 
 def shingles(line: str) -> np.ndarray:
     """Distinct hashed shingles of a line; of fewer words than a shingle, all of them as one."""
-    hashes, _ = words_in(line.encode("utf-8", "replace").lower())
+    return shingles_of(words_in(line.encode("utf-8", "replace").lower())[0])
+
+
+def shingles_of(hashes: np.ndarray) -> np.ndarray:
+    """:func:`shingles` of hashed words."""
     if 0 < len(hashes) < SHINGLE:
         return _ranges(hashes, _BASES[1], np.array([0]), np.array([len(hashes)]))
     return np.unique(_runs(hashes))
 
 
+def whole_hashes(hashes: np.ndarray) -> list[int]:
+    """Two hashes of all hashed words in their order."""
+    ends = np.array([0]), np.array([len(hashes)])
+    return [int(_ranges(hashes, base, *ends).view(np.int64)[0]) for base in _BASES]
+
+
+def bands_of(sets: np.ndarray) -> list[int]:
+    """MinHash bands of a set of hashed shingles; an empty one has none."""
+    if not len(sets):
+        return []
+    least = np.empty(BANDS * ROWS, np.uint64)
+    for f in range(BANDS * ROWS):
+        mixed = sets * _A[f] + _B[f]
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(_BASES[1])
+        least[f] = mixed.min()
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for row in range(ROWS):
+        keys = _mix(keys * np.uint64(_BASES[0]) + least.reshape(BANDS, ROWS)[:, row])
+    return keys.view(np.int64).tolist()
+
+
 def _sliding(values: np.ndarray, width: int, op) -> np.ndarray:
     """``op`` over every ``width`` neighbouring values, by doubling."""
     out, have = values, 1

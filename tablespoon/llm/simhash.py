@@ -11,6 +11,9 @@ threshold" with the threshold split evenly between the two sides, which sends fe
 
 Within an anchor, links form a spanning forest rather than all pairs. An anchor with more than
 BUCKET fingerprints is dealt again by the anchors of the other half (threshold 4, so 2 each side).
+
+The pipeline's stage, :func:`keep_first`, asks for a Jaccard coefficient instead, which 4 bits don't
+reach; it takes its candidates from MinHash bands and verifies them.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import paragraphs
 from .common import documents, fresh, numbered, stored
 from .components import components
 
@@ -262,12 +266,50 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(groups, "fp").select("doc_id", hexed.alias("fingerprint"), F.col("first").alias("component_id"))
 
 
+def minhashes(text: str | None) -> tuple[int, int, list[int]]:
+    """Two hashes of all words of a text, in lower case, and its MinHash bands over five-word shingles."""
+    raw = (text or "").encode("utf-8", "replace").lower()
+    words, _ = paragraphs.words_in(raw)
+    return (*paragraphs.whole_hashes(words), paragraphs.bands_of(paragraphs.shingles_of(words)))
+
+
+def _to_bands(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame([minhashes(t) for t in batch], columns=["h", "h2", "bands"])
+
+
+def similar_texts(classes: DataFrame, texts: DataFrame, bucket: int = paragraphs.BUCKET) -> DataFrame:
+    """``node, root`` for the distinct texts ``classes(node, row, bands)`` that are similar to another one.
+
+    Similar is a Jaccard coefficient of ``paragraphs.SIMILARITY`` over five-word shingles, computed
+    exactly for what collides in a band. Bands that hold the same texts are compared once. A node's
+    text is that of ``row`` in ``texts(row, written)``.
+    """
+    banded = stored(classes.select("node", F.explode("bands").alias("k")))
+    held = banded.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"))
+    once = stored(held.where("a <> b").groupBy("a", "b", "n", "x").agg(F.min("k").alias("k")).select("k"))
+    bands = banded.join(once, "k", "left_semi").groupBy("node").agg(F.collect_list("k").alias("bands"))
+    nodes = stored(classes.select("node", "row").join(stored(bands), "node")).withColumn("line", F.lit(0))
+    return paragraphs.similar_lines(nodes, texts.withColumn("line", F.lit(0)), bucket)
+
+
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each near-duplicate group just the row with the least doc_id (null last, then any one)."""
-    fp, row = fresh(docs, "fp", "row")
-    rows = numbered(docs.withColumn(fp, fingerprints(F.col("text"))), row)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
-    winners = clustered(rows.select(fp, order.alias("member")), fp, "member").select(F.col(f"first.{row}").alias(row)).distinct()
+    """Pipeline stage: of each near-duplicate group just the row with the least doc_id (null last, then any one).
+
+    Near is a Jaccard coefficient of at least 0.8 over five-word shingles. Few such pairs are within
+    the 4 bits that SimHash's anchors reach, so the candidates are what collides in a MinHash band.
+    Texts of the same words are one; those without words, null ones included, are equal.
+    """
+    marks, row = fresh(docs, "marks", "row")
+    marked = F.pandas_udf(_to_bands, "h long, h2 long, bands array<long>")
+    rows = numbered(docs.withColumn(marks, marked(F.col("text"))), row)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row"))
+    each = rows.select(F.col(f"{marks}.h").alias("h"), F.col(f"{marks}.h2").alias("h2"), F.col(f"{marks}.bands").alias("bands"), order.alias("own"))
+    classes = each.groupBy("h", "h2").agg(F.min("own").alias("own"), F.first("bands").alias("bands"))
+    classes = stored(classes.select("own", "own.row", "bands", F.monotonically_increasing_id().alias("node")))
+    linked = similar_texts(classes, rows.select(F.col(row).alias("row"), F.col("text").alias("written")))
+    groups = classes.select("node", "own").join(stored(linked), "node", "left").select("own", F.coalesce("root", "node").alias("root"))
+    winners = stored(groups.groupBy("root").agg(F.min("own").alias("first")).select(F.col("first.row").alias(row)))
     return rows.join(winners, row, "left_semi").select(*docs.columns)
 
 

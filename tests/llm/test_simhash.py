@@ -141,3 +141,29 @@ def test_odd_rows(spark, messy, empty):
     left = [r.doc_id for r in kept.collect()]
     assert kept.columns == messy.columns and left.count(1) == 1 and left.count(None) == 1 and 2 not in left
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_first(spark, empty, "").count() == 0
+
+
+def test_stage_drops_what_is_similar_in_five_words(spark, make):
+    """Whatever has a Jaccard coefficient of 0.8 goes, though hardly a pair is within 4 bits; what has less stays."""
+
+    def shingles(text):
+        words = text.split()
+        return set(zip(*(words[i:] for i in range(5))))
+
+    draw = random.Random(11)
+    rows, want, far = [], set(), 0
+    for i in range(120):
+        base = prose(3000 + i, 300)
+        words = base.split()
+        for at in draw.sample(range(300), draw.randint(3, 12)):
+            words[at] = f"new{at}"
+        copy = " ".join(words)
+        both = len(shingles(base) & shingles(copy))
+        jaccard = both / (len(shingles(base)) + len(shingles(copy)) - both)
+        rows += [(2 * i, base), (2 * i + 1, copy)]
+        want |= {2 * i} if jaccard >= 0.8 else {2 * i, 2 * i + 1}
+        far += jaccard >= 0.8 and (simhash.fingerprint(base) ^ simhash.fingerprint(copy)).bit_count() > simhash.THRESHOLD
+    left = [r.doc_id for r in simhash.keep_first(spark, make(rows), "").collect()]
+    assert len(left) == len(set(left)) and want <= set(left)
+    # a pair at exactly 0.8 shares a band with probability 0.997
+    assert far > 20 and len(left) <= len(want) + 2
