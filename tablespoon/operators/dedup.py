@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablespoon.schemas import INGEST_COLUMN
 
 
-def latest_by(df: DataFrame, keys: list[str], order: list[str], keep_rank: bool = False) -> DataFrame:
+def copy_order() -> list[Column]:
+    """What says which of two landed copies is the newer one: the day they landed
+    under, then the load. A day's file that is loaded again later is no news."""
+    parts = F.split(INGEST_COLUMN, "-")
+    day = F.when(F.size(parts) == 3, parts[1]).otherwise(F.lit(""))
+    return [day, parts[0]]
+
+
+def latest_by(df: DataFrame, keys: list[str], order: list[str], keep_rank: bool = False, by_copy: bool = False) -> DataFrame:
     """The latest row per key, by ``order`` descending with nulls last.
 
-    Copies that tie on ``order`` are told apart by the landed copy they are of and
-    then by the remaining columns, so the survivor is the same on every run. The rank filter is pushed in front of the
-    shuffle as well (a group limit), so a key with very many copies leaves at
-    most one row per input partition to be shuffled.
+    With ``by_copy`` the landed copy, where rows are marked with it, goes before
+    ``order``. Copies that tie are told apart by their mark and then by the
+    remaining columns, so the survivor is the same on every run. The rank filter is
+    pushed in front of the shuffle as well (a group limit), so a key with very many
+    copies leaves at most one row per input partition to be shuffled.
     """
     ties = [c for c in (INGEST_COLUMN,) if c in df.columns and c not in order]
     rest = ties + [c for c in df.columns if c not in (*keys, *order, *ties)]
-    ranked = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in [*order, *rest]])
+    newest = copy_order() if by_copy and ties else []
+    ranked = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in [*newest, *order, *rest]])
     latest = df.withColumn("row_num", F.row_number().over(ranked)).filter("row_num = 1")
     return latest if keep_rank else latest.drop("row_num")

@@ -22,24 +22,28 @@ from tablespoon.operators.quality import (
     check_not_null,
     gate,
     run_checks,
+    verify_table,
 )
 from tablespoon.operators.standardize import local_day, pick_date_column
 from tablespoon.plans.marts import (
     REVENUE_TABLE,
     SALES_KEY,
     SALES_TABLE,
-    months_of,
+    apply_deltas,
     revenue_daily,
+    revenue_deltas,
     revenue_of_months,
     sales_increment,
     sales_lines,
 )
 from tablespoon.plans.staging import latest_invoice, staging, stg_order_header
 from tablespoon.plans.transform import stamped, transform_master, transform_transactions
-from tablespoon.schemas import INGEST_COLUMN, PARTITION_COLUMNS, SPECS, TableSpec
+from tablespoon.schemas import PARTITION_COLUMNS, SPECS, TableSpec
 from tablespoon.session import scratch
-from tablespoon.sinks import full_refresh, merge_table, read_version, replace_partitions, save_all
-from tablespoon.sinks.versions import folders, partition_name
+from tablespoon.sinks import discard_load, full_refresh, load_id, merge_table, open_loads, read_version, save_load
+from tablespoon.sinks.keyindex import BUCKETS, found_for, index_of, read_index, touched_buckets, write_index
+from tablespoon.sinks.loads import committed, committed_loads, load_of
+from tablespoon.sinks.versions import all_folders, beside, discard, folders, in_parts, partition_name, publish, read_folders, write_folders
 from tablespoon.sources import existing, read_days, read_master, read_table, source
 from tablespoon.sources.landing import BY_DAY
 
@@ -59,42 +63,80 @@ class Lake:
     branch_map: Mapping[str, str] = field(default_factory=dict)
     specs: Mapping[str, TableSpec] = field(default_factory=lambda: SPECS)
     layout: str = BY_DAY
+    buckets: int = BUCKETS  # of the marts' key indexes; fixed once there are marts
 
     def partitions(self) -> dict[str, tuple[str, ...]]:
         return {name: spec.partitions for name, spec in self.specs.items()}
 
 
-def run_master(spark: SparkSession, lake: Lake, run_ts: dt.datetime | None = None) -> dict[str, int]:
-    """Loads the product and customer snapshots. Returns rows per table."""
-    frames = transform_master(read_master(spark, lake.landing, specs=lake.specs), run_ts, lake.branch_map, lake.specs)
-    return save_all(frames, lake.bronze, lake.partitions())
+def run_master(
+    spark: SparkSession, lake: Lake, run_ts: dt.datetime | None = None, name: str | None = None, verify: bool = False
+) -> dict[str, int]:
+    """Loads the product and customer snapshots, both or none. Returns rows per
+    table. ``name`` and ``verify`` are as in :func:`run_transactions`."""
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
+    load = load_id(run_ts)
+    documents = {table: stamped(df, load) for table, df in read_master(spark, lake.landing, specs=lake.specs).items()}
+    frames = transform_master(documents, run_ts, lake.branch_map, lake.specs)
+    if verify:
+        _verify(documents, frames)
+    return save_load(frames, lake.bronze, load, name, lake.partitions())
 
 
 def run_transactions(
-    spark: SparkSession, lake: Lake, days: str | list[str], run_ts: dt.datetime | None = None
+    spark: SparkSession,
+    lake: Lake,
+    days: str | list[str],
+    run_ts: dt.datetime | None = None,
+    name: str | None = None,
+    verify: bool = False,
 ) -> dict[str, int]:
     """Loads the orders and invoices of one or several days, as one job per table
     whatever the number of days. Returns rows per table.
 
     The documents are parsed once, into a staged table, and the five tables each
-    read their own columns of it. So nothing is loaded when a document is broken.
+    read their own columns of it. So nothing is loaded when a document is broken,
+    and readers see the load's rows once all tables have them. A scheduler that may
+    repeat a run gives it a ``name``: a name that has been loaded is not loaded
+    again. With ``verify`` the load must pass the checks on row counts and keys.
     """
     days = [days] if isinstance(days, str) else days
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
+    done = committed(spark, lake.bronze, name) if name else None
+    if done:
+        return done["rows"]
+    load = load_id(run_ts)
     with scratch(spark, "documents") as staged:
         documents = read_days(spark, lake.landing, days, lake.layout, specs=lake.specs)
-        documents = {name: stamped(df, run_ts) for name, df in documents.items()}
-        for name, df in documents.items():
-            df.write.parquet(f"{staged}/{name}")
-        parsed = {name: read_table(spark, f"{staged}/{name}", df.schema) for name, df in documents.items()}
+        documents = {table: stamped(df, load) for table, df in documents.items()}
+        for table, df in documents.items():
+            df.write.parquet(f"{staged}/{table}")
+        parsed = {table: read_table(spark, f"{staged}/{table}", df.schema) for table, df in documents.items()}
         frames = transform_transactions(parsed, run_ts, lake.branch_map, lake.specs)
-        return save_all(frames, lake.bronze, lake.partitions())
+        if verify:
+            _verify(parsed, frames)
+        return save_load(frames, lake.bronze, load, name, lake.partitions())
+
+
+def _verify(raw: Mapping[str, DataFrame], frames: Mapping[str, DataFrame]) -> None:
+    """Row counts of headers, and keys and amounts of all tables, before anything is loaded."""
+    reports = [verify_table(raw.get(table, df), df, table) for table, df in frames.items()]
+    gate(reduce(DataFrame.unionByName, reports))
+
+
+def clear_dead_loads(spark: SparkSession, lake: Lake, before: dt.datetime) -> int:
+    """Removes what loads begun before a time, and dead since, have left in the
+    bronze tables. Returns the number of files. Readers never saw their rows."""
+    tables = {t: source(spark, lake.bronze, t, specs=lake.specs, open_=[]) for t in lake.specs if existing(spark, [f"{lake.bronze}/{t}"])}
+    dead = [load for load in open_loads(spark, lake.bronze) if load < load_id(before)]
+    return sum(discard_load(spark, lake.bronze, load, tables) for load in dead)
 
 
 def bronze_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """The bronze tables written so far, by name."""
-    written = [name for name in lake.specs if existing(spark, [f"{lake.bronze}/{name}"])]
-    return {name: source(spark, lake.bronze, name, specs=lake.specs) for name in written}
+    """The bronze tables written so far, by name, all as of the same loads."""
+    open_ = open_loads(spark, lake.bronze)
+    written = [table for table in lake.specs if existing(spark, [f"{lake.bronze}/{table}"])]
+    return {table: source(spark, lake.bronze, table, specs=lake.specs, open_=open_) for table in written}
 
 
 def build(
@@ -109,9 +151,9 @@ def build(
 ) -> DataFrame:
     """Builds staging views and marts and returns the quality report.
 
-    An invoice that changed its day is looked for in all months of the sales
-    table, or in those from ``moved_within_months`` before ``as_of`` on, where the
-    deployment knows that corrections reach back no further.
+    An invoice that changed its day is found in any month of the sales table, by
+    an index of invoices to months; with ``moved_within_months`` there is no index,
+    and months from that many before ``as_of`` on are searched.
 
     A failed check raises: those on the sales table before it is published, the
     one on orders, which no mart depends on, at the end. By default the lines of
@@ -138,32 +180,69 @@ def build(
 
 
 def _build_revenue(spark: SparkSession, lake: Lake, header: DataFrame, dedupe: bool) -> None:
-    """Rebuilds the months that invoices loaded since the last build can change.
+    """Brings daily revenue up to date with the loads that have committed.
 
-    Which loads the mart holds is kept beside it; without that, or if the last build
-    counted copies otherwise, the whole mart is rebuilt. A run that dies between
-    the two leaves the list behind, so the next one builds these months again.
+    The first build reads all invoices. Later ones read those of new loads and, by
+    an index of invoices to months, the earlier copies of the same invoices, and add
+    signed differences to the days concerned. Mart, index and the list of loads
+    that it holds are one version, so a run that dies has changed nothing. Rows that
+    were appended without a load are taken in by a first build only.
     """
-    path = f"{lake.marts}/{REVENUE_TABLE}"
-    load = F.coalesce(F.substring_index(INGEST_COLUMN, "-", 1), F.lit(""))
-    loads = header.select(load.alias("load")).distinct().withColumn("dedupe", F.lit(dedupe))
-    built = read_version(spark, f"{path}_loads", _LOADS).filter(F.col("dedupe") == dedupe)
-    with scratch(spark, "months") as work:
-        loads.write.parquet(f"{work}/loads")
-        loads = read_table(spark, f"{work}/loads")
-        new = loads.join(built, "load", "left_anti")
-        if new.isEmpty():
-            return
-        if folders(spark, path) and not built.isEmpty():
-            batch = header.withColumn("load", load).join(new, "load", "left_semi")
-            months_of(header, batch).write.parquet(f"{work}/months")
-            months = read_table(spark, f"{work}/months")
-            names = {partition_name(r.asDict().items()) for r in months.collect()}  # a row per folder
-            fresh = revenue_of_months(header, months, dedupe)
-            replace_partitions(fresh, path, keep=lambda part: part not in names)
+    path, key, month = f"{lake.marts}/{REVENUE_TABLE}", ["ref_id"], ("year", "month")
+    current = all_folders(spark, path) or {}
+    built = read_folders(spark, path, {p: f for p, f in current.items() if p.startswith("@loads/")}, _LOADS)
+    applied = {r["load"] for r in built.filter(F.col("dedupe") == dedupe).collect()}  # a row per load
+    loads = committed_loads(spark, lake.bronze)
+    new = [committed(spark, lake.bronze, load) for load in loads if load not in applied] if applied else []
+    if applied and not new:
+        return
+    counted = spark.createDataFrame([(load, dedupe) for load in loads], _LOADS).coalesce(1)
+    with scratch(spark, "revenue") as work:
+        if not applied:
+            written = write_folders(revenue_daily(header, dedupe), path, month)
+            written |= write_index(index_of(header, key, month, lake.buckets), path)
+            replaced = set(current)
         else:
-            full_refresh(revenue_daily(header, dedupe), path)
-        full_refresh(loads, f"{path}_loads", partitions=())
+            rows_of_loads(header, new).write.parquet(f"{work}/batch")
+            batch = read_table(spark, f"{work}/batch", header.schema)
+            buckets = touched_buckets(batch, key, lake.buckets)
+            index = read_index(spark, path, current, buckets, header.select(*key, *month).schema)
+            if dedupe:
+                changes = revenue_deltas(batch, earlier_copies(header, batch, index, new))
+            else:  # copies add up where they are
+                changes = batch.select(*month).distinct()
+            changes.write.parquet(f"{work}/changes")
+            changes = read_table(spark, f"{work}/changes", changes.schema)
+            months = {partition_name(r.asDict().items()) for r in changes.select(*month).distinct().collect()}  # a row per folder
+            old = read_folders(spark, path, {p: f for p, f in current.items() if p in months}, revenue_daily(header).schema)
+            rows = apply_deltas(old, changes) if dedupe else revenue_of_months(header, changes)
+            written = write_folders(rows, path, month)
+            merged = index.unionByName(index_of(batch, key, month, lake.buckets)).distinct()
+            written |= write_index(merged, path)
+            replaced = months.union(buckets, [p for p in current if p.startswith("@loads/")])
+        written |= beside("loads", write_folders(counted, path, ()))
+        try:
+            publish(spark, path, written, lambda part: part not in replaced, current, lambda part: True)
+        except Exception:
+            discard(spark, path, written)
+            raise
+
+
+def rows_of_loads(header: DataFrame, loads: list[dict]) -> DataFrame:
+    """The invoices of some loads, by their records, out of the folders that these wrote to."""
+    parts = sorted({part for record in loads for part in record["parts"].get("invoice_header", [])})
+    return header.filter(in_parts(parts) & load_of().isin([record["load"] for record in loads]))
+
+
+def earlier_copies(header: DataFrame, batch: DataFrame, index: DataFrame, loads: list[dict]) -> DataFrame:
+    """The copies of a batch's invoices that other loads than its own brought, out
+    of the months that the index has for them."""
+    found = found_for(index, batch, ["ref_id"])
+    months = found.select("year", "month").distinct().collect()  # a row per folder
+    ids = batch.select("ref_id").distinct()
+    rows = header.filter(in_parts([partition_name(r.asDict().items()) for r in months]))
+    rows = rows.filter(F.coalesce(~load_of().isin([record["load"] for record in loads]), F.lit(True)))
+    return rows.join(ids, rows["ref_id"].eqNullSafe(ids["ref_id"]), "left_semi")
 
 
 def _build_sales(
@@ -191,9 +270,11 @@ def _build_sales(
         fresh = read_table(spark, sales_path, schema)
         report = spark.createDataFrame(gate(run_checks(fresh, checks)).collect(), REPORT_SCHEMA)  # a row per check
         keys = SALES_KEY if mode == "unique" else SALES_KEY[:1]
-        first = None if moved_within_months is None else as_of.year * 12 + as_of.month - 1 - moved_within_months
-        within = lambda part: first is None or _month_of(part) >= first
-        merge_table(spark, path, fresh, keys, mode=mode, search=within)
+        if moved_within_months is None:
+            merge_table(spark, path, fresh, keys, mode=mode, buckets=lake.buckets)
+        else:
+            first = as_of.year * 12 + as_of.month - 1 - moved_within_months
+            merge_table(spark, path, fresh, keys, mode=mode, search=lambda part: _month_of(part) >= first)
         return report
 
 

@@ -19,6 +19,7 @@ SALES_KEY = ["order_id", "item_id"]
 SALES_TABLE = "view_master_sales_analytics"
 REVENUE_TABLE = "revenue_daily"
 
+_REVENUE_KEY = ["report_date", "branch_name", "year", "month"]
 _HEADER_COLUMNS = ["ref_id", "branch_name", "ref_no", "customer_id", "ref_date", "day", "month", "year"]
 
 
@@ -32,34 +33,53 @@ def revenue_daily(header: DataFrame, dedupe: bool = False) -> DataFrame:
     if dedupe:
         header = latest_invoice(header)
     orders, revenue = F.count_distinct("ref_id"), F.sum("total_amount")
+    sums = header.filter(F.col("total_amount") > 0).groupBy(*_REVENUE_KEY)
+    return _with_average(sums.agg(orders.alias("total_orders"), revenue.alias("total_revenue")))
+
+
+def _with_average(sums: DataFrame) -> DataFrame:
+    average = F.when(F.col("total_orders") > 0, F.col("total_revenue") / F.col("total_orders")).otherwise(0.0)
+    return sums.withColumn("aov", average)
+
+
+def revenue_deltas(batch: DataFrame, earlier: DataFrame) -> DataFrame:
+    """What a batch of invoices changes in the deduplicated daily revenue: signed
+    orders and revenue per day and branch.
+
+    ``earlier`` are the copies, counted before, of the batch's invoices; copies of
+    other invoices do no harm. An invoice whose latest copy is now another one
+    takes back what the old one added; one that stays as it was changes nothing,
+    so a batch that lands again gives no row.
+    """
+    group = F.struct(*_REVENUE_KEY, "total_amount")
+    ids = batch.select("ref_id").distinct()
+    earlier = earlier.join(ids, earlier["ref_id"].eqNullSafe(ids["ref_id"]), "left_semi")
+    before = latest_invoice(earlier).select(F.col("ref_id").alias("_ref_id"), group.alias("_old"))
+    after = latest_invoice(earlier.unionByName(batch)).select("ref_id", group.alias("_new"))
+    changed = after.join(before, F.col("ref_id").eqNullSafe(F.col("_ref_id")), "left").filter(~F.col("_new").eqNullSafe(F.col("_old")))
+    signed = F.array(F.struct(F.lit(1).alias("sign"), F.col("_new").alias("of")), F.struct(F.lit(-1).alias("sign"), F.col("_old").alias("of")))
+    rows = changed.select("ref_id", F.explode(signed).alias("_row")).select("ref_id", "_row.sign", "_row.of.*")
+    counted = F.sum(F.when(F.col("ref_id").isNotNull(), F.col("sign")).otherwise(0))
     return (
-        header.filter(F.col("total_amount") > 0)
-        .groupBy("report_date", "branch_name", "year", "month")
-        .agg(orders.alias("total_orders"), revenue.alias("total_revenue"))
-        .withColumn(
-            "aov",
-            F.when(F.col("total_orders") > 0, F.col("total_revenue") / F.col("total_orders")).otherwise(0.0),
-        )
+        rows.filter(F.col("total_amount") > 0)
+        .groupBy(*_REVENUE_KEY)
+        .agg(counted.alias("total_orders"), F.sum(F.col("sign") * F.col("total_amount")).alias("total_revenue"))
     )
 
 
-def months_of(header: DataFrame, batch: DataFrame) -> DataFrame:
-    """The months whose revenue a batch of invoices can change: those of its rows,
-    and those of the other copies of its invoices, which a correction may have left.
-    Of the whole table only the key and the month are read."""
-    ids = batch.select("ref_id").distinct()
-    return header.select("ref_id", "year", "month").join(ids, "ref_id", "left_semi").select("year", "month").distinct()
+def apply_deltas(revenue: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Daily revenue after signed changes; days and branches that nothing is left of are gone."""
+    columns = [*_REVENUE_KEY, "total_orders", "total_revenue"]
+    both = revenue.select(*columns).unionByName(deltas.select(*columns))
+    sums = both.groupBy(*_REVENUE_KEY).agg(F.sum("total_orders").alias("total_orders"), F.sum("total_revenue").alias("total_revenue"))
+    # what is taken back differs from what was added by the rounding of sums at most
+    left = sums.filter((F.col("total_orders") != 0) | (F.round("total_revenue", 6) != 0))
+    return _with_average(left)
 
 
-def revenue_of_months(header: DataFrame, months: DataFrame, dedupe: bool = False) -> DataFrame:
-    """Daily revenue of the given (year, month) rows alone, as a full run has it.
-    With ``dedupe`` an invoice counts in the month of its latest copy, so all
-    copies of the invoices seen in these months are looked at."""
-    months = months.select("year", "month")
-    if dedupe:
-        ids = header.select("ref_id", "year", "month").join(months, ["year", "month"], "left_semi").select("ref_id").distinct()
-        header = latest_invoice(header.join(ids, "ref_id", "left_semi"))
-    return revenue_daily(header.join(months, ["year", "month"], "left_semi"))
+def revenue_of_months(header: DataFrame, months: DataFrame) -> DataFrame:
+    """Daily revenue, copies included, of the given (year, month) rows alone."""
+    return revenue_daily(header.join(months.select("year", "month"), ["year", "month"], "left_semi"))
 
 
 def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -74,9 +94,9 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
     other keys or by a rank, which the adaptive planner can't split; the second
     key makes it deal both out anew for the join, and then it splits hot invoices.
     """
+    marked = dedupe and INGEST_COLUMN in header.columns and INGEST_COLUMN in detail.columns
     if dedupe:
         header, detail = latest_invoice(header), latest_invoice_detail(detail)
-    marked = dedupe and INGEST_COLUMN in header.columns and INGEST_COLUMN in detail.columns
     copy = F.coalesce(INGEST_COLUMN, F.lit("")) if marked else F.xxhash64("ref_id")
     kept = header.filter(F.col("payment_status") != EXCLUDED_STATUS).select(*_HEADER_COLUMNS, copy.alias("_copy"))
     lines = detail.select(

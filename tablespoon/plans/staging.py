@@ -28,14 +28,16 @@ def stg_passthrough(df: DataFrame) -> DataFrame:
 
 
 def latest_invoice(df: DataFrame) -> DataFrame:
-    """Latest copy of each invoice."""
-    return latest_by(df, ["ref_id"], ["ref_date"])
+    """Latest copy of each invoice: the one that landed last, whatever its date, so
+    that a correction may date an invoice back. Copies that do not say when they
+    landed go by their date."""
+    return latest_by(df, ["ref_id"], ["ref_date"], by_copy=True)
 
 
 def latest_invoice_detail(df: DataFrame) -> DataFrame:
     """Latest copy of each invoice line. A line belongs to its invoice, so
     conditions on the invoice still reach the scan."""
-    return latest_by(df, ["ref_id", "ref_detail_id"], ["ref_date"])
+    return latest_by(df, ["ref_id", "ref_detail_id"], ["ref_date"], by_copy=True)
 
 
 def latest_master(df: DataFrame, key: str) -> DataFrame:

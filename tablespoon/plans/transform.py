@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -42,13 +41,14 @@ def transform(
     return partition_trans(typed, run_ts, same_field=renamed)
 
 
-def stamped(documents: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Nested documents with the mark of the landed copy they are: the load, which
-    sorts by time, and the content, which tells copies within a load apart."""
-    aware = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=dt.timezone.utc)
-    load = f"{aware.astimezone(dt.timezone.utc):%Y%m%dT%H%M%S%f}.{uuid.uuid4().hex[:8]}"
+def stamped(documents: DataFrame, load: str) -> DataFrame:
+    """Nested documents, as read from files, with the mark of the landed copy they
+    are: the load, whose id sorts by time, the day in the file's path, and the
+    content, which tells copies within a day apart."""
+    day = F.regexp_extract(F.input_file_name(), r"(\d{4})-(\d{2})-(\d{2})(?!.*\d{4}-\d{2}-\d{2})", 0)
     content = F.hex(F.xxhash64(*[F.col(c) for c in documents.columns]))
-    return documents.withColumn(INGEST_COLUMN, F.concat(F.lit(f"{load}-"), content))
+    mark = F.concat_ws("-", F.lit(load), F.translate(day, "-", ""), content)
+    return documents.withColumn(INGEST_COLUMN, mark)
 
 
 def transform_transactions(

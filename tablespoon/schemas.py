@@ -29,7 +29,8 @@ MASTER_TABLES = ("customer", "product", "branch")
 
 PARTITION_COLUMNS = ("year", "month", "day")
 
-# Which landed copy of a document a row of a transaction table came from.
+# Which landed copy of a document a row came from: its load, the day it landed
+# and its content, with dashes between.
 INGEST_COLUMN = "ingest_id"
 
 _LANDED_TYPES: dict[str, T.DataType] = {
@@ -95,9 +96,8 @@ class TableSpec:
 
     @property
     def stored(self) -> T.StructType:
-        """What the jobs store: transaction tables also say which landed copy a row is of."""
-        own = [] if self.is_master else [T.StructField(INGEST_COLUMN, T.StringType())]
-        return T.StructType(self.bronze.fields + own)
+        """What the jobs store: rows also say which landed copy they are of."""
+        return T.StructType(self.bronze.fields + [T.StructField(INGEST_COLUMN, T.StringType())])
 
 
 def _struct(fields: Mapping[str, str]) -> T.StructType:

@@ -1,5 +1,6 @@
 """Writers for bronze tables and marts."""
 
+from tablespoon.sinks.loads import discard_load, load_id, open_loads, save_load, whole
 from tablespoon.sinks.tables import (
     full_refresh,
     land,
@@ -10,16 +11,22 @@ from tablespoon.sinks.tables import (
     save_partitions,
     save_table,
 )
-from tablespoon.sinks.versions import read_version
+from tablespoon.sinks.versions import Conflict, read_version
 
 __all__ = [
+    "Conflict",
+    "discard_load",
     "full_refresh",
     "land",
+    "load_id",
     "merge_table",
+    "open_loads",
     "read_version",
     "replace_partitions",
     "save_all",
     "save_flat",
+    "save_load",
     "save_partitions",
     "save_table",
+    "whole",
 ]

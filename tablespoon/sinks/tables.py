@@ -17,18 +17,15 @@ from pyspark.sql import functions as F
 
 from tablespoon.operators.incremental import upsert
 from tablespoon.schemas import PARTITION_COLUMNS
-from tablespoon.sinks.versions import (
-    discard,
-    folders,
-    partition_name,
-    publish,
-    read_folders,
-    read_version,
-    write_folders,
-)
+from tablespoon.sinks import keyindex
+from tablespoon.sinks.keyindex import has_index
+from tablespoon.sinks.versions import Conflict, all_folders, discard, partition_name, publish, read_folders, write_folders
 
 logger = logging.getLogger(__name__)
 
+# How often a merge is tried against versions of other writers.
+ATTEMPTS = 10
+
 
 def _usable(df: DataFrame, partitions: list[str] | tuple[str, ...] | None) -> list[str]:
     usable = [p for p in partitions or () if p in df.columns]
@@ -45,13 +42,19 @@ def _balanced(df: DataFrame, partitions: list[str]) -> DataFrame:
 def save_table(df: DataFrame, path: str, partitions=PARTITION_COLUMNS) -> int:
     """Appends; existing rows are never touched and new columns are allowed.
     Returns the number of rows, counted while writing. An empty batch adds no data file."""
+    return append(df, path, partitions)[0]
+
+
+def append(df: DataFrame, path: str, partitions=PARTITION_COLUMNS) -> tuple[int, list[str]]:
+    """As :func:`save_table`, and also returns the names of the partitions appended to."""
     written = Observation()
     usable = _usable(df, partitions)
-    observed = (_balanced(df, usable) if usable else df).observe(written, F.count(F.lit(1)).alias("n"))
+    seen = F.collect_set(F.struct(*usable)) if usable else F.array()
+    observed = (_balanced(df, usable) if usable else df).observe(written, F.count(F.lit(1)).alias("n"), seen.alias("parts"))
     observed.write.mode("append").partitionBy(*usable).parquet(path)
-    n = written.get["n"]
+    n, parts = written.get["n"], written.get["parts"]
     logger.info("%s rows appended to %s", n, path)
-    return n
+    return n, sorted(partition_name(zip(usable, part)) for part in parts)
 
 
 def save_partitions(df: DataFrame, path: str, partitions=PARTITION_COLUMNS) -> None:
@@ -120,19 +123,25 @@ def replace_partitions(
     partitions: tuple[str, ...] = ("year", "month"),
     keep: Callable[[str], bool] = lambda part: True,
     check: Callable[[DataFrame], object] | None = None,
+    base: Mapping[str, str] | None = None,
+    read: Callable[[str], bool] | None = None,
+    also: Mapping[str, str] | None = None,
 ) -> None:
     """Publishes a version made of the rows of ``df`` and of those partitions of
-    the current one that ``df`` has no rows for and ``keep`` wants."""
+    the current one that ``df`` has no rows for and ``keep`` wants. With ``base``,
+    the folders that the rows were computed from, it raises
+    :class:`~tablespoon.sinks.versions.Conflict` where another writer has changed
+    those that ``read`` accepts, by default the ones replaced. ``also`` are folders
+    written beside the table, which become part of the version."""
     spark = df.sparkSession
     written = write_folders(df, path, partitions)
     try:
         if check:
             check(read_folders(spark, path, written, df.schema))
+        publish(spark, path, written | dict(also or {}), keep, base, read)
     except Exception:
         discard(spark, path, written)
         raise
-    current = folders(spark, path) or {}
-    publish(spark, path, {part: folder for part, folder in current.items() if keep(part)} | written)
 
 
 def merge_table(
@@ -143,21 +152,59 @@ def merge_table(
     partitions: tuple[str, ...] = ("year", "month"),
     mode: str = "unique",
     search: Callable[[str], bool] = lambda part: True,
+    buckets: int | None = None,
 ) -> None:
     """Upserts into a published table, rewriting only the partitions concerned.
 
     Those are the partitions of the source rows and of the target rows they
-    match; the list is bounded by the number of folders. Matches are looked for
-    in the keys of the partitions that ``search`` accepts, by default in all: a
-    caller who knows how far back a key can have moved spares the older ones.
-    ``source`` is read several times, so it should be a stored table.
+    match; the list is bounded by the number of folders. With ``buckets``, the
+    table has an index of its keys in that many buckets, from its first such merge
+    on: matches are then found in any partition, by the buckets of the source's
+    keys alone. Without, they are looked for in the keys of the partitions that
+    ``search`` accepts, by default in all. ``source`` is read several times, so it
+    should be a stored table. Where another writer has published in the
+    meantime, the merge is done again on its version.
     """
-    current = folders(spark, path) or {}
-    searched = read_version(spark, path, source.schema, [part for part in current if search(part)])
-    matched = searched.select(*keys, *partitions).join(source.select(*keys).distinct(), keys, "left_semi")
-    rows = matched.select(*partitions).union(source.select(*partitions)).distinct().collect()
-    touched = {partition_name((p, row[p]) for p in partitions) for row in rows}
+    for left in reversed(range(ATTEMPTS)):
+        try:
+            return _merge(spark, path, source, keys, partitions, mode, search, buckets)
+        except Conflict:
+            if not left:
+                raise
+            logger.warning("%s was published by another writer, merging again", path)
+
+
+def _merge(spark, path, source, keys, partitions, mode, search, buckets) -> None:
+    current = all_folders(spark, path) or {}
+    main = {part: folder for part, folder in current.items() if not part.startswith("@")}
+    columns = source.select(*keys, *partitions).schema
+    also, changed = {}, []
+    if buckets is None:
+        rows = read_folders(spark, path, {part: folder for part, folder in main.items() if search(part)}, source.schema)
+        matched = rows.select(*keys, *partitions).join(source.select(*keys).distinct(), keys, "left_semi")
+    else:
+        if has_index(current):
+            changed = keyindex.touched_buckets(source, keys, buckets)
+            index = keyindex.read_index(spark, path, current, changed, columns)
+        else:  # made from all keys, once
+            index = keyindex.index_of(read_folders(spark, path, main, source.schema), keys, partitions, buckets)
+        matched = keyindex.found_for(index, source, keys)
+    parts = matched.select(*partitions).union(source.select(*partitions)).distinct().collect()
+    touched = {partition_name((p, row[p]) for p in partitions) for row in parts}
     if not touched:
         return
-    target = read_version(spark, path, source.schema, touched)
-    replace_partitions(upsert(target, source, keys, mode), path, partitions, keep=lambda part: part not in touched)
+    target = read_folders(spark, path, {part: folder for part, folder in main.items() if part in touched}, source.schema)
+    merged = upsert(target, source, keys, mode)
+    if buckets is not None:
+        also = keyindex.write_index(keyindex.renewed(index, source, keys, partitions, buckets), path)
+        changed = changed or [part for part in current if part.startswith("@")]
+        depends = lambda part: part in touched or part in also or part in changed
+    else:  # keys may have come to any partition searched
+        depends = lambda part: part in touched or (not part.startswith("@") and search(part))
+        changed = [part for part in current if part.startswith("@")]  # an index that is not kept up must not stay
+    replaced = touched.union(changed)
+    try:
+        replace_partitions(merged, path, partitions, lambda part: part not in replaced, None, current, depends, also)
+    except Exception:
+        discard(spark, path, also)
+        raise

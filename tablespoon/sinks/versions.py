@@ -3,22 +3,27 @@
 A table's folder holds a data folder per write and ``_versions``, one small file
 per version that lists the partition folders it is made of. A write first fills
 a data folder that no version names; readers see it only once its version file
-is there, which is a rename. A run that dies before that leaves the table as it
-was. Partition columns are stored in the files, too, so that a version may take
-its folders from several data folders.
+is there. A run that dies before that leaves the table as it was. Partition
+columns are stored in the files, too, so that a version may take its folders
+from several data folders.
+
+Version files are numbered and each number is written once. A writer who finds
+its number taken looks at what the other has published: if its own rows depend
+on none of that, it goes on from there, else it is told to start again.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablespoon.session import remove
+from tablespoon.sinks.files import names, read_text, write_once
 
 _VERSIONS = "_versions"
 
@@ -26,29 +31,37 @@ _VERSIONS = "_versions"
 KEPT = 2
 
 
-def _at(spark: SparkSession, path: str):
-    """File system and path object."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+class Conflict(RuntimeError):
+    """Another writer has changed partitions that rows were computed from."""
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    system, hadoop_path = _at(spark, path)
-    return sorted(s.getPath().getName() for s in system.listStatus(hadoop_path)) if system.exists(hadoop_path) else []
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in names(spark, f"{path}/{_VERSIONS}") if n.endswith(".json") and not n.startswith(".")]
 
 
 def _read(spark: SparkSession, path: str, version: str) -> dict[str, str]:
-    lines = spark.read.text(f"{path}/{_VERSIONS}/{version}", wholetext=True).first()
-    return json.loads(lines[0])
+    return json.loads(read_text(spark, f"{path}/{_VERSIONS}/{version}"))
 
 
-def folders(spark: SparkSession, path: str) -> dict[str, str] | None:
-    """Partition folders of the current version, relative to the table, by
-    partition such as ``year=2024/month=1``; None if nothing was published yet."""
-    versions = [n for n in _names(spark, f"{path}/{_VERSIONS}") if n.endswith(".json")]
+def all_folders(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """Folders of the current version, relative to the table, by partition such as
+    ``year=2024/month=1``, and those of the tables beside it, such as
+    ``@keys/bucket=3``; None if nothing was published yet."""
+    versions = _versions(spark, path)
     return _read(spark, path, versions[-1]) if versions else None
 
 
+def folders(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """Partition folders of the current version without those beside it."""
+    current = all_folders(spark, path)
+    return None if current is None else {part: folder for part, folder in current.items() if not part.startswith("@")}
+
+
+def beside(name: str, found: Mapping[str, str]) -> dict[str, str]:
+    """Folders as those of a table that is kept beside another one and published with it."""
+    return {f"@{name}/{part}": folder for part, folder in found.items()}
+
+
 def read_version(
     spark: SparkSession, path: str, schema: T.StructType | None = None, only: Iterable[str] | None = None
 ) -> DataFrame:
@@ -58,7 +71,7 @@ def read_version(
     return read_folders(spark, path, {p: f for p, f in current.items() if only is None or p in only}, schema)
 
 
-def read_folders(spark: SparkSession, path: str, chosen: dict[str, str], schema: T.StructType | None) -> DataFrame:
+def read_folders(spark: SparkSession, path: str, chosen: Mapping[str, str], schema: T.StructType | None) -> DataFrame:
     """The rows of some partition folders of a table, published or not."""
     if chosen:
         paths = [f"{path}/{folder}" for folder in chosen.values()]
@@ -73,6 +86,16 @@ def partition_name(values: Iterable[tuple[str, object]]) -> str:
     return "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in values)
 
 
+def in_parts(parts: Iterable[str]) -> Column:
+    """Rows of the partitions so named; on partition columns it keeps other folders from being read."""
+    parts = list(parts)
+    if not parts:
+        return F.lit(False)
+    columns = [p.split("=")[0] for p in parts[0].split("/")]
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")) for c in columns]
+    return F.concat_ws("/", *[F.concat(F.lit(f"{c}="), v) for c, v in zip(columns, values)]).isin(parts)
+
+
 def write_folders(df: DataFrame, path: str, partitions: tuple[str, ...]) -> dict[str, str]:
     """Writes a data folder that no version names yet. Gives its partition folders."""
     spark, data = df.sparkSession, f"data-{uuid.uuid4().hex}"
@@ -84,29 +107,46 @@ def write_folders(df: DataFrame, path: str, partitions: tuple[str, ...]) -> dict
         found = {
             f"{part}/{name}".lstrip("/"): f"{folder}/in_{name}"
             for part, folder in found.items()
-            for name in [n[3:] for n in _names(spark, f"{path}/{folder}") if n.startswith(f"in_{p}=")]
+            for name in [n[3:] for n in names(spark, f"{path}/{folder}") if n.startswith(f"in_{p}=")]
         }
     return found
 
 
-def discard(spark: SparkSession, path: str, written: dict[str, str]) -> None:
+def discard(spark: SparkSession, path: str, written: Mapping[str, str]) -> None:
     """Removes what :func:`write_folders` wrote, if it is not to be published."""
     for data in {folder.split("/")[0] for folder in written.values()}:
         remove(spark, f"{path}/{data}")
 
 
-def publish(spark: SparkSession, path: str, made_of: dict[str, str]) -> None:
-    """Makes ``made_of`` the current version, in one step for readers, and removes
-    the folders that only versions before the last ``KEPT`` name."""
-    versions = [n for n in _names(spark, f"{path}/{_VERSIONS}") if n.endswith(".json")]
-    number = int(versions[-1].split("-")[0]) + 1 if versions else 1
-    final = f"{path}/{_VERSIONS}/{number:010d}-{uuid.uuid4().hex}.json"
-    system, draft = _at(spark, f"{final}.draft")
-    out = system.create(draft)
-    out.write(bytearray(json.dumps(made_of).encode()))
-    out.close()
-    if not system.rename(draft, _at(spark, final)[1]):
-        raise OSError(f"could not publish {final}")
+def publish(
+    spark: SparkSession,
+    path: str,
+    written: Mapping[str, str],
+    keep: Callable[[str], bool] = lambda part: False,
+    base: Mapping[str, str] | None = None,
+    read: Callable[[str], bool] | None = None,
+) -> None:
+    """Makes ``written``, and the partitions of the current version that ``keep``
+    wants, the next version, in one step for readers.
+
+    ``base`` is the version that the rows were computed from, and ``read`` says
+    which of its partitions they depend on: by default those that they replace. If
+    another writer has changed one of these since, :class:`Conflict` is raised and
+    nothing published. Without a base the last writer wins. Folders that only
+    versions before the last ``KEPT`` name are removed.
+    """
+    read = read or (lambda part: part in written or not keep(part))
+    while True:
+        versions = _versions(spark, path)
+        now = _read(spark, path, versions[-1]) if versions else {}
+        if base is not None:
+            changed = [p for p in {*base, *now} if base.get(p) != now.get(p) and read(p)]
+            if changed:
+                raise Conflict(f"{path}: {sorted(changed)} changed since they were read")
+        number = int(versions[-1].split(".")[0].split("-")[0]) + 1 if versions else 1
+        made_of = {part: folder for part, folder in now.items() if keep(part)} | dict(written)
+        if write_once(spark, f"{path}/{_VERSIONS}/{number:010d}.json", json.dumps(made_of)):
+            break
     old, kept = versions[: -KEPT + 1], versions[-KEPT + 1 :]
     used = set(made_of.values()).union(*(_read(spark, path, v).values() for v in kept)) if old else set()
     for version in old:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablespoon.schemas import SPECS, TableSpec
+from tablespoon.sinks.loads import open_loads, whole
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -19,10 +20,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def source(
-    spark: SparkSession, bronze: str, name: str, merge_schema: bool = False, specs: Mapping[str, TableSpec] = SPECS
+    spark: SparkSession, bronze: str, name: str, merge_schema: bool = False, specs: Mapping[str, TableSpec] = SPECS,
+    open_: list[str] | None = None,
 ) -> DataFrame:
-    """A bronze table by its registered name."""
-    return read_table(spark, f"{bronze}/{name}", None if merge_schema else specs[name].stored)
+    """A bronze table by its registered name, without the rows of loads that have not
+    committed. Who reads several tables looks once which these are, and says so."""
+    rows = read_table(spark, f"{bronze}/{name}", None if merge_schema else specs[name].stored)
+    return whole(rows, open_loads(spark, bronze) if open_ is None else open_)
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:

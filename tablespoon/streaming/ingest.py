@@ -1,67 +1,35 @@
 """Landed JSON to bronze as a file stream, one per document.
 
-A document is parsed once and written to all its tables; only then are its files
-archived. The checkpoint remembers which files belong to which batch, so a batch
-that is repeated holds the same files. It is written to a staging folder first,
-which is marked when complete, and then moved into the tables file by file under
-names that tell stream and batch: a repeated batch goes on where the last attempt
-stopped, and one that was finished is skipped. The tables hold plain files and no
-log of the stream, so batch loads beside it are read like the rest.
+A document is parsed once and written to all its tables as one load, which readers
+see once it has committed; only then are its files archived. The checkpoint
+remembers which files belong to which batch, and a load is named after stream and
+batch, so a batch that is repeated after its load committed is not loaded again. A
+batch that died halfway has an open load, of which readers see nothing. The
+tables hold plain files, so batch loads beside the stream are read like the rest.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablespoon.plans.transform import stamped, transform
 from tablespoon.operators.nested import split_document
+from tablespoon.plans.transform import stamped, transform
 from tablespoon.schemas import SPECS, Document, TableSpec
-from tablespoon.session import remove
-from tablespoon.sources.landing import existing
-
-
-def _system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _mark(spark: SparkSession, path: str) -> None:
-    system, hadoop_path = _system(spark, path)
-    system.create(hadoop_path, True).close()
-
-
-def _move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
-    """Moves all data files below ``source`` to the same folders below ``target``.
-    Files that an earlier attempt has moved are not there any more."""
-    system, folder = _system(spark, source)
-    if not system.exists(folder):
-        return
-    for status in system.listStatus(folder):
-        name = status.getPath().getName()
-        if status.isDirectory():
-            _move_files(spark, f"{source}/{name}", f"{target}/{name}", prefix)
-        elif not name.startswith(("_", ".")):
-            system.mkdirs(_system(spark, target)[1])
-            if not system.rename(status.getPath(), _system(spark, f"{target}/{prefix}-{name}")[1]):
-                raise OSError(f"could not move {source}/{name}")
+from tablespoon.sinks.files import at, read_text, write_once
+from tablespoon.sinks.loads import committed, load_id, save_load
 
 
-def write_batch(spark: SparkSession, frames: Mapping[str, DataFrame], bronze: str, state: str, batch: str, specs) -> None:
-    """Writes the frames of one batch to their tables, once however often it is called."""
-    staging, done = f"{state}/staging/{batch}", f"{state}/done/{batch}"
-    if existing(spark, [done]):
-        return
-    if not existing(spark, [f"{staging}/_written"]):
-        for name, rows in frames.items():
-            rows.write.mode("overwrite").partitionBy(*specs[name].partitions).parquet(f"{staging}/{name}")
-        _mark(spark, f"{staging}/_written")
-    for name in frames:
-        _move_files(spark, f"{staging}/{name}", f"{bronze}/{name}", f"stream-{batch}")
-    _mark(spark, done)
-    remove(spark, staging)
+def _stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name that lives as long as the checkpoint."""
+    path = f"{checkpoint}/tablespoon/name"
+    system, hadoop_path = at(spark, path)
+    if not system.exists(hadoop_path):
+        write_once(spark, path, uuid.uuid4().hex)
+    return read_text(spark, path)
 
 
 def stream_ingest(
@@ -91,16 +59,15 @@ def stream_ingest(
 
     def take(rows: DataFrame, number: int) -> None:
         own = rows.sparkSession
-        parsed = f"{checkpoint}/tablespoon/parsed"
-        batch = f"{document.header}-{number}"
-        state = f"{checkpoint}/tablespoon"
-        if existing(own, [f"{state}/done/{batch}"]):
+        name = f"{document.header}-{_stream_name(own, checkpoint)}-{number}"
+        if committed(own, bronze, name):
             return
-        nested = stamped(rows, run_ts)
+        load, parsed = load_id(run_ts), f"{checkpoint}/tablespoon/parsed"
+        nested = stamped(rows, load)
         nested.write.mode("overwrite").parquet(parsed)  # parsed once, read by each table
         tables = split_document(own.read.schema(nested.schema).parquet(parsed), document)
-        frames = {name: transform(df, name, run_ts, branch_map, specs) for name, df in tables.items()}
-        write_batch(own, frames, bronze, state, batch, specs)
+        frames = {table: transform(df, table, run_ts, branch_map, specs) for table, df in tables.items()}
+        save_load(frames, bronze, load, name, {table: specs[table].partitions for table in frames})
 
     query = landed.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

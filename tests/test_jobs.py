@@ -8,9 +8,9 @@ from tablespoon.operators.quality import QualityError
 from tablespoon.plans import jobs
 from tablespoon.plans.marts import REVENUE_TABLE, SALES_TABLE
 from tablespoon.schemas import INVOICES, ORDERS, SPECS
-from tablespoon.sinks import read_version
-from tablespoon.sinks.versions import folders
-from tablespoon.streaming import ingest, stream_ingest
+from tablespoon.sinks import full_refresh, keyindex, loads, merge_table, read_version
+from tablespoon.sinks.versions import all_folders, folders
+from tablespoon.streaming import stream_ingest
 
 RUN = dt.datetime(2024, 1, 22, 1, tzinfo=dt.timezone.utc)
 
@@ -222,19 +222,163 @@ def test_stream_archives_what_all_tables_have(spark, lake, tmp_path):
     assert list((tmp_path / "archive").rglob("invoices.json"))
 
 
-def test_repeated_batch_goes_on_where_it_stopped(spark, lake, tmp_path, monkeypatch):
-    frames = {"order_header": spark.createDataFrame([("a", 2024, 1, 1), ("b", 2024, 1, 2)], "order_id string, year int, month int, day int")}
-    write = lambda: ingest.write_batch(spark, frames, lake.bronze, f"{tmp_path}/state", "orders-0", SPECS)
-    real = ingest._move_files
+def test_batch_that_died_halfway_is_taken_in_once(spark, lake, tmp_path, monkeypatch):
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z")])
+    dies_at(monkeypatch, "invoice_payment")
+    with pytest.raises(Exception, match="died"):
+        take_in(spark, lake, INVOICES, tmp_path)
+    assert spark.read.parquet(f"{lake.bronze}/invoice_header").count() == 1
+    assert counted(spark, lake) == {"invoice_header": 0, "invoice_detail": 0}
+    monkeypatch.undo()
+    for _ in range(2):
+        take_in(spark, lake, INVOICES, tmp_path)
+    assert counted(spark, lake) == {"invoice_header": 1, "invoice_detail": 2, "invoice_payment": 1}
+
+
+def dies_at(monkeypatch, table):
+    """Loads die before they write ``table``."""
+    real = loads.append
+
+    def append(df, path, partitions):
+        if path.endswith(f"/{table}"):
+            raise OSError("died")
+        return real(df, path, partitions)
+
+    monkeypatch.setattr(loads, "append", append)
 
-    def dies(spark, source, target, prefix):
-        real(spark, f"{source}/year=2024/month=1/day=1", f"{target}/year=2024/month=1/day=1", prefix)
-        raise OSError("died")
 
-    monkeypatch.setattr(ingest, "_move_files", dies)
+def counted(spark, lake):
+    return {name: df.count() for name, df in jobs.bronze_tables(spark, lake).items() if df.columns}
+
+
+def test_load_that_dies_between_tables_is_in_none(spark, lake, monkeypatch):
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z")])
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    before, rows = sales(spark, lake), counted(spark, lake)
+    drop(lake, "2024-01-21", [], [invoice("1", "2024-01-20T04:00:00Z", 20.0, (9.0, 11.0))])
+    dies_at(monkeypatch, "invoice_detail")
     with pytest.raises(OSError, match="died"):
-        write()
-    monkeypatch.setattr(ingest, "_move_files", real)
-    for _ in range(2):
-        write()
-    assert sorted(r["order_id"] for r in spark.read.parquet(f"{lake.bronze}/order_header").collect()) == ["a", "b"]
+        jobs.run_transactions(spark, lake, "2024-01-21", RUN, "run-2")
+    monkeypatch.undo()
+    assert len(loads.open_loads(spark, lake.bronze)) == 1 and counted(spark, lake) == rows
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert sales(spark, lake) == before and revenue(spark, lake) == {("2024-01-20", "Central"): (1, 11.0)}
+    first = jobs.run_transactions(spark, lake, "2024-01-21", RUN, "run-2")
+    assert jobs.run_transactions(spark, lake, "2024-01-21", RUN, "run-2") == first  # loaded once
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert [r[1] for r in sales(spark, lake)] == [9.0, 11.0] and revenue(spark, lake) == {("2024-01-20", "Central"): (1, 20.0)}
+    assert counted(spark, lake)["invoice_header"] == 2
+    assert spark.read.parquet(f"{lake.bronze}/invoice_header").count() == 3
+    assert jobs.clear_dead_loads(spark, lake, RUN - dt.timedelta(days=1)) == 0
+    assert jobs.clear_dead_loads(spark, lake, RUN + dt.timedelta(days=1)) > 0
+    assert spark.read.parquet(f"{lake.bronze}/invoice_header").count() == 2 and not loads.open_loads(spark, lake.bronze)
+
+
+def test_mark_left_by_a_committed_load_hides_nothing(spark, lake, monkeypatch):
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z")])
+    monkeypatch.setattr(loads, "remove", lambda spark, path: None)  # dies after its commit
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN, "a/b c")
+    assert loads.committed_loads(spark, lake.bronze) == ["a/b c"]
+    assert counted(spark, lake)["invoice_detail"] == 2
+
+
+def test_nothing_landed_leaves_the_name_free(spark, lake):
+    assert sum(jobs.run_transactions(spark, lake, "2024-01-20", RUN, "run").values()) == 0
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z")])
+    assert jobs.run_transactions(spark, lake, "2024-01-20", RUN, "run")["invoice_header"] == 1
+
+
+def test_verified_load_refuses_rows_without_a_key(spark, lake):
+    drop(lake, "2024-01-20", [], [invoice("", "2024-01-20T03:00:00Z")])
+    with pytest.raises(QualityError, match="key_present:ref_id"):
+        jobs.run_transactions(spark, lake, "2024-01-20", RUN, verify=True)
+    assert not Path(lake.bronze).exists()
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z", -5.0)])
+    assert jobs.run_transactions(spark, lake, "2024-01-20", RUN, verify=True)["invoice_header"] == 1  # a warning
+
+
+def test_correction_may_date_an_invoice_back(spark, lake):
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z", 5.0, (5.0,))])
+    drop(lake, "2024-01-21", [], [invoice("1", "2024-01-17T03:00:00Z", 7.0, (7.0,))])
+    for day in ("2024-01-20", "2024-01-21", "2024-01-20"):  # the older file once more
+        jobs.run_transactions(spark, lake, day, RUN)
+    jobs.build(spark, lake, dt.date(2024, 1, 22))
+    assert sales(spark, lake) == [("1", 7.0, "2024-01-17")] and revenue(spark, lake) == {("2024-01-17", "Central"): (1, 7.0)}
+
+
+def test_revenue_after_many_loads_is_that_of_a_first_build(spark, lake):
+    """Corrections, repeats, negative totals, other months and branches, invoices without an id, three builds."""
+    steps = [
+        [invoice("1", "2024-01-20T03:00:00Z", 5.0), invoice("2", "2024-01-20T03:00:00Z", 6.0), invoice(None, "2024-01-02T03:00:00Z", 2.0)],
+        [invoice("1", "2024-01-20T03:00:00Z", 5.0), invoice("2", "2023-12-30T03:00:00Z", 9.0), invoice("3", "2024-01-20T03:00:00Z", -4.0)],
+        [invoice("1", "2024-01-20T03:00:00Z", -1.0), invoice("3", "2024-01-20T03:00:00Z", 4.0), {**invoice("2", "2023-12-30T03:00:00Z", 9.0), "BranchId": "B2"}],
+    ]
+    for n, invoices in enumerate(steps):
+        drop(lake, f"2024-01-2{n}", [], invoices)
+        jobs.run_transactions(spark, lake, f"2024-01-2{n}", RUN + dt.timedelta(hours=n))
+        for dedupe in (True, False):
+            marts = f"{lake.marts}/{dedupe}"
+            mart = jobs.Lake(lake.landing, lake.bronze, marts, lake.branch_map, buckets=2)
+            header = jobs.bronze_tables(spark, mart)["invoice_header"]
+            jobs._build_revenue(spark, mart, header, dedupe)
+            whole = jobs.Lake(lake.landing, lake.bronze, f"{marts}-{n}", lake.branch_map)
+            jobs._build_revenue(spark, whole, header, dedupe)
+            assert revenue(spark, mart) == revenue(spark, whole)
+    assert revenue(spark, jobs.Lake("", "", f"{lake.marts}/True")) == {
+        ("2024-01-20", "Central"): (1, 4.0), ("2024-01-02", "Central"): (0, 2.0), ("2023-12-30", "B2"): (1, 9.0),
+    }
+
+
+def test_delta_build_reads_no_invoice_beside_its_own(spark, lake):
+    """The scan of the header is that of the batch's days and of the months its invoices were in."""
+    for day, month in (("2024-01-20", "2023-11"), ("2024-01-21", "2023-12"), ("2024-01-22", "2024-01")):
+        drop(lake, day, [], [invoice(day, f"{month}-10T03:00:00Z")])
+        jobs.run_transactions(spark, lake, day, RUN)
+    header = jobs.bronze_tables(spark, lake)["invoice_header"]
+    jobs._build_revenue(spark, lake, header, True)
+    drop(lake, "2024-01-23", [], [invoice("2024-01-21", "2024-02-10T03:00:00Z")])
+    jobs.run_transactions(spark, lake, "2024-01-23", RUN, "fourth")
+    record = [loads.committed(spark, lake.bronze, "fourth")]
+    header = jobs.bronze_tables(spark, lake)["invoice_header"]
+    batch = jobs.rows_of_loads(header, record)
+    assert [r["month"] for r in batch.collect()] == [2]
+    current = all_folders(spark, f"{lake.marts}/{REVENUE_TABLE}")
+    buckets = keyindex.touched_buckets(batch, ["ref_id"])
+    assert len(buckets) == 1
+    index = keyindex.read_index(spark, f"{lake.marts}/{REVENUE_TABLE}", current, buckets, header.select("ref_id", "year", "month").schema)
+    earlier = jobs.earlier_copies(header, batch, index, record)
+    assert [r["month"] for r in earlier.collect()] == [12]
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    for df, month in ((batch, "year=2024/month=2/day=10"), (earlier, "year=2023/month=12")):
+        lines = df._jdf.queryExecution().explainString(mode).splitlines()
+        assert any(line.startswith("PartitionFilters") and month in line for line in lines)
+
+
+def test_merge_by_index_reads_touched_buckets_and_months(spark, tmp_path):
+    """A key that moves from a month long ago is found by its bucket; other months and buckets stay the same files."""
+    schema = "order_id string, item_id string, quantity long, year int, month int"
+    rows = [(str(n), "a", 1, 2020 + n % 4, n % 12 + 1) for n in range(200)]
+    path = f"{tmp_path}/t"
+    full_refresh(spark.createDataFrame(rows, schema), path)
+
+    def merge(source, name):
+        spark.createDataFrame(source, schema).write.parquet(f"{tmp_path}/{name}")
+        merge_table(spark, path, spark.read.schema(schema).parquet(f"{tmp_path}/{name}"), ["order_id"], mode="replace", buckets=16)
+        return all_folders(spark, path)
+
+    first = merge([("7", "b", 2, 2024, 5), ("new", "a", 1, 2024, 5), (None, "n", 1, 2024, 5)], "one")
+    assert sum(p.startswith("@keys/") for p in first) == 16
+    second = merge([("7", "c", 3, 2020, 1)], "two")
+    changed = {p for p in {*first, *second} if first.get(p) != second.get(p)}
+    key = spark.createDataFrame([("7",)], "order_id string").select(keyindex.bucket_of(["order_id"], 16)).first()[0]
+    assert changed == {"year=2024/month=5", "year=2020/month=1", f"@keys/bucket={key}"}
+    got = read_version(spark, path, spark.createDataFrame([], schema).schema)
+    want = [r for r in rows if r[0] != "7"] + [("7", "c", 3, 2020, 1), ("new", "a", 1, 2024, 5), (None, "n", 1, 2024, 5)]
+    assert sorted(map(str, got.collect())) == sorted(map(str, spark.createDataFrame(want, schema).collect()))
+    index = spark.read.parquet(*[f"{path}/{f}" for p, f in second.items() if p.startswith("@keys/")])
+    assert index.count() == len({(r[0], *r[3:]) for r in want})
+    merge([("9", "x", 1, 2024, 6)], "three")
+    spark.createDataFrame([("9", "y", 1, 2024, 7)], schema).write.parquet(f"{tmp_path}/four")
+    merge_table(spark, path, spark.read.schema(schema).parquet(f"{tmp_path}/four"), ["order_id"], mode="replace")
+    assert not any(p.startswith("@") for p in all_folders(spark, path))  # an index that was not kept up is gone

@@ -1,11 +1,15 @@
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablespoon.session import scratch, scratch_dir
-from tablespoon.sinks import full_refresh, read_version, save_all, save_flat, save_partitions, save_table
-from tablespoon.sinks.versions import folders, publish, write_folders
+from tablespoon.sinks import Conflict, full_refresh, merge_table, read_version, save_all, save_flat, save_partitions, save_table
+from tablespoon.sinks import tables
+from tablespoon.sinks.files import names, read_text, write_once
+from tablespoon.sinks.versions import all_folders, folders, publish, write_folders
 from tablespoon.sources import existing, read_table, source
 from tablespoon.sources.bronze import register_views
 
@@ -120,3 +124,48 @@ def test_scratch_is_under_the_shared_folder(spark):
 def test_scratch_has_no_default():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(SimpleNamespace(conf={}), "x")
+
+
+def test_two_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    """Both list the versions at the same time; the second finds its number taken."""
+    path, schema = f"{tmp_path}/t", "id string, year int, month int, day int"
+
+    def merge(*values):
+        staged = f"{tmp_path}/{uuid.uuid4().hex}"
+        rows(spark, *values).write.parquet(staged)
+        merge_table(spark, path, spark.read.schema(schema).parquet(staged), ["id"], ("year", "month"))
+
+    full_refresh(rows(spark, ("a", 2024, 1, 1), ("b", 2024, 2, 1)), path)
+    real, other = tables.replace_partitions, [True]
+
+    def interleaved(*args, **options):
+        if other.pop() if other else False:
+            merge(("c", 2024, 3, 1), ("b", 2024, 3, 9))  # another writer, between this one's reading and publishing
+        return real(*args, **options)
+
+    monkeypatch.setattr(tables, "replace_partitions", interleaved)
+    merge(("d", 2024, 1, 1), ("b", 2024, 4, 7))
+    assert stored(read_version(spark, path)) == [("a", 2024, 1, 1), ("b", 2024, 4, 7), ("c", 2024, 3, 1), ("d", 2024, 1, 1)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda n: merge((f"t{n}", 2024, n, 1), ("x", 2024, n, 1)), range(1, 4)))
+    ids = [r[0] for r in stored(read_version(spark, path))]
+    assert sorted(ids) == ["a", "b", "c", "d", "t1", "t2", "t3", "x"]
+
+
+def test_conflict_is_refused_and_leaves_no_files(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    full_refresh(rows(spark, ("a", 2024, 1, 1), ("b", 2024, 2, 1)), path)
+    base = all_folders(spark, path)
+    tables.replace_partitions(rows(spark, ("c", 2024, 2, 1)), path)
+    tables.replace_partitions(rows(spark, ("d", 2024, 1, 1)), path, base=base)  # another partition
+    folders_before = len(list(tmp_path.glob("t/data-*")))
+    with pytest.raises(Conflict):
+        tables.replace_partitions(rows(spark, ("e", 2024, 2, 1)), path, base=base)
+    assert stored(read_version(spark, path)) == [("c", 2024, 2, 1), ("d", 2024, 1, 1)]
+    assert len(list(tmp_path.glob("t/data-*"))) == folders_before
+
+
+def test_files_are_written_once(spark, tmp_path):
+    assert write_once(spark, f"{tmp_path}/log/a", "ü1") and not write_once(spark, f"{tmp_path}/log/a", "2")
+    assert write_once(spark, f"file:{tmp_path}/log/b", "") and read_text(spark, f"{tmp_path}/log/a") == "ü1"
+    assert names(spark, f"{tmp_path}/log") == ["a", "b"] and names(spark, f"{tmp_path}/none") == []
