@@ -72,3 +72,27 @@ def gap_days(df: DataFrame, column: str, start: dt.date | None = None, end: dt.d
     bounds = days(first.alias("first"), last.alias("last")).filter("first <= last")
     calendar = bounds.select(F.explode(F.sequence("first", "last")).alias("gap_day"))
     return calendar.join(present, "gap_day", "left_anti")
+
+
+def gap_stretches(df: DataFrame, column: str, by: list[str], bounds: DataFrame) -> DataFrame:
+    """Stretches of days without a row, per group: ``by, first_day, last_day, n_days``.
+
+    ``bounds(by, opened, closed)`` says from which day to which a group should have
+    rows; groups that it lacks are not looked at, a group without any row is one
+    stretch, and rows outside of the bounds don't count. Days present are reduced
+    to distinct ones first, and neighbours compared: no calendar is built.
+    """
+    day = F.to_date(column).alias("_day")
+    present = df.select(*by, day).filter("_day IS NOT NULL").distinct()
+    inside = present.join(bounds.select(*by, "opened", "closed"), by).filter("_day BETWEEN opened AND closed").select(*by, "_day")
+    # the days before the first and after the last stand for present ones
+    edge = lambda c: bounds.filter("opened <= closed").select(*by, c.alias("_day"))
+    edges = edge(F.date_sub("opened", 1)).unionByName(edge(F.date_add("closed", 1)))
+    earlier = F.lag("_day").over(Window.partitionBy(*by).orderBy("_day"))
+    gaps = inside.unionByName(edges).withColumn("_earlier", earlier).filter(F.datediff("_day", "_earlier") > 1)
+    return gaps.select(
+        *by,
+        F.date_add("_earlier", 1).alias("first_day"),
+        F.date_sub("_day", 1).alias("last_day"),
+        (F.datediff("_day", "_earlier") - 1).cast("long").alias("n_days"),
+    )

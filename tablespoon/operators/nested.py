@@ -50,52 +50,45 @@ def nest(header: DataFrame, children: Mapping[str, DataFrame], key: str, parent_
     size, and its children are dealt over them by their content. Flattening the
     result gives back exactly the children.
     """
-    tagged = None
+    rows = header if parts == 1 else header.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     for name, child in children.items():
-        row = F.struct(*[F.col(c) for c in child.columns])
-        arrays = [(row if other == name else F.lit(None).cast(children[other].schema)).alias(other) for other in children]
-        frame = child.select(F.col(parent_key).alias("_key"), *arrays)
-        tagged = frame if tagged is None else tagged.unionByName(frame)
-    tagged = tagged.filter(F.col("_key").isNotNull())
-    arrays = [F.collect_list(name).alias(name) for name in children]
-    matches = header[key] == F.col("_key")
-    if parts == 1:
-        grouped = tagged.groupBy("_key").agg(*arrays)
-        rows = header.join(grouped, matches, "left").drop("_key")
-    else:
-        grouped = _dealt(tagged, list(children), parts).groupBy("_key", F.col("part").alias("_part")).agg(*arrays)
-        numbered = header.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        rows = numbered.join(grouped, (numbered[key] == F.col("_key")) & (F.col("part") == F.col("_part")), "left")
-        rows = rows.drop("_key", "_part")
-    empty = {name: F.coalesce(F.col(name), F.array().cast(grouped.schema[name].dataType)) for name in children}
+        row = F.struct(*[F.col(c) for c in child.columns]).alias(name)
+        of = child.select(F.col(parent_key).alias("_key"), row).filter(F.col("_key").isNotNull())
+        if parts == 1:
+            grouped = of.groupBy("_key").agg(F.collect_list(name).alias(name))
+            rows = rows.join(grouped, rows[key] == F.col("_key"), "left").drop("_key")
+        else:
+            grouped = _dealt(of, name, parts).groupBy("_key", F.col("part").alias("_part")).agg(F.collect_list(name).alias(name))
+            matches = (rows[key] == F.col("_key")) & (rows["part"] == F.col("_part"))
+            rows = rows.join(grouped, matches, "left").drop("_key", "_part")
+    empty = {name: F.coalesce(F.col(name), F.array().cast(rows.schema[name].dataType)) for name in children}
     return rows.withColumns(empty)
 
 
-def _dealt(tagged: DataFrame, names: list[str], parts: int) -> DataFrame:
+def _dealt(children: DataFrame, name: str, parts: int) -> DataFrame:
     """Children with the ``part`` each goes to, by its content. Equal copies are
     counted first and dealt round the parts, so copies of one child spread as
     well. Nothing depends on row order, so a task that is run again deals the
     same way."""
-    first = F.xxhash64(*names)
-    counted = tagged.groupBy("_key", *names).count()
+    counted = children.groupBy("_key", name).count()
     dealt = counted.withColumn("_turn", F.explode(F.sequence(F.lit(0), F.least(F.col("count"), F.lit(parts)).cast("int") - 1)))
     share = F.floor((F.col("count") - F.col("_turn") - 1) / parts) + 1
     return dealt.select(
         "_key",
-        *names,
-        F.pmod(first + F.col("_turn"), F.lit(parts)).cast("int").alias("part"),
+        name,
+        F.pmod(F.xxhash64(name) + F.col("_turn"), F.lit(parts)).cast("int").alias("part"),
         F.explode(F.sequence(F.lit(1), share.cast("int"))).alias("_copy"),
     )
 
 
 def normalize_payload(payload: Column, item: TableSpec = SPECS["order_detail"]) -> Column:
     """Detail payload text to an array of items: an object holding
-    ``OrderDetails``, a bare list, or anything else, which gives no items."""
+    ``OrderDetails``, a bare list, or anything else, which gives no items. A bare
+    list is put into such an object as text, so that any payload is parsed once."""
     items = f"array<{item.landing.simpleString()}>"
-    bare = F.from_json(payload, items)
-    wrapped = F.from_json(payload, f"struct<OrderDetails:{items}>").getField("OrderDetails")
-    chosen = F.when(F.ltrim(payload).startswith("["), bare).otherwise(wrapped)
-    return F.coalesce(chosen, F.array().cast(items))
+    held = F.when(F.ltrim(payload).startswith("["), F.concat(F.lit('{"OrderDetails":'), payload, F.lit("}"))).otherwise(payload)
+    parsed = F.from_json(held, f"struct<OrderDetails:{items}>").getField("OrderDetails")
+    return F.coalesce(parsed, F.array().cast(items))
 
 
 def parse_invoice_payload(payload: Column, specs: Mapping[str, TableSpec] = SPECS) -> dict[str, Column]:

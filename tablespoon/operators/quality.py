@@ -76,6 +76,21 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+FAILED = "failed_checks"
+
+
+def with_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Rows with ``failed_checks``, the names of the checks of level error that each
+    violates; none is an empty list. An unknown outcome is no violation."""
+    marks = [F.when(c.violates, F.lit(c.name)) for c in checks if c.level == ERROR]
+    return df.withColumn(FAILED, F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>"))
+
+
+def violating_rows(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """The rows that violate a check of level error, with the names of those they violate."""
+    return with_failures(df, checks).filter(F.size(FAILED) > 0)
+
+
 REPORT_SCHEMA = "check_name string, level string, violations bigint, passed boolean"
 
 

@@ -8,21 +8,25 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablespoon.operators.incremental import lookback
 from tablespoon.operators.quality import (
+    FAILED,
     REPORT_SCHEMA,
+    WARN,
     check_future,
     check_negative,
     check_not_null,
     gate,
     run_checks,
     verify_table,
+    with_failures,
 )
 from tablespoon.operators.standardize import local_day, pick_date_column
 from tablespoon.plans.marts import (
@@ -37,17 +41,18 @@ from tablespoon.plans.marts import (
     sales_lines,
 )
 from tablespoon.plans.staging import latest_invoice, staging, stg_order_header
-from tablespoon.plans.transform import stamped, transform_master, transform_transactions
-from tablespoon.schemas import PARTITION_COLUMNS, SPECS, TableSpec
+from tablespoon.plans.transform import landed_copy, stamped, transform_master, transform_transactions
+from tablespoon.schemas import INGEST_COLUMN, PARTITION_COLUMNS, SPECS, TableSpec
 from tablespoon.session import scratch
-from tablespoon.sinks import discard_load, full_refresh, load_id, merge_table, open_loads, read_version, save_load
+from tablespoon.sinks import discard_load, full_refresh, load_id, merge_table, open_loads, read_version, replace_partitions, save_load
 from tablespoon.sinks.keyindex import BUCKETS, found_for, index_of, read_index, touched_buckets, write_index
-from tablespoon.sinks.loads import committed, committed_loads, load_of
+from tablespoon.sinks.loads import committed, committed_loads, load_of, records
 from tablespoon.sinks.versions import all_folders, beside, discard, folders, in_parts, partition_name, publish, read_folders, write_folders
 from tablespoon.sources import existing, read_days, read_master, read_table, source
 from tablespoon.sources.landing import BY_DAY
 
 _LOADS = "load string, dedupe boolean"
+_SUMS = "load string, sums map<string, map<string, struct<n: bigint, sum: string>>>"
 
 # Columns of the sales table that must be filled.
 REQUIRED_SALES = ["order_id", "item_id", "report_date", "net_revenue_inclusive"]
@@ -115,7 +120,34 @@ def run_transactions(
         frames = transform_transactions(parsed, run_ts, lake.branch_map, lake.specs)
         if verify:
             _verify(parsed, frames)
-        return save_load(frames, lake.bronze, load, name, lake.partitions())
+        sums = {table: {r["day"]: {"n": r["n"], "sum": r["sum"]} for r in content_sums(df).collect()} for table, df in parsed.items()}
+        return save_load(frames, lake.bronze, load, name, lake.partitions(), about={"sums": sums})
+
+
+def content_sums(documents: DataFrame) -> DataFrame:
+    """``day, n, sum``: per landed day of marked documents their number and the sum of
+    their contents' hashes, in which order plays no part; a row per day."""
+    parts = F.split(INGEST_COLUMN, "-")
+    number = F.conv(F.element_at(parts, -1), 16, 10).cast("decimal(38,0)")
+    by_day = documents.groupBy(F.element_at(parts, -2).alias("day"))
+    return by_day.agg(F.count(F.lit(1)).alias("n"), F.sum(number).cast("string").alias("sum"))
+
+
+def changed_days(spark: SparkSession, lake: Lake, days: list[str]) -> list[str]:
+    """Those of the days whose landed documents are not what the last load of that day
+    took in. Landing is read; of bronze only the records of its loads are."""
+    landed = None
+    for table, df in read_days(spark, lake.landing, days, lake.layout, specs=lake.specs).items():
+        sums = content_sums(landed_copy(df)).select(F.lit(table).alias("table"), "day", "n", "sum")
+        landed = sums if landed is None else landed.unionByName(sums)
+    loaded = records(spark, lake.bronze, _SUMS).select("load", F.explode("sums").alias("table", "of_day"))
+    loaded = loaded.select("load", "table", F.explode("of_day").alias("day", "of")).groupBy("table", "day")
+    last = loaded.agg(F.max_by("of", "load").alias("of"))
+    same = landed.join(last, ["table", "day"], "full").filter(
+        ~(F.col("n").eqNullSafe(F.col("of.n")) & F.col("sum").eqNullSafe(F.col("of.sum")))
+    )
+    changed = {r["day"] for r in same.select("day").distinct().collect()}  # days
+    return [day for day in days if day.replace("-", "") in changed]
 
 
 def _verify(raw: Mapping[str, DataFrame], frames: Mapping[str, DataFrame]) -> None:
@@ -148,6 +180,7 @@ def build(
     dedupe: bool = True,
     mode: str = "replace",
     moved_within_months: int | None = None,
+    quarantine: bool = False,
 ) -> DataFrame:
     """Builds staging views and marts and returns the quality report.
 
@@ -158,6 +191,9 @@ def build(
     A failed check raises: those on the sales table before it is published, the
     one on orders, which no mart depends on, at the end. By default the lines of
     an invoice are replaced together, since an item may be on several of them.
+    With ``quarantine`` lines that fail a check don't stop the build: they go, with
+    the names of the checks, to a table of their own in place of the mart, where
+    they stay until their invoice is built again.
     """
     bronze = bronze_tables(spark, lake)
     models = staging(bronze)
@@ -172,7 +208,7 @@ def build(
         header, detail = models["stg_invoice_header"], models["stg_invoice_detail"]
         _build_revenue(spark, lake, header, dedupe)
         reports.append(
-            _build_sales(spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode, moved_within_months)
+            _build_sales(spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode, moved_within_months, quarantine)
         )
     if not reports:
         return spark.createDataFrame([], REPORT_SCHEMA)
@@ -246,7 +282,7 @@ def earlier_copies(header: DataFrame, batch: DataFrame, index: DataFrame, loads:
 
 
 def _build_sales(
-    spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode, moved_within_months
+    spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode, moved_within_months, quarantine
 ) -> DataFrame:
     """The first build, of a mart without a row, holds everything; later ones merge
     the increment. Either is checked before readers see it."""
@@ -254,23 +290,37 @@ def _build_sales(
     schema = sales_lines(header, detail).schema
     checks = check_not_null(REQUIRED_SALES) + check_negative(sales_lines(header, detail), "net_revenue_inclusive")
     current = folders(spark, path)
-    if not current:
-        reports = []
-        fresh = sales_increment(header, detail, None, as_of, dedupe=dedupe)
-        full_refresh(fresh, path, check=lambda rows: reports.extend(gate(run_checks(rows, checks)).collect()))
-        return spark.createDataFrame(reports, REPORT_SCHEMA)
-    target = read_version(spark, path, schema, [max(current, key=_month_of)])  # holds the last day
-    recent = lookback(header, as_of, backfill_days, partitions=_same_day(lake))
     with scratch(spark, "recent") as recent_path, scratch(spark, "sales") as sales_path:
-        # Stored tables have a known size, by which the joins pick their strategy.
-        (latest_invoice(recent) if dedupe else recent).write.parquet(recent_path)
-        recent = read_table(spark, recent_path, header.schema)
-        fresh = sales_increment(recent, detail, target, as_of, backfill_days, high_water_only, dedupe)
-        fresh.write.parquet(sales_path)
-        fresh = read_table(spark, sales_path, schema)
-        report = spark.createDataFrame(gate(run_checks(fresh, checks)).collect(), REPORT_SCHEMA)  # a row per check
+        if current:
+            target = read_version(spark, path, schema, [max(current, key=_month_of)])  # holds the last day
+            recent = lookback(header, as_of, backfill_days, partitions=_same_day(lake))
+            # Stored tables have a known size, by which the joins pick their strategy.
+            (latest_invoice(recent) if dedupe else recent).write.parquet(recent_path)
+            recent = read_table(spark, recent_path, header.schema)
+            fresh = sales_increment(recent, detail, target, as_of, backfill_days, high_water_only, dedupe)
+        else:
+            fresh = sales_increment(header, detail, None, as_of, dedupe=dedupe)
+        if quarantine:
+            # one pass: a folder of rows that pass and one of those that are held back
+            failing = with_failures(fresh, checks)
+            failing.withColumn("held", F.size(FAILED) > 0).write.partitionBy("held").parquet(sales_path)
+            both = spark.read.schema(failing.withColumn("held", F.lit(True)).schema).parquet(sales_path)
+            fresh = both.filter("NOT held").select(*schema.names)
+            _hold_back(spark, lake, both, schema)
+            report = run_checks(both.select(*schema.names), [replace(c, level=WARN) for c in checks])
+        elif not current:
+            reports = []
+            full_refresh(fresh, path, check=lambda rows: reports.extend(gate(run_checks(rows, checks)).collect()))
+            return spark.createDataFrame(reports, REPORT_SCHEMA)
+        else:
+            fresh.write.parquet(sales_path)
+            fresh = read_table(spark, sales_path, schema)
+            report = gate(run_checks(fresh, checks))
+        report = spark.createDataFrame(report.collect(), REPORT_SCHEMA)  # a row per check
         keys = SALES_KEY if mode == "unique" else SALES_KEY[:1]
-        if moved_within_months is None:
+        if not current:
+            full_refresh(fresh, path)
+        elif moved_within_months is None:
             merge_table(spark, path, fresh, keys, mode=mode, buckets=lake.buckets)
         else:
             first = as_of.year * 12 + as_of.month - 1 - moved_within_months
@@ -278,6 +328,17 @@ def _build_sales(
         return report
 
 
+def _hold_back(spark: SparkSession, lake: Lake, both: DataFrame, schema: T.StructType) -> None:
+    """Puts the rows held back into the quarantine table, in place of all earlier ones of the invoices built."""
+    path = f"{lake.marts}/{SALES_TABLE}_quarantine"
+    held = both.filter("held").drop("held")
+    earlier = read_version(spark, path, held.schema)
+    built = both.select("order_id").distinct()
+    kept = earlier.join(built, earlier["order_id"].eqNullSafe(built["order_id"]), "left_anti")
+    current = all_folders(spark, path) or {}
+    replace_partitions(kept.unionByName(held), path, keep=lambda part: False, base=current, read=lambda part: True)
+
+
 def _month_of(part: str) -> int:
     """Months since year 0 of a partition ``year=2024/month=1``; undated rows come first."""
     year, month = (p.split("=")[1] for p in part.split("/"))
@@ -309,8 +370,20 @@ def backfill_days_list(as_of: dt.date, days: int = 7) -> list[str]:
 
 
 def backfill_range(
-    spark: SparkSession, lake: Lake, as_of: dt.date, days: int = 7, run_ts: dt.datetime | None = None, **options
+    spark: SparkSession,
+    lake: Lake,
+    as_of: dt.date,
+    days: int = 7,
+    run_ts: dt.datetime | None = None,
+    only_changed: bool = False,
+    **options,
 ) -> DataFrame:
-    """Reloads the transactions of the last days and rebuilds the marts over them."""
-    run_transactions(spark, lake, backfill_days_list(as_of, days), run_ts)
+    """Reloads the transactions of the last days and rebuilds the marts over them.
+    With ``only_changed`` days that are in bronze as they have landed are not loaded
+    again."""
+    wanted = backfill_days_list(as_of, days)
+    if only_changed:
+        wanted = changed_days(spark, lake, wanted)
+    if wanted:
+        run_transactions(spark, lake, wanted, run_ts)
     return build(spark, lake, as_of, days, **{"high_water_only": False, **options})

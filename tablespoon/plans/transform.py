@@ -41,14 +41,20 @@ def transform(
     return partition_trans(typed, run_ts, same_field=renamed)
 
 
-def stamped(documents: DataFrame, load: str) -> DataFrame:
-    """Nested documents, as read from files, with the mark of the landed copy they
-    are: the load, whose id sorts by time, the day in the file's path, and the
-    content, which tells copies within a day apart."""
+def landed_copy(documents: DataFrame) -> DataFrame:
+    """Nested documents, as read from files, with the load-free part of their mark:
+    the day in the file's path, and the content, which tells copies within a day
+    apart. The path is known only until rows are shuffled."""
     day = F.regexp_extract(F.input_file_name(), r"(\d{4})-(\d{2})-(\d{2})(?!.*\d{4}-\d{2}-\d{2})", 0)
     content = F.hex(F.xxhash64(*[F.col(c) for c in documents.columns]))
-    mark = F.concat_ws("-", F.lit(load), F.translate(day, "-", ""), content)
-    return documents.withColumn(INGEST_COLUMN, mark)
+    return documents.withColumn(INGEST_COLUMN, F.concat_ws("-", F.translate(day, "-", ""), content))
+
+
+def stamped(documents: DataFrame, load: str) -> DataFrame:
+    """Nested documents with the mark of the landed copy they are: the load, whose
+    id sorts by time, and then as :func:`landed_copy` has it."""
+    copies = documents if INGEST_COLUMN in documents.columns else landed_copy(documents)
+    return copies.withColumn(INGEST_COLUMN, F.concat(F.lit(f"{load}-"), INGEST_COLUMN))
 
 
 def transform_transactions(

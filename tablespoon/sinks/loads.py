@@ -72,6 +72,20 @@ def whole(df: DataFrame, open_: Iterable[str]) -> DataFrame:
     return df.filter(F.coalesce(~load_of().isin(open_), F.lit(True)))
 
 
+def records(spark: SparkSession, bronze: str, schema: str) -> DataFrame:
+    """The records of all committed loads, the fields of ``schema``; there may be very many."""
+    path = f"{bronze}/{_LOG}/done"
+    system, hadoop_path = at(spark, path)
+    return spark.read.schema(schema).json(path) if system.exists(hadoop_path) else spark.createDataFrame([], schema)
+
+
+def begin_load(spark: SparkSession, bronze: str, load: str, name: str) -> str:
+    """Marks a load as open; its rows are hidden from now on. Returns the mark's path."""
+    mark = f"{bronze}/{_LOG}/open/{load}"
+    write_once(spark, mark, name)
+    return mark
+
+
 def save_load(
     frames: Mapping[str, DataFrame],
     bronze: str,
@@ -79,17 +93,17 @@ def save_load(
     name: str | None = None,
     partitions: Mapping[str, tuple[str, ...]] | None = None,
     at_a_time: int | None = None,
+    about: Mapping[str, object] | None = None,
 ) -> dict[str, int]:
     """Appends frames, whose rows are marked as of ``load``, to their tables, all or
     none of them for readers. Returns rows per table. A name that has committed
     is left as it is and its rows are told. A load without rows leaves no record,
-    so that its name can be used once there are some."""
+    so that its name can be used once there are some. ``about`` goes into the record."""
     spark, name = next(iter(frames.values())).sparkSession, name or load
     done = committed(spark, bronze, name)
     if done:
         return done["rows"]
-    mark = f"{bronze}/{_LOG}/open/{load}"
-    write_once(spark, mark, name)
+    mark = begin_load(spark, bronze, load, name)
     parts = lambda table: (partitions or {}).get(table, PARTITION_COLUMNS)
     with ThreadPoolExecutor(at_a_time or max(1, len(frames))) as pool:
         writes = {
@@ -97,7 +111,7 @@ def save_load(
             for table, df in frames.items()
         }
     results = {table: write.result() for table, write in writes.items()}
-    record = {"load": load, "rows": {t: n for t, (n, _) in results.items()}, "parts": {t: p for t, (_, p) in results.items()}}
+    record = {**(about or {}), "load": load, "rows": {t: n for t, (n, _) in results.items()}, "parts": {t: p for t, (_, p) in results.items()}}
     if not any(record["rows"].values()):
         remove(spark, mark)
     elif write_once(spark, f"{bronze}/{_LOG}/done/{quote(name, safe='')}.json", json.dumps(record)):

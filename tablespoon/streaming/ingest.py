@@ -15,10 +15,13 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablespoon.functions import to_local_ts
 from tablespoon.operators.nested import split_document
-from tablespoon.plans.transform import stamped, transform
-from tablespoon.schemas import SPECS, Document, TableSpec
+from tablespoon.operators.standardize import pick_date_column
+from tablespoon.plans.transform import landed_copy, stamped, transform
+from tablespoon.schemas import INGEST_COLUMN, SPECS, Document, TableSpec
 from tablespoon.sinks.files import at, read_text, write_once
 from tablespoon.sinks.loads import committed, load_id, save_load
 
@@ -32,6 +35,16 @@ def _stream_name(spark: SparkSession, checkpoint: str) -> str:
     return read_text(spark, path)
 
 
+def _once(landed: DataFrame, document: Document, within: str) -> DataFrame:
+    """One copy of each content, however often it lands within the watermark's delay."""
+    parts = F.split(INGEST_COLUMN, "-")
+    own = [to_local_ts(c, landed.schema[c].dataType) for c in landed.columns if c == pick_date_column(landed.columns)]
+    filed = F.try_to_timestamp(parts[0], F.lit("yyyyMMdd"))
+    at_time = F.coalesce(*[t.cast("timestamp") for t in own], filed, F.lit("1970-01-01").cast("timestamp"))
+    timed = landed.withColumns({"_at": at_time, "_content": F.element_at(parts, -1)})
+    return timed.withWatermark("_at", within).dropDuplicatesWithinWatermark(["_content"]).drop("_at", "_content")
+
+
 def stream_ingest(
     spark: SparkSession,
     landing: str,
@@ -43,19 +56,27 @@ def stream_ingest(
     archive: str | None = None,
     max_files: int | None = None,
     specs: Mapping[str, TableSpec] = SPECS,
+    once_within: str | None = None,
 ) -> None:
     """Takes in all files under ``landing`` (a glob) that were not taken in before,
     into the document's header table and those of its children, then stops. With
     ``archive``, files are moved there after all tables have their rows. Each
     document needs its own checkpoint; a run bounded by ``max_files`` per batch
-    uses several batches."""
+    uses several batches.
+
+    With ``once_within``, such as ``"7 days"``, a document that lands again unchanged
+    is not taken again for that long by its own time (of documents without one:
+    by the day of its file). The contents seen are state of the stream, which
+    forgets them once the watermark has passed; what changed is another content."""
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     reader = spark.readStream.schema(document.landing(specs)).option("mode", "FAILFAST")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    landed = reader.json(landing)
+    landed = landed_copy(reader.json(landing))
+    if once_within:
+        landed = _once(landed, document, once_within)
 
     def take(rows: DataFrame, number: int) -> None:
         own = rows.sparkSession

@@ -166,6 +166,31 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def product_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze products as of nine days, two of them after days without a load, all appended twice; prices
+    go up every fourth day by the key, and some products are missing on some days."""
+    days = F.explode(F.array(*[F.lit(n) for n in (1, 2, 3, 5, 6, 7, 8, 10, 11)]))
+    rows = table(spark, sf_dir, "part").withColumn("day", days).filter((F.col("p_partkey") + F.col("day")) % 7 != 0)
+    snapshots = rows.select(
+        text("p_partkey").alias("product_id"),
+        F.when(F.col("p_partkey") % 5 != 0, F.col("p_name")).alias("product_name"),
+        (F.col("p_retailprice") + F.floor(F.col("day") / 4) * (F.col("p_partkey") % 3)).alias("price"),
+        F.format_string("2024-01-%02d", "day").alias("report_date"),
+    )
+    return snapshots.unionByName(snapshots)
+
+
+def quarterly_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze products as of the first day of 24 quarters from 1995 on; prices change at a pace of their own."""
+    quarter = F.explode(F.sequence(F.lit(0), F.lit(23)))
+    rows = table(spark, sf_dir, "part").withColumn("q", quarter).filter((F.col("p_partkey") + F.col("q")) % 9 != 0)
+    return rows.select(
+        text("p_partkey").alias("product_id"),
+        (F.col("p_retailprice") + F.floor(F.col("q") / (1 + F.col("p_partkey") % 4))).alias("price"),
+        F.add_months(F.lit("1995-01-01").cast("date"), F.col("q") * 3).cast("string").alias("report_date"),
+    )
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed customers; some have no phone."""
     return table(spark, sf_dir, "customer").select(

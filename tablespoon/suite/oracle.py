@@ -25,8 +25,6 @@ DETAIL = """detail AS (
     l_shipdate AS ref_date
   FROM lineitem)"""
 
-NET = "amount - coalesce(allocation_amount, 0) - coalesce(allocation_delivery_promotion_amount, 0)"
-
 # An invoice line's worth before and with tax; sold lines are those of invoices that are not cancelled.
 LINE_WORTH = """worth AS (
   SELECT *, amount - coalesce(allocation_amount, 0) - coalesce(allocation_delivery_promotion_amount, 0) AS before_tax,
@@ -162,6 +160,20 @@ MARTS = """WITH event AS (
           FROM revenue LEFT JOIN lines USING (report_date, branch_name)"""
 
 
+HISTORY = """WITH snapshot AS (
+            SELECT CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_partkey % 5 <> 0 THEN p_name END AS product_name,
+              p_retailprice + CAST(floor(day / 4) AS BIGINT) * (p_partkey % 3) AS price, n,
+              DATE '2024-01-01' + CAST(day - 1 AS INTEGER) AS day, DATE '2024-01-01' + CAST(later - 1 AS INTEGER) AS later
+            FROM part, (SELECT day, row_number() OVER (ORDER BY day) AS n, lead(day) OVER (ORDER BY day) AS later
+                        FROM (SELECT unnest([1, 2, 3, 5, 6, 7, 8, 10, 11]) AS day))
+            WHERE (p_partkey + day) % 7 <> 0),
+          island AS (
+            SELECT *, n - row_number() OVER (PARTITION BY product_id, product_name, price ORDER BY n) AS start FROM snapshot)
+          SELECT product_id, product_name, price, min(day) AS valid_from,
+            CASE WHEN max(n) < 9 THEN max(later) END AS valid_until
+          FROM island GROUP BY product_id, product_name, price, start"""
+
+
 def _check(name: str, level: str, count: str) -> str:
     return (
         f"'{name}' AS check_name, '{level}' AS level, CAST({count} AS BIGINT) AS violations, {count} = 0 AS passed"
@@ -437,4 +449,53 @@ ORACLE: dict[str, str] = {
           FROM header JOIN (SELECT ref_id, before_tax, tax FROM worth
                             WHERE CAST(split_part(ref_detail_id, '-', -1) AS INTEGER) % 2 = 1) USING (ref_id)
           WHERE payment_status <> 4 GROUP BY 1, 2""",
+    # --- loads, history
+    "load_dies_between_tables": MARTS.format(landed="ts < TIMESTAMP '2024-01-21'"),
+    "load_repeated": STORED_ROWS.format(times=""),
+    "stream_relanded": STORED_ROWS.format(times=""),
+    "backfill_changed_days": MARTS.format(landed="ts < TIMESTAMP '2024-01-25'"),
+    "two_writers": _with(HEADER, DETAIL, SALES)
+    + """, source AS (SELECT order_id, item_id, report_date, quantity + 1000 AS quantity
+            FROM sales WHERE report_date >= DATE '1997-07-01')
+          SELECT * FROM (SELECT order_id, item_id, report_date, quantity FROM sales WHERE report_date < DATE '1998-01-01') t
+          WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.order_id = t.order_id)
+          UNION ALL SELECT * FROM source""",
+    "corrected_to_earlier_day": _with(HEADER)
+    + """SELECT ref_id, ref_date - INTERVAL 3 DAY AS ref_date, strftime(ref_date - INTERVAL 3 DAY, '%Y-%m-%d') AS report_date,
+            total_amount + 1 AS total_amount FROM header""",
+    "revenue_by_deltas": """WITH event AS (
+            SELECT strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d') AS report_date,
+              CASE event_type WHEN 'signup' THEN 'Online' WHEN 'purchase' THEN 'Counter' WHEN 'view' THEN '' ELSE event_type END AS branch_name,
+              CASE WHEN ts < TIMESTAMP '2024-01-06' OR ts >= TIMESTAMP '2024-01-26' THEN value
+                   WHEN event_type = 'purchase' THEN -value ELSE value + 1 END AS taken
+            FROM events WHERE event_type <> 'click' OR ts >= TIMESTAMP '2024-01-06')
+          SELECT report_date, branch_name, CAST(left(report_date, 4) AS INTEGER) AS year,
+            CAST(substring(report_date, 6, 2) AS INTEGER) AS month, count(*) AS total_orders,
+            round(sum(taken), 2) AS total_revenue, round(sum(taken) / count(*), 6) AS aov
+          FROM event WHERE taken > 0 GROUP BY report_date, branch_name""",
+    "master_history": HISTORY,
+    "master_history_extended": HISTORY,
+    "sales_asof_product": """WITH line AS (
+            SELECT *, least(23, (year(l_shipdate) - 1995) * 4 + quarter(l_shipdate) - 1) AS q FROM lineitem)
+          SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS ref_detail_id, CAST(l_partkey AS VARCHAR) AS item_id,
+            l_shipdate AS ref_date, CAST(trunc(l_quantity) AS BIGINT) AS quantity,
+            p_retailprice + CAST(floor(q / (1 + p_partkey % 4)) AS BIGINT) AS price
+          FROM line LEFT JOIN part ON p_partkey = l_partkey AND q >= 0 AND (p_partkey + q) % 9 <> 0""",
+    "gap_stretches": """WITH branch AS (
+            SELECT branch_name, CAST(DATE '2023-12-26' + CAST(length(branch_name) AS INTEGER) AS DATE) AS opened
+            FROM (SELECT DISTINCT event_type AS branch_name FROM events UNION ALL SELECT 'closed')),
+          missing AS (
+            SELECT branch_name, day FROM (
+              SELECT branch_name, CAST(unnest(generate_series(opened, DATE '2024-02-03', INTERVAL 1 DAY)) AS DATE) AS day FROM branch) c
+            WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = c.branch_name AND CAST(e.ts AS DATE) = c.day
+              AND (day(e.ts) + length(e.event_type)) % 6 < 2)),
+          island AS (
+            SELECT *, day - CAST(row_number() OVER (PARTITION BY branch_name ORDER BY day) AS INTEGER) AS start FROM missing)
+          SELECT branch_name, min(day) AS first_day, max(day) AS last_day, count(*) AS n_days FROM island GROUP BY branch_name, start""",
+    "dq_quarantine": _with(HEADER, DETAIL, FLAWED_SALES)
+    + """SELECT order_id, item_id, report_date, failed, failed <> '' AS held FROM (
+            SELECT *, concat_ws(',', CASE WHEN order_id IS NULL THEN 'not_null:order_id' END,
+              CASE WHEN item_id IS NULL THEN 'not_null:item_id' END, CASE WHEN report_date IS NULL THEN 'not_null:report_date' END,
+              CASE WHEN net_revenue_inclusive IS NULL THEN 'not_null:net_revenue_inclusive' END,
+              CASE WHEN net_revenue_inclusive < 0 THEN 'not_negative:net_revenue_inclusive' END) AS failed FROM flawed)""",
 }

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,15 +23,16 @@ from tablespoon.functions import (
     to_int,
     to_local_ts,
 )
-from tablespoon.operators import extract, incremental, nested, quality, standardize
+from tablespoon.operators import extract, history, incremental, nested, quality, standardize
 from tablespoon.plans import extract as extract_plan
 from tablespoon.plans import jobs, marts, staging
-from tablespoon.plans.transform import transform, transform_master, transform_transactions
+from tablespoon.plans.transform import stamped, transform, transform_master, transform_transactions
 from tablespoon.schemas import CUSTOMERS, INVOICES, ORDERS, PRODUCTS, SPECS
 from tablespoon.session import workspace
 from tablespoon.sinks import (
     full_refresh,
     land,
+    load_id,
     merge_table,
     read_version,
     save_all,
@@ -36,6 +40,8 @@ from tablespoon.sinks import (
     save_partitions,
     save_table,
 )
+from tablespoon.sinks.loads import begin_load
+from tablespoon.sinks.tables import append
 from tablespoon.sinks.versions import write_folders
 from tablespoon.sources import read_days, read_document, read_master, read_table, source
 from tablespoon.sources.bronze import register_views
@@ -456,11 +462,11 @@ def master_snapshot(spark, sf_dir):
     return product.unionByName(customer)
 
 
-def _land_event_days(spark, sf_dir, kept="true", path=None, invoiced="true"):
+def _land_event_days(spark, sf_dir, kept="true", path=None, invoiced="true", total="TotalAmount"):
     """Events landed as orders and invoices, one folder per UTC day; of all, or of those in ``kept``,
     with invoices for those in ``invoiced``."""
     path = path or workspace(spark, "landing")
-    invoices = d.event_invoices(spark, sf_dir).filter(kept)
+    invoices = d.event_invoices(spark, sf_dir).filter(kept).withColumn("TotalAmount", F.expr(total))
     orders = invoices.select(
         F.col("RefId").alias("Id"), "CustomerId", F.col("RefDate").alias("Date"), "TotalAmount", "BranchId", "utc_day"
     )
@@ -994,6 +1000,150 @@ def corrected_invoice_fewer_lines(spark, sf_dir):
     )
 
 
+@query
+def corrected_to_earlier_day(spark, sf_dir):
+    """Every invoice lands a day later dated three days back; then the first day's file is loaded once more."""
+    first = d.invoice_header(spark, sf_dir).withColumn("ingest_id", F.lit("1-20240101-a"))
+    back = d.with_parts(first.withColumn("ref_date", F.col("ref_date") - F.expr("interval 3 days")), "ref_date")
+    back = back.withColumns({"total_amount": F.col("total_amount") + 1, "ingest_id": F.lit("2-20240102-b")})
+    copies = first.unionByName(back).unionByName(first.withColumn("ingest_id", F.lit("3-20240101-a")))
+    return staging.latest_invoice(copies).select("ref_id", "ref_date", "report_date", "total_amount")
+
+
+def _half_load(spark, lake):
+    """A load that has written its headers, with other amounts, and dies before the lines."""
+    load = load_id(RUN_TS + dt.timedelta(hours=1))
+    documents = {table: stamped(df, load) for table, df in read_days(spark, lake.landing, _JANUARY, BY_DOCUMENT).items()}
+    frames = transform_transactions(documents, RUN_TS, lake.branch_map)
+    begin_load(spark, lake.bronze, load, "january")
+    for table in ("order_header", "invoice_header"):
+        append(frames[table].withColumn("total_amount", F.col("total_amount") + 1000), f"{lake.bronze}/{table}")
+
+
+@query
+def load_dies_between_tables(spark, sf_dir):
+    """Twenty days are built; a load of the whole month dies halfway, and the marts are built again."""
+    lake = _event_lake(spark, sf_dir)
+    jobs.run_transactions(spark, lake, _JANUARY[:20], RUN_TS)
+    jobs.build(spark, lake, dt.date(2024, 2, 1))
+    _half_load(spark, lake)
+    jobs.build(spark, lake, dt.date(2024, 2, 1), 40, high_water_only=False)
+    return _marts(spark, lake)
+
+
+@query
+def load_repeated(spark, sf_dir):
+    """A load that died halfway is run again, and once more after it was through: every row is there once."""
+    lake = _event_lake(spark, sf_dir)
+    _half_load(spark, lake)
+    for _ in range(2):
+        jobs.run_transactions(spark, lake, _JANUARY, RUN_TS, name="january")
+    rows = [df.select(F.lit(name).alias("table_name"), "report_date") for name, df in jobs.bronze_tables(spark, lake).items()]
+    return reduce(DataFrame.unionByName, rows).groupBy("table_name", "report_date").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def two_writers(spark, sf_dir):
+    """Two merges at the same time, of the even and of the odd orders, both with an index of the keys."""
+    path = workspace(spark, "merge-target")
+    sales = _sales(spark, sf_dir).withColumns({"year": F.year("report_date"), "month": F.month("report_date")})
+    full_refresh(_before(sales, dt.date(1998, 1, 1)), path)
+    source = _since(sales, dt.date(1997, 7, 1)).withColumn("quantity", F.col("quantity") + 1000)
+
+    def merge(half):
+        staged = workspace(spark, "merge-source")
+        source.filter(F.col("order_id").cast("long") % 2 == half).write.parquet(staged)
+        merge_table(spark, path, spark.read.schema(source.schema).parquet(staged), ["order_id"], mode="replace", buckets=8)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(inheritable_thread_target(spark)(merge), (0, 1)))
+    return read_version(spark, path, sales.schema).select("order_id", "item_id", "report_date", "quantity")
+
+
+@query
+def revenue_by_deltas(spark, sf_dir):
+    """Three loads with a build after each: some events, then all later ones, then corrected amounts, of which
+    some are negative and take an invoice out."""
+    lake = _event_lake(spark, sf_dir)
+    some = replace(lake, landing=_land_event_days(spark, sf_dir, "BranchId <> 'click'"))
+    changed = _land_event_days(spark, sf_dir, total="CASE WHEN BranchId = 'purchase' THEN -TotalAmount ELSE TotalAmount + 1 END")
+    for n, (landed, days) in enumerate(((some, _JANUARY[:20]), (lake, _JANUARY[10:]), (replace(lake, landing=changed), _JANUARY[5:25]))):
+        jobs.run_transactions(spark, landed, days, RUN_TS + dt.timedelta(hours=n))
+        jobs.build(spark, landed, dt.date(2024, 2, 1))
+    return _rounded_revenue(read_version(spark, f"{lake.marts}/{marts.REVENUE_TABLE}"))
+
+
+@query
+def backfill_changed_days(spark, sf_dir):
+    """As ``backfill_range``, where only days are loaded again whose documents have changed."""
+    lake = _event_lake(spark, sf_dir)
+    early = _land_event_days(spark, sf_dir, "utc_day < '2024-01-25' AND (BranchId <> 'click' OR utc_day < '2024-01-15')")
+    jobs.run_transactions(spark, replace(lake, landing=early), _JANUARY, RUN_TS - dt.timedelta(days=6))
+    jobs.build(spark, lake, dt.date(2024, 1, 26))
+    late = replace(lake, landing=_land_event_days(spark, sf_dir, "utc_day < '2024-01-25'"))
+    jobs.backfill_range(spark, late, dt.date(2024, 1, 26), 25, RUN_TS - dt.timedelta(days=5), only_changed=True)
+    return _marts(spark, lake)
+
+
+@query
+def stream_relanded(spark, sf_dir):
+    """All days land twice, in other files: documents that were taken in are not taken in again."""
+    root, landing = workspace(spark, "stream"), workspace(spark, "landing")
+    for _ in range(2):
+        _land_event_days(spark, sf_dir, path=landing)
+        _take_in(spark, landing, root, once_within="60 days")
+    return _stored_rows(spark, f"{root}/bronze")
+
+
+# --- masters over time, missing stretches, quarantine ------------------------
+
+_VALUES = ["product_name", "price"]
+
+
+@query
+def master_history(spark, sf_dir):
+    return history.master_history(d.product_snapshots(spark, sf_dir), ["product_id"], _VALUES)
+
+
+@query
+def master_history_extended(spark, sf_dir):
+    """The history of the first days, extended by all later snapshots; those it has already are passed over."""
+    snapshots = d.product_snapshots(spark, sf_dir)
+    first = history.master_history(snapshots.filter("report_date <= '2024-01-06'"), ["product_id"], _VALUES)
+    return history.extend_history(first, snapshots, ["product_id"], _VALUES, dt.date(2024, 1, 6))
+
+
+@query
+def sales_asof_product(spark, sf_dir):
+    """Every invoice line with its product's price as of its day."""
+    versions = history.master_history(d.quarterly_products(spark, sf_dir), ["product_id"], ["price"])
+    lines = d.invoice_detail(spark, sf_dir).select("ref_detail_id", "item_id", "ref_date", "quantity")
+    return history.asof_join(lines, versions, {"item_id": "product_id"}, "ref_date")
+
+
+@query
+def gap_stretches(spark, sf_dir):
+    """Stretches of days without an event of a type, and a branch that had none at all."""
+    events = d.table(spark, sf_dir, "events").withColumnRenamed("event_type", "branch_name")
+    thinned = events.filter((F.dayofmonth("ts") + F.length("branch_name")) % 6 < 2)
+    branches = events.select("branch_name").distinct().unionByName(spark.range(1).select(F.lit("closed").alias("branch_name")))
+    bounds = branches.withColumns(
+        {"opened": F.date_add(F.lit("2023-12-26").cast("date"), F.length("branch_name")), "closed": F.lit("2024-02-03").cast("date")}
+    )
+    return incremental.gap_stretches(thinned, "ts", ["branch_name"], bounds)
+
+
+@query
+def dq_quarantine(spark, sf_dir):
+    """Flawed sales lines, each with the checks it fails and where it goes."""
+    sales = _flawed_sales(spark, sf_dir)
+    checks = quality.check_not_null(jobs.REQUIRED_SALES) + quality.check_negative(sales, "net_revenue_inclusive")
+    rows = quality.with_failures(sales, checks)
+    return rows.select(
+        "order_id", "item_id", "report_date", F.array_join(quality.FAILED, ",").alias("failed"), (F.size(quality.FAILED) > 0).alias("held")
+    )
+
+
 def _inclusive():
     net = net_revenue(F.col("amount"), F.col("allocation_amount"), F.col("allocation_delivery_promotion_amount"))
     return revenue_inclusive(net, F.col("tax_amount"))

@@ -382,3 +382,55 @@ def test_merge_by_index_reads_touched_buckets_and_months(spark, tmp_path):
     spark.createDataFrame([("9", "y", 1, 2024, 7)], schema).write.parquet(f"{tmp_path}/four")
     merge_table(spark, path, spark.read.schema(schema).parquet(f"{tmp_path}/four"), ["order_id"], mode="replace")
     assert not any(p.startswith("@") for p in all_folders(spark, path))  # an index that was not kept up is gone
+
+
+def test_only_changed_days_are_loaded_again(spark, lake):
+    for day in ("2024-01-18", "2024-01-19", "2024-01-20"):
+        drop(lake, day, [order(day, f"{day}T03:00:00Z")], [invoice(day, f"{day}T03:00:00Z")])
+    wanted = jobs.backfill_days_list(dt.date(2024, 1, 22), 7)
+    assert jobs.changed_days(spark, lake, wanted) == ["2024-01-18", "2024-01-19", "2024-01-20"]
+    jobs.backfill_range(spark, lake, dt.date(2024, 1, 22), 7, RUN, only_changed=True)
+    assert jobs.changed_days(spark, lake, wanted) == []
+    drop(lake, "2024-01-19", [order("2024-01-19", "2024-01-19T03:00:00Z")], [invoice("2024-01-19", "2024-01-19T03:00:00Z", 12.0)])
+    drop(lake, "2024-01-20", [order("2024-01-20", "2024-01-20T03:00:00Z")], [invoice("2024-01-20", "2024-01-20T03:00:00Z")] * 2)
+    drop(lake, "2024-01-21", [order("new", "2024-01-21T03:00:00Z")], [])
+    assert jobs.changed_days(spark, lake, wanted) == ["2024-01-19", "2024-01-20", "2024-01-21"]
+    jobs.backfill_range(spark, lake, dt.date(2024, 1, 22), 7, RUN + dt.timedelta(hours=1), only_changed=True)
+    newest = max(loads.committed_loads(spark, lake.bronze))
+    assert set(loads.committed(spark, lake.bronze, newest)["sums"]["order_header"]) == {"20240119", "20240120", "20240121"}
+    assert jobs.changed_days(spark, lake, wanted) == []
+    days = {day for day, _ in revenue(spark, lake)}
+    assert days == {"2024-01-18", "2024-01-19", "2024-01-20"} and revenue(spark, lake)["2024-01-19", "Central"] == (1, 12.0)
+
+
+def test_quarantine_holds_what_the_mart_does_not(spark, lake):
+    def table(name):
+        rows = read_version(spark, f"{lake.marts}/{name}").collect()
+        return sorted((r["order_id"], r["net_revenue_inclusive"], tuple(r.asDict().get("failed_checks", ()))) for r in rows)
+
+    bad = ("not_negative:net_revenue_inclusive",)
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z", amounts=(-5.0, 6.0)), invoice("2", "2024-01-20T03:00:00Z")])
+    jobs.run_transactions(spark, lake, "2024-01-20", RUN)
+    report = jobs.build(spark, lake, dt.date(2024, 1, 22), quarantine=True)
+    assert {r["check_name"]: r["violations"] for r in report.collect()}["not_negative:net_revenue_inclusive"] == 1
+    held = f"{SALES_TABLE}_quarantine"
+    assert table(SALES_TABLE) == [("1", 6.0, ()), ("2", 5.0, ()), ("2", 6.0, ())] and table(held) == [("1", -5.0, bad)]
+    drop(lake, "2024-01-21", [], [invoice("1", "2024-01-20T03:00:00Z", amounts=(5.0, 6.0)), invoice("3", "2024-01-21T03:00:00Z", amounts=(-1.0, 2.0))])
+    jobs.run_transactions(spark, lake, "2024-01-21", RUN)
+    for _ in range(2):
+        jobs.build(spark, lake, dt.date(2024, 1, 22), quarantine=True)
+    assert table(SALES_TABLE) == [("1", 5.0, ()), ("1", 6.0, ()), ("2", 5.0, ()), ("2", 6.0, ()), ("3", 2.0, ())]
+    assert table(held) == [("3", -1.0, bad)]  # the first one is mended
+
+
+def test_stream_takes_a_document_once_within_the_watermark(spark, lake, tmp_path):
+    def take():
+        take_in(spark, lake, INVOICES, tmp_path / "state", once_within="3 days")
+        return sorted(r["ref_id"] for r in jobs.bronze_tables(spark, lake)["invoice_header"].collect())
+
+    drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z"), invoice("nodate", None)])
+    assert take() == ["1", "nodate"]
+    # the same again in another file, a late one within the watermark, and a changed one
+    drop(lake, "2024-01-21", [], [invoice("1", "2024-01-20T03:00:00Z"), invoice("late", "2024-01-18T03:00:00Z"), invoice("1", "2024-01-20T03:00:00Z", 12.0)])
+    assert take() == ["1", "1", "late", "nodate"]
+    assert counted(spark, lake)["invoice_detail"] == 8
