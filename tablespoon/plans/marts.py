@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablespoon.functions import hour_bucket, net_revenue, revenue_inclusive
+from tablespoon.operators.dedup import latest_by
 from tablespoon.operators.incremental import lookback, since_high_water, upsert
 from tablespoon.plans.staging import latest_invoice, latest_invoice_detail
 from tablespoon.schemas import INGEST_COLUMN
@@ -90,13 +91,17 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
     of, the lines of that same copy, so that a line withdrawn by a correction is
     gone. Without that mark each line's own latest copy joins.
 
-    The join has a second key. After deduplication both sides are dealt out by
-    other keys or by a rank, which the adaptive planner can't split; the second
-    key makes it deal both out anew for the join, and then it splits hot invoices.
+    The join has a second key. After deduplication a side is dealt out by another
+    key or by a rank, which the adaptive planner can't split; the second key makes
+    it deal both out anew for the join, and then it splits hot invoices. Marked
+    lines are dealt out once: repeats within a copy are told apart where the join
+    has put them.
     """
     marked = dedupe and INGEST_COLUMN in header.columns and INGEST_COLUMN in detail.columns
     if dedupe:
-        header, detail = latest_invoice(header), latest_invoice_detail(detail)
+        header = latest_invoice(header)
+    if dedupe and not marked:
+        detail = latest_invoice_detail(detail)
     copy = F.coalesce(INGEST_COLUMN, F.lit("")) if marked else F.xxhash64("ref_id")
     kept = header.filter(F.col("payment_status") != EXCLUDED_STATUS).select(*_HEADER_COLUMNS, copy.alias("_copy"))
     lines = detail.select(
@@ -109,8 +114,11 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
         "allocation_delivery_promotion_amount",
         F.col("tax_amount").alias("line_tax"),
         copy.alias("_copy"),
+        *([F.col("ref_detail_id").alias("_line"), F.col("ref_date").alias("_line_date")] if marked else []),
     )
     joined = lines.join(kept, ["ref_id", "_copy"] if dedupe else "ref_id", "inner")
+    if marked:
+        joined = latest_by(joined, ["ref_id", "_copy", "_line"], ["_line_date"])
     net = net_revenue(F.col("amount"), F.col("allocation_amount"), F.col("allocation_delivery_promotion_amount"))
     return joined.select(
         "branch_name",

@@ -12,7 +12,8 @@ from pyspark.sql import SparkSession
 # skewed ones at run time. Parquet takes about a
 # third of the space of its rows, which the planner must know before it picks a
 # side to broadcast; where no side is small, a sort is saved once the partitions
-# turn out to fit in memory.
+# turn out to fit in memory. A skewed join is split even if what follows must then
+# be dealt out again.
 DEFAULTS = {
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
@@ -20,6 +21,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",

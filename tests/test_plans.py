@@ -100,12 +100,14 @@ def test_nest_reads_each_side_once(spark):
     assert text.count("FileScan") == 3 and text.count("Exchange hashpartitioning") <= 4
 
 
-def test_deduplication_costs_each_side_one_shuffle_more(spark, bronze):
+def test_deduplication_costs_the_header_one_shuffle_more_and_unmarked_lines_one(spark, bronze):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         header, detail = source(spark, bronze, "invoice_header"), source(spark, bronze, "invoice_detail")
         assert plan(marts.sales_lines(header, detail)).count("Exchange hashpartitioning") == 2
-        assert plan(marts.sales_lines(header, detail, dedupe=True)).count("Exchange hashpartitioning") == 4
+        assert plan(marts.sales_lines(header, detail, dedupe=True)).count("Exchange hashpartitioning") == 3
+        unmarked = marts.sales_lines(header, detail.drop("ingest_id"), dedupe=True)
+        assert plan(unmarked).count("Exchange hashpartitioning") == 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
@@ -118,7 +120,7 @@ def test_rows_to_rank_are_those_of_recent_invoices(spark):
     assert "LeftSemi" in text and text.index("LeftSemi") > text.index("WindowGroupLimit")
 
 
-@pytest.mark.parametrize("dedupe", [False, True])
+@pytest.mark.parametrize("dedupe", [False, True, "marked"])
 def test_skewed_invoice_is_split_by_the_adaptive_planner(spark, tmp_path, dedupe):
     lines = d.invoice_detail(spark, SF_DIR)
     noise = {"amount": F.rand(1), "tax_amount": F.rand(2), "item_id": F.uuid(), "ref_detail_id": F.uuid(), "allocation_amount": F.rand(3)}
@@ -134,7 +136,10 @@ def test_skewed_invoice_is_split_by_the_adaptive_planner(spark, tmp_path, dedupe
     for k, v in small.items():
         spark.conf.set(k, v)
     try:
-        df = marts.sales_lines(spark.read.parquet(f"{tmp_path}/header"), spark.read.parquet(f"{tmp_path}/detail"), dedupe)
+        header, detail = spark.read.parquet(f"{tmp_path}/header"), spark.read.parquet(f"{tmp_path}/detail")
+        if dedupe == "marked":
+            header, detail = (df.withColumn("ingest_id", F.concat(F.lit("1-20240101-"), "ref_id")) for df in (header, detail))
+        df = marts.sales_lines(header, detail, bool(dedupe))
         df._jdf.queryExecution().toRdd().count()
         assert "SortMergeJoin(skew=true)" in plan(df)
     finally:
