@@ -445,7 +445,7 @@ ORACLE: dict[str, str] = {
           FROM ({MARTS.format(landed="true")})""",
     "corrected_invoice_fewer_lines": _with(HEADER, DETAIL, LINE_WORTH.format(lines="detail"))
     + """SELECT strftime(ref_date + INTERVAL 1 DAY, '%Y-%m-%d') AS report_date, branch_name, count(*) AS n_lines,
-            round(sum(before_tax + tax), 2) AS sold, round(sum(before_tax + tax), 2) AS total_revenue
+            round(sum(before_tax + tax), 4) AS sold, round(sum(before_tax + tax), 4) AS total_revenue
           FROM header JOIN (SELECT ref_id, before_tax, tax FROM worth
                             WHERE CAST(split_part(ref_detail_id, '-', -1) AS INTEGER) % 2 = 1) USING (ref_id)
           WHERE payment_status <> 4 GROUP BY 1, 2""",

@@ -994,9 +994,10 @@ def corrected_invoice_fewer_lines(spark, sf_dir):
     headers = first.unionByName(second)
     revenue = marts.revenue_daily(headers, dedupe=True)
     sold = marts.sales_lines(headers, lines, dedupe=True).withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
-    sold = sold.groupBy("report_date", "branch_name").agg(F.count("*").alias("n_lines"), F.round(F.sum("net_revenue_inclusive"), 2).alias("sold"))
+    # amounts have four digits, so rounding to fewer would meet ties, which the order of a sum decides
+    sold = sold.groupBy("report_date", "branch_name").agg(F.count("*").alias("n_lines"), F.round(F.sum("net_revenue_inclusive"), 4).alias("sold"))
     return sold.join(revenue, ["report_date", "branch_name"]).select(
-        "report_date", "branch_name", "n_lines", "sold", F.round("total_revenue", 2).alias("total_revenue")
+        "report_date", "branch_name", "n_lines", "sold", F.round("total_revenue", 4).alias("total_revenue")
     )
 
 
