@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import ship, stored, table
 
 #: Expressions of a host that one task of the tree folds, and hosts that a task holds at once.
 FAN_IN = 64
 HOSTS_HELD = 2_000
-#: A text that is the same on so many pages is part of the template, outside and inside of an article.
-SAME_OUTSIDE, SAME_INSIDE = 3, 8
+#: A text that is the same on so many pages is part of the template, on hosts whose pages don't name their article.
+#: Where they do, nothing that is in it goes for being the same.
+SAME = 3
 #: Elements within each other that a tree holds, as in browsers, which have such a bound too.
 DEEPEST = 200
 
@@ -261,7 +262,7 @@ def _align(a: list[dict], b: list[dict], pages: Callable[[int, int], int]) -> li
 def _weigh(part: dict) -> tuple[int, int]:
     """Characters outside of links that vary, and all characters, of what isn't noise."""
     if part["l"] == "#":
-        fixed = part["h"] is not None and part["p"] >= SAME_OUTSIDE
+        fixed = part["h"] is not None and part["p"] >= SAME
         return (0 if fixed else part["s"] - part["a"]), part["s"]
     if part.get("g"):
         return 0, 0
@@ -303,7 +304,7 @@ def decide(wrapper: dict) -> dict:
 
     def mark(part: dict, inside: bool, noise: bool, mostly_fixed: bool, tag: str) -> dict:
         if part["l"] == "#":
-            fixed = part["h"] is not None and part["p"] >= (SAME_INSIDE if named else SAME_OUTSIDE) and tag not in HEADING
+            fixed = not named and part["h"] is not None and part["p"] >= SAME and tag not in HEADING
             linked = not named and part["a"] * 2 > part["s"]
             return {"l": "#", "k": int(inside and not noise and not (fixed and not mostly_fixed) and not linked)}
         names = part["l"].split(".")
@@ -420,6 +421,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     wrapper. A host's only page is judged by its own structure. Repeated rows come out as often as
     they went in; an empty table gives an empty result. Whole pages are read, however long.
     """
+    ship(pages.sparkSession)  # before any Python function is made
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[^/?#]*//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
     plans = wrappers(rows.select("host", "html"))

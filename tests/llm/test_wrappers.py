@@ -67,9 +67,18 @@ def test_repeats_within_a_page_are_no_template(spark):
     assert [got[i][0].count("yes") for i in range(3)] == [9, 9, 9] and got[3][0].count("same") == 4
 
 
-def test_texts_on_many_pages_are_template(spark):
-    got = texts(spark, [(f"http://f.org/{j}", page(body=f"<p>{'words ' * 30}{j}</p><div>Tell us</div>")) for j in range(w.SAME_INSIDE)])
-    assert not any("Tell us" in text for text, _ in got.values())
+def test_eight_pages_keep_article_text(spark):
+    """What an article says on every page of its host is still the article's."""
+    body = "<p>{}</p><table><tr><td>Population</td><td>{}</td></tr></table><div>Conclusion</div>"
+    pages = [(f"http://f.org/{j}", page(body=body.format(f"{'words ' * 30}{j}", j))) for j in range(20)]
+    got = texts(spark, pages)
+    assert [got[j][0] for j in range(20)] == [f"Title {'words ' * 30}{j} Population {j} Conclusion" for j in range(20)]
+
+
+def test_texts_on_many_pages_are_template_where_no_article_is_named(spark):
+    body = "<p>{}</p><div>Tell us</div>"
+    pages = [(f"http://g.org/{j}", page("div", f"Title {j}", body.format(f"{'words ' * 30}{j}"))) for j in range(w.SAME)]
+    assert not any("Tell us" in text for text, _ in texts(spark, pages).values())
 
 
 def test_expressions_fold_and_align():
