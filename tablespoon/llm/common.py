@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,10 +65,48 @@ def stored(df: DataFrame) -> DataFrame:
     """
     ship(df.sparkSession)
     path = f"{shared_folder(df.sparkSession)}/tablespoon/{uuid.uuid4().hex}"
+    if _in_stage:
+        _in_stage[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tables that the pipeline stage being run has stored, and those of stages run before, by application.
+_in_stage: list[list[str]] = []
+_of_stages: dict[str, list[str]] = {}
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A pipeline stage that first deletes the tables stored by the stages before it.
+
+    A stage's result is written and read again before the next stage gets it, so nothing needs
+    them any more; those that ``docs`` still reads stay.
+    """
+
+    @wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        app = spark.sparkContext.applicationId
+        before = _of_stages.pop(app, [])
+        read = docs.inputFiles() if before else []
+        kept = [path for path in before if any(path in file for file in read)]
+        for path in set(before) - set(kept):
+            discard(spark, path)
+        _in_stage.append([])
+        try:
+            return fn(spark, docs, sf_dir)
+        finally:
+            _of_stages[app] = kept + _in_stage.pop()
+
+    return run
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored, with a distinct long ``name`` per row that later reads see unchanged."""
     return stored(df.withColumn(name, F.monotonically_increasing_id()))

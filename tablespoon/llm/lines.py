@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, fresh, stored
+from .common import documents, fresh, stage, stored
 
 #: Lines of fewer characters are compared for equality only: one edit is a large part of them.
 SHORTEST = 20
@@ -208,6 +208,7 @@ def deduplicated(docs: DataFrame, shortest: int = SHORTEST) -> tuple[DataFrame,
     return out.select(*docs.columns, n_lines, n_removed), n_lines, n_removed
 
 
+@stage
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without their repeated lines; ``n_chars`` follows the text where there is one."""
     out = deduplicated(docs)[0].select(*docs.columns)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, fresh, stored, word_count
+from .common import documents, fresh, stage, stored, word_count
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -147,6 +147,7 @@ def mixed(docs: DataFrame, keep: bool = True) -> tuple[DataFrame, dict[str, str]
     return out.withColumn(copies, F.floor(F.col(given_of) / F.col(m)) + extra), names | {"size": size}
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: each document as often as the mix takes it, with its own columns."""
     out, names = mixed(docs)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, fresh, stored, words_of
+from .common import documents, fresh, stage, stored, words_of
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -187,6 +187,7 @@ def judged(docs: DataFrame, keep_text: bool = True) -> tuple[DataFrame, str, str
     return out.drop(lang, source, fence), m, failed, kept
 
 
+@stage
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep, with their own columns."""
     out, _, _, kept = judged(docs)

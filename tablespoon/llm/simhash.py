@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import paragraphs
-from .common import documents, fresh, numbered, stored
+from .common import documents, fresh, numbered, stage, stored
 from .components import components
 
 THRESHOLD = 4
@@ -293,6 +293,7 @@ def similar_texts(classes: DataFrame, texts: DataFrame, bucket: int = paragraphs
     return paragraphs.similar_lines(nodes, texts.withColumn("line", F.lit(0)), bucket)
 
 
+@stage
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each near-duplicate group just the row with the least doc_id (null last, then any one).
 
@@ -309,8 +310,10 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = stored(classes.select("own", "own.row", "bands", F.monotonically_increasing_id().alias("node")))
     linked = similar_texts(classes, rows.select(F.col(row).alias("row"), F.col("text").alias("written")))
     groups = classes.select("node", "own").join(stored(linked), "node", "left").select("own", F.coalesce("root", "node").alias("root"))
-    winners = stored(groups.groupBy("root").agg(F.min("own").alias("first")).select(F.col("first.row").alias(row)))
-    return rows.join(winners, row, "left_semi").select(*docs.columns)
+    winners = groups.groupBy("root").agg(F.min("own").alias("first")).select(F.col("first.row").alias(row))
+    # most rows stay, so the ids of the others are the smaller side to join the texts with
+    others = stored(rows.select(row).join(winners, row, "left_anti"))
+    return rows.join(others, row, "left_anti").select(*docs.columns)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
+import os
+
 import pytest
 
 import corpus_pipeline
-from tablespoon.llm import queries
+from tablespoon.llm import common, queries
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,7 +15,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_queries_are_numbered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline(spark, tmp_path):
@@ -34,3 +36,33 @@ def test_pipeline(spark, tmp_path):
     whole = corpus_pipeline.run(spark, SF_DIR).toPandas()
     key = ["doc_id", "copy", "piece"]
     assert whole.sort_values(key).reset_index(drop=True).equals(packed.sort_values(key).reset_index(drop=True))
+
+
+def test_stages_clear_what_stages_before_stored(spark, make):
+    """What is read still stays, and nothing else of the earlier stages."""
+    seen = []
+
+    @common.stage
+    def keeps(spark, docs, sf_dir):
+        out = common.stored(docs)
+        seen.append(out.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])
+        return out
+
+    outside = common.stored(make([(1, "a")]))
+    first = keeps(spark, outside, "")
+    second = keeps(spark, first, "")  # reads the first one's table, which was not written again
+    assert [os.path.exists(p) for p in seen] == [True, True] and second.count() == 1
+    third = keeps(spark, outside, "")
+    assert [os.path.exists(p) for p in seen] == [False, False, True]
+    assert outside.count() == third.count() == 1
+
+
+def test_odd_tables_go_through_all_stages(spark, messy, empty, tmp_path):
+    for number, docs in enumerate((messy, empty)):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, "")
+            out.write.parquet(f"{tmp_path}/{number}-{name}")
+            docs = spark.read.schema(out.schema).parquet(f"{tmp_path}/{number}-{name}")
+            assert name == "best_fit_packing" or docs.columns == columns
+        assert docs.count() > 0 if number == 0 else docs.count() == 0
