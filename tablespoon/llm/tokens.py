@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, shared_folder, stored
+from .common import documents, shared_folder, ship, stored
 
 END_ID = 1
 #: Characters of text that go into one file, about.
 FILE_CHARS = 32 << 20
 #: Words whose ids a Python worker remembers; beyond that, new words are encoded whenever they come.
-WORDS_HELD = 800_000
+WORDS_HELD = 1_200_000
 
 # Fixed values of the seekable zstandard format.
 SKIPPABLE, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -55,13 +55,16 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         end, known = struct.pack("<I", END_ID), self.known
         split = [_plain((text or "").encode("utf-8", "replace")).split() for text in texts]
-        new = list({w for words in split for w in words if w not in known})
+        packed = [list(map(known.get, words)) for words in split]
+        part = [i for i, ids in enumerate(packed) if None in ids]
+        new = list({w for i in part for w, ids in zip(split[i], packed[i]) if ids is None})
         found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
         fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
+        for i in part:
+            packed[i] = [fresh[w] if ids is None else ids for w, ids in zip(split[i], packed[i])]
         if len(known) + len(fresh) <= WORDS_HELD:
             known.update(fresh)
-            return [b"".join([*map(known.__getitem__, words), end]) for words in split]
-        return [b"".join([*(known[w] if w in known else fresh[w] for w in words), end]) for words in split]
+        return [b"".join([*ids, end]) for ids in packed]
 
 
 def _plain(raw: bytes) -> bytes:
@@ -126,6 +129,13 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` as a URI; one without a scheme is on the session's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_chars: int = FILE_CHARS) -> DataFrame:
     """Write ``docs(doc_id, text)`` in ascending doc_id order to files under ``folder``; their list.
 
@@ -135,6 +145,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_chars: int
     does no harm. Null doc_ids come last; ties are in order of the text's hash. Null and empty texts
     have the end id alone.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     order = [F.col("doc_id").asc_nulls_last(), F.col("tie")]
@@ -155,7 +166,10 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, file_chars: int
 
         with store.open_output_stream(draft) as out:
             n_docs, n_tokens = write_file(out, encoded())
-        store.move(draft, final)
+        if store.get_file_info(final).type == fs.FileType.NotFound:
+            store.move(draft, final)
+        else:  # an attempt before this one got as far as this; what it wrote is the same
+            store.delete_file(draft)
         yield pa.record_batch(
             [pa.array([number], pa.int64()), pa.array([f"{folder}/{final.rsplit('/', 1)[1]}"]), pa.array([n_docs], pa.int64()), pa.array([n_tokens], pa.int64())],
             ["file_no", "path", "n_docs", "n_tokens"],
@@ -196,8 +210,6 @@ def read_tokens(files: DataFrame) -> DataFrame:
 def op5_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    folder = f"{shared_folder(spark)}/tablespoon/{uuid.uuid4().hex}"
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{folder}"
+    folder = qualified(spark, f"{shared_folder(spark)}/tablespoon/{uuid.uuid4().hex}")
     docs = documents(spark, sf_dir)
     return read_tokens(write_tokens(docs, folder, str(public_tokenizers.path("word_bpe_49k.json"))))
