@@ -2,13 +2,18 @@
 
 Paragraphs are of two kinds, over words in lower case:
 
-* lines of at least ``WORDS`` words. Each has a MinHash signature over its five-word shingles, cut
-  into ``BANDS`` bands of ``ROWS`` values, which makes a pair of similarity 0.8 collide with
-  probability 0.997. Equal lines are one node, so a group of copies costs one signature.
-* passages inside of lines: windows of ``WORDS`` words at places that their own words choose (the
-  least hashed shingle of every ``REACH`` neighbouring ones). Any passage of
+* lines of at least ``WORDS`` words, and paragraphs set over several lines: shorter lines one after
+  another, without a blank or a longer line between, that have ``WORDS`` words together. Each has a
+  MinHash signature over its five-word shingles, cut into ``BANDS`` bands of ``ROWS`` values, which
+  makes a pair of similarity 0.8 collide with probability 0.997. Those of the same words are one
+  node, so a group of copies costs one signature.
+* passages inside of them or across: windows of ``WORDS`` words at places that their own words
+  choose (the least hashed shingle of every ``REACH`` neighbouring ones). Any passage of
   ``WORDS + REACH - 1`` = 50 words has a place chosen alike wherever it occurs. Their band is the
-  whole window: they collide if they are equal.
+  whole window: they collide if they are equal. They are looked for in what no removed paragraph
+  holds, and grow by the words around them that the first occurrence has, too. What is repeated
+  beyond a text's last equal window is shorter than ``REACH`` words, or it would hold another one, so
+  as many words to each side are enough.
 
 Lines that collide in a band are verified by the Jaccard coefficient of their shingle sets. Within
 a band links form a spanning forest, not all pairs; a band's group above ``BUCKET`` lines or
@@ -18,11 +23,12 @@ are clusters; the earliest paragraph of each stays, the others are to be removed
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, stored
@@ -44,7 +50,7 @@ _B = _draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _powers: dict[int, np.ndarray] = {}
-_CUT = pa.schema([*((c, pa.int64()) for c in ("doc_id", "row", "line", "start", "words", "h", "h2")), ("bands", pa.list_(pa.int64()))])
+_CUT = pa.schema([*((c, pa.int64()) for c in ("doc_id", "row", "line", "n_lines", "start", "words", "h", "h2")), ("bands", pa.list_(pa.int64()))])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -158,6 +164,9 @@ def _paragraphs(doc_ids: list[int | None], row_ids: list[int], texts: list[bytes
     first_word, past_word = np.searchsorted(doc, np.arange(len(texts))), np.searchsorted(doc, np.arange(len(texts)), "right")
 
     starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    long = np.diff(np.append(starts, len(line))) >= WORDS
+    apart = (doc[starts][1:] != doc[starts][:-1]) | (np.diff(line[starts]) > 1)
+    starts = starts[np.concatenate([[True], apart | long[1:] | long[:-1]])]
     sizes = np.diff(np.append(starts, len(line)))
     starts, sizes = starts[sizes >= WORDS], sizes[sizes >= WORDS]
     runs = _runs(hashes)
@@ -185,12 +194,13 @@ def _paragraphs(doc_ids: list[int | None], row_ids: list[int], texts: list[bytes
         return None
     own = doc[begin]
     number = np.concatenate([line[starts] - breaks[offsets[doc[starts]]], np.full(len(places), -1)])
+    lines = np.concatenate([line[starts + sizes - 1] - line[starts] + 1, np.zeros(len(places), np.int64)])
     signatures = pa.ListArray.from_arrays(
         pa.array(np.concatenate([np.arange(len(starts) + 1) * BANDS, np.full(len(places), len(starts) * BANDS)]), pa.int32()),
         pa.array(keys.reshape(-1).view(np.int64)),
     )
     top = [_ranges(hashes, base, begin, begin + length).view(np.int64) for base in _BASES]
-    columns = [np.array(row_ids, np.int64)[own], number, begin - first_word[own], length, *top]
+    columns = [np.array(row_ids, np.int64)[own], number, lines, begin - first_word[own], length, *top]
     ids = pa.array(doc_ids, pa.int64()).take(pa.array(own))
     return pa.record_batch([ids, *(pa.array(c, pa.int64()) for c in columns), signatures], _CUT.names)
 
@@ -198,8 +208,8 @@ def _paragraphs(doc_ids: list[int | None], row_ids: list[int], texts: list[bytes
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, row, text`` -> the paragraphs of each text.
 
-    ``doc_id, row, line, start, words, h, h2, bands``: line is the line's number, or -1 for a
-    window; start counts words from 0; bands is empty for windows.
+    ``doc_id, row, line, n_lines, start, words, h, h2, bands``: line is the first line's number, or -1
+    for a window; start counts words from 0; bands is empty for windows.
     """
     for batch in batches:
         held: tuple[list, list, list] = ([], [], [])
@@ -295,17 +305,18 @@ def _compare(most: int, similarity: float):
     return run
 
 
-def similar_lines(nodes: DataFrame, texts: DataFrame, bucket: int = BUCKET, similarity: float = SIMILARITY) -> DataFrame:
-    """``node, root`` for the distinct lines ``nodes(node, row, line, bands)`` linked to another one.
+def similar_lines(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], bucket: int = BUCKET, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, root`` for the distinct paragraphs ``nodes(node, bands, ...)`` linked to another one.
 
-    A node's text is that of line number ``line`` of text ``row`` in ``texts(row, line, written)``.
+    ``texts`` gives ``node, written`` for some of the nodes, which it gets without their bands; a node
+    may come more than once.
     """
     banded = nodes.select("node", F.explode("bands").alias("k"))
     shared = banded.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("k")
     shared = stored(shared)
     met = stored(banded.join(shared, "k", "left_semi").distinct())
-    some = stored(nodes.select("node", "row", "line").join(met.select("node").distinct(), "node", "left_semi"))
-    written = stored(texts.join(some, ["row", "line"]).select("node", "written").dropDuplicates(["node"]))
+    some = stored(nodes.drop("bands").join(met.select("node").distinct(), "node", "left_semi"))
+    written = stored(texts(some).dropDuplicates(["node"]))
 
     def compared(rows: DataFrame) -> DataFrame:
         dealt = rows.repartition("k", "chunk").sortWithinPartitions("k", "chunk", "node").select("k", "chunk", "node", "written")
@@ -324,79 +335,152 @@ def similar_lines(nodes: DataFrame, texts: DataFrame, bucket: int = BUCKET, simi
     return components(edges.select("u", "v"))
 
 
+def _written(rows: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """The lines of paragraphs ``some(node, row, line, n_lines)``; each text is read and split once."""
+
+    def of(some: DataFrame) -> DataFrame:
+        asked = stored(some.groupBy("row").agg(F.collect_list(F.struct("node", "line", "n_lines")).alias("asked")))
+        texts = rows.select("row", "text").join(asked, "row").select(F.split("text", "\n").alias("lines"), "asked")
+        each = texts.select("lines", F.explode("asked").alias("a"))
+        lines = F.slice("lines", (F.col("a.line") + 1).cast("int"), F.col("a.n_lines").cast("int"))
+        return each.select("a.node", F.array_join(lines, "\n").alias("written"))
+
+    return of
+
+
 def repeats(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """The repeated paragraphs of ``docs(doc_id, text)``: one row per paragraph in a cluster of two or more.
 
-    ``doc_id, line, start_word, n_words, cluster, first_doc_id, removed``. ``line`` is the line's
-    number from 0, or null for a passage that was joined from windows next to each other.
+    ``doc_id, line, n_lines, start_word, n_words, cluster, first_doc_id, removed``. ``line`` is the
+    number of the paragraph's first line from 0, ``n_lines`` how many lines it has, both null for a
+    passage, which may be joined from several that overlap or touch.
     ``cluster`` tells clusters apart within one result, ``first_doc_id`` is the document that keeps
     the paragraph, ``removed`` says whether this one goes. Order is by doc_id (null last), then by
-    text and place. A passage inside of lines that are themselves repeated is not listed again. Null,
-    empty and short texts have no paragraphs; rows that repeat doc_id and text are one document;
-    documents without repeats have no row, and an empty table gives none.
+    text and place. A passage in paragraphs that are removed is not listed again, nor a kept one in
+    paragraphs that are listed. Null, empty and short texts have no paragraphs; rows that repeat
+    doc_id and text are one document; documents without repeats have no row, and an empty table gives none.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
-    cut = stored(rows.mapInArrow(_cut, "doc_id long, row long, line long, start long, words long, h long, h2 long, bands array<long>"))
-    place = ["doc_id", "row", "line", "start", "words"]
-    spot = F.xxhash64("row", "start")  # two of them tell that a paragraph is in two places
-    twice = F.min(spot) != F.max(spot)
+    longs = ", ".join(f"{c} long" for c in _CUT.names[:-1])
+    cut = stored(rows.mapInArrow(_cut, f"{longs}, bands array<long>"))
+    end = (F.col("start") + F.col("words")).alias("end")
 
-    # lines: equal ones are a node, linked nodes a cluster
+    # paragraphs: those of equal words are a node, linked nodes a cluster
     lines = cut.where("line >= 0")
-    at = F.min(F.struct("row", "line")).alias("at")
-    nodes = lines.groupBy("h", "h2").agg(twice.alias("twice"), at, F.first("bands").alias("bands"))
-    nodes = stored(nodes.select("h", "h2", "twice", "at.row", "at.line", "bands", F.monotonically_increasing_id().alias("node")))
-    texts = rows.select("row", F.posexplode(F.split("text", "\n")).alias("line", "written"))
-    linked = similar_lines(nodes, texts, bucket)
+    at = F.min(F.struct("row", "line", "n_lines")).alias("at")
+    nodes = lines.groupBy("h", "h2").agg(_twice().alias("twice"), at, F.first("bands").alias("bands"))
+    nodes = stored(nodes.select("h", "h2", "twice", "at.*", "bands", F.monotonically_increasing_id().alias("node")))
+    linked = similar_lines(nodes.drop("h", "h2", "twice"), _written(rows), bucket)
     clusters = nodes.select("node", "h", "h2", "twice").join(linked, "node", "left").where("twice or root is not null")
     clusters = clusters.select("h", "h2", F.coalesce("root", "node").alias("cluster"))
-    found_lines = lines.select(*place, "h", "h2").join(clusters, ["h", "h2"]).select(*place, "cluster")
+    found = lines.select("doc_id", "row", "line", "n_lines", "start", end, "h", "h2").join(clusters, ["h", "h2"]).drop("h", "h2")
+    whole = _judged(stored(found.distinct()))
 
-    # windows: equal ones are a cluster, but not within lines found already
-    windows = cut.where("line < 0").select(*place, "h", "h2")
-    equal = windows.groupBy("h", "h2").agg(twice.alias("twice")).where("twice")
+    # windows: equal ones are a cluster, but for those that go with a paragraph
+    windows = cut.where("line < 0").select("doc_id", "row", "start", end, "h", "h2")
+    equal = windows.groupBy("h", "h2").agg(_twice().alias("twice")).where("twice")
     equal = stored(equal.select("h", "h2", (-1 - F.monotonically_increasing_id()).alias("cluster")))
-    found_windows = windows.join(equal, ["h", "h2"]).select(*place, "cluster")
+    left = _outside(windows.join(equal, ["h", "h2"]).drop("h", "h2"), whole.where("removed"))
+    passages = _grown(_judged(stored(left.dropDuplicates(["row", "start"]))), rows)
+
+    gone, stay = passages.where("removed"), _outside(passages.where("not removed"), whole)
+    whole = whole.withColumn("n_words", F.col("end") - F.col("start"))
+    out = whole.drop("end").unionByName(_joined(gone.unionByName(stay)), allowMissingColumns=True)
+    return out.select("doc_id", "line", "n_lines", F.col("start").alias("start_word"), "n_words", "cluster", "first_doc_id", "removed")
+
 
+def _twice() -> Column:
+    """Whether a group's paragraphs are in two places."""
+    spot = F.xxhash64("row", "start")
+    return F.min(spot) != F.max(spot)
+
+
+def _judged(found: DataFrame) -> DataFrame:
+    """``found(doc_id, row, start, cluster, ...)`` in clusters of two or more, with ``first_doc_id`` and ``removed``."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start")
-    found = stored(found_lines.unionByName(found_windows).distinct())
-    first = stored(found.groupBy("cluster").agg(F.min(order).alias("first")))
+    first = stored(found.groupBy("cluster").agg(F.min(order).alias("first"), _twice().alias("twice")).where("twice").drop("twice"))
     marked = found.join(first, "cluster").withColumn("removed", order != F.col("first"))
-    marked = marked.select("row", "doc_id", F.when(F.col("line") >= 0, F.col("line")).alias("line"), "start", (F.col("start") + F.col("words")).alias("end"), "cluster", F.col("first.doc_id").alias("first_doc_id"), "removed")
-    return _joined(stored(marked)).withColumnsRenamed({"start": "start_word"}).drop("row")
+    return stored(marked.withColumn("first_doc_id", F.col("first.doc_id")).drop("first"))
 
 
-def _joined(marked: DataFrame) -> DataFrame:
-    """Windows of a text that overlap or touch and share a fate as one passage; lines as they are.
+def _outside(passages: DataFrame, whole: DataFrame) -> DataFrame:
+    """``passages(row, start, end, ...)`` that paragraphs ``whole(row, start, end)`` don't cover.
 
-    A text's paragraphs are ordered in one group, which is bounded by the text.
+    Paragraphs one after another cover what lies across their borders, too. A text's are ordered in
+    one group, which is bounded by the text.
     """
-    whole = marked.where("line is not null")
-    # lines one after another cover what lies across their borders, too
-    by = Window.partitionBy("row").orderBy("start", "cluster")
+    by = Window.partitionBy("row").orderBy("start", "end")
     until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    lines = whole.withColumn("opens", F.coalesce((F.col("start") > until).cast("int"), F.lit(1)))
-    lines = lines.withColumn("run", F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    lines = lines.withColumn("reach", F.max("end").over(Window.partitionBy("row", "run"))).drop("opens", "run")
-    passages = marked.where("line is null").withColumn("reach", F.lit(None).cast("long"))
+    runs = whole.select("row", "start", "end").withColumn("opens", F.coalesce((F.col("start") > until).cast("int"), F.lit(1)))
+    runs = runs.withColumn("run", F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("reach")).drop("run")
+    both = passages.withColumn("reach", F.lit(None).cast("long")).unionByName(runs, allowMissingColumns=True)
     earlier = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
-    covered = lines.unionByName(passages).withColumn("covered", F.max("reach").over(earlier))
-    inner = covered.where("line is null and end > coalesce(covered, 0)").drop("covered", "reach")
-    same = Window.partitionBy("row", "removed").orderBy("start", "cluster")
+    both = both.withColumn("covered", F.max("reach").over(earlier))
+    return both.where("reach is null and end > coalesce(covered, 0)").drop("reach", "covered")
+
+
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``row, text, places`` -> each window's REACH words before it, nearest first, and after it, as hashes; 0 is no word."""
+    for batch in batches:
+        out: list[tuple] = []
+        for row, text, places in zip(*(c.to_pylist() for c in batch.columns)):
+            words, none = words_in(text.encode("utf-8", "replace").lower())[0], np.zeros(REACH, np.uint32)
+            words = np.concatenate([none, words.astype(np.uint32) | np.uint32(1), none])
+            at = np.array([p["start"] for p in places])[:, None] + REACH
+            before, after = words[at - 1 - np.arange(REACH)], words[at + WORDS + np.arange(REACH)]
+            out.extend((row, p["start"], p["cluster"], p["removed"], b.tobytes(), a.tobytes()) for p, b, a in zip(places, before, after))
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
+        columns = zip(*out) if out else [()] * len(types)
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["row", "start", "cluster", "removed", "before", "after"])
+
+
+def alike(own: pd.Series, first: pd.Series) -> pd.Series:
+    """How many words agree from the first one on."""
+    a, b = (np.frombuffer(b"".join(x), np.uint32).reshape(-1, REACH) for x in (own, first))
+    same = (a == b) & (a != 0)
+    return pd.Series(np.where(same.all(axis=1), REACH, same.argmin(axis=1)))
+
+
+def _grown(passages: DataFrame, rows: DataFrame) -> DataFrame:
+    """Windows with the words around them that a removed one shares with its cluster's first.
+
+    Only windows that no neighbour overlaps or touches on a side are compared. The first one of a cluster grows
+    by what it shares with any other.
+    """
+    near = Window.partitionBy("row", "removed").orderBy("start")
+    alone = F.coalesce(F.lag("end").over(near) < F.col("start"), F.lit(True)) | F.coalesce(F.lead("start").over(near) > F.col("end"), F.lit(True))
+    ends = stored(passages.withColumn("alone", alone).where("removed and alone").select("row", "start", "cluster", "removed"))
+    firsts = passages.where("not removed").select("row", "start", "cluster", "removed")
+    firsts = firsts.join(ends.select("cluster").distinct(), "cluster", "left_semi")
+    places = ends.unionByName(firsts).groupBy("row").agg(F.collect_list(F.struct("start", "cluster", "removed")).alias("places"))
+    texts = rows.select("row", "text").join(stored(places), "row").select("row", "text", "places")
+    around = stored(texts.mapInArrow(_around, "row long, start long, cluster long, removed boolean, before binary, after binary"))
+    first = around.where("not removed").groupBy("cluster").agg(F.first("before").alias("first_before"), F.first("after").alias("first_after"))
+    shared = F.pandas_udf(alike, "long")
+    grown = around.where("removed").join(stored(first), "cluster").select("row", "start", "cluster", shared("before", "first_before").alias("left"), shared("after", "first_after").alias("right"))
+    grown = stored(grown.dropDuplicates(["row", "start"]))
+    most = stored(grown.groupBy("cluster").agg(F.max("left").alias("left"), F.max("right").alias("right")))
+    gone = passages.where("removed").join(grown.drop("cluster"), ["row", "start"], "left")
+    both = gone.unionByName(passages.where("not removed").join(most, "cluster", "left"))
+    wider = {"start": F.col("start") - F.coalesce("left", F.lit(0)), "end": F.col("end") + F.coalesce("right", F.lit(0))}
+    return stored(both.withColumns(wider).drop("left", "right"))
+
+
+def _joined(passages: DataFrame) -> DataFrame:
+    """Passages of a text that overlap or touch and share a fate as one."""
+    same = Window.partitionBy("row", "removed").orderBy("start", "end", "cluster")
     until = F.max("end").over(same.rowsBetween(Window.unboundedPreceding, -1))
     run = F.sum("opens").over(same.rowsBetween(Window.unboundedPreceding, 0))
-    inner = inner.withColumn("opens", F.coalesce((F.col("start") > until).cast("int"), F.lit(1))).withColumn("run", run)
-    passages = inner.groupBy("row", "removed", "run").agg(
+    opened = passages.withColumn("opens", F.coalesce((F.col("start") > until).cast("int"), F.lit(1))).withColumn("run", run)
+    joined = opened.groupBy("row", "removed", "run").agg(
         F.first("doc_id").alias("doc_id"),
-        F.lit(None).cast("long").alias("line"),
         F.min("start").alias("start"),
         (F.max("end") - F.min("start")).alias("n_words"),
         F.min_by("cluster", "start").alias("cluster"),
         F.min_by("first_doc_id", "start").alias("first_doc_id"),
     )
-    whole = whole.withColumn("n_words", F.col("end") - F.col("start"))
-    columns = ["doc_id", "line", "start", "n_words", "cluster", "first_doc_id", "removed", "row"]
-    return whole.select(*columns).unionByName(passages.select(*columns))
+    return joined.drop("run")
 
 
 def op8_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -289,8 +289,8 @@ def similar_texts(classes: DataFrame, texts: DataFrame, bucket: int = paragraphs
     held = banded.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"))
     once = stored(held.where("a <> b").groupBy("a", "b", "n", "x").agg(F.min("k").alias("k")).select("k"))
     bands = banded.join(once, "k", "left_semi").groupBy("node").agg(F.collect_list("k").alias("bands"))
-    nodes = stored(classes.select("node", "row").join(stored(bands), "node")).withColumn("line", F.lit(0))
-    return paragraphs.similar_lines(nodes, texts.withColumn("line", F.lit(0)), bucket)
+    nodes = stored(classes.select("node", "row").join(stored(bands), "node"))
+    return paragraphs.similar_lines(nodes, lambda some: texts.join(some, "row").select("node", "written"), bucket)
 
 
 @stage

@@ -138,3 +138,77 @@ def test_odd_rows(spark, messy, empty):
     assert by[6] == [False] and by[7] == [True] and sorted(by[8]) == [False, True, True]
     assert p.repeats(empty).count() == 0
     assert p.repeats(messy.where("doc_id = 3")).count() == 0
+
+
+def wrapped(text, width):
+    words = text.split()
+    return "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def test_paragraphs_over_several_lines(spark, make):
+    draw, rows = random.Random(6), []
+    for i in range(60):
+        words = prose(30_000 + i, 60).split()
+        other = words.copy()
+        other[draw.randrange(10, 50)] = "changed"
+        for j, own in enumerate((words, other)):
+            around = [wrapped(prose(40_000 + 4 * i + 2 * j + k, 40), 12) for k in range(2)]
+            rows.append((2 * i + j, "\n\n".join([around[0], wrapped(" ".join(own), 12 if j else 9), around[1]])))
+    got = [r for r in p.repeats(make(rows)).collect() if r.line is not None]
+    assert sorted((r.doc_id, r.line, r.n_lines, r.n_words, r.removed) for r in got) == sorted(
+        (2 * i + j, 5, 5 if j else 7, 60, j == 1) for i in range(60) for j in range(2)
+    )
+    assert all(r.first_doc_id == r.doc_id // 2 * 2 for r in got)
+
+
+def test_longer_and_blank_lines_end_a_paragraph():
+    short, long = prose(1, 11), prose(2, 25)
+    text = "\n".join([short, short, long, short, "", short, short, " \t", short])
+    cut = p._paragraphs([1], [1], [text.encode()]).to_pylist()
+    assert [(r["line"], r["n_lines"], r["words"]) for r in cut if r["line"] >= 0] == [(0, 2, 22), (2, 1, 25), (5, 2, 22)]
+
+
+def longest_common(own, others):
+    """Places (start, end) of the longest run of words of ``own`` in each of ``others``."""
+    out = []
+    for other in others:
+        best, last = (0, 0), [0] * (len(other) + 1)
+        for i, w in enumerate(own):
+            now = [0] * (len(other) + 1)
+            for j, v in enumerate(other):
+                if w == v:
+                    now[j + 1] = last[j] + 1
+                    if now[j + 1] > best[1] - best[0]:
+                        best = (i + 1 - now[j + 1], i + 1)
+            last = now
+        out.append(best)
+    return out
+
+
+def test_passages_are_removed_in_one_piece(spark, make):
+    draw, rows, want = random.Random(7), [], {}
+    for i, words in enumerate([50, 51, 60, 75, 100, 150, 200, 300, 400, 500]):
+        passage = prose(50_000 + i, words)
+        texts = [f"{prose(60_000 + 2 * i + j, draw.randint(0, 150))} {passage} {prose(70_000 + 2 * i + j, draw.randint(words, words + 200))}" for j in range(2)]
+        rows += [(2 * i + j, t) for j, t in enumerate(texts)]
+        (want[2 * i + 1],) = longest_common(texts[1].split(), [texts[0].split()])
+        assert want[2 * i + 1][1] - want[2 * i + 1][0] >= words
+    got = p.repeats(make(rows)).collect()
+    assert sorted((r.doc_id, r.start_word, r.start_word + r.n_words) for r in got if r.removed) == sorted((d, *at) for d, at in want.items())
+    kept = {r.doc_id: r.n_words for r in got if not r.removed}
+    assert kept == {d - 1: b - a for d, (a, b) in want.items()}
+
+
+def test_a_kept_line_hides_no_passage(spark, make):
+    passage = prose(1, 80)
+    line = f"{prose(2, 100)} {passage} {prose(3, 100)}"
+    got = p.repeats(make([(1, f"{prose(4, 70)} {passage} {prose(5, 90)}"), (2, line), (3, line)])).collect()
+    removed = {(r.doc_id, r.line, r.start_word, r.n_words, r.first_doc_id) for r in got if r.removed}
+    assert removed == {(2, None, 100, 80, 1), (3, 0, 0, 280, 2)}
+    assert {(r.doc_id, r.line) for r in got if not r.removed} == {(1, None), (2, 0)}
+
+
+def test_repeats_within_a_text_keep_one(spark, make):
+    passage = prose(9, 45)
+    (removed,) = [r for r in p.repeats(make([(1, " ".join([passage] * 4))])).collect() if r.removed]
+    assert (removed.start_word, removed.n_words) == (45, 135)
