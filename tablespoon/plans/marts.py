@@ -83,7 +83,7 @@ def revenue_of_months(header: DataFrame, months: DataFrame) -> DataFrame:
     return revenue_daily(header.join(months.select("year", "month"), ["year", "month"], "left_semi"))
 
 
-def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> DataFrame:
+def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False, bucketed: bool = False) -> DataFrame:
     """Invoice lines with their invoice, except excluded ones, one row per line.
 
     Copies on either side multiply; with ``dedupe`` only the latest copies join:
@@ -96,6 +96,10 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
     it deal both out anew for the join, and then it splits hot invoices. Marked
     lines are dealt out once: repeats within a copy are told apart where the join
     has put them.
+
+    ``bucketed`` says that both tables are stored in as many buckets by ``ref_id``:
+    then nothing is dealt out, neither for ranks nor for the join, and a bucket with
+    a hot invoice isn't split.
     """
     marked = dedupe and INGEST_COLUMN in header.columns and INGEST_COLUMN in detail.columns
     if dedupe:
@@ -103,7 +107,8 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
     if dedupe and not marked:
         detail = latest_invoice_detail(detail)
     copy = F.coalesce(INGEST_COLUMN, F.lit("")) if marked else F.xxhash64("ref_id")
-    kept = header.filter(F.col("payment_status") != EXCLUDED_STATUS).select(*_HEADER_COLUMNS, copy.alias("_copy"))
+    second = [copy.alias("_copy")] if marked or (dedupe and not bucketed) else []
+    kept = header.filter(F.col("payment_status") != EXCLUDED_STATUS).select(*_HEADER_COLUMNS, *second)
     lines = detail.select(
         "ref_id",
         "item_id",
@@ -113,10 +118,15 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False) -> D
         "allocation_amount",
         "allocation_delivery_promotion_amount",
         F.col("tax_amount").alias("line_tax"),
-        copy.alias("_copy"),
+        *second,
         *([F.col("ref_detail_id").alias("_line"), F.col("ref_date").alias("_line_date")] if marked else []),
     )
-    joined = lines.join(kept, ["ref_id", "_copy"] if dedupe else "ref_id", "inner")
+    if marked and bucketed:  # the copies are compared by a range: equal ones would be a second key
+        kept = kept.withColumnsRenamed({"ref_id": "_ref_id", "_copy": "_latest"})
+        same = (F.col("ref_id") == F.col("_ref_id")) & F.col("_copy").between(F.col("_latest"), F.col("_latest"))
+        joined = lines.join(kept, same).drop("_ref_id", "_latest")
+    else:
+        joined = lines.join(kept, ["ref_id", "_copy"] if second else "ref_id", "inner")
     if marked:
         joined = latest_by(joined, ["ref_id", "_copy", "_line"], ["_line_date"])
     net = net_revenue(F.col("amount"), F.col("allocation_amount"), F.col("allocation_delivery_promotion_amount"))

@@ -193,6 +193,8 @@ ORACLE: dict[str, str] = {
     + REVENUE.format(source="twice"),
     "sales_lines_dedupe": _with(HEADER, DETAIL, LATER_HEADER, LATER_DETAIL, LINE_WORTH.format(lines="later_detail"))
     + SOLD.format(invoices="later"),
+    "sales_lines_bucketed": _with(HEADER, DETAIL, LATER_HEADER, LATER_DETAIL, LINE_WORTH.format(lines="later_detail"))
+    + SOLD.format(invoices="later"),
     "hourly_bucket": "SELECT event_id, strftime(ts + INTERVAL 7 HOUR, '%H') AS report_hour FROM events",
     # --- staging
     "dedup_order_header": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,

@@ -34,8 +34,10 @@ from tablespoon.sinks import (
     land,
     load_id,
     merge_table,
+    read_bucketed,
     read_version,
     save_all,
+    save_bucketed,
     save_flat,
     save_partitions,
     save_table,
@@ -115,6 +117,20 @@ def sales_lines_dedupe(spark, sf_dir):
     return marts.sales_lines(_reingested_headers(spark, sf_dir), _reingested_details(spark, sf_dir), dedupe=True)
 
 
+@query
+def sales_lines_bucketed(spark, sf_dir):
+    """The same out of tables bucketed by invoice: first copies, then an append of the second ones, each of its own load."""
+    root = workspace(spark, "bucketed")
+    frames = {"header": d.invoice_header(spark, sf_dir), "detail": d.invoice_detail(spark, sf_dir)}
+    again = {"header": _reingested_headers(spark, sf_dir), "detail": _reingested_details(spark, sf_dir)}
+    for name, first in frames.items():
+        second = again[name].exceptAll(first).withColumn("ingest_id", F.lit("2-20240102-b"))
+        for copies in (first.withColumn("ingest_id", F.lit("1-20240101-a")), second):
+            save_bucketed(copies, f"{root}/{name}", ["ref_id"], 16)
+    header, detail = (read_bucketed(spark, f"{root}/{name}") for name in frames)
+    return marts.sales_lines(header, detail, dedupe=True, bucketed=True)
+
+
 @query
 def hourly_bucket(spark, sf_dir):
     local = to_local_ts("ts", d.table(spark, sf_dir, "events").schema["ts"].dataType)

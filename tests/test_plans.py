@@ -9,13 +9,14 @@ from tablespoon.operators import incremental, nested
 from tablespoon.plans import marts, staging
 from tablespoon.plans.transform import transform
 from tablespoon.schemas import PARTITION_COLUMNS, SPECS
+from tablespoon.sinks import read_bucketed, save_bucketed
 from tablespoon.sinks.tables import _balanced, save_table
 from tablespoon.sources import read_table, source
 from tablespoon.suite import domain as d
 from tablespoon.suite.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-LAZY = [n for n in QUERIES if not n.startswith(("sink_", "stream_", "daily_", "load_", "backfill_", "revenue_by_", "two_")) and n not in (
+LAZY = [n for n in QUERIES if not n.startswith(("sink_", "stream_", "daily_", "load_", "backfill_", "revenue_by_", "two_", "sales_lines_bucketed")) and n not in (
     "read_nested_json", "nest_land_roundtrip", "merge_interrupted", "first_day_without_invoices", "interrupted_build",
     "revenue_incremental", "master_snapshot", "backfill_range", "missing_day_empty", "empty_input")]
 
@@ -112,6 +113,28 @@ def test_deduplication_costs_the_header_one_shuffle_more_and_unmarked_lines_one(
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
+@pytest.mark.parametrize("mark", [True, False])
+def test_bucketed_invoices_are_ranked_and_joined_without_a_shuffle(spark, tmp_path, mark):
+    header, detail = d.invoice_header(spark, SF_DIR), d.invoice_detail(spark, SF_DIR)
+    later = header.withColumns({"ref_date": F.col("ref_date") + F.expr("interval 1 day"), "branch_name": F.lit("NEW")})
+    fewer = detail.filter("ref_detail_id LIKE '%-1'").withColumn("ref_date", F.col("ref_date") + F.expr("interval 1 day"))
+    loads = {"header": [header, later], "detail": [detail, fewer]}
+    for name, copies in loads.items():
+        for n, df in enumerate(copies, 1):
+            df = df.withColumn("ingest_id", F.lit(f"{n}-2024010{n}-a"))
+            save_bucketed(df if mark else df.drop("ingest_id"), f"{tmp_path}/{name}", ["ref_id"], 8)
+    header, detail = (read_bucketed(spark, f"{tmp_path}/{name}") for name in loads)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = marts.sales_lines(header, detail, dedupe=True, bucketed=True)
+        assert "Exchange" not in plan(df)
+        plain = marts.sales_lines(*(spark.read.parquet(f"{tmp_path}/{name}") for name in loads), dedupe=True)
+        assert plan(plain).count("Exchange hashpartitioning") == (3 if mark else 4)
+        assert df.count() == plain.count() and df.exceptAll(plain).isEmpty() and df.filter("branch_name <> 'NEW'").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
 def test_rows_to_rank_are_those_of_recent_invoices(spark):
     header, detail = d.invoice_header(spark, SF_DIR), d.invoice_detail(spark, SF_DIR)
     target = marts.sales_lines(header, detail)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablespoon.session import scratch, scratch_dir
-from tablespoon.sinks import Conflict, full_refresh, merge_table, read_version, save_all, save_flat, save_partitions, save_table
+from tablespoon.sinks import Conflict, full_refresh, merge_table, read_bucketed, read_version, save_all, save_bucketed, save_flat, save_partitions, save_table
 from tablespoon.sinks import tables
 from tablespoon.sinks.files import names, read_text, write_once
 from tablespoon.sinks.versions import all_folders, folders, publish, write_folders
@@ -169,3 +169,33 @@ def test_files_are_written_once(spark, tmp_path):
     assert write_once(spark, f"{tmp_path}/log/a", "ü1") and not write_once(spark, f"{tmp_path}/log/a", "2")
     assert write_once(spark, f"file:{tmp_path}/log/b", "") and read_text(spark, f"{tmp_path}/log/a") == "ü1"
     assert names(spark, f"{tmp_path}/log") == ["a", "b"] and names(spark, f"{tmp_path}/none") == []
+
+
+def test_bucketed_table(spark, tmp_path):
+    """Appends meet in their buckets; null keys, a hot key, clashing names and an empty batch are fine."""
+    path = f"{tmp_path}/it's a table"
+    schema = "id string, _bucket int, n bigint"
+    with pytest.raises(ValueError, match="no bucketed table"):
+        read_bucketed(spark, path)
+    save_bucketed(spark.createDataFrame([], schema), path, ["id"], 4)
+    assert read_bucketed(spark, path).count() == 0
+    batch = spark.createDataFrame([("a", 1, 1), (None, 2, 2), ("a", 1, 1), ("b", None, None)], schema)
+    hot = spark.range(0, 5000).select(F.lit("a").alias("id"), F.lit(0).alias("_bucket"), F.col("id").alias("n"))
+    save_bucketed(batch, path, ["id"], 4)
+    save_bucketed(hot.select("n", "_bucket", "id"), path, ["id"], 4)  # columns go by name
+    table = read_bucketed(spark, path)
+    assert table.columns == batch.columns and table.exceptAll(batch.unionByName(hot)).isEmpty() and table.count() == 5004
+    counts = table.groupBy("id").count()
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert {r["id"]: r["count"] for r in counts.collect()} == {"a": 5002, "b": 1, None: 1}
+    assert spark.read.parquet(path).count() == 5004
+
+
+def test_bucketed_table_keeps_its_first_shape(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    batch = rows(spark, ("a", 2024, 1, 1))
+    save_bucketed(batch, path, ["id"], 4)
+    for df, keys, n in ((batch, ["id"], 8), (batch, ["year"], 4), (batch.drop("day"), ["id"], 4), (batch.withColumn("day", F.lit("1")), ["id"], 4)):
+        with pytest.raises(ValueError, match="has keys"):
+            save_bucketed(df, path, keys, n)
+    assert stored(read_bucketed(spark, path)) == [("a", 2024, 1, 1)]
