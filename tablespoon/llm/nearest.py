@@ -62,6 +62,11 @@ def _keys(vectors: np.ndarray, curve: tuple[np.ndarray, np.ndarray, np.ndarray],
     return hilbert_key(np.clip(cells, 0, (1 << bits) - 1), bits)
 
 
+def _distances(found: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances, the squares added in the order of the components."""
+    return np.sqrt(np.add.accumulate((found - query) ** 2, axis=1)[:, -1])
+
+
 def points_of(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
     """``point, ids, packed, h, h2`` per distinct vector, and the number of components.
 
@@ -144,7 +149,7 @@ def _closer(most: int):
                     near = rough <= (limit + 1e-9 * far[some] ** 2)[:, None]
                     for i in np.flatnonzero(near.any(axis=1)):
                         own = np.flatnonzero(near[i])
-                        exact = np.sqrt(((found[own] - queries[some[i]]) ** 2).sum(axis=1))
+                        exact = _distances(found[own], queries[some[i]])
                         first = np.lexsort((names[own], exact))[:most]
                         first = first[exact[first] <= bounds[some[i]]]
                         out[0].append(np.full(len(first), ids[some[i]]))
@@ -183,13 +188,14 @@ def _remaining(rows: DataFrame, best: DataFrame, most: int, asked: int) -> DataF
     return blocks.crossJoin(sought).mapInArrow(_closer(most), "q long, point long, score double")
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CURVES, axes: int = AXES, bits: int = BITS, block: int = BLOCK) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CURVES, axes: int = AXES, bits: int = BITS, block: int = BLOCK, exact: bool = True) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found for the rows of ``vectors(vec_id, embedding)`` that are queries.
 
     ``is_query`` is a condition on vec_id. The score is the Euclidean distance in doubles; ties go
     to the smaller vec_id, and a query is never its own answer. Rows that repeat an id and its
     vector count once. The answer is exact where an id has one vector; ``curves``, ``axes``, ``bits`` and ``block`` change how
-    much is searched, not what is found. With fewer than k candidates all come out. Without vectors
+    much is searched, not what is found. ``exact=False`` leaves out the second pass, so that only what
+    lies in a query's windows is found. With fewer than k candidates all come out. Without vectors
     the result is empty.
     """
     points, dims = points_of(vectors, k)
@@ -225,7 +231,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CUR
                 width = min(len(found), 4 * most)
                 near = np.argpartition(rough, width - 1, axis=1)[:, :width] if width < len(found) else np.tile(np.arange(len(found)), (len(some), 1))
                 for i, own in enumerate(near):
-                    exact = np.sqrt(((found[own] - some[i]) ** 2).sum(axis=1))
+                    exact = _distances(found[own], some[i])
                     first = np.lexsort((names[own], exact))[:most]
                     out_q.append(np.full(len(first), ids[at + i]))
                     out_p.append(names[own][first])
@@ -242,8 +248,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CUR
         return met.withColumn("turn", turn).where(F.col("turn") <= most).drop("turn")
 
     best = stored(first(met))
-    along = rows.where("curve = 0").select("block", "point", "packed", F.col("asks").isNotNull().alias("asks"))
-    best = first(best.unionByName(_remaining(along, best, most, ASKED)))
+    if exact:
+        along = rows.where("curve = 0").select("block", "point", "packed", F.col("asks").isNotNull().alias("asks"))
+        best = first(best.unionByName(_remaining(along, best, most, ASKED)))
     named = stored(best.join(points.select("point", "ids"), "point").select("q", "score", F.explode("ids").alias("vec_id")))
     answers = asked.join(named, asked["point"] == named["q"]).where("vec_id <> query_id")
     # an id with several vectors counts with its nearest
@@ -254,3 +261,21 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, curves: int = CUR
 
 def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP10_SQL = """
+WITH cast_up AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), fine AS (
+  SELECT vec_id, e FROM cast_up
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), vectors AS (
+  SELECT vec_id, e FROM fine WHERE len(e) = (SELECT len(e) FROM fine GROUP BY len(e) ORDER BY count(*) DESC, len(e) DESC LIMIT 1)
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, min(sqrt(list_reduce(list_transform(list_zip(q.e, v.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b))) AS score
+  FROM vectors AS q JOIN vectors AS v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id GROUP BY ALL
+), placed AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place, vec_id, score FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM placed WHERE place <= 10
+"""

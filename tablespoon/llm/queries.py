@@ -10,7 +10,7 @@ from .decontaminate import OP12_SQL, op12_decontaminate
 from .licenses import OP7_SQL, op7_license_scan
 from .lines import op6_line_dedup
 from .mixing import op4_mix_sources
-from .nearest import op10_hilbert_neighbours
+from .nearest import OP10_SQL, op10_hilbert_neighbours
 from .orchard import OP13_SQL, op13_orchard_clusters
 from .packing import op3_best_fit_packing
 from .paragraphs import op8_paragraph_minhash
@@ -43,6 +43,7 @@ ORACLE: dict[str, str] = {
     "op1_html_wrappers": OP1_SQL,
     "op2_quality_rules": OP2_SQL,
     "op7_license_scan": OP7_SQL,
+    "op10_hilbert_neighbours": OP10_SQL,
     "op12_decontaminate": OP12_SQL,
     "op13_orchard_clusters": OP13_SQL,
 }

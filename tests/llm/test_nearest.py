@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tablespoon.llm import nearest
@@ -56,6 +57,19 @@ def test_recall_over_many_blocks(spark):
     assert all(len(got[q]) == 10 for q in want) and hits >= 0.9 * 400
 
 
+@pytest.mark.parametrize("n", [1500, 15_000])
+def test_recall_of_the_windows_alone(spark, n):
+    """Clustered vectors at two sizes ten times apart, windows of the same size: a fifth of the smaller table, a fiftieth of the larger."""
+    draw = np.random.default_rng(6)
+    centres = draw.normal(size=(60, 16))
+    vectors = (centres[draw.integers(0, 60, n)] + 0.3 * draw.normal(size=(n, 16))).astype(np.float32).tolist()
+    step = n // 50
+    got = found(nearest.nearest(table(spark, vectors), F.col("vec_id") % step == 0, block=100, exact=False))
+    want = brute(vectors, range(0, n, step), 10)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+
+
 def test_nothing_is_missed_beyond_the_windows(spark, monkeypatch):
     """Vectors in all directions, windows over a hundredth of them: only the second pass can find the rest."""
     monkeypatch.setattr(nearest, "ASKED", 16)
