@@ -5,6 +5,7 @@ from tablespoon.sinks.loads import discard_load, load_id, open_loads, save_load,
 from tablespoon.sinks.tables import (
     full_refresh,
     land,
+    land_lines,
     merge_table,
     replace_partitions,
     save_all,
@@ -19,6 +20,7 @@ __all__ = [
     "discard_load",
     "full_refresh",
     "land",
+    "land_lines",
     "load_id",
     "merge_table",
     "open_loads",

@@ -88,6 +88,20 @@ def land(df: DataFrame, path: str, day_column: str | None = None) -> None:
     writer.partitionBy("landing_day").json(path)
 
 
+def land_lines(spark: SparkSession, paths: list[str], path: str, multi_line: bool = False) -> None:
+    """Writes landed JSON anew as JSON Lines, whatever fields it has: a line that is an
+    array becomes a line per element, other lines stay as they are, and blank lines and
+    null elements go. So an array is read as a whole once, and in many tasks from then
+    on. ``multi_line`` is for files of one indented document, which must fit into a
+    row. Malformed arrays fail the write."""
+    rows = spark.read.text(paths, wholetext=multi_line).filter(F.trim(F.col("value")) != "")
+    elements = F.from_json("value", "array<string>", {"mode": "FAILFAST"})
+    one = F.regexp_replace("value", r"[\r\n]+", " ") if multi_line else F.col("value")
+    lines = F.when(F.ltrim(F.translate("value", "\t\r\n", "   ")).startswith("["), elements).otherwise(F.array(one))
+    lines = rows.select(F.explode(lines).alias("value")).filter(F.col("value").isNotNull())
+    lines.write.mode("overwrite").text(path)
+
+
 def save_all(
     frames: Mapping[str, DataFrame],
     root: str,

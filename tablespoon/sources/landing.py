@@ -4,7 +4,8 @@ A landing folder holds ``{day}/orders.json``, ``{day}/invoices.json``,
 ``master/products.json`` and ``master/customers.json``; each name is a file or a
 folder of files. JSON Lines is what :func:`tablespoon.sinks.land` writes, because
 such files split across tasks. A file that is one top-level array on one line
-reads as well, one task per file. The schema is always given: it is never inferred,
+reads as well, one task per file; :func:`tablespoon.sinks.land_lines` writes such
+files anew as JSON Lines. The schema is always given: it is never inferred,
 so a field that is absent on some days is null, not a different schema.
 """
 

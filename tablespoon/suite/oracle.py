@@ -318,6 +318,7 @@ ORACLE: dict[str, str] = {
             CAST(l_partkey AS VARCHAR) AS item_id, CAST(trunc(l_quantity) AS BIGINT) AS quantity
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus IN ('O', 'F')""",
     "read_nested_json": ORDER_LINE.format(branch="o_orderpriority"),
+    "read_json_arrays": ORDER_LINE.format(branch="o_orderpriority"),
     "master_snapshot": """SELECT 'product' AS table_name, CAST(p_partkey AS VARCHAR) AS id, p_name AS name,
             CAST(p_size AS VARCHAR) AS code, p_retailprice AS price, p_size > 25 AS inactive,
             '2024-02-01' AS report_date FROM part

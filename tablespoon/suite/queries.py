@@ -32,6 +32,7 @@ from tablespoon.session import workspace
 from tablespoon.sinks import (
     full_refresh,
     land,
+    land_lines,
     load_id,
     merge_table,
     read_bucketed,
@@ -460,6 +461,19 @@ def read_nested_json(spark, sf_dir):
     return transform(lines, "order_detail", RUN_TS)
 
 
+@query
+def read_json_arrays(spark, sf_dir):
+    """The same landed as arrays of up to a hundred documents, a line each, and written anew as JSON Lines."""
+    path = workspace(spark, "landing")
+    orders = _nested_orders(spark, sf_dir)
+    texts = orders.select(F.floor(F.col("Id").cast("long") / 100).alias("n"), F.to_json(F.struct(*orders.columns)).alias("one"))
+    arrays = texts.groupBy("n").agg(F.concat(F.lit("["), F.array_join(F.collect_list("one"), ","), F.lit("]")).alias("value"))
+    arrays.select("value").write.text(f"{path}/arrays")
+    land_lines(spark, [f"{path}/arrays"], f"{path}/{ORDERS.file}")
+    orders = read_document(spark, ORDERS, [f"{path}/{ORDERS.file}"])
+    return transform(nested.split_document(orders, ORDERS)["order_detail"], "order_detail", RUN_TS)
+
+
 @query
 def master_snapshot(spark, sf_dir):
     path = workspace(spark, "landing")

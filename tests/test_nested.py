@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablespoon.operators.nested import flatten, nest, normalize_payload, parse_invoice_payload, split_document
 from tablespoon.schemas import INVOICES, ORDERS
-from tablespoon.sinks import land
+from tablespoon.sinks import land, land_lines
 from tablespoon.sources import read_days, read_document, read_master
 
 ORDER_ROWS = [
@@ -42,6 +42,29 @@ def test_empty_file_gives_no_rows(spark, tmp_path):
     assert landed(spark, tmp_path, [], lines=False).count() == 0
 
 
+def test_arrays_land_as_lines(spark, tmp_path):
+    """Arrays and lines mixed; fields outside any schema, nested arrays, escapes and digits stay."""
+    documents = [{"Id": "a", "Extra": {"x": [1, [2]]}, "TotalAmount": 12345678.125}, {"Id": "é\n\"[", "OrderDetails": [{"Id": "l"}]}, {"Id": "c"}]
+    folder = tmp_path / "arrays"
+    folder.mkdir()
+    (folder / "one.json").write_text("  " + json.dumps(documents[:2]) + "\n\n" + json.dumps(documents[2]) + "\n[]\n[null]\n")
+    (folder / "two.json").write_text("")
+    land_lines(spark, [str(folder)], f"{tmp_path}/lines")
+    lines = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/lines").collect()]
+    assert sorted(lines, key=str) == sorted(documents, key=str)
+    assert read_document(spark, ORDERS, [f"{tmp_path}/lines"]).count() == 3
+    indented = tmp_path / "indented"
+    indented.mkdir()
+    (indented / "array.json").write_text("\n" + json.dumps(documents, indent=1))
+    (indented / "object.json").write_text(json.dumps(documents[0], indent=1))
+    land_lines(spark, [str(indented)], f"{tmp_path}/lines", multi_line=True)
+    lines = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/lines").collect()]
+    assert sorted(lines, key=str) == sorted([*documents, documents[0]], key=str)
+    (folder / "two.json").write_text('[{"Id": "a"')
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        land_lines(spark, [str(folder)], f"{tmp_path}/lines")
+
+
 def test_indented_array_needs_multi_line(spark, tmp_path):
     path = tmp_path / "orders.json"
     path.write_text(json.dumps(ORDER_ROWS, indent=2))
