@@ -1,11 +1,18 @@
 import os
+import random
+from collections import Counter
 
+import duckdb
 import pytest
 
 import corpus_pipeline
-from tablespoon.llm import common, queries
+from tablespoon.llm import common, lines, packing, queries
 from tests.compare import connect, difference
 
+from .conftest import prose
+from .test_lines import brute as brute_lines
+from .test_mixing import brute_targets
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -38,6 +45,81 @@ def test_pipeline(spark, tmp_path):
     assert whole.sort_values(key).reset_index(drop=True).equals(packed.sort_values(key).reset_index(drop=True))
 
 
+def planted():
+    """Documents of four sources: junk, short and empty ones, lines that repeat nearly, texts that do but for a few words."""
+    draw, rows = random.Random(21), []
+    shared = [prose(500 + i, 7) for i in range(4)]
+    for i in range(60):
+        own = [prose(i, draw.randint(25, 60)), prose(100 + i, 12)]
+        line = draw.choice(shared)
+        rows.append((i, "\n".join([own[0], line if i % 3 else line + "x", "", own[1]]), "en", f"s{i % 3}"))
+    for i in range(12):  # one long line with other words in up to two places: near, yet no near line
+        words = prose(900 + i % 4, 150).split()
+        if i > 3:
+            words[20 + i], words[90 + i] = f"new{i}", f"other{i}"
+        rows.append((100 + i, " ".join(words), "en", None))
+    junk = [" ".join(w + "$$" for w in prose(41, 60).split()), prose(42, 60).upper(), prose(43, 8), "", None, " ".join([prose(44, 10)] * 6)]
+    return rows + [(200 + i, text, "en", "s1") for i, text in enumerate(junk)] + [(0, rows[0][1], "en", "s0")]
+
+
+def brute_similar(texts):
+    """The ids of ``texts`` that stay: the least of each group linked by a Jaccard coefficient of 0.8 over five words."""
+    words = {i: t.lower().split() for i, t in texts.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+    label = {i: i for i in texts}
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a in texts:
+        for b in texts:
+            if b < a and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                label[max(x, y)] = min(x, y)
+    return {i for i in texts if find(i) == i}
+
+
+def test_pipeline_as_brute_force(spark, make, tmp_path):
+    """Filtering stages by SQL and by comparing everything with everything; the mix by its targets, the packing by its bins."""
+    make(planted()).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    kept = {i for i, ok in con.sql(queries.ORACLE["op2_quality_rules"]).project("doc_id, kept").fetchall() if ok}
+    rows = {r[0]: r for r in planted() if r[0] in kept}
+    assert 60 <= len(rows) < len(planted()) - 6
+    texts = {i: text for (i, _), text in brute_lines([(r[0], r[1]) for r in rows.values()], lines.SHORTEST).items()}
+    stay = brute_similar(texts)
+    assert 3 <= len(texts) - len(stay) <= 12
+    sizes = {i: len(texts[i].split()) for i in stay}
+
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    whole = Counter()
+    for r in got:
+        whole[r.doc_id, r.copy] += r.n_tokens
+    assert {i for i, _ in whole} <= stay and all(n == sizes[i] for (i, _), n in whole.items())
+    # a source whose words are all taken at its target's rate, but for half a document
+    copies, source = Counter(i for i, _ in whole), {i: rows[i][3] for i in stay}
+    of, taken = Counter(), Counter()
+    for i in stay:
+        of[source[i]] += sizes[i]
+        taken[source[i]] += sizes[i] * copies[i]
+    want = brute_targets(of)
+    assert all(abs(taken[s] - want[s]) <= max(sizes.values()) / 2 + 1e-6 for s in want) and max(copies.values()) <= 3
+    assert all(copies[i] >= int(want[source[i]] / of[source[i]]) for i in stay)
+    bins = {}
+    for r in got:
+        bins.setdefault((r.bin_id, r.bin_capacity, r.bin_tokens), []).append((r.bin_start, r.n_tokens))
+    assert len({b for b, _, _ in bins}) == len(bins)
+    for (_, capacity, tokens), inside in bins.items():
+        ends = [0]
+        for start, n in sorted(inside):
+            assert start == ends[-1]
+            ends.append(start + n)
+        assert ends[-1] == tokens and capacity == min(c for c in packing.CAPACITIES if c >= tokens)
+
+
 def test_stages_clear_what_stages_before_stored(spark, make):
     """What is read still stays, and nothing else of the earlier stages."""
     seen = []

@@ -66,6 +66,34 @@ def test_junk_goes_and_clean_stays(spark, make):
     assert not any(got[i] for i in junk) and all(got[i] for i in range(120))
 
 
+def test_each_measure_alone_rejects(spark, make):
+    """Outliers in one measure each; the others stay within any fence. Repeats have none: the base rule ends below their fence."""
+    draw, words = random.Random(11), prose(12, 120).split()
+    kinds, lines = ["ka", "ke", "ki", "ko", "ku"], []
+    while len(lines) < 80:
+        word = draw.choice(kinds)
+        if lines[-1:] != [word]:
+            lines.append(word)
+    outliers = {
+        "symbols": " ".join(w + "$" * (i % 3 == 0) for i, w in enumerate(words)),
+        "upper": " ".join(w.upper() if i % 2 else w for i, w in enumerate(words)),
+        "dup_lines": "\n".join(x for i, w in enumerate(lines) for x in ([w, f"own{i}"] if i % 4 == 0 else [w])),
+        "stutter": " ".join(w for w in words for _ in range(2)),
+        "word_length": " ".join((w * 9)[:14] for w in words),
+    }
+    for name, text in outliers.items():
+        m = dict(zip(quality.COUNTS, quality.measure(text)))
+        share = {
+            "symbols": m["n_symbols"] / m["n_words"], "upper": m["n_upper"] / max(m["n_letters"], 1), "dup_lines": m["n_dup_lines"] / m["n_lines"],
+            "repeats": m["n_repeat_words"] / m["n_words"], "stutter": m["n_stutter"] / m["n_words"], "word_length": m["word_chars"] / m["n_words"] - 5,
+        }
+        assert [k for k, v in share.items() if v > quality.FENCE * quality.SPREADS[k]] == [name], share
+    rows = [(i, prose(i, 120), "en", f"s{i % 4}") for i in range(120)] + [(1000 + i, t, "en", "s1") for i, t in enumerate(outliers.values())]
+    out, m, failed, kept = quality.judged(make(rows))
+    for r in out.collect():
+        assert not r[failed] and r[kept] == (r.doc_id < 1000), r.doc_id
+
+
 def test_odd_rows(spark, messy, empty):
     out, m, failed, kept = quality.judged(messy)
     rows = out.collect()
