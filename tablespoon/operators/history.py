@@ -86,6 +86,10 @@ def asof_join(facts: DataFrame, history: DataFrame, on: dict[str, str], at: str,
     hashed by; for keys with many versions these are the key and a bucket of
     days: a fact is in one bucket, a version in all that it reaches into, up to the
     last day of the facts. So a fact meets the versions of its bucket, not all of its key.
+
+    The join is by sorting, which is asked for: the planner takes a history for as small as
+    the table it was made of, since it doesn't know how many rows come out of an array, and
+    would send all of it through the driver.
     """
     number = lambda day: F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / bucket_days)
     keyed = facts.withColumn("_day", F.to_date(at)).withColumn("_bucket", number(F.col("_day")))
@@ -93,7 +97,7 @@ def asof_join(facts: DataFrame, history: DataFrame, on: dict[str, str], at: str,
     end = F.least(F.date_sub("valid_until", 1), last_day)  # least passes over nulls
     reach = F.when(F.col("valid_from") <= end, F.sequence(number(F.col("valid_from")), number(end)))
     renamed = {key: f"_key_{i}" for i, key in enumerate(on.values())}
-    versions = history.withColumnsRenamed(renamed).withColumn("_reach", F.explode(reach))
+    versions = history.withColumnsRenamed(renamed).withColumn("_reach", F.explode(reach)).hint("merge")
     matches = (
         (F.col("_bucket") == F.col("_reach"))
         & (F.col("_day") >= F.col("valid_from"))

@@ -92,6 +92,16 @@ def test_asof_is_joined_by_key_and_bucket(spark, snapshots):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
+def test_a_history_is_never_broadcast(spark):
+    """However small it is thought to be: the planner can't tell how many rows come out of an array."""
+    history = spark.sql("SELECT 'a' AS k, 1 AS v, date'2024-01-01' AS valid_from, date'2024-02-01' AS valid_until")
+    facts = spark.sql("SELECT 'a' AS item, explode(sequence(date'2024-01-01', date'2024-03-01')) AS at")
+    joined = asof_join(facts, history, {"item": "k"}, "at")
+    assert joined.count() == 61 and joined.filter("v = 1").count() == 31
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_gap_stretches_as_brute_force(spark):
     draw = random.Random(8)
     bounds = [("a", on(0), on(30)), ("b", on(5), on(5)), ("c", on(3), on(20)), ("never", on(0), on(9)), ("shut", on(9), on(2))]
