@@ -25,10 +25,10 @@ def _calendar(rows: DataFrame) -> DataFrame:
     return days.select("day", F.row_number().over(by_day).alias("number"), F.lead("day").over(by_day).alias("next"))
 
 
-def _folded(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+def _folded(rows: DataFrame, days: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Islands of rows ``keys, values, day, since``, one per key and day: neighbours
-    among the snapshot days whose values are the same."""
-    numbered = rows.join(_calendar(rows), "day")
+    among the snapshot days, those of ``days``, whose values are the same."""
+    numbered = rows.join(F.broadcast(_calendar(days)), "day")  # a row per day; dealing the rows by day would put few tasks to work
     by_key = Window.partitionBy(*keys).orderBy("number")
     state = F.struct(*values)
     goes_on = (F.lag("number").over(by_key) == F.col("number") - 1) & F.lag(state).over(by_key).eqNullSafe(state)
@@ -38,10 +38,19 @@ def _folded(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     return islands.groupBy(*keys, "_island", *values).agg(F.min("since").alias("valid_from"), last.alias("valid_until")).drop("_island")
 
 
-def _snapshots(df: DataFrame, keys: list[str], values: list[str], day: str) -> DataFrame:
-    """One row per key and day: the one that was loaded last. Rows without a day are of no snapshot."""
-    dated = df.withColumn("day", F.to_date(day)).filter("day IS NOT NULL")
-    return latest_by(dated, [*keys, "day"], [], by_copy=True).select(*keys, *values, "day", F.col("day").alias("since"))
+def _dated(df: DataFrame, day: str) -> DataFrame:
+    """Rows with their snapshot ``day``. Rows without a day are of no snapshot."""
+    return df.withColumn("day", F.to_date(day)).filter("day IS NOT NULL")
+
+
+def _snapshots(dated: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """One row per key and day: the one that was loaded last.
+
+    Rows are dealt by key before they are ranked. Else each task ranks what it has
+    read first, and one that reads a small file may have very many rows of it.
+    """
+    latest = latest_by(dated.repartition(*keys), [*keys, "day"], [], by_copy=True)
+    return latest.select(*keys, *values, "day", F.col("day").alias("since"))
 
 
 def master_history(df: DataFrame, keys: list[str], values: list[str], day: str = "report_date") -> DataFrame:
@@ -51,7 +60,8 @@ def master_history(df: DataFrame, keys: list[str], values: list[str], day: str =
     snapshot day and comes back has a version for either time. One shuffle deals
     the rows by key; a key has no more rows than there are days.
     """
-    return _folded(_snapshots(df, keys, values, day), keys, values)
+    dated = _dated(df, day)
+    return _folded(_snapshots(dated, keys, values), dated, keys, values)
 
 
 def extend_history(history: DataFrame, df: DataFrame, keys: list[str], values: list[str], last: dt.date, day: str = "report_date") -> DataFrame:
@@ -61,12 +71,14 @@ def extend_history(history: DataFrame, df: DataFrame, keys: list[str], values: l
     ones are passed on. Snapshots up to ``last`` are left out, so a repeated run
     changes nothing.
     """
-    later = _snapshots(df.filter(F.to_date(day) > F.lit(last)), keys, values, day)
+    dated = _dated(df.filter(F.to_date(day) > F.lit(last)), day)
+    later = _snapshots(dated, keys, values)
     current = history.filter("valid_until IS NULL")
     carried = current.select(*keys, *values, F.lit(last).alias("day"), F.col("valid_from").alias("since"))
     closed = history.filter("valid_until IS NOT NULL")
     # the calendar needs the last day also where nothing was valid on it
-    folded = _folded(carried.unionByName(later), keys, values)
+    days = carried.select("day").unionByName(dated.select("day"))
+    folded = _folded(carried.unionByName(later), days, keys, values)
     return closed.select(*folded.columns).unionByName(folded)
 
 

@@ -64,6 +64,19 @@ def test_copies_of_a_snapshot_count_once_and_the_later_load_wins(spark):
     assert master_history(spark.createDataFrame([], SCHEMA), ["k"], ["v"]).count() == 0
 
 
+def test_rows_are_dealt_once_and_ranked_after_that(spark, snapshots):
+    """No task ranks all it has read, and nothing is dealt by day."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        history = master_history(spark.createDataFrame(snapshots, SCHEMA), ["k"], ["v"])
+        plan = history._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(k#") == 1
+        assert [x for x in plan.split("hashpartitioning(day#")[1:] if "HashAggregate" not in x] == []
+        assert "Window" not in plan.split("Exchange hashpartitioning(k#")[1].split("BroadcastExchange")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
 @pytest.mark.parametrize("bucket_days", [1, 7, 4000])
 def test_asof_as_brute_force(spark, snapshots, bucket_days):
     history = master_history(spark.createDataFrame(snapshots, SCHEMA), ["k"], ["v", "w"])
