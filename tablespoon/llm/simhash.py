@@ -12,8 +12,9 @@ threshold" with the threshold split evenly between the two sides, which sends fe
 Within an anchor, links form a spanning forest rather than all pairs. An anchor with more than
 BUCKET fingerprints is dealt again by the anchors of the other half (threshold 4, so 2 each side).
 
-The pipeline's stage, :func:`keep_first`, asks for a Jaccard coefficient instead, which 4 bits don't
-reach; it takes its candidates from MinHash bands and verifies them.
+The pipeline's stage, :func:`keep_first`, compares the texts of each component of linked fingerprints,
+and beside them those that share a MinHash band, since a Jaccard coefficient of 0.8 is often beyond 4
+bits. An exact check of that coefficient follows for both.
 """
 
 from __future__ import annotations
@@ -275,17 +276,22 @@ def minhashes(text: str | None) -> tuple[int, int, list[int]]:
 
 def _to_bands(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame([minhashes(t) for t in batch], columns=["h", "h2", "bands"])
+        marks = pd.DataFrame([minhashes(t) for t in batch], columns=["h", "h2", "bands"])
+        marks["fp"] = np.array([fingerprint(t) for t in batch], dtype=np.uint64).view(np.int64)
+        yield marks
 
 
 def similar_texts(classes: DataFrame, texts: DataFrame, bucket: int = paragraphs.BUCKET) -> DataFrame:
-    """``node, root`` for the distinct texts ``classes(node, row, bands)`` that are similar to another one.
+    """``node, root`` for the distinct texts ``classes(node, row, bands, fp)`` that are similar to another one.
 
     Similar is a Jaccard coefficient of ``paragraphs.SIMILARITY`` over five-word shingles, computed
-    exactly for what collides in a band. Bands that hold the same texts are compared once. A node's
-    text is that of ``row`` in ``texts(row, written)``.
+    exactly for texts whose fingerprints ``fp`` are linked and for what collides in a band: a component
+    of fingerprints counts as one more band. Bands that hold the same texts are compared once. A
+    node's text is that of ``row`` in ``texts(row, written)``.
     """
-    banded = stored(classes.select("node", F.explode("bands").alias("k")))
+    worded = classes.where(F.size("bands") > 0)
+    near = worded.join(clustered(worded, "fp", "node"), "fp").select("node", F.xxhash64(F.lit("fp"), "first").alias("k"))
+    banded = stored(classes.select("node", F.explode("bands").alias("k")).unionByName(near))
     held = banded.groupBy("k").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"))
     once = stored(held.where("a <> b").groupBy("a", "b", "n", "x").agg(F.min("k").alias("k")).select("k"))
     bands = banded.join(once, "k", "left_semi").groupBy("node").agg(F.collect_list("k").alias("bands"))
@@ -297,17 +303,18 @@ def similar_texts(classes: DataFrame, texts: DataFrame, bucket: int = paragraphs
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each near-duplicate group just the row with the least doc_id (null last, then any one).
 
-    Near is a Jaccard coefficient of at least 0.8 over five-word shingles. Few such pairs are within
-    the 4 bits that SimHash's anchors reach, so the candidates are what collides in a MinHash band.
+    Near is a Jaccard coefficient of at least 0.8 over five-word shingles, checked exactly. Candidates
+    are texts whose SimHash fingerprints are linked through anchors, within 4 bits, and, since few such
+    pairs are that near, beside them what collides in a MinHash band.
     Texts of the same words are one; those without words, null ones included, are equal.
     """
     marks, row = fresh(docs, "marks", "row")
-    marked = F.pandas_udf(_to_bands, "h long, h2 long, bands array<long>")
+    marked = F.pandas_udf(_to_bands, "h long, h2 long, bands array<long>, fp long")
     rows = numbered(docs.withColumn(marks, marked(F.col("text"))), row)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row"))
-    each = rows.select(F.col(f"{marks}.h").alias("h"), F.col(f"{marks}.h2").alias("h2"), F.col(f"{marks}.bands").alias("bands"), order.alias("own"))
-    classes = each.groupBy("h", "h2").agg(F.min("own").alias("own"), F.first("bands").alias("bands"))
-    classes = stored(classes.select("own", "own.row", "bands", F.monotonically_increasing_id().alias("node")))
+    each = rows.select(F.col(f"{marks}.h").alias("h"), F.col(f"{marks}.h2").alias("h2"), F.col(f"{marks}.bands").alias("bands"), F.col(f"{marks}.fp").alias("fp"), order.alias("own"))
+    classes = each.groupBy("h", "h2").agg(F.min("own").alias("own"), F.first("bands").alias("bands"), F.first("fp").alias("fp"))
+    classes = stored(classes.select("own", "own.row", "bands", "fp", F.monotonically_increasing_id().alias("node")))
     linked = similar_texts(classes, rows.select(F.col(row).alias("row"), F.col("text").alias("written")))
     groups = classes.select("node", "own").join(stored(linked), "node", "left").select("own", F.coalesce("root", "node").alias("root"))
     winners = groups.groupBy("root").agg(F.min("own").alias("first")).select(F.col("first.row").alias(row))

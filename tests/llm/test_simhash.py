@@ -167,3 +167,15 @@ def test_stage_drops_what_is_similar_in_five_words(spark, make):
     assert len(left) == len(set(left)) and want <= set(left)
     # a pair at exactly 0.8 shares a band with probability 0.997
     assert far > 20 and len(left) <= len(want) + 2
+
+
+def test_linked_fingerprints_are_candidates_of_the_stage(spark):
+    """Texts that share no band are compared if SimHash links them, and checked exactly."""
+    words = prose(71, 900).split()
+    texts = [" ".join(words), " ".join([*words[:-1], "changed"]), prose(72, 900)]
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert (prints[0] ^ prints[1]).bit_count() <= simhash.THRESHOLD
+    rows = [(i, i, [i], signed(prints[0] if i == 2 else p)) for i, p in enumerate(prints)]  # the last one is linked, but not similar
+    classes = spark.createDataFrame(rows, "node long, row long, bands array<long>, fp long")
+    written = spark.createDataFrame(list(enumerate(texts)), "row long, written string")
+    assert {r.node: r.root for r in simhash.similar_texts(classes, written).collect()} == {0: 0, 1: 0}
