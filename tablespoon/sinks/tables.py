@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablespoon.operators.incremental import upsert
@@ -26,6 +26,9 @@ logger = logging.getLogger(__name__)
 # How often a merge is tried against versions of other writers.
 ATTEMPTS = 10
 
+# Rows per compressed landed file: one task reads it.
+PACKED_ROWS = 100_000
+
 
 def _usable(df: DataFrame, partitions: list[str] | tuple[str, ...] | None) -> list[str]:
     usable = [p for p in partitions or () if p in df.columns]
@@ -76,30 +79,36 @@ def save_flat(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "snappy").parquet(path)
 
 
-def land(df: DataFrame, path: str, day_column: str | None = None) -> None:
+def _packed(writer: DataFrameWriter, packed: bool) -> DataFrameWriter:
+    """Compressed files don't split across tasks, so none holds more than ``PACKED_ROWS``."""
+    return writer.option("compression", "gzip").option("maxRecordsPerFile", PACKED_ROWS) if packed else writer
+
+
+def land(df: DataFrame, path: str, day_column: str | None = None, packed: bool = False) -> None:
     """Writes documents as JSON Lines, which split across tasks when read; with a
     day column, one folder ``landing_day=...`` per day. Files of a repeated run
-    replace those of the same days."""
+    replace those of the same days. ``packed`` files are compressed, many of bounded
+    size in place of few that split."""
     if day_column is None:
-        df.write.mode("overwrite").json(path)
+        _packed(df.write.mode("overwrite"), packed).json(path)
         return
     dated = df.withColumnRenamed(day_column, "landing_day")
     writer = _balanced(dated, ["landing_day"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("landing_day").json(path)
+    _packed(writer, packed).partitionBy("landing_day").json(path)
 
 
-def land_lines(spark: SparkSession, paths: list[str], path: str, multi_line: bool = False) -> None:
+def land_lines(spark: SparkSession, paths: list[str], path: str, multi_line: bool = False, packed: bool = False) -> None:
     """Writes landed JSON anew as JSON Lines, whatever fields it has: a line that is an
     array becomes a line per element, other lines stay as they are, and blank lines and
     null elements go. So an array is read as a whole once, and in many tasks from then
     on. ``multi_line`` is for files of one indented document, which must fit into a
-    row. Malformed arrays fail the write."""
+    row. Malformed arrays fail the write. ``packed`` is as in :func:`land`."""
     rows = spark.read.text(paths, wholetext=multi_line).filter(F.trim(F.col("value")) != "")
     elements = F.from_json("value", "array<string>", {"mode": "FAILFAST"})
     one = F.regexp_replace("value", r"[\r\n]+", " ") if multi_line else F.col("value")
     lines = F.when(F.ltrim(F.translate("value", "\t\r\n", "   ")).startswith("["), elements).otherwise(F.array(one))
     lines = rows.select(F.explode(lines).alias("value")).filter(F.col("value").isNotNull())
-    lines.write.mode("overwrite").text(path)
+    _packed(lines.write.mode("overwrite"), packed).text(path)
 
 
 def save_all(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablespoon.operators.nested import flatten, nest, normalize_payload, parse_invoice_payload, split_document
 from tablespoon.schemas import INVOICES, ORDERS
-from tablespoon.sinks import land, land_lines
+from tablespoon.sinks import land, land_lines, tables
 from tablespoon.sources import read_days, read_document, read_master
 
 ORDER_ROWS = [
@@ -181,3 +181,13 @@ def test_landed_days(spark, tmp_path):
     land(df, f"{tmp_path}/orders.json", "day")
     land(df.filter("Id = '2'"), f"{tmp_path}/orders.json", "day")  # the same day again replaces it
     assert read_document(spark, ORDERS, [f"{tmp_path}/orders.json"]).count() == 2
+
+
+def test_packed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "PACKED_ROWS", 10)
+    df = spark.range(25).select(F.col("id").cast("string").alias("Id")).coalesce(1)
+    land(df, f"{tmp_path}/documents", packed=True)
+    land_lines(spark, [f"{tmp_path}/documents"], f"{tmp_path}/lines", packed=True)
+    for folder in ("documents", "lines"):
+        assert len(list((tmp_path / folder).glob("*.json.gz" if folder == "documents" else "*.txt.gz"))) == 3
+        assert {r["Id"] for r in spark.read.schema("Id string").json(f"{tmp_path}/{folder}").collect()} == {str(n) for n in range(25)}
