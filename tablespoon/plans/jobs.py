@@ -34,6 +34,7 @@ from tablespoon.plans.marts import (
     SALES_KEY,
     SALES_TABLE,
     apply_deltas,
+    mart_header,
     revenue_daily,
     revenue_deltas,
     revenue_of_months,
@@ -205,7 +206,7 @@ def build(
         suspects = stg_order_header(bronze["order_header"].filter(future[0].violates))
         reports.append(run_checks(suspects, future))
     if "stg_invoice_header" in models:
-        header, detail = models["stg_invoice_header"], models["stg_invoice_detail"]
+        header, detail = mart_header(models["stg_invoice_header"]), models["stg_invoice_detail"]
         _build_revenue(spark, lake, header, dedupe)
         reports.append(
             _build_sales(spark, lake, header, detail, as_of, backfill_days, high_water_only, dedupe, mode, moved_within_months, quarantine)

@@ -24,6 +24,15 @@ _REVENUE_KEY = ["report_date", "branch_name", "year", "month"]
 _HEADER_COLUMNS = ["ref_id", "branch_name", "ref_no", "customer_id", "ref_date", "day", "month", "year"]
 
 
+_READ = {*_REVENUE_KEY, *_HEADER_COLUMNS, "payment_status", "total_amount", INGEST_COLUMN}
+
+
+def mart_header(header: DataFrame) -> DataFrame:
+    """What the marts read of invoices. Ranking copies sorts rows with all columns that tell
+    ties apart, so both marts leave the others out before they rank, and pick the same copy."""
+    return header.select(*[c for c in header.columns if c in _READ])
+
+
 def revenue_daily(header: DataFrame, dedupe: bool = False) -> DataFrame:
     """Orders, revenue and average order value per day and branch.
 
@@ -32,7 +41,7 @@ def revenue_daily(header: DataFrame, dedupe: bool = False) -> DataFrame:
     (day, branch, invoice) first, so one very large day spreads over all tasks.
     """
     if dedupe:
-        header = latest_invoice(header)
+        header = latest_invoice(mart_header(header))
     orders, revenue = F.count_distinct("ref_id"), F.sum("total_amount")
     sums = header.filter(F.col("total_amount") > 0).groupBy(*_REVENUE_KEY)
     return _with_average(sums.agg(orders.alias("total_orders"), revenue.alias("total_revenue")))
@@ -103,7 +112,7 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False, buck
     """
     marked = dedupe and INGEST_COLUMN in header.columns and INGEST_COLUMN in detail.columns
     if dedupe:
-        header = latest_invoice(header)
+        header = latest_invoice(mart_header(header))
     if dedupe and not marked:
         detail = latest_invoice_detail(detail)
     copy = F.coalesce(INGEST_COLUMN, F.lit("")) if marked else F.xxhash64("ref_id")

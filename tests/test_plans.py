@@ -177,6 +177,26 @@ def test_bronze_columns_match_the_registry(spark, tmp_path):
     assert source(spark, str(tmp_path), "invoice_header").count() == d.raw_invoices(spark, SF_DIR).count()
 
 
+def test_invoice_copies_are_ranked_with_the_columns_of_the_marts(spark, bronze):
+    header, detail = read_table(spark, f"{bronze}/invoice_header"), read_table(spark, f"{bronze}/invoice_detail")
+    assert "tip_amount" in header.columns
+    for mart in (marts.revenue_daily(header, dedupe=True), marts.sales_lines(header, detail, dedupe=True)):
+        assert "tip_amount" not in mart._jdf.queryExecution().executedPlan().toString()
+
+
+def test_event_documents_are_made_without_a_join(spark, monkeypatch):
+    landed = {}
+    monkeypatch.setattr(queries, "land", lambda df, path, day: landed.setdefault(path.rsplit("/", 1)[1], df))
+    queries._land_event_days(spark, SF_DIR, path="nowhere")
+    for df in landed.values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+    line = landed["orders.json"].filter("Id = '1'").select("CustomerId", "TotalAmount", F.explode("line_items").alias("l")).first()
+    assert line["l"].asDict() == {"OrderId": "1", "Id": "L1", "ItemId": line["CustomerId"], "Quantity": "2", "Amount": line["TotalAmount"]}
+    sizes = landed["invoices.json"].select(F.size("invoice_details").alias("d"), F.size("invoice_payments").alias("p"))
+    assert sizes.distinct().collect() == [(1, 1)]
+
+
 def test_two_writers_join_sales_once(spark, monkeypatch):
     written = []
     monkeypatch.setattr(queries, "full_refresh", lambda df, path: written.append(df))
