@@ -26,6 +26,9 @@ _INFINITY = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 _TIME = r"\d{1,2}(?::\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?"
 _ZONE = r"\s*(?:Z|[+-]\d{1,2}(?::?\d{2})?)"
 _ISO = rf"^\s*\d{{4}}(?:-\d{{1,2}}(?:-\d{{1,2}}(?:[T ]{_TIME}(?:{_ZONE}\s*)?)?)?)?$"
+# The same without blanks around it, of years that are within range as a whole: such text needs no more looking at.
+_YEAR = r"(?:1(?:67[89]|6[89]\d|[7-9]\d\d)|2(?:[01]\d\d|2[0-5]\d|26[01]))"
+_PLAIN = rf"\A{_YEAR}(?:-\d{{1,2}}(?:-\d{{1,2}}(?:[T ]{_TIME}(?:{_ZONE})?)?)?)?\z"
 
 _BLANK = r"' \t\n\r\u000B\u000C'"
 
@@ -79,11 +82,18 @@ def _extended(text: str) -> str:
     return result
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL that has a value under a name, so that it is written and computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
 def _readable(text: str) -> str:
-    """ISO text within range, else null."""
-    other = _extended(text)
-    iso = f"CASE WHEN rlike({text}, r'{_ISO}') THEN btrim({text}, {_BLANK}) WHEN rlike({other}, r'{_ISO}') THEN btrim({other}, {_BLANK}) END"
-    return f"CASE WHEN {iso} >= '{_FIRST_DAY}' AND {iso} < '{_AFTER_LAST_DAY}' THEN {iso} END"
+    """ISO text within range, else null. One match decides for plain text; the rarer spellings are looked at step
+    by step, each step under a name, as it would else be done again wherever its result is used."""
+    rare = _let("other", _extended(text), f"CASE WHEN rlike(other, r'{_ISO}') THEN btrim(other, {_BLANK}) END")
+    iso = f"CASE WHEN rlike({text}, r'{_ISO}') THEN btrim({text}, {_BLANK}) ELSE {rare} END"
+    within = _let("iso", iso, f"CASE WHEN iso >= '{_FIRST_DAY}' AND iso < '{_AFTER_LAST_DAY}' THEN iso END")
+    return f"CASE WHEN rlike({text}, r'{_PLAIN}') THEN {text} WHEN {text} IS NOT NULL THEN {within} END"
 
 
 def _session_is_utc() -> bool:

@@ -104,3 +104,17 @@ def test_hash(spark):
         None,
         __import__("hashlib").md5("Nguyễn".encode()).hexdigest().upper(),
     ]
+
+
+def test_dates_at_the_ends_of_the_range(spark):
+    ends = {
+        "1677-09-21": None, "1677-09-22": at(1677, 9, 22), "1678": at(1678, 1, 1), "2261-12-31T23:59:59Z": at(2261, 12, 31, 23, 59, 59),
+        "2262-04-11": at(2262, 4, 11), "2262-04-12": None, "2262": at(2262, 1, 1),
+    }
+    assert values(spark, ends, utc_ts) == list(ends.values())
+
+
+def test_a_date_is_matched_step_by_step_once(spark):
+    """Its text was matched anew wherever the result was used: three times over for each of an invoice's dates."""
+    dates = spark.range(3).select(F.col("id").cast("string").alias("x")).select(to_local_ts("x").alias("t"))
+    assert dates._jdf.queryExecution().optimizedPlan().toString().count("RLIKE(") == 3
