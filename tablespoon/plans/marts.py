@@ -92,7 +92,9 @@ def revenue_of_months(header: DataFrame, months: DataFrame) -> DataFrame:
     return revenue_daily(header.join(months.select("year", "month"), ["year", "month"], "left_semi"))
 
 
-def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False, bucketed: bool = False) -> DataFrame:
+def sales_lines(
+    header: DataFrame, detail: DataFrame, dedupe: bool = False, bucketed: bool = False, few_copies: bool = False
+) -> DataFrame:
     """Invoice lines with their invoice, except excluded ones, one row per line.
 
     Copies on either side multiply; with ``dedupe`` only the latest copies join:
@@ -104,7 +106,9 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False, buck
     key or by a rank, which the adaptive planner can't split; the second key makes
     it deal both out anew for the join, and then it splits hot invoices. Marked
     lines are dealt out once: repeats within a copy are told apart where the join
-    has put them.
+    has put them. So are unmarked ones where the caller knows of ``few_copies`` of a
+    line: each goes through the join, which moves less than dealing them out for
+    their rank and the latest again.
 
     ``bucketed`` says that both tables are stored in as many buckets by ``ref_id``:
     then nothing is dealt out, neither for ranks nor for the join, and a bucket with
@@ -113,22 +117,24 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False, buck
     marked = dedupe and INGEST_COLUMN in header.columns and INGEST_COLUMN in detail.columns
     if dedupe:
         header = latest_invoice(mart_header(header))
-    if dedupe and not marked:
-        detail = latest_invoice_detail(detail)
-    copy = F.coalesce(INGEST_COLUMN, F.lit("")) if marked else F.xxhash64("ref_id")
+    late = marked or (dedupe and few_copies and not bucketed and INGEST_COLUMN not in detail.columns)
+    if dedupe and not late:
+        detail = latest_invoice_detail(detail, bucketed)
+    # without a mark any value that goes with the invoice will do; lengths compress where hashes don't
+    copy = F.coalesce(INGEST_COLUMN, F.lit("")) if marked else F.length("ref_id")
     second = [copy.alias("_copy")] if marked or (dedupe and not bucketed) else []
     kept = header.filter(F.col("payment_status") != EXCLUDED_STATUS).select(*_HEADER_COLUMNS, *second)
+    parts = ["amount", "allocation_amount", "allocation_delivery_promotion_amount"]
+    net = net_revenue(*[F.col(c) for c in parts])
     lines = detail.select(
         "ref_id",
         "item_id",
         "item_name",
         "quantity",
-        "amount",
-        "allocation_amount",
-        "allocation_delivery_promotion_amount",
+        *(parts if late else [net.alias("_net")]),  # lines still to be ranked are told apart by the parts
         F.col("tax_amount").alias("line_tax"),
         *second,
-        *([F.col("ref_detail_id").alias("_line"), F.col("ref_date").alias("_line_date")] if marked else []),
+        *([F.col("ref_detail_id").alias("_line"), F.col("ref_date").alias("_line_date")] if late else []),
     )
     if marked and bucketed:  # the copies are compared by a range: equal ones would be a second key
         kept = kept.withColumnsRenamed({"ref_id": "_ref_id", "_copy": "_latest"})
@@ -136,9 +142,8 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False, buck
         joined = lines.join(kept, same).drop("_ref_id", "_latest")
     else:
         joined = lines.join(kept, ["ref_id", "_copy"] if second else "ref_id", "inner")
-    if marked:
-        joined = latest_by(joined, ["ref_id", "_copy", "_line"], ["_line_date"])
-    net = net_revenue(F.col("amount"), F.col("allocation_amount"), F.col("allocation_delivery_promotion_amount"))
+    if late:
+        joined = latest_by(joined, ["ref_id", "_copy", "_line"], ["_line_date"]).withColumn("_net", net)
     return joined.select(
         "branch_name",
         F.col("ref_id").alias("order_id"),
@@ -153,9 +158,9 @@ def sales_lines(header: DataFrame, detail: DataFrame, dedupe: bool = False, buck
         "month",
         "year",
         "quantity",
-        net.alias("net_revenue_pre_tax"),
+        F.col("_net").alias("net_revenue_pre_tax"),
         F.coalesce("line_tax", F.lit(0.0)).alias("tax_amount"),
-        revenue_inclusive(net, F.col("line_tax")).alias("net_revenue_inclusive"),
+        revenue_inclusive(F.col("_net"), F.col("line_tax")).alias("net_revenue_inclusive"),
     )
 
 

@@ -34,10 +34,16 @@ def latest_invoice(df: DataFrame) -> DataFrame:
     return latest_by(df, ["ref_id"], ["ref_date"], by_copy=True)
 
 
-def latest_invoice_detail(df: DataFrame) -> DataFrame:
+def latest_invoice_detail(df: DataFrame, bucketed: bool = False) -> DataFrame:
     """Latest copy of each invoice line. A line belongs to its invoice, so
-    conditions on the invoice still reach the scan."""
-    return latest_by(df, ["ref_id", "ref_detail_id"], ["ref_date"], by_copy=True)
+    conditions on the invoice still reach the scan.
+
+    Lines are dealt out before they are ranked, unless they are stored ``bucketed``.
+    Else each task sorts all it has read first, and that spills where a small file
+    has very many lines. All copies of one line meet in a task.
+    """
+    keys = ["ref_id", "ref_detail_id"]
+    return latest_by(df if bucketed else df.repartition(*keys), keys, ["ref_date"], by_copy=True)
 
 
 def latest_master(df: DataFrame, key: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """What the planner makes of the operators."""
 
 import datetime as dt
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,3 +221,42 @@ def test_two_writers_join_sales_once(spark, monkeypatch):
 
 def test_staging_views_are_counted_without_a_row_per_line_and_count(spark):
     assert "Expand" not in plan(QUERIES["staging_views"](spark, SF_DIR))
+
+
+def test_lines_are_dealt_out_before_they_are_ranked(spark, bronze):
+    """No task sorts all the lines it has read, and conditions on the invoice still reach the scan."""
+    latest = staging.latest_invoice_detail(read_table(spark, f"{bronze}/invoice_detail"))
+    text = plan(latest)
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "Sort" not in text.split("Exchange")[1] and "Window" not in text.split("Exchange")[1]
+    assert "EqualTo(ref_id,1)" in formatted(latest.filter("ref_id = '1'"))
+
+
+def test_the_worth_of_ranked_lines_is_dealt_out_for_the_join(spark, bronze):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        header, detail = (read_table(spark, f"{bronze}/invoice_{t}").drop("ingest_id") for t in ("header", "detail"))
+        text = plan(marts.sales_lines(header, detail, dedupe=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert "xxhash64" not in text
+    before_the_join = text.split("Join")[0]
+    assert "_net" in before_the_join and "allocation_amount" not in before_the_join
+
+
+def test_lines_with_few_copies_are_dealt_out_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        header, detail = d.invoice_header(spark, SF_DIR), d.invoice_detail(spark, SF_DIR)
+        ranked_first = marts.sales_lines(header, detail, dedupe=True)
+        once = marts.sales_lines(header, detail, dedupe=True, few_copies=True)
+        assert plan(once).count("Exchange hashpartitioning") == plan(ranked_first).count("Exchange hashpartitioning") - 1
+        lines = plan(QUERIES["sales_lines_dedupe"](spark, SF_DIR)).split("SortMergeJoin", 1)[1].split("l_orderkey")[0]
+        assert lines.count("Exchange hashpartitioning") == 1 and "Window" not in lines
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def test_skewed_invoice_with_few_copies_is_split_as_well(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(marts, "sales_lines", partial(marts.sales_lines, few_copies=True))
+    test_skewed_invoice_is_split_by_the_adaptive_planner(spark, tmp_path, True)
