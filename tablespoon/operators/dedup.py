@@ -16,6 +16,20 @@ def copy_order() -> list[Column]:
     return [day, parts[0]]
 
 
+def _ranks(df: DataFrame, keys: list[str], order: list[str], by_copy: bool) -> list[Column]:
+    """What copies of a key are compared by, one after another; nulls are the least."""
+    ties = [c for c in (INGEST_COLUMN,) if c in df.columns and c not in order]
+    rest = ties + [c for c in df.columns if c not in (*keys, *order, *ties)]
+    newest = copy_order() if by_copy and ties else []
+    return [*newest, *[F.col(c) for c in [*order, *rest]]]
+
+
+def copy_rank(df: DataFrame, keys: list[str], order: list[str], by_copy: bool = False) -> Column:
+    """All columns but the keys as one value, whose largest is the row that :func:`latest_by`
+    picks. Its maximum is taken in each input partition before the shuffle, too."""
+    return F.struct(*_ranks(df, keys, order, by_copy))
+
+
 def latest_by(df: DataFrame, keys: list[str], order: list[str], keep_rank: bool = False, by_copy: bool = False) -> DataFrame:
     """The latest row per key, by ``order`` descending with nulls last.
 
@@ -25,9 +39,6 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str], keep_rank: bool
     pushed in front of the shuffle as well (a group limit), so a key with very many
     copies leaves at most one row per input partition to be shuffled.
     """
-    ties = [c for c in (INGEST_COLUMN,) if c in df.columns and c not in order]
-    rest = ties + [c for c in df.columns if c not in (*keys, *order, *ties)]
-    newest = copy_order() if by_copy and ties else []
-    ranked = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in [*newest, *order, *rest]])
+    ranked = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in _ranks(df, keys, order, by_copy)])
     latest = df.withColumn("row_num", F.row_number().over(ranked)).filter("row_num = 1")
     return latest if keep_rank else latest.drop("row_num")

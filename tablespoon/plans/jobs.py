@@ -46,7 +46,7 @@ from tablespoon.plans.transform import landed_copy, stamped, transform_master, t
 from tablespoon.schemas import INGEST_COLUMN, PARTITION_COLUMNS, SPECS, TableSpec
 from tablespoon.session import scratch
 from tablespoon.sinks import discard_load, full_refresh, load_id, merge_table, open_loads, read_version, replace_partitions, save_load
-from tablespoon.sinks.keyindex import BUCKETS, found_for, index_of, read_index, touched_buckets, write_index
+from tablespoon.sinks.keyindex import BUCKETS, found_for, index_of, index_rows, read_index, touched_buckets, write_index
 from tablespoon.sinks.loads import committed, committed_loads, load_of, records
 from tablespoon.sinks.versions import all_folders, beside, discard, folders, in_parts, partition_name, publish, read_folders, write_folders
 from tablespoon.sources import existing, read_days, read_master, read_table, source
@@ -254,7 +254,7 @@ def _build_revenue(spark: SparkSession, lake: Lake, header: DataFrame, dedupe: b
             old = read_folders(spark, path, {p: f for p, f in current.items() if p in months}, revenue_daily(header).schema)
             rows = apply_deltas(old, changes) if dedupe else revenue_of_months(header, changes)
             written = write_folders(rows, path, month)
-            merged = index.unionByName(index_of(batch, key, month, lake.buckets)).distinct()
+            merged = index.unionByName(index_rows(batch, key, month, lake.buckets)).distinct()
             written |= write_index(merged, path)
             replaced = months.union(buckets, [p for p in current if p.startswith("@loads/")])
         written |= beside("loads", write_folders(counted, path, ()))
@@ -272,14 +272,12 @@ def rows_of_loads(header: DataFrame, loads: list[dict]) -> DataFrame:
 
 
 def earlier_copies(header: DataFrame, batch: DataFrame, index: DataFrame, loads: list[dict]) -> DataFrame:
-    """The copies of a batch's invoices that other loads than its own brought, out
-    of the months that the index has for them."""
+    """What other loads than its own brought in the months that the index has for a
+    batch's invoices. :func:`revenue_deltas` takes the copies of these invoices out of it."""
     found = found_for(index, batch, ["ref_id"])
     months = found.select("year", "month").distinct().collect()  # a row per folder
-    ids = batch.select("ref_id").distinct()
     rows = header.filter(in_parts([partition_name(r.asDict().items()) for r in months]))
-    rows = rows.filter(F.coalesce(~load_of().isin([record["load"] for record in loads]), F.lit(True)))
-    return rows.join(ids, rows["ref_id"].eqNullSafe(ids["ref_id"]), "left_semi")
+    return rows.filter(F.coalesce(~load_of().isin([record["load"] for record in loads]), F.lit(True)))
 
 
 def _build_sales(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablespoon.functions import hour_bucket, net_revenue, revenue_inclusive
 from tablespoon.operators.dedup import latest_by
 from tablespoon.operators.incremental import lookback, since_high_water, upsert
-from tablespoon.plans.staging import latest_invoice, latest_invoice_detail
+from tablespoon.plans.staging import invoice_rank, latest_invoice, latest_invoice_detail
 from tablespoon.schemas import INGEST_COLUMN
 
 # The status that keeps an invoice out of the sales table, the
@@ -60,16 +60,22 @@ def revenue_deltas(batch: DataFrame, earlier: DataFrame) -> DataFrame:
     other invoices do no harm. An invoice whose latest copy is now another one
     takes back what the old one added; one that stays as it was changes nothing,
     so a batch that lands again gives no row.
+
+    Either side is dealt out once, by a key that is never null: what selects the
+    earlier copies, what reduces each side to its latest and what compares the two
+    all find the rows where they are.
     """
-    group = F.struct(*_REVENUE_KEY, "total_amount")
-    ids = batch.select("ref_id").distinct()
-    earlier = earlier.join(ids, earlier["ref_id"].eqNullSafe(ids["ref_id"]), "left_semi")
-    before = latest_invoice(earlier).select(F.col("ref_id").alias("_ref_id"), group.alias("_old"))
-    after = latest_invoice(earlier.unionByName(batch)).select("ref_id", group.alias("_new"))
-    changed = after.join(before, F.col("ref_id").eqNullSafe(F.col("_ref_id")), "left").filter(~F.col("_new").eqNullSafe(F.col("_old")))
+    group = lambda copy: F.when(F.col(copy).isNotNull(), F.struct(*[F.col(copy)[c].alias(c) for c in (*_REVENUE_KEY, "total_amount")]))
+    key = F.coalesce(F.concat(F.lit("="), "ref_id"), F.lit(""))
+    copies = lambda df: df.select(key.alias("_key"), invoice_rank(df).alias("_copy"))
+    latest = lambda rows, name: rows.groupBy("_key").agg(F.max("_copy").alias(name))
+    landed = copies(batch.select(earlier.columns))
+    known = copies(earlier).join(landed.select("_key").distinct(), "_key", "left_semi")
+    both = latest(landed, "_landed").join(latest(known, "_before"), "_key", "left").withColumn("_after", F.greatest("_landed", "_before"))
+    changed = both.select("_key", group("_before").alias("_old"), group("_after").alias("_new")).filter(~F.col("_new").eqNullSafe(F.col("_old")))
     signed = F.array(F.struct(F.lit(1).alias("sign"), F.col("_new").alias("of")), F.struct(F.lit(-1).alias("sign"), F.col("_old").alias("of")))
-    rows = changed.select("ref_id", F.explode(signed).alias("_row")).select("ref_id", "_row.sign", "_row.of.*")
-    counted = F.sum(F.when(F.col("ref_id").isNotNull(), F.col("sign")).otherwise(0))
+    rows = changed.select("_key", F.explode(signed).alias("_row")).select("_key", "_row.sign", "_row.of.*")
+    counted = F.sum(F.when(F.col("_key") != "", F.col("sign")).otherwise(0))
     return (
         rows.filter(F.col("total_amount") > 0)
         .groupBy(*_REVENUE_KEY)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablespoon.functions import hash_pii
-from tablespoon.operators.dedup import latest_by
+from tablespoon.operators.dedup import copy_rank, latest_by
 from tablespoon.sources.bronze import register_views
 
 
@@ -34,6 +34,11 @@ def latest_invoice(df: DataFrame) -> DataFrame:
     return latest_by(df, ["ref_id"], ["ref_date"], by_copy=True)
 
 
+def invoice_rank(df: DataFrame) -> Column:
+    """The copies of an invoice as values of which the largest is its :func:`latest_invoice`."""
+    return copy_rank(df, ["ref_id"], ["ref_date"], by_copy=True)
+
+
 def latest_invoice_detail(df: DataFrame, bucketed: bool = False) -> DataFrame:
     """Latest copy of each invoice line. A line belongs to its invoice, so
     conditions on the invoice still reach the scan.

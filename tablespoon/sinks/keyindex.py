@@ -37,9 +37,14 @@ def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return same
 
 
+def index_rows(df: DataFrame, keys: list[str], partitions: tuple[str, ...], buckets: int = BUCKETS) -> DataFrame:
+    """An index row per row of the frame."""
+    return df.select(*keys, *partitions).withColumn("bucket", bucket_of(keys, buckets))
+
+
 def index_of(df: DataFrame, keys: list[str], partitions: tuple[str, ...], buckets: int = BUCKETS) -> DataFrame:
     """An index row per key and partition of the frame."""
-    return df.select(*keys, *partitions).distinct().withColumn("bucket", bucket_of(keys, buckets))
+    return index_rows(df.select(*keys, *partitions).distinct(), keys, partitions, buckets)
 
 
 def write_index(index: DataFrame, path: str) -> dict[str, str]:

@@ -84,16 +84,17 @@ def _packed(writer: DataFrameWriter, packed: bool) -> DataFrameWriter:
     return writer.option("compression", "gzip").option("maxRecordsPerFile", PACKED_ROWS) if packed else writer
 
 
-def land(df: DataFrame, path: str, day_column: str | None = None, packed: bool = False) -> None:
+def land(df: DataFrame, path: str, day_column: str | None = None, packed: bool = False, dealt: bool = False) -> None:
     """Writes documents as JSON Lines, which split across tasks when read; with a
     day column, one folder ``landing_day=...`` per day. Files of a repeated run
     replace those of the same days. ``packed`` files are compressed, many of bounded
-    size in place of few that split."""
+    size in place of few that split. ``dealt`` says that rows are dealt out by day
+    already, as they may be while they are smaller than the documents made of them."""
     if day_column is None:
         _packed(df.write.mode("overwrite"), packed).json(path)
         return
     dated = df.withColumnRenamed(day_column, "landing_day")
-    writer = _balanced(dated, ["landing_day"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = (dated if dealt else _balanced(dated, ["landing_day"])).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     _packed(writer, packed).partitionBy("landing_day").json(path)
 
 

@@ -234,16 +234,20 @@ def event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed invoices out of events, well formed, each with its event's day."""
-    return table(spark, sf_dir, "events").select(
+def event_invoices(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """Landed invoices out of events, well formed, each with its event's day; ``dealt`` out by that day,
+    before times and ids become text."""
+    day = F.date_format("ts", "yyyy-MM-dd").alias("utc_day")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", day)
+    events = events.hint("rebalance", F.col("utc_day")).sortWithinPartitions("utc_day") if dealt else events
+    return events.select(
         text("event_id").alias("RefId"),
         text("user_id").alias("CustomerId"),
         F.concat(F.date_format("ts", ISO), F.lit("Z")).alias("RefDate"),
         F.col("value").alias("TotalAmount"),
         F.when(F.col("event_type") == "error", 4).otherwise(1).alias("PaymentStatus"),
         F.col("event_type").alias("BranchId"),
-        F.date_format("ts", "yyyy-MM-dd").alias("utc_day"),
+        "utc_day",
     )
 
 

@@ -21,6 +21,24 @@ def test_latest_copy_with_ties_and_nulls(spark):
     assert latest_by(df, ["order_id"], ["order_date"]).columns == df.columns
 
 
+def test_largest_rank_is_the_latest_copy(spark):
+    """Whatever tells copies apart: the day they landed, the load, the date, the mark, the other columns; nulls are the least."""
+    marks = ["1-20240102-a", "2-20240101-b", "1-20240102-b", "3", None]
+    rows = [
+        (key, mark, date, amount)
+        for key, n_marks in (("1", 5), ("2", 2), ("3", 0), (None, 4), ("", 1))
+        for mark in [*marks[:n_marks], None]
+        for date in (None, D(2024, 1, 1), D(2024, 1, 2))
+        for amount in (None, 1.0, float("nan"), -2.0)
+    ]
+    df = spark.createDataFrame(rows, "ref_id string, ingest_id string, ref_date timestamp_ntz, total_amount double").repartition(5)
+    ranked = df.groupBy("ref_id").agg(F.max(staging.invoice_rank(df)).alias("c")).select("ref_id", *[f"c.{c}" for c in df.columns[1:]])
+    assert sorted(map(str, ranked.collect())) == sorted(map(str, staging.latest_invoice(df).collect())) != []
+    plain = df.drop("ingest_id")
+    ranked = plain.groupBy("ref_id").agg(F.max(staging.invoice_rank(plain)).alias("c")).select("ref_id", "c.ref_date", "c.total_amount")
+    assert sorted(map(str, ranked.collect())) == sorted(map(str, staging.latest_invoice(plain).collect()))
+
+
 def test_order_lines_and_masters(spark):
     lines = spark.createDataFrame([("d", D(2024, 1, 1)), ("d", D(2024, 1, 2))], "order_detail_id string, order_date timestamp_ntz")
     assert staging.stg_order_detail(lines).first()["order_date"] == D(2024, 1, 2)

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from tablespoon.operators import incremental, nested
 from tablespoon.plans import marts, staging
-from tablespoon.plans.transform import transform
+from tablespoon.plans.transform import landed_copy, transform
 from tablespoon.schemas import PARTITION_COLUMNS, SPECS
 from tablespoon.sinks import read_bucketed, save_bucketed
 from tablespoon.sinks.tables import _balanced, save_table
-from tablespoon.sources import read_table, source
+from tablespoon.sources import read_days, read_table, source
+from tablespoon.sources.landing import BY_DOCUMENT
 from tablespoon.suite import domain as d
 from tablespoon.suite import queries
 from tablespoon.suite.queries import QUERIES
@@ -198,6 +199,46 @@ def test_event_documents_are_made_without_a_join(spark, monkeypatch):
     assert sizes.distinct().collect() == [(1, 1)]
 
 
+def test_packed_event_documents_are_the_plain_ones(spark, tmp_path):
+    """Events are dealt out by day before their documents are made, and files are compressed."""
+    for folder, packed in (("plain", False), ("packed", True)):
+        queries._land_event_days(spark, SF_DIR, "BranchId <> 'click'", f"{tmp_path}/{folder}", packed=packed)
+    names = [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("part-*")]
+    assert {n.split("/")[0] for n in names if n.endswith(".json.gz")} == {"packed"} and not any("packed" in n and not n.endswith(".gz") for n in names)
+    plain, packed = (read_days(spark, f"{tmp_path}/{folder}", queries._JANUARY, BY_DOCUMENT) for folder in ("plain", "packed"))
+    for table, df in plain.items():
+        marked = [landed_copy(documents).collect() for documents in (df, packed[table])]
+        assert sorted(map(str, marked[0])) == sorted(map(str, marked[1])) and len(marked[0]) > 0
+
+
+def test_dealt_events_are_filtered_before_the_shuffle_and_sorted_once(spark):
+    text = plan(d.event_invoices(spark, SF_DIR, dealt=True).filter("BranchId <> 'click'"))
+    above, below = text.split("Exchange", 1)
+    assert "REBALANCE_PARTITIONS_BY_COL" in below and "NOT (event_type" in below and "Filter" not in above
+    assert text.count("Sort [") == 1
+
+
+def test_revenue_by_deltas_lands_packed(spark, monkeypatch):
+    landed = []
+    monkeypatch.setattr(queries, "_land_event_days", lambda *args, **options: landed.append(options.get("packed")) or "landing")
+    for job in ("run_transactions", "build"):
+        monkeypatch.setattr(queries.jobs, job, lambda *args: None)
+    monkeypatch.setattr(queries, "read_version", lambda *args: d.table(spark, SF_DIR, "events").selectExpr("value AS total_revenue", "value AS aov"))
+    QUERIES["revenue_by_deltas"](spark, SF_DIR)
+    assert landed == [True] * 3
+
+
+def test_deltas_deal_out_either_side_once(spark, bronze):
+    """The batch for its ids and for its latest copies, the earlier copies once, then the sums."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        header = source(spark, bronze, "invoice_header")
+        text = plan(marts.revenue_deltas(header.filter("month = 1"), header))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert text.count("Exchange") == 4 and "Window" not in text
+
+
 @pytest.mark.parametrize("name", ["backfill_range", "backfill_changed_days"])
 def test_backfill_lands_what_is_loaded_and_no_more(spark, monkeypatch, name):
     landed, read = [], []
