@@ -42,7 +42,7 @@ from tablespoon.plans.marts import (
     sales_lines,
 )
 from tablespoon.plans.staging import latest_invoice, staging, stg_order_header
-from tablespoon.plans.transform import landed_copy, stamped, transform_master, transform_transactions
+from tablespoon.plans.transform import dated_by_document, landed_copy, stamped, transform_master, transform_transactions
 from tablespoon.schemas import INGEST_COLUMN, PARTITION_COLUMNS, SPECS, TableSpec
 from tablespoon.session import scratch
 from tablespoon.sinks import discard_load, full_refresh, load_id, merge_table, open_loads, read_version, replace_partitions, save_load
@@ -100,8 +100,9 @@ def run_transactions(
     """Loads the orders and invoices of one or several days, as one job per table
     whatever the number of days. Returns rows per table.
 
-    The documents are parsed once, into a staged table, and the five tables each
-    read their own columns of it. So nothing is loaded when a document is broken,
+    The documents are parsed once, into a staged table, dealt out by their business
+    date there, and the five tables each read their own columns of it: what takes its
+    date from the document is written as it lies. So nothing is loaded when a document is broken,
     and readers see the load's rows once all tables have them. A scheduler that may
     repeat a run gives it a ``name``: a name that has been loaded is not loaded
     again. With ``verify`` the load must pass the checks on row counts and keys.
@@ -114,15 +115,16 @@ def run_transactions(
     load = load_id(run_ts)
     with scratch(spark, "documents") as staged:
         documents = read_days(spark, lake.landing, days, lake.layout, specs=lake.specs)
-        documents = {table: stamped(df, load) for table, df in documents.items()}
+        documents = {table: stamped(df, load, by_day=True) for table, df in documents.items()}
         for table, df in documents.items():
-            df.write.parquet(f"{staged}/{table}")
+            df.write.option("compression", "zstd").parquet(f"{staged}/{table}")
         parsed = {table: read_table(spark, f"{staged}/{table}", df.schema) for table, df in documents.items()}
         frames = transform_transactions(parsed, run_ts, lake.branch_map, lake.specs)
         if verify:
             _verify(parsed, frames)
         sums = {table: {r["day"]: {"n": r["n"], "sum": r["sum"]} for r in content_sums(df).collect()} for table, df in parsed.items()}
-        return save_load(frames, lake.bronze, load, name, lake.partitions(), about={"sums": sums})
+        by_date = [t for t in dated_by_document(parsed) if {*lake.specs[t].partitions} <= {*PARTITION_COLUMNS, "report_date"}]
+        return save_load(frames, lake.bronze, load, name, lake.partitions(), about={"sums": sums}, dealt=by_date)
 
 
 def content_sums(documents: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablespoon.functions import business_date
 from tablespoon.operators.nested import split_document
 from tablespoon.operators.standardize import (
     add_business_date,
@@ -41,19 +42,25 @@ def transform(
     return partition_trans(typed, run_ts, same_field=renamed)
 
 
-def landed_copy(documents: DataFrame) -> DataFrame:
+def landed_copy(documents: DataFrame, by_day: bool = False) -> DataFrame:
     """Nested documents, as read from files, with the load-free part of their mark:
     the day in the file's path, and the content, which tells copies within a day
-    apart. The path is known only until rows are shuffled."""
+    apart. The path is known only until rows are shuffled. ``by_day`` deals them out
+    by their business date, once their path is read and before they are marked."""
     day = F.regexp_extract(F.input_file_name(), r"(\d{4})-(\d{2})-(\d{2})(?!.*\d{4}-\d{2}-\d{2})", 0)
     content = F.hex(F.xxhash64(*[F.col(c) for c in documents.columns]))
-    return documents.withColumn(INGEST_COLUMN, F.concat_ws("-", F.translate(day, "-", ""), content))
+    landed = documents.withColumn("_landed", F.translate(day, "-", ""))
+    field = pick_date_column(documents.columns)
+    if by_day and field is not None:
+        date = business_date(f"`{field}`", documents.schema[field].dataType)
+        landed = landed.withColumn("_date", date).hint("rebalance", F.col("_date")).drop("_date")
+    return landed.withColumn(INGEST_COLUMN, F.concat_ws("-", "_landed", content)).drop("_landed")
 
 
-def stamped(documents: DataFrame, load: str) -> DataFrame:
+def stamped(documents: DataFrame, load: str, by_day: bool = False) -> DataFrame:
     """Nested documents with the mark of the landed copy they are: the load, whose
     id sorts by time, and then as :func:`landed_copy` has it."""
-    copies = documents if INGEST_COLUMN in documents.columns else landed_copy(documents)
+    copies = documents if INGEST_COLUMN in documents.columns else landed_copy(documents, by_day)
     return copies.withColumn(INGEST_COLUMN, F.concat(F.lit(f"{load}-"), INGEST_COLUMN))
 
 
@@ -71,6 +78,20 @@ def transform_transactions(
     return frames
 
 
+def dated_by_document(documents: Mapping[str, DataFrame]) -> set[str]:
+    """The transaction tables whose rows take their business date from the field by which
+    :func:`landed_copy` deals out the documents."""
+    dated = set()
+    for document in (ORDERS, INVOICES):
+        field = pick_date_column(documents[document.header].columns)
+        for table, df in split_document(documents[document.header], document).items():
+            own = pick_date_column(df.columns)
+            of_header = own if table == document.header else document.parents.get(own)
+            if field is not None and of_header == field:
+                dated.add(table)
+    return dated
+
+
 def transform_master(
     documents: Mapping[str, DataFrame],
     run_ts: dt.datetime | None = None,

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tablespoon.schemas import INGEST_COLUMN, PARTITION_COLUMNS
 from tablespoon.session import remove
 from tablespoon.sinks.files import at, names, read_text, write_once
-from tablespoon.sinks.tables import append
+from tablespoon.sinks.tables import append, balanced
 
 _LOG = "_loads"
 
@@ -94,21 +94,25 @@ def save_load(
     partitions: Mapping[str, tuple[str, ...]] | None = None,
     at_a_time: int | None = None,
     about: Mapping[str, object] | None = None,
+    dealt: Iterable[str] = (),
 ) -> dict[str, int]:
     """Appends frames, whose rows are marked as of ``load``, to their tables, all or
     none of them for readers. Returns rows per table. A name that has committed
     is left as it is and its rows are told. A load without rows leaves no record,
-    so that its name can be used once there are some. ``about`` goes into the record."""
+    so that its name can be used once there are some. ``about`` goes into the record.
+    Frames of the tables ``dealt`` are dealt out by their partitions already."""
     spark, name = next(iter(frames.values())).sparkSession, name or load
     done = committed(spark, bronze, name)
     if done:
         return done["rows"]
     mark = begin_load(spark, bronze, load, name)
     parts = lambda table: (partitions or {}).get(table, PARTITION_COLUMNS)
+    dealt = set(dealt)
+    rows = lambda table: frames[table] if table in dealt else balanced(frames[table], parts(table))
     with ThreadPoolExecutor(at_a_time or max(1, len(frames))) as pool:
         writes = {
-            table: pool.submit(inheritable_thread_target(spark)(append), df, f"{bronze}/{table}", parts(table))
-            for table, df in frames.items()
+            table: pool.submit(inheritable_thread_target(spark)(append), rows(table), f"{bronze}/{table}", parts(table))
+            for table in frames
         }
     results = {table: write.result() for table, write in writes.items()}
     record = {**(about or {}), "load": load, "rows": {t: n for t, (n, _) in results.items()}, "parts": {t: p for t, (_, p) in results.items()}}

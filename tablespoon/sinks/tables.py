@@ -42,18 +42,25 @@ def _balanced(df: DataFrame, partitions: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(p) for p in partitions])
 
 
+def balanced(df: DataFrame, partitions=PARTITION_COLUMNS) -> DataFrame:
+    """Rows dealt out by those of the partition columns that the frame has."""
+    usable = [p for p in partitions or () if p in df.columns]
+    return _balanced(df, usable) if usable else df
+
+
 def save_table(df: DataFrame, path: str, partitions=PARTITION_COLUMNS) -> int:
     """Appends; existing rows are never touched and new columns are allowed.
     Returns the number of rows, counted while writing. An empty batch adds no data file."""
-    return append(df, path, partitions)[0]
+    return append(balanced(df, partitions), path, partitions)[0]
 
 
 def append(df: DataFrame, path: str, partitions=PARTITION_COLUMNS) -> tuple[int, list[str]]:
-    """As :func:`save_table`, and also returns the names of the partitions appended to."""
+    """As :func:`save_table`, of rows that are dealt out by their partitions already, and
+    also returns the names of the partitions appended to."""
     written = Observation()
     usable = _usable(df, partitions)
     seen = F.collect_set(F.struct(*usable)) if usable else F.array()
-    observed = (_balanced(df, usable) if usable else df).observe(written, F.count(F.lit(1)).alias("n"), seen.alias("parts"))
+    observed = df.observe(written, F.count(F.lit(1)).alias("n"), seen.alias("parts"))
     observed.write.mode("append").partitionBy(*usable).parquet(path)
     n, parts = written.get["n"], written.get["parts"]
     logger.info("%s rows appended to %s", n, path)

@@ -7,6 +7,7 @@ import pytest
 from tablespoon.operators.quality import QualityError
 from tablespoon.plans import jobs
 from tablespoon.plans.marts import REVENUE_TABLE, SALES_TABLE
+from tablespoon.plans.transform import dated_by_document
 from tablespoon.schemas import INVOICES, ORDERS, SPECS
 from tablespoon.sinks import full_refresh, keyindex, loads, merge_table, read_version
 from tablespoon.sinks.versions import all_folders, folders
@@ -283,6 +284,38 @@ def test_mark_left_by_a_committed_load_hides_nothing(spark, lake, monkeypatch):
     assert counted(spark, lake)["invoice_detail"] == 2
 
 
+def test_load_deals_documents_out_once(spark, lake, monkeypatch):
+    """By their business date, so that the tables are written as they lie, a file per day folder."""
+    drop(lake, "2024-01-20", [order("o1", "2024-01-20T03:00:00Z"), order("o2", "2024-01-10T20:00:00Z")],
+         [invoice("1", "2024-01-20T03:00:00Z"), invoice("2", "2024-01-10T20:00:00Z"), invoice("3", None)])
+    drop(lake, "2024-01-21", [order("o3", "2024-01-20T05:00:00Z")], [invoice("4", "2024-01-10T21:00:00Z"), invoice("5", "2024-01-20T03:00:00Z")])
+    real, plans = loads.append, {}
+
+    def append(df, path, partitions):
+        plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, path, partitions)
+
+    monkeypatch.setattr(loads, "append", append)
+    rows = jobs.run_transactions(spark, lake, ["2024-01-20", "2024-01-21"], RUN)
+    assert rows == {"order_header": 3, "order_detail": 6, "invoice_header": 5, "invoice_detail": 10, "invoice_payment": 5}
+    assert plans.keys() == rows.keys() and not any("hashpartitioning" in text for text in plans.values())
+    for table in rows:
+        days = list(Path(f"{lake.bronze}/{table}").glob("year=*/month=*/day=*"))
+        assert len(days) == (3 if table.startswith("invoice") else 2) and all(len(list(day.glob("*.parquet"))) == 1 for day in days)
+    marks = {r["ref_id"]: r["ingest_id"].split("-")[1] for r in jobs.bronze_tables(spark, lake)["invoice_header"].collect()}
+    assert marks == {"1": "20240120", "2": "20240120", "3": "20240120", "4": "20240121", "5": "20240121"}
+
+
+def test_tables_dated_on_their_own_are_dealt_out_as_they_are_written(spark):
+    empty = lambda schema: spark.createDataFrame([], schema)
+    landed = {"order_header": empty(ORDERS.landing()), "invoice_header": empty(INVOICES.landing())}
+    assert dated_by_document(landed) == {"order_header", "order_detail", "invoice_header", "invoice_detail", "invoice_payment"}
+    own = empty("Id string, Date string, line_items array<struct<Id string, Date string>>")
+    assert "order_detail" not in dated_by_document({**landed, "order_header": own}) >= {"order_header"}
+    undated = empty("Id string, line_items array<struct<Id string>>")
+    assert not {"order_header", "order_detail"} & dated_by_document({**landed, "order_header": undated})
+
+
 def test_nothing_landed_leaves_the_name_free(spark, lake):
     assert sum(jobs.run_transactions(spark, lake, "2024-01-20", RUN, "run").values()) == 0
     drop(lake, "2024-01-20", [], [invoice("1", "2024-01-20T03:00:00Z")])
