@@ -55,6 +55,9 @@ from tablespoon.sources.landing import BY_DAY
 _LOADS = "load string, dedupe boolean"
 _SUMS = "load string, sums map<string, map<string, struct<n: bigint, sum: string>>>"
 
+# Landed days per load that a filter lists at most.
+_MOST_LANDED = 1000
+
 # Columns of the sales table that must be filled.
 REQUIRED_SALES = ["order_id", "item_id", "report_date", "net_revenue_inclusive"]
 
@@ -298,6 +301,7 @@ def _build_sales(
             # Stored tables have a known size, by which the joins pick their strategy.
             (latest_invoice(recent) if dedupe else recent).write.parquet(recent_path)
             recent = read_table(spark, recent_path, header.schema)
+            detail = lines_landed_with(detail, recent) if dedupe else detail
             fresh = sales_increment(recent, detail, target, as_of, backfill_days, high_water_only, dedupe)
         else:
             fresh = sales_increment(header, detail, None, as_of, dedupe=dedupe)
@@ -329,6 +333,16 @@ def _build_sales(
         return report
 
 
+def lines_landed_with(detail: DataFrame, header: DataFrame) -> DataFrame:
+    """The lines of those loads and landed days that the invoices are of: only lines of the same landed
+    copy join an invoice, and others need not be dealt out for that. Where there are very many, all lines."""
+    if not (INGEST_COLUMN in header.columns and INGEST_COLUMN in detail.columns):
+        return detail
+    landed = F.substring_index(F.coalesce(INGEST_COLUMN, F.lit("")), "-", 2)
+    found = [r[0] for r in header.select(landed).distinct().limit(_MOST_LANDED + 1).collect()]
+    return detail.filter(landed.isin(found)) if len(found) <= _MOST_LANDED else detail
+
+
 def _hold_back(spark: SparkSession, lake: Lake, both: DataFrame, schema: T.StructType) -> None:
     """Puts the rows held back into the quarantine table, in place of all earlier ones of the invoices built."""
     path = f"{lake.marts}/{SALES_TABLE}_quarantine"

@@ -3,6 +3,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablespoon.operators.quality import QualityError
 from tablespoon.plans import jobs
@@ -306,6 +307,18 @@ def test_load_deals_documents_out_once(spark, lake, monkeypatch):
     assert marks == {"1": "20240120", "2": "20240120", "3": "20240120", "4": "20240121", "5": "20240121"}
 
 
+def test_lines_of_other_landed_copies_are_left_out_before_the_join(spark, monkeypatch):
+    marks = ["1-20240101-a", "1-20240101-b", "1-20240102-a", "2-20240101-a", "3", "", None]
+    detail = spark.createDataFrame([(str(n), mark) for n, mark in enumerate(marks)], "ref_id string, ingest_id string")
+    of = lambda *wanted: {r["ingest_id"] for r in jobs.lines_landed_with(detail, detail.filter(F.col("ref_id").isin(*wanted))).collect()}
+    assert of("0") == {"1-20240101-a", "1-20240101-b"} and of("3", "4") == {"2-20240101-a", "3"}
+    assert of("6") == of("5") == {"", None}  # both join as unmarked
+    assert of("x") == set()
+    assert jobs.lines_landed_with(detail, detail.drop("ingest_id")).count() == 7
+    monkeypatch.setattr(jobs, "_MOST_LANDED", 2)
+    assert len(of("0", "2")) == 3 and len(of("0", "2", "3")) == 7
+
+
 def test_tables_dated_on_their_own_are_dealt_out_as_they_are_written(spark):
     empty = lambda schema: spark.createDataFrame([], schema)
     landed = {"order_header": empty(ORDERS.landing()), "invoice_header": empty(INVOICES.landing())}
